@@ -19,7 +19,13 @@ from ledgerloom.operators.marts import mart_rollup, marts_from_rollup
 from ledgerloom.operators.quality import dq_report, split_quality
 from ledgerloom.plans.paths import check_disjoint
 from ledgerloom.schema import BRONZE_SCHEMA, SILVER_SCHEMA
-from ledgerloom.sources.parquet import land_run, read_raw, read_table, write_parquet
+from ledgerloom.sources.parquet import (
+    ROWS_PER_FILE,
+    land_run,
+    read_raw,
+    read_table,
+    write_parquet,
+)
 from ledgerloom.sources.quarantine import write_quarantine_csv
 from ledgerloom.sources.scratch import scratch_path
 
@@ -115,7 +121,7 @@ def run_pipeline(
     *,
     incoming: DataFrame | None = None,
     run_id: str | None = None,
-    rows_per_file: int = 100_000,
+    rows_per_file: int = ROWS_PER_FILE,
     quarantine_rows_per_file: int = 1_000_000,
 ) -> dict[str, int]:
     """Lands ``incoming`` as run ``run_id`` if given, then bronze, silver, gold."""

@@ -109,8 +109,8 @@ def transactions_for_ids(
 
     columns = {
         "transaction_id": draw("transaction_id", *TRANSACTION_ID_RANGE),
-        "order_date": F.date_format(order_day, "yyyy-MM-dd"),
-        "ship_date": F.date_format(F.date_add(order_day, ship_delay), "yyyy-MM-dd"),
+        "order_date": order_day.cast("string"),
+        "ship_date": F.date_add(order_day, ship_delay).cast("string"),
         "customer_id": F.concat(F.lit("CUST"), draw("customer_id", *CUSTOMER_RANGE)),
         "customer_age": draw("customer_age", *AGE_RANGE),
         "gender": choice("gender", GENDERS),

@@ -14,6 +14,10 @@ from pyspark.sql.types import StructType
 from ledgerloom.schema import RAW_SCHEMA
 
 
+# Upper bound for a landed file: 16 columns of five million rows take roughly 128 MB.
+ROWS_PER_FILE = 5_000_000
+
+
 def raw_glob(raw_root: str) -> str:
     """All run directories of the landing zone."""
     return raw_root.rstrip("/") + "/*"
@@ -41,7 +45,7 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def land_run(df: DataFrame, raw_root: str, run_id: str, *, rows_per_file: int = 100_000) -> str:
+def land_run(df: DataFrame, raw_root: str, run_id: str, *, rows_per_file: int = ROWS_PER_FILE) -> str:
     """Writes one run of raw files and returns its directory.
 
     Files hold at most ``rows_per_file`` rows and no row is left out. A run id

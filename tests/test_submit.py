@@ -1,0 +1,39 @@
+from __future__ import annotations
+
+import submit
+from conftest import sorted_rows
+
+from ledgerloom.operators import city_revenue, clean_silver, split_quality
+from ledgerloom.plans import LayerPaths
+from ledgerloom.schema import BRONZE_SCHEMA, CITY_REVENUE_SCHEMA
+from ledgerloom.sources import generate_transactions, read_table
+
+
+def test_commands_in_order(spark, tmp_path):
+    root = str(tmp_path / "lake")
+
+    def call(command, *options):
+        return submit.run(spark, submit.parse([command, "--root", root, *options]))
+
+    options = ["--records", "3000", "--seed", "5", "--ingestion-date", "2026-01-01"]
+    landed = call("generate", "--run-id", "run_1", "--bad-rate", "0.1", *options)
+    assert landed == {"landed_rows": 3000}
+    assert call("bronze") == {"bronze_rows": 3000}
+    counts = call("silver", "--quarantine-rows-per-file", "100")
+    assert counts["raw_rows"] == 3000
+    assert call("gold") == {}
+    rows = generate_transactions(spark, 3000, seed=5, ingestion_date="2026-01-01", bad_rate=0.1)
+    paths = LayerPaths.under(root)
+    written = read_table(spark, f"{paths.gold}/city_revenue", CITY_REVENUE_SCHEMA)
+    expected = city_revenue(clean_silver(split_quality(rows).valid))
+    assert sorted_rows(written) == sorted_rows(expected)
+
+
+def test_ingest(spark, tmp_path):
+    root, checkpoint = str(tmp_path / "lake"), str(tmp_path / "checkpoint")
+    options = ["--seed", "5", "--ingestion-date", "2026-01-01", "--root", root]
+    for run_id in ("run_1", "run_2"):
+        args = ["generate", "--run-id", run_id, "--records", "100", *options]
+        submit.run(spark, submit.parse(args))
+        submit.run(spark, submit.parse(["ingest", "--root", root, "--checkpoint", checkpoint]))
+    assert read_table(spark, LayerPaths.under(root).bronze, BRONZE_SCHEMA).count() == 200
