@@ -181,8 +181,10 @@ def test_settings_grow_with_the_input_within_bounds():
     small = session_settings(100 * mib, 8)
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert small["spark.sql.files.maxPartitionBytes"] == str(128 * mib)
+    assert "spark.io.compression.codec" not in small
     medium = session_settings(tib, 1000)
-    assert medium["spark.sql.shuffle.partitions"] == "4096"
+    assert medium["spark.sql.shuffle.partitions"] == "16384"
+    assert medium["spark.io.compression.codec"] == "zstd"
     large = session_settings(100 * tib, 8000)
-    assert large["spark.sql.shuffle.partitions"] == "20000"
+    assert large["spark.sql.shuffle.partitions"] == "40000"
     assert int(large["spark.sql.files.maxPartitionBytes"]) == 1024 * mib
