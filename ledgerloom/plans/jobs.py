@@ -9,6 +9,7 @@ Spark counts every partition once.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -89,15 +90,19 @@ def bronze_to_silver(
     """Clean rows to silver, bad rows to the quarantine CSV; returns the counts.
 
     The report reads three columns. It sizes the quarantine: a single file up
-    to ``quarantine_rows_per_file`` rows, evenly filled files beyond that.
+    to ``quarantine_rows_per_file`` rows, more files beyond that.
     """
     check_disjoint([bronze], [silver, quarantine])
     df = read_table(spark, bronze, BRONZE_SCHEMA)
     counts = dq_report(df).first().asDict()
     parts = split_quality(df)
     counts["silver_rows"] = _write_counted(clean_silver(parts.valid), silver)
-    files = max(1, -(-counts["quarantine_rows"] // quarantine_rows_per_file))
-    write_quarantine_csv(parts.quarantine, quarantine, num_files=files)
+    write_quarantine_csv(
+        parts.quarantine,
+        quarantine,
+        rows=counts["quarantine_rows"],
+        rows_per_file=quarantine_rows_per_file,
+    )
     return counts
 
 
@@ -106,10 +111,11 @@ def silver_to_gold(spark: SparkSession, silver: str, gold: str) -> None:
 
     The measures of all groups go to a table in the shared scratch folder, so
     that neither the second and third mart nor a lost executor costs another
-    scan.
+    scan. Its name follows from the target: the next run replaces it.
     """
     check_disjoint([silver], [gold])
-    rollup = scratch_path(spark, "mart-rollup")
+    target = uuid.uuid5(uuid.NAMESPACE_URL, gold.rstrip("/")).hex
+    rollup = scratch_path(spark, f"mart-rollup-{target}")
     write_parquet(mart_rollup(read_table(spark, silver, SILVER_SCHEMA)), rollup)
     for mart, df in marts_from_rollup(spark.read.parquet(rollup)).items():
         write_parquet(df, f"{gold.rstrip('/')}/{mart}")

@@ -6,6 +6,7 @@ job write their layers below a scratch folder first and read them back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,10 @@ GENERATOR_INGESTION_DATE = "2026-01-01"
 LANDING_ROWS_PER_FILE = 5_000
 
 
+def _fresh(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.clean_silver(ops.split_quality(retail_view(spark, sf_dir)).valid)
 
@@ -43,7 +48,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = scratch_path(spark, "raw-scan")
+    raw = _fresh(spark, "raw-scan")
     land_run(retail_view(spark, sf_dir), raw, "run_1")
     return read_raw(spark, raw)
 
@@ -60,7 +65,7 @@ def bronze_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _drifting_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The raw rows as three runs whose files differ in their schema."""
-    staged = scratch_path(spark, "drift")
+    staged = _fresh(spark, "drift")
     write_parquet(retail_view(spark, sf_dir), staged)
     rows = spark.read.schema(RAW_SCHEMA).parquet(staged)
     status = F.col("order_status")
@@ -74,7 +79,7 @@ def _drifting_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def bronze_multi_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = LayerPaths.under(scratch_path(spark, "multi-run"))
+    paths = LayerPaths.under(_fresh(spark, "multi-run"))
     for run_id, rows in _drifting_runs(spark, sf_dir).items():
         land_run(rows, paths.raw, run_id)
     raw_to_bronze(spark, paths.raw, paths.bronze)
@@ -82,7 +87,7 @@ def bronze_multi_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "incremental")
+    root = _fresh(spark, "incremental")
     paths = LayerPaths.under(root)
     *first, last = _drifting_runs(spark, sf_dir).items()
     for batch in (first, [last], []):
@@ -93,7 +98,7 @@ def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = scratch_path(spark, "chunks")
+    raw = _fresh(spark, "chunks")
     land_run(retail_view(spark, sf_dir), raw, "run_1", rows_per_file=LANDING_ROWS_PER_FILE)
     per_file = (
         read_raw(spark, raw)
@@ -129,7 +134,7 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "quarantine")
+    path = _fresh(spark, "quarantine")
     write_quarantine_csv(quality_quarantine(spark, sf_dir), path)
     return read_quarantine_csv(spark, path)
 
@@ -176,7 +181,7 @@ def mart_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, sf_dir: str) -> tuple[LayerPaths, dict[str, int]]:
-    paths = LayerPaths.under(scratch_path(spark, "pipeline"))
+    paths = LayerPaths.under(_fresh(spark, "pipeline"))
     counts = run_pipeline(
         spark, paths, incoming=retail_view(spark, sf_dir), run_id="run_1"
     )
@@ -189,7 +194,7 @@ def pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver_job(spark: SparkSession, sf_dir: str) -> LayerPaths:
-    paths = LayerPaths.under(scratch_path(spark, "silver-job"))
+    paths = LayerPaths.under(_fresh(spark, "silver-job"))
     write_parquet(retail_view(spark, sf_dir), paths.bronze)
     bronze_to_silver(
         spark, paths.bronze, paths.silver, paths.quarantine, quarantine_rows_per_file=2_000

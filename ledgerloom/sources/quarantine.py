@@ -14,22 +14,32 @@ _KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace":
 _NO_VALUE = "\u0000"
 
 
-def write_quarantine_csv(df: DataFrame, path: str, *, num_files: int | None = None) -> None:
+def write_quarantine_csv(
+    df: DataFrame, path: str, *, rows: int | None = None, rows_per_file: int = 1_000_000
+) -> None:
     """Replaces the CSV files (with header) at ``path``.
 
-    By default every task writes its own file. ``num_files`` spreads the rows
-    evenly over that many; unlike a coalesce, it leaves the scan and the filter
-    as parallel as they were. 1 is for a quarantine known to be small.
+    ``rows``, the exact row count if known, lets small files be merged into
+    full ones of about ``rows_per_file`` rows; up to that many rows are a
+    single file. The scan and the filter stay as parallel as they were: fewer
+    files than cores take an even redistribution of the rows, more files only
+    join neighbouring partitions and move nothing.
     """
-    if num_files is not None:
-        df = df.repartition(num_files)
-    df.write.options(header="true", **_KEEP_SPACES).mode("overwrite").csv(path)
+    writer_options = {"header": "true", **_KEEP_SPACES}
+    files = None if rows is None else max(1, -(-rows // rows_per_file))
+    if files is not None and files < df.sparkSession.sparkContext.defaultParallelism:
+        df = df.repartition(files)
+    else:
+        writer_options["maxRecordsPerFile"] = str(rows_per_file)
+        if files is not None:
+            df = df.coalesce(files)
+    df.write.options(**writer_options).mode("overwrite").csv(path)
 
 
 def read_quarantine_csv(spark: SparkSession, path: str) -> DataFrame:
     """The quarantined rows with their types; line breaks in values are kept.
 
-    A file is one task, hence ``write_quarantine_csv`` bounds what a file holds.
+    A file is one task, hence ``write_quarantine_csv`` limits what a file holds.
     """
     return (
         spark.read.schema(QUARANTINE_SCHEMA)

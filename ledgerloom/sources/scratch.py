@@ -3,20 +3,19 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """``name`` below the shared folder that ``spark.checkpoint.dir`` names.
 
-    Without that setting only a local-mode session gets one, in a new temporary
-    folder: on a cluster the executors would not share it.
+    Without that setting only a local-mode session gets a path, in a new
+    temporary folder: on a cluster the executors would not share it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="ledgerloom-")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/{name}"

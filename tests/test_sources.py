@@ -110,22 +110,34 @@ AWKWARD = [
 ]
 
 
-@pytest.mark.parametrize("num_files", [None, 1, 3])
-def test_quarantine_keeps_the_evidence(spark, transactions, tmp_path, num_files):
+@pytest.mark.parametrize("options", [{}, {"rows": 14}, {"rows": 14, "rows_per_file": 5}])
+def test_quarantine_keeps_the_evidence(spark, transactions, tmp_path, options):
     path = str(tmp_path / "bad")
     rows = transactions(*AWKWARD)
-    write_quarantine_csv(rows, path, num_files=num_files)
+    write_quarantine_csv(rows, path, **options)
     back = read_quarantine_csv(spark, path)
     assert back.schema == RAW_SCHEMA
     assert sorted_rows(back) == sorted_rows(rows)
-    if num_files:
-        assert len(glob.glob(f"{path}/*.csv")) == num_files
+    if "rows" in options:
+        assert len(glob.glob(f"{path}/*.csv")) == (3 if "rows_per_file" in options else 1)
+
+
+def test_quarantine_scan_stays_parallel(spark, transactions, tmp_path):
+    """Merging into one file is a shuffle after the scan, not a scan in one task."""
+    spread = transactions(*[{"transaction_id": n} for n in range(40)]).repartition(4)
+    path = str(tmp_path / "bad")
+    write_quarantine_csv(
+        spread.withColumn("city", F.spark_partition_id().cast("string")), path, rows=40
+    )
+    seen = {row.city for row in read_quarantine_csv(spark, path).collect()}
+    assert seen == {"0", "1", "2", "3"}
+    assert len(glob.glob(f"{path}/*.csv")) == 1
 
 
 def test_quarantine_file_format(spark, transactions, tmp_path):
     path = str(tmp_path / "bad")
     rows = transactions({"gender": "", "city": None, "state": "a,b", "customer_id": 'q"x'})
-    write_quarantine_csv(rows, path, num_files=1)
+    write_quarantine_csv(rows, path, rows=1)
     (file,) = glob.glob(f"{path}/*.csv")
     header, line = open(file).read().splitlines()
     assert header == ",".join(RAW_SCHEMA.fieldNames())
@@ -137,7 +149,7 @@ def test_quarantine_file_format(spark, transactions, tmp_path):
 
 def test_empty_quarantine_has_a_header(spark, transactions, tmp_path):
     path = str(tmp_path / "bad")
-    write_quarantine_csv(transactions({}).filter("false"), path, num_files=1)
+    write_quarantine_csv(transactions({}).filter("false"), path, rows=1)
     texts = [open(file).read().strip() for file in glob.glob(f"{path}/*.csv")]
     assert texts == [",".join(RAW_SCHEMA.fieldNames())]
     assert read_quarantine_csv(spark, path).count() == 0
@@ -145,21 +157,16 @@ def test_empty_quarantine_has_a_header(spark, transactions, tmp_path):
 
 def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
-    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert first.startswith(shared) and first != second
-
-
-class FakeConf(dict):
-    pass
+    assert scratch_path(spark, "x") == f"{shared.rstrip('/')}/x"
 
 
 class FakeSession:
     def __init__(self, **conf):
-        self.conf = FakeConf({key.replace("__", "."): value for key, value in conf.items()})
+        self.conf = {key.replace("__", "."): value for key, value in conf.items()}
 
 
 def test_scratch_on_a_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError):
         scratch_path(FakeSession(spark__master="yarn"), "x")
     on_cluster = FakeSession(spark__master="yarn", spark__checkpoint__dir="hdfs://shared/")
-    assert scratch_path(on_cluster, "x").startswith("hdfs://shared/x-")
+    assert scratch_path(on_cluster, "x") == "hdfs://shared/x"
