@@ -1,0 +1,54 @@
+"""Counts stay exact when tasks fail and are run again.
+
+Needs a master that retries tasks, hence a session (and process) of its own.
+"""
+
+from __future__ import annotations
+
+import json
+import subprocess
+import sys
+
+from conftest import ROOT
+
+SCRIPT = """
+import json, sys
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+from ledgerloom.plans.jobs import _write_counted
+from ledgerloom.operators import dedup_transactions
+
+spark = (
+    SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "3").getOrCreate()
+)
+
+@F.udf("bigint")
+def fragile(value):
+    # Late in the partition, so that the failing attempt has already counted rows.
+    if TaskContext.get().attemptNumber() == 0 and value % 250 == 249:
+        raise RuntimeError("first attempts fail")
+    return value
+
+rows = spark.range(0, 1000, 1, 4).select((F.col("id") % 500).alias("transaction_id"), "id")
+mapped = _write_counted(rows.withColumn("id", fragile("id")), sys.argv[1] + "/mapped")
+reduced = _write_counted(
+    dedup_transactions(rows.withColumn("id", fragile("id"))), sys.argv[1] + "/reduced"
+)
+files = [spark.read.parquet(f"{sys.argv[1]}/{name}").count() for name in ("mapped", "reduced")]
+print(json.dumps([[mapped, reduced], files]))
+"""
+
+
+def test_counts_are_exact_after_task_failures(tmp_path):
+    done = subprocess.run(
+        [sys.executable, "-c", SCRIPT, str(tmp_path)],
+        cwd=ROOT,
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "first attempts fail" in done.stderr
+    counted, written = json.loads(done.stdout.splitlines()[-1])
+    assert counted == written == [1000, 500]
