@@ -28,6 +28,7 @@ from ledgerloom.sources import (
     write_parquet,
     write_quarantine_csv,
 )
+from ledgerloom.sources.retail_view import TABLES
 from ledgerloom.streaming import ingest_new_runs
 
 GENERATOR_SEED = 7
@@ -221,13 +222,15 @@ def _pipeline_mart(mart: str) -> Callable[[SparkSession, str], DataFrame]:
 # --- generator ---------------------------------------------------------------------------
 
 
+def _record_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = spark.read.schema(TABLES["lineitem"]).parquet(f"{sf_dir}/lineitem.parquet")
+    return lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("record_id"))
+
+
 def generated_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One generated transaction per order line, defects included."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("record_id")
-    )
     return transactions_for_ids(
-        lines,
+        _record_ids(spark, sf_dir),
         "record_id",
         seed=GENERATOR_SEED,
         ingestion_date=GENERATOR_INGESTION_DATE,
@@ -237,11 +240,11 @@ def generated_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def generated_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the undamaged generator that leave a column's domain: none may."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("record_id")
-    )
     rows = transactions_for_ids(
-        lines, "record_id", seed=GENERATOR_SEED, ingestion_date=GENERATOR_INGESTION_DATE
+        _record_ids(spark, sf_dir),
+        "record_id",
+        seed=GENERATOR_SEED,
+        ingestion_date=GENERATOR_INGESTION_DATE,
     )
 
     def outside(name: str, low: float | str, high: float | str):

@@ -13,8 +13,7 @@ from ledgerloom.operators import clean_silver, mart_rollup, marts_from_rollup, s
 from ledgerloom.plans import LayerPaths, run_pipeline
 from ledgerloom.schema import GOLD_SCHEMAS, RAW_SCHEMA, SILVER_SCHEMA
 from ledgerloom.sources import generate_transactions, read_table, retail_view
-
-TABLES = ["region", "nation", "customer", "part", "orders", "lineitem"]
+from ledgerloom.sources.retail_view import TABLES
 
 
 @contextmanager
