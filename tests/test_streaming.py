@@ -4,7 +4,9 @@ import glob
 import os
 import time
 
+import pytest
 from conftest import sorted_rows
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import LayerPaths, bronze_to_silver, raw_to_bronze, silver_to_gold
@@ -51,6 +53,36 @@ def test_a_backlog_is_split_into_batches(spark, transactions, tmp_path):
     assert bronze_ids(spark, bronze) == [0, 1, 2, 3, 4]
 
 
+def test_a_failed_batch_is_repeated_whole(spark, transactions, tmp_path):
+    """A batch that breaks off after writing some files leaves no trace in bronze."""
+    raw, bronze, checkpoint = (str(tmp_path / name) for name in ("raw", "bronze", "checkpoint"))
+    land_run(transactions({"transaction_id": 1}), raw, "run_1")
+    ingest_new_runs(spark, raw, bronze, checkpoint)
+    rows = transactions(*[{"transaction_id": 10 + n} for n in range(8)])
+    run = land_run(rows.repartition(4), raw, "run_2")
+    broken = sorted(glob.glob(f"{run}/*.parquet"))[-1]
+    content = open(broken, "rb").read()
+    with open(broken, "wb") as file:
+        file.write(content[:50])
+    with pytest.raises(StreamingQueryException):
+        ingest_new_runs(spark, raw, bronze, checkpoint)
+    assert bronze_ids(spark, bronze) == [1]
+    with open(broken, "wb") as file:
+        file.write(content)
+    for crc in glob.glob(f"{run}/.*.crc"):
+        os.remove(crc)
+    ingest_new_runs(spark, raw, bronze, checkpoint)
+    assert bronze_ids(spark, bronze) == [1, *range(10, 18)]
+
+
+def test_nothing_landed_yet(spark, transactions, tmp_path):
+    raw, bronze, checkpoint = (str(tmp_path / name) for name in ("raw", "bronze", "checkpoint"))
+    ingest_new_runs(spark, raw, bronze, checkpoint)
+    land_run(transactions({"transaction_id": 1}), raw, "run_1")
+    ingest_new_runs(spark, raw, bronze, checkpoint)
+    assert bronze_ids(spark, bronze) == [1]
+
+
 def test_schema_drift_within_a_stream(spark, transactions, tmp_path):
     raw, bronze, checkpoint = (str(tmp_path / name) for name in ("raw", "bronze", "checkpoint"))
     narrow = transactions({"transaction_id": 1, "quantity": 4})
