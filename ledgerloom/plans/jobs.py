@@ -44,6 +44,7 @@ class LayerPaths:
     @classmethod
     def under(cls, root: str) -> LayerPaths:
         root = root.rstrip("/")
+        # Folder names.
         return cls(
             raw=f"{root}/raw",
             bronze=f"{root}/bronze/retail_sales_bronze",

@@ -13,6 +13,10 @@ _KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace":
 # from a quoted empty string.
 _NO_VALUE = "\u0000"
 
+# More files than this are written without a shuffle. As tasks they keep a
+# large cluster busy, whatever number of cores it has at the moment.
+MAX_REDISTRIBUTED_FILES = 10_000
+
 
 def write_quarantine_csv(
     df: DataFrame, path: str, *, rows: int | None = None, rows_per_file: int = 1_000_000
@@ -21,13 +25,13 @@ def write_quarantine_csv(
 
     ``rows``, the exact row count if known, lets small files be merged into
     full ones of about ``rows_per_file`` rows; up to that many rows are a
-    single file. The scan and the filter stay as parallel as they were: fewer
-    files than cores take an even redistribution of the rows, more files only
-    join neighbouring partitions and move nothing.
+    single file. The scan and the filter stay parallel: the rows are
+    redistributed evenly after them, unless there will be so many files that
+    joining neighbouring partitions, which moves nothing, leaves tasks enough.
     """
     writer_options = {"header": "true", **_KEEP_SPACES}
     files = None if rows is None else max(1, -(-rows // rows_per_file))
-    if files is not None and files < df.sparkSession.sparkContext.defaultParallelism:
+    if files is not None and files <= MAX_REDISTRIBUTED_FILES:
         df = df.repartition(files)
     else:
         writer_options["maxRecordsPerFile"] = str(rows_per_file)

@@ -25,6 +25,7 @@ from ledgerloom.plans.paths import check_disjoint
 from ledgerloom.schema import BRONZE_SCHEMA, GOLD_SCHEMAS, SILVER_SCHEMA
 from ledgerloom.sources import (
     land_run,
+    quarantine,
     read_quarantine_csv,
     read_table,
     retail_view,
@@ -106,10 +107,13 @@ def test_incoming_rows_need_a_run(spark, transactions, tmp_path):
 
 @pytest.mark.parametrize(
     "bad, per_file, files",
-    # Four cores: up to three files are filled evenly, more only have a size limit.
+    # Up to three files are filled evenly here, more only have a size limit.
     [(0, 10, 1), (10, 10, 1), (11, 10, 2), (30, 10, 3), (31, 10, None), (300, 4, None)],
 )
-def test_quarantine_files_grow_with_the_rows(spark, transactions, tmp_path, bad, per_file, files):
+def test_quarantine_files_grow_with_the_rows(
+    spark, transactions, tmp_path, monkeypatch, bad, per_file, files
+):
+    monkeypatch.setattr(quarantine, "MAX_REDISTRIBUTED_FILES", 3)
     paths = LayerPaths.under(str(tmp_path))
     rows = [{"transaction_id": n, "quantity": 0} for n in range(bad)] + [{"transaction_id": 1000}]
     write_parquet(transactions(*rows), paths.bronze)
