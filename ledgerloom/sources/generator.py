@@ -8,6 +8,8 @@ it depends on the partitioning.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +68,18 @@ def _pick(values: list, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def _draws(seed: int, record: Column) -> Callable[..., Column]:
+    """Draws for one record: (column, start, stop) -> integer in [start, stop)."""
+
+    def draw(name: str, start: int, stop: int | Column) -> Column:
+        first = F.lit(start).cast("bigint")
+        number = F.lit(DRAWS[name]).cast("bigint")
+        mixed = F.xxhash64(F.lit(seed).cast("bigint"), record, number)
+        return first + F.pmod(mixed, stop - first)
+
+    return draw
+
+
 def transactions_for_ids(
     ids: DataFrame,
     id_column: str,
@@ -80,25 +94,20 @@ def transactions_for_ids(
     price out of range, or a NULL in one of them), to exercise the quality
     rules. With 0 only ages below the minimum occur.
     """
-    record = F.col(id_column).cast("bigint")
-
-    def draw(name: str, start: int, stop: int | Column) -> Column:
-        mixed = F.xxhash64(
-            F.lit(seed).cast("bigint"), record, F.lit(DRAWS[name]).cast("bigint")
-        )
-        return F.lit(start).cast("bigint") + F.pmod(mixed, stop - F.lit(start).cast("bigint"))
-
-    def choice(name: str, values: list) -> Column:
-        return _pick(values, draw(name, 0, len(values)))
-
     # First the indexes that several columns share, then the columns.
+    record = F.col(id_column).cast("bigint")
+    draw = _draws(seed, record)
     base = ids.select(
         record.alias("_record"),
         draw("order_date", 0, DATE_COUNT).cast("int").alias("_day"),
         draw("product_category", 0, len(CATEGORY_PRICES)).alias("_category"),
         draw("city", 0, len(CITIES)).alias("_city"),
     )
-    record = F.col("_record")
+    draw = _draws(seed, F.col("_record"))
+
+    def choice(name: str, values: list) -> Column:
+        return _pick(values, draw(name, 0, len(values)))
+
     order_day = F.date_add(F.lit(FIRST_DATE).cast("date"), F.col("_day"))
     ship_delay = draw("ship_delay", *SHIP_DELAY_RANGE).cast("int")
     low_cents = _pick([low * 100 for low, _ in CATEGORY_PRICES.values()], F.col("_category"))
@@ -132,7 +141,10 @@ def transactions_for_ids(
     )
 
 
-def _defects(columns: dict[str, Column], draw, bad_rate: float) -> dict[str, Column]:
+def _defects(
+    columns: dict[str, Column], draw: Callable[..., Column], bad_rate: float
+) -> dict[str, Column]:
+    """The columns that the quality rules test, damaged in a share of the records."""
     hit = draw("defect", 0, DEFECT_SCALE) < round(bad_rate * DEFECT_SCALE)
     kind = draw("defect_kind", 0, 6)
     replacements = {

@@ -16,7 +16,7 @@ TESTDATA = os.environ.get("LEDGERLOOM_TESTDATA", "/root/testdata")
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory) -> SparkSession:
+def spark() -> SparkSession:
     builder = (
         SparkSession.builder.master("local[4]")
         .appName("ledgerloom-tests")
@@ -27,8 +27,6 @@ def spark(tmp_path_factory) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
     )
     session = builder.getOrCreate()
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     return session
 

@@ -155,16 +155,21 @@ def test_empty_quarantine_has_a_header(spark, transactions, tmp_path):
     assert read_quarantine_csv(spark, path).count() == 0
 
 
-def test_scratch_lies_in_the_shared_folder(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
-    assert scratch_path(spark, "x") == f"{shared.rstrip('/')}/x"
-
-
 class FakeSession:
     def __init__(self, **conf):
         self.conf = {key.replace("__", "."): value for key, value in conf.items()}
 
 
+def test_scratch_lies_in_the_shared_folder():
+    session = FakeSession(spark__master="local[2]", spark__checkpoint__dir="/shared/")
+    assert scratch_path(session, "x") == "/shared/x"
+
+
+def test_scratch_of_a_local_session_without_one_is_new():
+    session = FakeSession(spark__master="local[2]")
+    assert scratch_path(session, "x") != scratch_path(session, "x")
+
+
 def test_scratch_on_a_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError):
         scratch_path(FakeSession(spark__master="yarn"), "x")
