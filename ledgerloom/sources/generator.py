@@ -62,6 +62,7 @@ DRAWS = {
     "defect_kind": 16,
 }
 DEFECT_SCALE = 1_000_000
+ROWS_PER_PARTITION = 5_000_000
 
 
 def _pick(values: list, index: Column) -> Column:
@@ -170,7 +171,14 @@ def generate_transactions(
     bad_rate: float = 0.0,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """``num_records`` synthetic transactions, computed where they are written."""
+    """``num_records`` synthetic transactions, computed where they are written.
+
+    By default no partition has more than ``ROWS_PER_PARTITION`` records, which
+    is what a lost task costs.
+    """
+    if num_partitions is None:
+        needed = -(-num_records // ROWS_PER_PARTITION)
+        num_partitions = max(needed, spark.sparkContext.defaultParallelism)
     ids = spark.range(0, num_records, 1, num_partitions)
     return transactions_for_ids(
         ids, "id", seed=seed, ingestion_date=ingestion_date, bad_rate=bad_rate

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import dq_report
 from ledgerloom.schema import RAW_SCHEMA
-from ledgerloom.sources import generate_transactions, land_run, read_raw
+from ledgerloom.sources import generate_transactions, generator, land_run, read_raw
 
 DATE = "2026-01-01"
 
@@ -28,6 +28,13 @@ def test_rows_do_not_depend_on_partitions(spark):
     assert one == many
 
 
+def test_partitions_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(generator, "ROWS_PER_PARTITION", 100)
+    df = make(spark, 1001).withColumn("partition", F.spark_partition_id())
+    counts = [row["count"] for row in df.groupBy("partition").count().collect()]
+    assert sum(counts) == 1001 and max(counts) <= 100
+
+
 def test_the_seed_matters(spark):
     assert sorted_rows(make(spark)) != sorted_rows(make(spark, seed=2))
 
