@@ -5,10 +5,11 @@ from __future__ import annotations
 MIB = 1024 * 1024
 
 MIN_SPLIT = 128 * MIB
-MAX_SPLIT = 1024 * MIB
-MAX_MAP_TASKS = 100_000
+MAX_SPLIT = 512 * MIB
+MAX_MAP_TASKS = 200_000
 INPUT_PER_SHUFFLE_PARTITION = 64 * MIB
 MAX_SHUFFLE_PARTITIONS = 40_000
+MERGED_PARTITION = 256 * MIB
 
 
 def session_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
@@ -32,6 +33,10 @@ def session_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
     if wanted > total_cores:
-        settings["spark.io.compression.codec"] = "zstd"
-        settings["spark.sql.parquet.compression.codec"] = "zstd"
+        settings |= {
+            # What small partitions are merged to, and skewed ones are split into.
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(MERGED_PARTITION),
+            "spark.io.compression.codec": "zstd",
+            "spark.sql.parquet.compression.codec": "zstd",
+        }
     return settings

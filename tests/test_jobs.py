@@ -200,4 +200,4 @@ def test_settings_grow_with_the_input_within_bounds():
     assert medium["spark.io.compression.codec"] == "zstd"
     large = session_settings(100 * tib, 8000)
     assert large["spark.sql.shuffle.partitions"] == "40000"
-    assert int(large["spark.sql.files.maxPartitionBytes"]) == 1024 * mib
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 * mib
