@@ -4,6 +4,7 @@ from ledgerloom.functions.conform import gender_code
 from ledgerloom.functions.money import (
     amount_cents,
     cents_to_amount,
+    is_unsummable,
     mean_amount,
     order_amount,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "cents_to_amount",
     "gender_code",
     "is_bad_record",
+    "is_unsummable",
     "mean_amount",
     "order_amount",
     "quality_rules",

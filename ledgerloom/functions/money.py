@@ -26,6 +26,11 @@ def amount_cents(amount: Column) -> Column:
     return F.rint(amount * 100).try_cast("bigint")
 
 
+def is_unsummable(amount: Column) -> Column:
+    """Whether an amount is known but has no cents, so that sums go without it."""
+    return amount.isNotNull() & amount_cents(amount).isNull()
+
+
 def cents_to_amount(cents: Column) -> Column:
     """Double with two decimals from whole cents."""
     return cents.cast("double") / 100

@@ -55,10 +55,10 @@ _SILVER = (
     f"{_VIEW}, valid as (select {_select(gender=_GENDER)} from raw where not {_BAD}),"
     f" silver as ({_dedup('valid')})"
 )
+_PRODUCT_VALUE = "quantity * unit_price * (1 - discount_pct / 100)"
 # round() of the two engines differs on doubles; the decimal of the printed value does not.
 _AMOUNT = (
-    "cast(round(cast(cast(quantity * unit_price * (1 - discount_pct / 100) as varchar)"
-    " as decimal(38, 17)), 2) as double)"
+    f"cast(round(cast(cast({_PRODUCT_VALUE} as varchar) as decimal(38, 17)), 2) as double)"
 )
 _CENTS = (
     f"{_SILVER}, sales as (select *, cast(round({_AMOUNT} * 100) as bigint) as cents from silver)"
@@ -277,7 +277,9 @@ ORACLE_SQL: dict[str, str] = {
     "quarantine_job": _QUARANTINE,
     "pipeline_counts": (
         f"with {_SILVER} select (select count(*) from raw) as bronze_rows, c.*,"
-        " (select count(*) from silver) as silver_rows"
+        " (select count(*) from silver) as silver_rows,"
+        f" (select count(*) from silver where isnan({_PRODUCT_VALUE})"
+        f" or abs({_PRODUCT_VALUE}) >= 9.2e16) as unsummable_rows"
         f" from (select {_COUNTS} from raw) c"
     ),
     "pipeline_daily_sales_metrics": _DAILY,

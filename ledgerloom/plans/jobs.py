@@ -12,9 +12,10 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import is_unsummable, order_amount
 from ledgerloom.operators.conform import clean_silver
 from ledgerloom.operators.marts import mart_rollup, marts_from_rollup
 from ledgerloom.operators.quality import dq_report, split_quality
@@ -54,14 +55,18 @@ class LayerPaths:
         )
 
 
-def _write_counted(df: DataFrame, path: str) -> int:
-    """Writes and returns the number of rows written, in one job.
+def _write_observed(df: DataFrame, path: str, *metrics: Column) -> dict[str, int]:
+    """Writes and returns the metrics of the rows written, in one job.
 
     The observation sits on top of the plan and therefore in the writing stage.
     """
     written = Observation()
-    write_parquet(df.observe(written, F.count(F.lit(1)).alias("rows")), path)
-    return written.get["rows"]
+    write_parquet(df.observe(written, *metrics), path)
+    return written.get
+
+
+def _row_count(name: str) -> Column:
+    return F.count(F.lit(1)).alias(name)
 
 
 def _is_stream_output(spark: SparkSession, path: str) -> bool:
@@ -77,7 +82,8 @@ def raw_to_bronze(
     check_disjoint([raw], [bronze])
     if _is_stream_output(spark, bronze):
         raise ValueError(f"{bronze!r} is fed by a stream; overwriting it would break the stream")
-    return {"bronze_rows": _write_counted(read_raw(spark, raw, recursive=recursive), bronze)}
+    rows = read_raw(spark, raw, recursive=recursive)
+    return _write_observed(rows, bronze, _row_count("bronze_rows"))
 
 
 def bronze_to_silver(
@@ -92,12 +98,20 @@ def bronze_to_silver(
 
     The report reads three columns. It sizes the quarantine: a single file up
     to ``quarantine_rows_per_file`` rows, more files beyond that.
+    ``unsummable_rows`` counts clean rows whose amount (NaN, or beyond a
+    bigint of cents) the marts' revenues have to leave out.
     """
     check_disjoint([bronze], [silver, quarantine])
     df = read_table(spark, bronze, BRONZE_SCHEMA)
     counts = dq_report(df).first().asDict()
     parts = split_quality(df)
-    counts["silver_rows"] = _write_counted(clean_silver(parts.valid), silver)
+    amount = order_amount(F.col("quantity"), F.col("unit_price"), F.col("discount_pct"))
+    counts |= _write_observed(
+        clean_silver(parts.valid),
+        silver,
+        _row_count("silver_rows"),
+        F.count_if(is_unsummable(amount)).alias("unsummable_rows"),
+    )
     write_quarantine_csv(
         parts.quarantine,
         quarantine,

@@ -59,9 +59,21 @@ def test_counts(layers):
         "age_above_max": 165,
         "price_not_positive": 127,
         "silver_rows": 3977,
+        "unsummable_rows": 0,
     }
 
 
+def test_amounts_left_out_of_the_revenue_are_counted(spark, transactions, tmp_path):
+    paths = LayerPaths.under(str(tmp_path))
+    prices = {1: 1.0, 2: float("nan"), 3: 1e300, 4: float("inf"), 5: 2.0}
+    rows = [{"transaction_id": n, "unit_price": price} for n, price in prices.items()]
+    rows.append({"transaction_id": 6, "discount_pct": None})
+    counts = run_pipeline(spark, paths, incoming=transactions(*rows), run_id="run_1")
+    assert (counts["silver_rows"], counts["unsummable_rows"]) == (6, 3)
+    city = read_table(spark, f"{paths.gold}/city_revenue", GOLD_SCHEMAS["city_revenue"])
+    assert sorted_rows(city) == [("Chicago", "IL", 3.0, 6, 1.5)]
+
+
 def test_layers_equal_the_operators(spark, small_dir, layers):
     paths, _ = layers
     rows = retail_view(spark, small_dir)

@@ -15,7 +15,7 @@ SCRIPT = """
 import json, sys
 from pyspark import TaskContext
 from pyspark.sql import SparkSession, functions as F
-from ledgerloom.plans.jobs import _write_counted
+from ledgerloom.plans.jobs import _row_count, _write_observed
 from ledgerloom.operators import dedup_transactions
 
 spark = (
@@ -31,10 +31,13 @@ def fragile(value):
     return value
 
 rows = spark.range(0, 1000, 1, 4).select((F.col("id") % 500).alias("transaction_id"), "id")
-mapped = _write_counted(rows.withColumn("id", fragile("id")), sys.argv[1] + "/mapped")
-reduced = _write_counted(
-    dedup_transactions(rows.withColumn("id", fragile("id"))), sys.argv[1] + "/reduced"
-)
+fragile_rows = rows.withColumn("id", fragile("id"))
+
+def write(df, name):
+    return _write_observed(df, f"{sys.argv[1]}/{name}", _row_count("rows"))["rows"]
+
+mapped = write(fragile_rows, "mapped")
+reduced = write(dedup_transactions(fragile_rows), "reduced")
 files = [spark.read.parquet(f"{sys.argv[1]}/{name}").count() for name in ("mapped", "reduced")]
 print(json.dumps([[mapped, reduced], files]))
 """
