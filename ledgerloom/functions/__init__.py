@@ -5,6 +5,7 @@ from ledgerloom.functions.money import (
     amount_cents,
     cents_to_amount,
     is_unsummable,
+    line_value,
     mean_amount,
     order_amount,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "gender_code",
     "is_bad_record",
     "is_unsummable",
+    "line_value",
     "mean_amount",
     "order_amount",
     "quality_rules",

@@ -12,9 +12,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def line_value(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
+    """Discounted value of one order line, not yet rounded."""
+    return quantity * unit_price * (F.lit(1) - discount_pct / 100)
+
+
 def order_amount(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
     """Discounted value of one order line, rounded half-up to two decimals."""
-    return F.round(quantity * unit_price * (F.lit(1) - discount_pct / 100), 2)
+    return F.round(line_value(quantity, unit_price, discount_pct), 2)
 
 
 def amount_cents(amount: Column) -> Column:
@@ -26,9 +31,13 @@ def amount_cents(amount: Column) -> Column:
     return F.rint(amount * 100).try_cast("bigint")
 
 
-def is_unsummable(amount: Column) -> Column:
-    """Whether an amount is known but has no cents, so that sums go without it."""
-    return amount.isNotNull() & amount_cents(amount).isNull()
+def is_unsummable(value: Column) -> Column:
+    """Whether a value is known but has no cents, so that sums go without it.
+
+    Holds for the rounded amount just as for the value before rounding, which
+    is much cheaper to test.
+    """
+    return value.isNotNull() & amount_cents(value).isNull()
 
 
 def cents_to_amount(cents: Column) -> Column:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import is_unsummable, order_amount
+from ledgerloom.functions import is_unsummable, line_value
 from ledgerloom.operators.conform import clean_silver
 from ledgerloom.operators.marts import mart_rollup, marts_from_rollup
 from ledgerloom.operators.quality import dq_report, split_quality
@@ -105,12 +105,12 @@ def bronze_to_silver(
     df = read_table(spark, bronze, BRONZE_SCHEMA)
     counts = dq_report(df).first().asDict()
     parts = split_quality(df)
-    amount = order_amount(F.col("quantity"), F.col("unit_price"), F.col("discount_pct"))
+    value = line_value(F.col("quantity"), F.col("unit_price"), F.col("discount_pct"))
     counts |= _write_observed(
         clean_silver(parts.valid),
         silver,
         _row_count("silver_rows"),
-        F.count_if(is_unsummable(amount)).alias("unsummable_rows"),
+        F.count_if(is_unsummable(value)).alias("unsummable_rows"),
     )
     write_quarantine_csv(
         parts.quarantine,
