@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from ledgerloom.llm import ngram_join, signature_tree
+from ledgerloom.llm.words import flat_bytes, span_hashes, word_spans
+
+SCHEMA = "doc_id long, text string, lang string, id string, set_id string"
+
+
+def brute(rows, n, percent):
+    def shingles(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        if not words:
+            return frozenset()
+        return frozenset(tuple(words[k : k + n]) for k in range(max(1, len(words) - n + 1)))
+
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            common, either = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if rows[i][0] is not None and rows[j][0] is not None and common and 100 * common >= percent * either:
+                parent[find(i)] = find(j)
+    out = []
+    for i, (doc, _) in enumerate(rows):
+        group = [rows[j][0] for j in range(len(rows)) if find(j) == find(i)]
+        out.append((doc, len(sets[i]), None if doc is None else min(group)))
+    return sorted(out, key=repr)
+
+
+def variants(seed, count):
+    rnd = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(400)]
+    passage = " ".join(rnd.choices(vocabulary, k=60))
+    rows = []
+    for _ in range(count):
+        base = rnd.choices(vocabulary, k=rnd.choice([2, 4, 9, 20, 60, 200]))
+        for _ in range(rnd.choice([1, 1, 2, 5])):
+            words = list(base)
+            for _ in range(rnd.randint(0, 1 + len(words) // 30)):
+                at = rnd.randrange(len(words))
+                words[at : at + 1] = rnd.choice([[], ["new"], ["New", words[at]]])
+            text = rnd.choice([" ", "\n", "\t "]).join(words)
+            rows.append((len(rows), text if rnd.random() < 0.8 else f"{passage} {text}"))
+    return rows
+
+
+def run(spark, rows, n, percent):
+    df = spark.createDataFrame([(d, t, "x", "y", "z") for d, t in rows], SCHEMA).repartition(3)
+    return sorted((tuple(r) for r in ngram_join.ngram_components(df, n, percent).collect()), key=repr)
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_equals_brute_force(spark, n, percent):
+    rows = variants(7 + n, 80)
+    assert run(spark, rows, n, percent) == brute(rows, n, percent)
+
+
+def test_edge_cases(spark):
+    long = " ".join(f"t{k}" for k in range(30_000))
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "a"), (5, "A"), (6, "a b"), (7, "x y z"), (7, "x y z"), (8, "x y z"), (None, "x y z"), (9, long), (10, long + " more"), (11, "x  y\nz")]
+    assert run(spark, rows, 3, 90) == brute(rows, 3, 90)
+    assert run(spark, [], 3, 90) == []
+
+
+def test_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 300)
+    rnd = random.Random(3)
+    base = [f"w{k}" for k in range(80)]
+    rows = []
+    for k in range(120):
+        words = list(base)
+        for at in rnd.sample(range(80), rnd.choice([0, 1, 2, 3])):
+            words[at] = f"n{k}"
+        rows.append((k, " ".join(words)))
+    assert run(spark, rows, 3, 90) == brute(rows, 3, 90)
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_similar_sets_share_a_key(percent):
+    rnd = np.random.default_rng(percent)
+    for size in [1, 2, 4, 5, 8, 9, 10, 17, 30, 90, 400]:
+        for _ in range(30):
+            a = np.unique(rnd.integers(0, 2**64, size, np.uint64, endpoint=False))
+            drop = rnd.integers(0, ngram_join.most_differing(size, percent) + 1)
+            b = np.unique(np.concatenate([a[drop:], rnd.integers(0, 2**64, int(rnd.integers(0, drop + 2)), np.uint64, endpoint=False)]))
+            common = len(np.intersect1d(a, b))
+            if len(b) and not np.array_equal(a, b) and signature_tree.overlap_suffices(common, len(a), len(b), percent):
+                assert np.intersect1d(ngram_join.set_keys(a, percent), ngram_join.set_keys(b, percent)).size
+
+
+def test_tree_equals_all_pairs():
+    rnd = np.random.default_rng(5)
+    sets = []
+    for _ in range(40):
+        base = rnd.integers(0, 2**63, int(rnd.integers(1, 120))).astype(np.uint64)
+        for _ in range(int(rnd.integers(1, 8))):
+            keep = base[rnd.random(len(base)) > 0.04]
+            if len(keep):
+                sets.append(np.unique(np.concatenate([keep, rnd.integers(0, 2**63, int(rnd.integers(0, 3))).astype(np.uint64)])))
+
+    def components(links):
+        label = list(range(len(sets)))
+        for _ in sets:
+            for a, b in links:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if signature_tree.overlap_suffices(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]), 80)]
+    assert components(signature_tree.tree_links(sets, 80)) == components(pairs)
+
+
+def test_word_spans_and_hashes():
+    texts = ["a bc", None, "", " x\ty ", "bc", "é bc", "A"]
+    raw, offsets = flat_bytes(pa.array(texts))
+    starts, ends, first = word_spans(raw, offsets)
+    assert [raw[a:b].tobytes().decode() for a, b in zip(starts, ends, strict=True)] == ["a", "bc", "x", "y", "bc", "é", "bc", "A"]
+    assert first.tolist() == [0, 2, 2, 2, 4, 5, 7, 8]
+    hashes = span_hashes(raw, starts, ends, lower=True)
+    assert hashes[1] == hashes[4] == hashes[6] and hashes[0] == hashes[7] and len(set(hashes.tolist())) == 5
