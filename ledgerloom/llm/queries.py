@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import secret_scan
@@ -17,11 +17,14 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers, digests and spans of the secrets in every document."""
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
-    counted = {f"n_{kind}": F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long") for kind in ("assign", "access", "hex")}
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
     base = F.filter("spans", lambda s: s["kind"] != "random")
     return found.select(
         "doc_id",
-        *(count.alias(name) for name, count in counted.items()),
+        *(count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
         F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
         secret_scan.joined(F.col("spans")).alias("spans"),
     )
