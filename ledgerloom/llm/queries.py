@@ -8,12 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import secret_scan
+from ledgerloom.llm import bpe, ngram_join, secret_scan
 from ledgerloom.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by the similarity of their three-word shingles, 90 % or more."""
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers, digests and spans of the secrets in every document."""
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
@@ -30,8 +35,21 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of tokens of every document, digests of their ids and of what they decode to."""
+    done = bpe.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
+    return done.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_ngram_join": op4_ngram_join,
     "op7_secret_scan": op7_secret_scan,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
