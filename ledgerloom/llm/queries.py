@@ -8,12 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, ngram_join, secret_scan
+from ledgerloom.llm import bpe, mixing, ngram_join, quality, secret_scan
 from ledgerloom.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all sources takes from each document."""
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by the similarity of their three-word shingles, 90 % or more."""
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=3, percent=90)
@@ -35,6 +41,12 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers of tokens of every document, digests of their ids and of what they decode to."""
     done = bpe.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
@@ -47,8 +59,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op4_ngram_join": op4_ngram_join,
     "op7_secret_scan": op7_secret_scan,
+    "op9_quality": op9_quality,
     "op10_byte_bpe": op10_byte_bpe,
 }
 

@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from ledgerloom.llm import quality
+
+SCHEMA = "doc_id long, text string, score string, positive int"
+
+
+def texts(seed, n):
+    rnd = random.Random(seed)
+    words = ["".join(rnd.choices("aeinorst", k=rnd.randint(1, 8))) for _ in range(500)]
+    rows = []
+    for k in range(n):
+        chosen = rnd.choices(words, k=rnd.randint(20, 200))
+        good = rnd.random() < 0.8
+        if not good:
+            kind = k % 3
+            chosen = [w.upper() + "!!" for w in chosen] if kind == 0 else [w for w in chosen[:9] for _ in range(20)] if kind == 1 else [w + "***" for w in chosen]
+        rows.append((k, " ".join(chosen), "x", int(good)))
+    return rows
+
+
+def test_held_out_accuracy(spark):
+    rows = texts(1, 900)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(r[0], r[3], 0) for r in rows if r[0] % 2], "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r for r in quality.classify(docs, labels).collect()}
+    assert len(found) == len(rows)
+    for r in rows:
+        assert found[r[0]]["held_out"] == (zlib.crc32(str(r[0]).encode()) % 5 == 0)
+        assert 0 <= found[r[0]]["score"] <= 1 and found[r[0]]["predicted"] == int(found[r[0]]["score"] >= 0.3)
+    right = [found[r[0]]["predicted"] == r[3] for r in rows if found[r[0]]["held_out"]]
+    assert np.mean(right) > 0.95
+
+
+def test_held_out_labels_are_not_used(spark):
+    rows = texts(2, 200)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = [(r[0], r[3]) for r in rows]
+    turned = [(d, q if zlib.crc32(str(d).encode()) % 5 else 1 - q) for d, q in labels]
+    a, b = (quality.classify(docs, spark.createDataFrame(x, "doc_id long, quality int")).select("doc_id", "score").collect() for x in (labels, turned))
+    assert sorted(a) == sorted(b)
+
+
+def test_edge_cases(spark):
+    rows = [(None, None, "x", 1), (1, "", "x", 1), (2, "a", "x", 1), (2, "a", "x", 1), (3, "word " * 100_000, "x", 0), (4, " \n", "x", None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert [r["score"] for r in quality.classify(docs, none).collect()] == [0.5] * 6
+    some = spark.createDataFrame([(1, 1), (2, 1), (2, 0), (3, 1), (4, None), (None, 1), (9, 1)], "doc_id long, quality int")
+    found = quality.classify(docs, some).collect()
+    assert len(found) == 6 and all(0 <= r["score"] <= 1 for r in found)
+    assert quality.classify(docs.limit(0), some).collect() == []
+
+
+def test_features_of_a_batch_are_those_of_each_text(monkeypatch):
+    batch = [t for _, t, _, _ in texts(3, 20)] + ["", None, "x"]
+    alone = np.concatenate([quality.text_features(pa.array([t])) for t in batch])
+    assert quality.text_features(pa.array(batch)) == pytest.approx(alone)
+    monkeypatch.setattr(quality, "_TEXT_BYTES", 100)
+    assert quality.text_features(pa.array(batch)) == pytest.approx(alone)
