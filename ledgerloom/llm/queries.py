@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, mixing, ngram_join, quality, secret_scan
+from ledgerloom.llm import bpe, fingerprint, mixing, ngram_join, quality, secret_scan
 from ledgerloom.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -25,6 +25,20 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its text edited with the next one's, and how alike they are."""
+    edited = fingerprint.with_edited(table(spark, sf_dir, "documents"))
+    return edited.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprint.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprint.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprint.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers, digests and spans of the secrets in every document."""
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
@@ -61,6 +75,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op4_ngram_join": op4_ngram_join,
+    "op5_fingerprint": op5_fingerprint,
     "op7_secret_scan": op7_secret_scan,
     "op9_quality": op9_quality,
     "op10_byte_bpe": op10_byte_bpe,
