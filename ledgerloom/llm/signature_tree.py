@@ -20,7 +20,7 @@ def overlap_suffices(overlap, a, b, percent: int):
     return 100 * overlap >= percent * (a + b - overlap)
 
 
-class _Forest:
+class Forest:
     def __init__(self, n: int):
         self.parent = list(range(n))
         self.links: list[tuple[int, int]] = []
@@ -32,6 +32,18 @@ class _Forest:
             x = parent[x]
         return x
 
+    def roots(self) -> np.ndarray:
+        root = np.array(self.parent, np.int64)
+        while (root[root] != root).any():
+            root = root[root]
+        return root
+
+    def union_all(self, a: np.ndarray, b: np.ndarray) -> None:
+        root = self.roots()
+        apart = root[a] != root[b]
+        for x, y in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
+            self.union(x, y)
+
     def union(self, a: int, b: int, linked: bool = True) -> None:
         ra, rb = self.find(a), self.find(b)
         if ra != rb:
@@ -99,7 +111,7 @@ def tree_links(sets: list[np.ndarray], percent: int, joined: np.ndarray | None =
     universe, dense = np.unique(flat, return_inverse=True)
     tokens = [dense[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
     mark = np.zeros(len(universe), bool)
-    forest = _Forest(n)
+    forest = Forest(n)
     if joined is not None:
         at: dict[int, int] = {}
         for k, group in enumerate(joined[order].tolist()):
