@@ -8,18 +8,29 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, fingerprint, mixing, ngram_join, quality, secret_scan
+from ledgerloom.llm import bpe, fingerprint, html_text, mixing, ngram_join, quality, secret_scan, vector_join
 from ledgerloom.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    texts = html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of all sources takes from each document."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
 
 
+def op3_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked by a cosine of 0.95 or more."""
+    return vector_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by the similarity of their three-word shingles, 90 % or more."""
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=3, percent=90)
@@ -73,7 +84,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": op1_html_text,
     "op2_mixing": op2_mixing,
+    "op3_vector_join": op3_vector_join,
     "op4_ngram_join": op4_ngram_join,
     "op5_fingerprint": op5_fingerprint,
     "op7_secret_scan": op7_secret_scan,
