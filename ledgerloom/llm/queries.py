@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, fingerprint, html_text, mixing, ngram_join, quality, secret_scan, vector_join
+from ledgerloom.llm import bpe, chat_format, fingerprint, html_text, mixing, ngram_join, quality, secret_scan, vector_join
 from ledgerloom.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -50,6 +50,15 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every question of every conversation as a tool call, with the answer as its result."""
+    calls, results = chat_format.conversation_calls(table(spark, sf_dir, "conversations"))
+    # A fixed schema of the one tool that these calls name.
+    parameters = spark.createDataFrame([("answer", "question", "string", True), ("answer", "turn", "integer", True)], "name string, parameter string, type string, required boolean")
+    linked = chat_format.link_tool_calls(calls, results, parameters)
+    return linked.select("conv_id", "call_id", F.col("level").cast("long").alias("level"), "turn", "status", F.size("errors").cast("long").alias("n_errors"), F.sha2("json", 256).alias("json_sha256"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers, digests and spans of the secrets in every document."""
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
@@ -89,9 +98,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_vector_join": op3_vector_join,
     "op4_ngram_join": op4_ngram_join,
     "op5_fingerprint": op5_fingerprint,
+    "op6_chat_format": op6_chat_format,
     "op7_secret_scan": op7_secret_scan,
     "op9_quality": op9_quality,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_chat_format": """
+        WITH calls AS (
+          SELECT conv_id, 'call_' || turn AS call_id, turn, min(text) AS question
+          FROM conversations WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn),
+        results AS (
+          SELECT conv_id, 'call_' || (turn - 1) AS call_id, turn AS result_turn, min(text) AS content
+          FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn),
+        linked AS (
+          SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, coalesce(c.turn, r.result_turn) AS turn,
+            CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
+            c.turn AS asked, c.question, r.content
+          FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id)
+        SELECT conv_id, call_id, CAST(0 AS BIGINT) AS level, turn, status,
+          CASE WHEN asked IS NOT NULL THEN CAST(0 AS BIGINT) END AS n_errors,
+          sha256('{' || CASE WHEN asked IS NOT NULL THEN '"arguments":{"question":' || CAST(to_json(question) AS VARCHAR) || ',"turn":' || asked || '},' ELSE '' END
+            || '"id":"' || call_id || '"' || CASE WHEN asked IS NOT NULL THEN ',"name":"answer"' ELSE '' END
+            || CASE WHEN content IS NOT NULL THEN ',"result":' || CAST(to_json(content) AS VARCHAR) ELSE '' END || ',"status":"' || status || '"}') AS json_sha256
+        FROM linked
+    """,
+}
