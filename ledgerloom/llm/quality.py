@@ -113,8 +113,15 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-3) -> Model:
-    """Logistic model of least non-negative risk, by Adam; where the negative part falls below 0 its gradient is turned round."""
+def fit_pu(
+    positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 600, start: int = 300, rate: float = 0.05, decay: float = 1e-3, slack: float = 0.01
+) -> Model:
+    """Logistic model of least non-negative risk, by Adam.
+
+    The first ``start`` steps take the logistic loss, whose gradient reaches far, the others the sigmoid loss, which
+    bounds what one text weighs. Where the risk of the negative part falls below ``-slack``, which no true risk does,
+    its gradient is turned round.
+    """
     both = np.concatenate([positive, unlabelled])
     mean, scale = both.mean(axis=0), np.maximum(both.std(axis=0), 1e-4)
     p, u = (np.clip((x - mean) / scale, -8, 8) for x in (positive, unlabelled))
@@ -127,9 +134,14 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: in
     for step in range(1, steps + 1):
         zp, zu = p @ w + b, u @ w + b
         sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        of_negative = mean_gradient(u, su) - prior * mean_gradient(p, sp)
-        gradient = prior * mean_gradient(p, sp - 1) + of_negative if negative >= 0 else -of_negative
+        if step <= start:
+            negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+            of_positive, of_negative = prior * mean_gradient(p, sp - 1), mean_gradient(u, su) - prior * mean_gradient(p, sp)
+        else:
+            negative = su.mean() - prior * sp.mean()
+            of_positive = -prior * mean_gradient(p, sp * (1 - sp))
+            of_negative = mean_gradient(u, su * (1 - su)) + of_positive
+        gradient = of_positive + of_negative if negative >= -slack else -of_negative
         gradient[:-1] += decay * w
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         change = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)

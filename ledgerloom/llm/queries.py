@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat_format, fingerprint, html_text, mixing, ngram_join, quality, secret_scan, vector_join
+from ledgerloom.llm import bpe, chat_format, fingerprint, html_text, license_scan, mixing, ngram_join, quality, secret_scan, vector_join
 from ledgerloom.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -75,6 +75,19 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in the lines of every document."""
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    confirmed = F.filter("licenses", lambda x: x["confirmed"])
+    return found.select(
+        "doc_id",
+        F.size(confirmed).cast("long").alias("n_licenses"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(confirmed, lambda x: x["family"]))), ",").alias("families"),
+        F.array_join(F.transform(confirmed, lambda x: F.concat_ws(":", x["line"], x["family"])), ",").alias("lines"),
+        (F.size("licenses") - F.size(confirmed)).cast("long").alias("n_unconfirmed"),
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -100,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_fingerprint": op5_fingerprint,
     "op6_chat_format": op6_chat_format,
     "op7_secret_scan": op7_secret_scan,
+    "op8_license_scan": op8_license_scan,
     "op9_quality": op9_quality,
     "op10_byte_bpe": op10_byte_bpe,
 }

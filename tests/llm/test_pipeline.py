@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import os
+import re
+
+import pytest
+import tiktoken
+
+import corpus_pipeline as cp
+from ledgerloom.llm import bpe, mixing, quality, secret_scan
+from ledgerloom.llm.tables import Scratch, table
+
+SF = os.environ.get("LEDGERLOOM_TESTDATA", "/root/testdata") + "/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Each stage's input and output, as lists of rows."""
+    docs, out, scratch = table(spark, SF, "documents"), [], Scratch(spark, "test")
+    for _, stage in cp.STAGES:
+        done = scratch.write(stage(spark, docs, SF))
+        out.append((docs.collect(), done.collect(), done.columns))
+        docs = done
+    return out
+
+
+def test_shape(stages):
+    assert [len(o[1]) > 0 for o in stages] == [True] * 5
+    assert all(sorted(o[2]) == sorted(COLUMNS) for o in stages[:-1])
+
+
+def test_quality(spark, stages):
+    before, after, _ = stages[0]
+    labels = {r["doc_id"]: r["quality"] for r in table(spark, SF, "labels").collect()}
+    kept = {r["doc_id"] for r in after}
+    assert kept <= {r["doc_id"] for r in before}
+    good, bad = ([d for d, q in labels.items() if q == value] for value in (1, 0))
+    assert sum(d in kept for d in good) / len(good) > 0.97 and sum(d in kept for d in bad) / len(bad) < 0.3  # learnt from some sixty documents
+
+
+def test_near_duplicates(stages):
+    before, after, _ = stages[1]
+
+    def shingles(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+    sets = {r["doc_id"]: shingles(r["text"]) for r in before}
+    label = {d: d for d in sets}
+    pairs = [(a, b) for a in sets for b in sets if a < b and sets[a] & sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    assert sorted(r["doc_id"] for r in after) == sorted(d for d in sets if label[d] == d)
+
+
+def test_secrets(stages):
+    before, after, _ = stages[2]
+    encoding = secret_scan._encoding(cp.VOCABULARY, cp.public_tokenizers.PATTERN)
+    texts = {r["doc_id"]: r for r in after}
+    assert len(before) == len(after)
+    for r in before:
+        spans = secret_scan.find_spans(r["text"], encoding, secret_scan.MAX_CHARS_PER_TOKEN)
+        assert texts[r["doc_id"]]["text"] == secret_scan.mask_spans(r["text"], spans)
+        assert texts[r["doc_id"]]["n_chars"] == len(texts[r["doc_id"]]["text"])
+        assert spans or texts[r["doc_id"]] == r
+
+
+def test_mixing(stages):
+    before, after, _ = stages[3]
+    size = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in before}
+    times = {}
+    for r in after:
+        times[r["doc_id"]] = times.get(r["doc_id"], 0) + 1
+    assert max(times.values()) <= 2 and times.keys() <= size.keys()
+    assert sum(size[d] * n for d, n in times.items()) == pytest.approx(1.5 * sum(size.values()), rel=0.05)
+
+
+def test_tokens(stages):
+    before, after, _ = stages[4]
+    encoding = tiktoken.Encoding("expected", pat_str=cp.public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(cp.VOCABULARY), special_tokens={})
+    expected = sorted((r["doc_id"], b"".join(i.to_bytes(4, "little") for i in encoding.encode_ordinary(r["text"]))) for r in before)
+    assert sorted((r["doc_id"], bytes(r["ids"])) for r in after) == expected
+    assert all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) // 4 for r in after)
+
+
+def test_edge_cases(spark, tmp_path):
+    spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    text = "one two three four five six seven"
+    rows = [(1, text, "en", "a", 33), (1, text, "en", "a", 33), (2, text, None, None, None), (3, None, "en", "a", None), (4, "", "en", None, 0), (None, text, "en", "a", 33)]
+    for data in (rows, []):
+        docs = spark.createDataFrame(data, SCHEMA)
+        kept = cp.keep_quality(spark, docs, str(tmp_path))
+        assert kept.columns == COLUMNS and kept.count() <= len(data)
+        unique = cp.drop_near_duplicates(spark, docs, str(tmp_path))
+        assert sorted((r["doc_id"] or 0) for r in unique.collect()) == ([0, 1, 3, 4] if data else [])
+        assert cp.mask_secrets(spark, docs, str(tmp_path)).count() == len(data)
+        assert cp.mix(spark, docs, str(tmp_path)).columns == COLUMNS
+        assert all(r["round_trip"] for r in cp.encode(spark, docs, str(tmp_path)).collect())
+
+
+def test_the_stages_are_those_dealt():
+    assert [name for name, _ in cp.STAGES] == ["quality classifier", "n-gram Jaccard join", "secret scans", "mixing sources to target weights", "byte-level BPE encoding and decoding"]
+    assert quality.THRESHOLD == 0.3 and mixing.WEIGHTS == (5, 2, 1)
