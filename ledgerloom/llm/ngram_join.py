@@ -29,15 +29,22 @@ from ledgerloom.llm.tables import Scratch
 from ledgerloom.llm.words import flat_bytes, mix64, shingle_hashes, span_hashes, word_spans
 
 BLOCK_SHINGLES = 2_000_000  # shingles in a block on average: 16 MB of hashes
+_TEXT_BYTES = 2 << 20  # of texts whose words are taken at once
 _SEEN = 200_000  # set identifiers that a task remembers, to give keys of equal sets once
 
 
 def token_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
     """The distinct shingle hashes of each text, sorted; A-Z count as lower case."""
-    raw, offsets = flat_bytes(texts)
-    starts, ends, first = word_spans(raw, offsets)
-    shingles, begin = shingle_hashes(span_hashes(raw, starts, ends, lower=True), first, n)
-    return [np.unique(shingles[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
+    all_raw, all_offsets = flat_bytes(texts)
+    out = []
+    while len(out) < len(texts):
+        at = len(out)
+        upto = max(at + 1, int(np.searchsorted(all_offsets, all_offsets[at] + _TEXT_BYTES, side="right")) - 1)
+        raw, offsets = all_raw[all_offsets[at] : all_offsets[upto]], all_offsets[at : upto + 1] - all_offsets[at]
+        starts, ends, first = word_spans(raw, offsets)
+        shingles, begin = shingle_hashes(span_hashes(raw, starts, ends, lower=True), first, n)
+        out += [np.unique(shingles[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
+    return out
 
 
 def set_identifier(tokens: np.ndarray) -> int:
