@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.components import connected_components
+from ledgerloom.llm.components import connected_components, local_stars
 from ledgerloom.llm.signature_tree import tree_links
 from ledgerloom.llm.tables import Scratch
 from ledgerloom.llm.words import flat_bytes, mix64, shingle_hashes, span_hashes, word_spans
@@ -122,12 +122,13 @@ def _signatures(n: int, percent: int):
 
 
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbours with equal keys among sorted (key, set); the partition's first and last rows keep their keys."""
+    """What neighbours with equal keys among sorted (key, set) connect, each set with the smallest that it
+    reaches within the partition; the partition's first and last rows keep their keys."""
 
     def out(a, b, key):
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(key, pa.int64())], names=["a", "b", "key"])
 
-    last = None
+    last, held = None, [np.zeros((0, 2), np.int64)]
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -138,11 +139,13 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key, node = np.concatenate(([last[0]], key)), np.concatenate(([last[1]], node))
         same = (key[1:] == key[:-1]) & (node[1:] != node[:-1])
         if same.any():
-            pairs = np.unique(np.stack([node[:-1][same], node[1:][same]], axis=1), axis=0)
-            yield out(pairs[:, 0], pairs[:, 1], [None] * len(pairs))
+            held.append(np.unique(np.stack([node[:-1][same], node[1:][same]], axis=1), axis=0))
         last = key[-1], node[-1]
     if last is not None:
         yield out([last[1]], [None], [last[0]])
+        pairs = np.concatenate(held)
+        nodes, smallest = local_stars(pairs[:, 0], pairs[:, 1])
+        yield out(nodes, smallest, pa.nulls(len(nodes), pa.int64()))
 
 
 def _block_links(n: int, percent: int):
@@ -155,9 +158,9 @@ def _block_links(n: int, percent: int):
         # A document whose id another text also has may come with a text that isn't the set's.
         right = [k for k, (i, s) in enumerate(zip(ids.tolist(), sets, strict=True)) if len(s) and set_identifier(s) == i]
         joined, side = (block.column(c).to_numpy()[right] if block.column(c).null_count == 0 else None for c in ("joined", "side"))
-        found = tree_links([sets[k] for k in right], percent, joined, side)
-        at = ids[right]
-        return pa.RecordBatch.from_arrays([pa.array([at[x[k]] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        found = np.array(tree_links([sets[k] for k in right], percent, joined, side), np.int64).reshape(-1, 2)
+        stars = local_stars(*(ids[right][found[:, k]] for k in (0, 1)))
+        return pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()) for ends in stars], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -205,22 +208,22 @@ def ngram_components(df: DataFrame, words: int, percent: int, id_col: str = "doc
     clusters = scratch.write(connected_components(chains.where("key is null").select("a", "b").unionAll(across), scratch).withColumnsRenamed({"node": "set_id", "component": "cluster"}))
 
     sets = scratch.write(signatures.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles")))
-    candidates = clusters.join(sets, "set_id")
-    blocks = candidates.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("n_blocks"))
+    blocks = clusters.join(sets, "set_id").groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("n_blocks"))
+    candidates = scratch.write(clusters.join(sets, "set_id").join(blocks, "cluster"))
     own = F.pmod(F.xxhash64("set_id"), F.col("n_blocks")).cast("int")
     placed = (
-        candidates.join(blocks, "cluster")
-        .join(source, "id")
+        candidates.join(source, "id")
         .select("cluster", "n_blocks", "set_id", "text", own.alias("own"))
         .withColumns({"joined": F.lit(None).cast("long"), "side": F.lit(None).cast("long")})
     )
     everywhere = F.when(F.col("set_id") == F.col("cluster"), F.sequence(F.lit(0), F.col("n_blocks") - 1)).otherwise(F.array("own"))
     links = scratch.write(_linked(placed.withColumn("block", F.explode(everywhere)), words, percent))
 
-    joined = scratch.write(connected_components(links, scratch))
-    rest = _across_blocks(candidates.join(blocks, "cluster"), joined, own)
-    more = _linked(rest.join(source, "id"), words, percent)
-    final = connected_components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more), scratch)
+    final = scratch.write(connected_components(links, scratch))
+    rest = scratch.write(_across_blocks(candidates, final, own))
+    if not rest.isEmpty():
+        more = _linked(rest.join(source, "id"), words, percent)
+        final = connected_components(final.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more), scratch)
     named = final.join(sets, final["node"] == sets["set_id"]).select("set_id", "component", "id")
     smallest = named.groupBy("component").agg(F.min("id").alias("component_id"))
     of_set = sets.join(named.join(smallest, "component").select("set_id", "component_id"), "set_id", "left").select("set_id", F.coalesce("component_id", "id").alias("component_id"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.components import connected_components
+from ledgerloom.llm.components import connected_components, local_stars
 from ledgerloom.llm.signature_tree import Forest
 from ledgerloom.llm.tables import Scratch
 
@@ -139,11 +139,12 @@ def _tile(threshold: float):
                     forest.union_all(pi[m : m + 4096], pj[m : m + 4096])
         found = np.flatnonzero(links)
         pairs = np.array(forest.links, np.int64).reshape(-1, 2)
+        a, b = local_stars(ids[pairs[:, 0]], ids[pairs[:, 1]])
         return pa.table(
             {
-                "id": pa.array(np.concatenate([ids[found], ids[pairs[:, 0]]]), pa.int64()),
-                "links": pa.array(np.concatenate([links[found], np.zeros(len(pairs), np.int64)]), pa.int64()),
-                "other": pa.array([None] * len(found) + ids[pairs[:, 1]].tolist(), pa.int64()),
+                "id": pa.array(np.concatenate([ids[found], a]), pa.int64()),
+                "links": pa.array(np.concatenate([links[found], np.zeros(len(a), np.int64)]), pa.int64()),
+                "other": pa.array([None] * len(found) + b.tolist(), pa.int64()),
             }
         )
 
