@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components, local_stars
 from ledgerloom.llm.signature_tree import tree_links
-from ledgerloom.llm.tables import Scratch
+from ledgerloom.llm.tables import Scratch, likely_among
 from ledgerloom.llm.words import flat_bytes, mix64, shingle_hashes, span_hashes, word_spans
 
 BLOCK_SHINGLES = 2_000_000  # shingles in a block on average: 16 MB of hashes
@@ -212,7 +212,7 @@ def ngram_components(df: DataFrame, words: int, percent: int, id_col: str = "doc
     candidates = scratch.write(clusters.join(sets, "set_id").join(blocks, "cluster"))
     own = F.pmod(F.xxhash64("set_id"), F.col("n_blocks")).cast("int")
     placed = (
-        candidates.join(source, "id")
+        candidates.join(likely_among(source, candidates), "id")
         .select("cluster", "n_blocks", "set_id", "text", own.alias("own"))
         .withColumns({"joined": F.lit(None).cast("long"), "side": F.lit(None).cast("long")})
     )
@@ -222,7 +222,7 @@ def ngram_components(df: DataFrame, words: int, percent: int, id_col: str = "doc
     final = scratch.write(connected_components(links, scratch))
     rest = scratch.write(_across_blocks(candidates, final, own))
     if not rest.isEmpty():
-        more = _linked(rest.join(source, "id"), words, percent)
+        more = _linked(rest.join(likely_among(source, rest), "id"), words, percent)
         final = connected_components(final.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more), scratch)
     named = final.join(sets, final["node"] == sets["set_id"]).select("set_id", "component", "id")
     smallest = named.groupBy("component").agg(F.min("id").alias("component_id"))

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_BITMAP = 32_768  # bits of one bitmap of bitmap_construct_agg, 4 KB
+_BITMAPS = 2_048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,3 +56,19 @@ class Scratch:
         """Deletes a table of :meth:`write` that no later plan reads."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def likely_among(rows: DataFrame, ids: DataFrame, column: str = "id") -> DataFrame:
+    """The rows of ``rows`` whose ``column`` may be one of ``ids``; those that are stay, most others go.
+
+    Ids set bits by hash in 8 MB of bitmaps, whatever their number, which are broadcast; an exact join may
+    follow, and then deals little but what it keeps. With very many ids all bits are set and all rows stay.
+    """
+    slot = F.pmod(F.xxhash64(column), F.lit(_BITMAP * _BITMAPS))
+    bucket, position = F.call_function("div", slot, F.lit(_BITMAP)), slot % _BITMAP
+    bitmaps = ids.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(position).alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    mask = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (position % 8).cast("int") + 1)
+    # At most _BITMAPS rows of 4 KB.
+    near = rows.join(F.broadcast(bitmaps), bucket == F.col("_bucket"))
+    return near.where(byte.bitwiseAND(mask) != 0).select(*rows.columns)
