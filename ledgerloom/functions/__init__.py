@@ -4,10 +4,10 @@ from ledgerloom.functions.conform import gender_code
 from ledgerloom.functions.money import (
     amount_cents,
     cents_to_amount,
-    is_unsummable,
-    line_value,
+    inexact_amount,
     mean_amount,
     order_amount,
+    total_amount,
 )
 from ledgerloom.functions.rules import is_bad_record, quality_rules
 
@@ -15,10 +15,10 @@ __all__ = [
     "amount_cents",
     "cents_to_amount",
     "gender_code",
+    "inexact_amount",
     "is_bad_record",
-    "is_unsummable",
-    "line_value",
     "mean_amount",
     "order_amount",
     "quality_rules",
+    "total_amount",
 ]

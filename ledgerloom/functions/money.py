@@ -2,8 +2,10 @@
 
 An order amount is a double with two decimals. Sums and means of doubles depend
 on the order in which partial results meet, so amounts are aggregated as whole
-cents (bigint): every regrouping, retry or partition count gives the same
-result.
+cents (decimal): every regrouping, retry or partition count gives the same
+result. Amounts that have no exact cents (NaN, infinite, or of 1e18 and more)
+are summed apart, as doubles, and show in the result as they would in a sum of
+doubles.
 """
 
 from __future__ import annotations
@@ -12,32 +14,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def line_value(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
-    """Discounted value of one order line, not yet rounded."""
-    return quantity * unit_price * (F.lit(1) - discount_pct / 100)
-
-
 def order_amount(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
     """Discounted value of one order line, rounded half-up to two decimals."""
-    return F.round(line_value(quantity, unit_price, discount_pct), 2)
+    return F.round(quantity * unit_price * (F.lit(1) - discount_pct / 100), 2)
 
 
 def amount_cents(amount: Column) -> Column:
-    """Whole cents of a two-decimal amount; NULL for NaN or what exceeds a bigint.
+    """Whole cents of a two-decimal amount, as a decimal whose sums hold 10**18 of the largest.
 
-    ``rint`` only removes the binary noise of ``amount * 100``: the true product
-    is an integer, so no tie can occur.
+    NULL for NaN, infinite amounts and those of 1e18 and more. ``rint`` only
+    removes the binary noise of ``amount * 100``: the true product is an
+    integer, so no tie can occur.
     """
-    return F.rint(amount * 100).try_cast("bigint")
-
+    return F.rint(amount * 100).try_cast("decimal(20,0)").cast("decimal(28,0)")
 
-def is_unsummable(value: Column) -> Column:
-    """Whether a value is known but has no cents, so that sums go without it.
 
-    Holds for the rounded amount just as for the value before rounding, which
-    is much cheaper to test.
-    """
-    return value.isNotNull() & amount_cents(value).isNull()
+def inexact_amount(amount: Column, cents: Column) -> Column:
+    """The amount itself where it is known but has no exact cents."""
+    return F.when(cents.isNull(), amount)
 
 
 def cents_to_amount(cents: Column) -> Column:
@@ -45,15 +39,24 @@ def cents_to_amount(cents: Column) -> Column:
     return cents.cast("double") / 100
 
 
-def mean_amount(cents: Column, count: Column) -> Column:
-    """Mean amount, rounded half-up (away from zero) to a cent in integers.
+def total_amount(cents: Column, inexact: Column) -> Column:
+    """Sum of amounts from the sums of their exact cents and of what has none; NULL without either."""
+    exact = cents_to_amount(cents)
+    return F.when(inexact.isNull(), exact).otherwise(inexact + F.coalesce(exact, F.lit(0.0)))
+
+
+def mean_amount(cents: Column, count: Column, inexact: Column | None = None) -> Column:
+    """Mean amount, rounded half-up (away from zero) to a cent in whole numbers.
 
-    NULL when nothing was counted.
+    NULL when nothing was counted. With ``inexact``, the sum of amounts that have
+    no exact cents, it is the rounded quotient of doubles.
     """
-    # The sum, not its double, is split: 2 * sum could leave the bigint range.
     size = F.abs(cents)
-    n = F.nullif(count, F.lit(0))
-    whole = F.call_function("div", size, n)
-    rest = size - whole * n
-    rounded = whole + F.when(rest >= n - rest, 1).otherwise(0)
-    return cents_to_amount(F.when(cents < 0, -rounded).otherwise(rounded))
+    n = F.nullif(count, F.lit(0)).cast("decimal(20,0)")
+    rest = size % n
+    whole = ((size - rest) / n).cast("decimal(38,0)")
+    rounded = whole + F.when(rest >= n - rest, 1).otherwise(0).cast("decimal(1,0)")
+    mean = cents_to_amount(F.when(cents < 0, -rounded).otherwise(rounded))
+    if inexact is None:
+        return mean
+    return F.when(inexact.isNull(), mean).otherwise(F.round(total_amount(cents, inexact) / count, 2))

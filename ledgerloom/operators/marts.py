@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import (
     amount_cents,
-    cents_to_amount,
+    inexact_amount,
     mean_amount,
     order_amount,
+    total_amount,
 )
 
 # Mart name -> grouping keys.
@@ -37,7 +38,8 @@ def with_total_amount(df: DataFrame) -> DataFrame:
 
 
 def _with_cents(silver: DataFrame) -> DataFrame:
-    return with_total_amount(silver).withColumn("_cents", amount_cents(F.col("total_amount")))
+    amounts = with_total_amount(silver).withColumn("_cents", amount_cents(F.col("total_amount")))
+    return amounts.withColumn("_inexact", inexact_amount(F.col("total_amount"), F.col("_cents")))
 
 
 def _measures() -> list[Column]:
@@ -45,15 +47,16 @@ def _measures() -> list[Column]:
     the mean is taken over the amounts that are known, not over the orders."""
     return [
         F.sum("_cents").alias("cents"),
-        F.count("_cents").alias("amounts"),
+        F.sum("_inexact").alias("inexact"),
+        F.count("total_amount").alias("amounts"),
         F.sum("quantity").alias("units"),
         F.count("transaction_id").alias("orders"),
     ]
 
 
 def _mart_columns(mart: str) -> list[Column]:
-    revenue = cents_to_amount(F.col("cents"))
-    mean = mean_amount(F.col("cents"), F.col("amounts"))
+    revenue = total_amount(F.col("cents"), F.col("inexact"))
+    mean = mean_amount(F.col("cents"), F.col("amounts"), F.col("inexact"))
     orders, units = F.col("orders"), F.col("units")
     values = {
         "daily_sales_metrics": {

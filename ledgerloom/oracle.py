@@ -1,22 +1,20 @@
 """The registered queries once more, as SQL over the same tables.
 
-Written independently of the operators (joins, rules, de-duplication, money),
-so that a mistake has to be made twice to go unnoticed. Only the definition of
-the retail view's columns is shared.
+Written independently of the operators (joins, rules, de-duplication, money,
+generated domains), so that a mistake has to be made twice to go unnoticed.
+Shared are the definition of the retail view's columns and the constants of the
+generator's mix.
 """
 
 from __future__ import annotations
 
-from ledgerloom.queries import (
-    GENERATOR_BAD_RATE,
-    GENERATOR_INGESTION_DATE,
-    GENERATOR_SEED,
-)
+from ledgerloom.queries import GENERATOR_SEED
 from ledgerloom.schema import RAW_SCHEMA
 from ledgerloom.sources import generator
 from ledgerloom.sources.retail_view import COLUMN_EXPRESSIONS
 
 _COLUMNS = RAW_SCHEMA.fieldNames()
+# The quality rules and the spellings of gender.
 _BAD = "(quantity <= 0 or customer_age < 15 or customer_age > 100 or unit_price <= 0)"
 _GENDER = (
     "case when upper(trim(gender)) in ('MALE', 'M') then 'M'"
@@ -61,7 +59,7 @@ _AMOUNT = (
     f"cast(round(cast(cast({_PRODUCT_VALUE} as varchar) as decimal(38, 17)), 2) as double)"
 )
 _CENTS = (
-    f"{_SILVER}, sales as (select *, cast(round({_AMOUNT} * 100) as bigint) as cents from silver)"
+    f"{_SILVER}, sales as (select *, cast(round({_AMOUNT} * 100) as hugeint) as cents from silver)"
 )
 _REVENUE = "cast(sum(cents) as double) / 100"
 _MEAN = "cast((2 * sum(cents) + count(cents)) // (2 * nullif(count(cents), 0)) as double) / 100"
@@ -82,7 +80,7 @@ _CITY = (
     " from sales group by city, state"
 )
 _MEASURES = (
-    "cast(sum(cents) as bigint) as cents, count(cents) as amounts,"
+    "cast(sum(cents) as bigint) as cents, cast(null as double) as inexact, count(cents) as amounts,"
     " cast(sum(quantity) as bigint) as units, count(transaction_id) as orders"
 )
 _ROLLUP = (
@@ -109,114 +107,69 @@ _MULTI_RUN = (
 )
 
 
-def _generated() -> str:
-    """The generator's hash (xxHash64 of three longs) in 128-bit arithmetic."""
-    mask = "18446744073709551615::uhugeint"
-    # The primes of xxHash64, and the seed Spark starts from.
-    p1, p2, p3, p4, p5 = (
-        f"{prime}::uhugeint"
-        for prime in (
-            11400714785074694791,
-            14029467366897019727,
-            1609587929392839161,
-            9650029242287828579,
-            2870177450012600261,
-        )
+def _extremes() -> str:
+    """City revenue with amounts that are NaN or beyond a bigint of cents planted in silver."""
+    planted = (
+        f"{_SILVER}, extreme as (select *, case when transaction_id % 500 = 3 then state end as place from silver),"
+        f" amounts as (select *, case place when 'AFRICA' then 'nan'::double when 'ASIA' then 6e16::double else {_AMOUNT} end as amount from extreme),"
+        " sales as (select *, case when not isnan(amount) then cast(round(amount * 100) as hugeint) end as cents from amounts)"
+    )
+    return (
+        f"with {planted} select city, state, case when bool_or(isnan(amount)) then 'nan'::double else {_REVENUE} end as city_revenue,"
+        f" count(transaction_id) as order_count, case when bool_or(isnan(amount)) then 'nan'::double else {_MEAN} end as avg_order_value"
+        " from sales group by city, state"
     )
-    start = 42
-
-    def times(a: str, prime: str) -> str:
-        return f"((({a}) * {prime}) & {mask})"
-
-    def rotated(a: str, bits: int) -> str:
-        return f"(((({a}) << {bits}) & {mask}) | (({a}) >> {64 - bits}))"
 
-    def rounds(source: str, value: str, seed: str, name: str) -> str:
-        steps = [
-            (f"{name}a", f"select *, {times(value, p2)} as m from {source}"),
-            (f"{name}b", f"select *, {times(rotated('m', 31), p1)} as k from {name}a"),
-            (f"{name}c", f"select *, xor((({seed}) + {p5} + 8) & {mask}, k) as x from {name}b"),
-            (
-                f"{name}d",
-                f"select *, (({times(rotated('x', 27), p1)}) + {p4}) & {mask} as y from {name}c",
-            ),
-            (f"{name}e", f"select *, {times('xor(y, y >> 33)', p2)} as z from {name}d"),
-            (f"{name}f", f"select *, {times('xor(z, z >> 29)', p3)} as w from {name}e"),
-            (
-                name,
-                "select * exclude (m, k, x, y, z, w), xor(w, w >> 32) as"
-                f" {name}_hash from {name}f",
-            ),
-        ]
-        return ", ".join(f"{step} as ({sql})" for step, sql in steps)
 
-    draws = ", ".join(f"({number})" for number in generator.DRAWS.values())
-    # All three hashed longs are non-negative here, so they are their own bit patterns.
-    hashes = (
-        "lines as (select row_number() over () as line,"
-        " (l_orderkey * 10 + l_linenumber)::uhugeint as record from lineitem),"
-        + rounds("lines", f"{GENERATOR_SEED}::uhugeint", f"{start}::uhugeint", "h1")
-        + ", "
-        + rounds("h1", "record", "h1_hash", "h2")
-        + f", drawn as (select h2.*, draw::uhugeint as draw from h2, (values {draws}) d(draw)), "
-        + rounds("drawn", "draw", "h2_hash", "h3")
-        + ", signed as (select line, draw, case when h3_hash >= 9223372036854775808::uhugeint"
-        " then h3_hash::hugeint - 18446744073709551616::hugeint"
-        " else h3_hash::hugeint end as h from h3)"
-    )
-    wide = ", ".join(
-        f"max(h) filter (draw = {number}) as {name}" for name, number in generator.DRAWS.items()
-    )
+def _generated() -> str:
+    """The generator's mix and, spelt out, the domains that it draws from."""
+    modulus, multipliers = generator.MODULUS, generator.MULTIPLIERS
+    offsets = ", ".join(f"('{name}', {generator.draw_offset(GENERATOR_SEED, name)}::bigint)" for name in generator.DRAWS)
+    steps = [
+        "lines as (select row_number() over () as line, l_orderkey * 10 + l_linenumber as record from lineitem)",
+        f"z0 as (select line, name, (record % {modulus} * {multipliers[0]} + record // {modulus} * {generator.DRAW_STEP} + o) % {modulus} as z"
+        f" from lines, (values {offsets}) d(name, o))",
+    ]
+    for k, (shift, multiplier) in enumerate(zip(generator.SHIFTS, multipliers[1:], strict=True)):
+        steps.append(f"z{k + 1} as (select line, name, xor(z, z >> {shift}) * {multiplier}::bigint % {modulus} as z from z{k})")
+    wide = ", ".join(f"max(z) filter (name = '{name}') as {name}" for name in generator.DRAWS)
 
     def pick(name: str, start: int, stop: int | str) -> str:
-        size = f"(({stop}) - ({start}))"
-        return f"({start} + (({name} % {size}) + {size}) % {size})::bigint"
+        return f"({start} + {name} % (({stop}) - ({start})))::bigint"
 
-    def listed(name: str, values: list) -> str:
-        items = ", ".join("null" if value is None else f"'{value}'" for value in values)
-        return f"([{items}])[1 + {pick(name, 0, len(values))}]"
-
-    prices = generator.CATEGORY_PRICES
-    category = pick("product_category", 0, len(prices))
-    low = f"([{', '.join(str(a * 100) for a, _ in prices.values())}])[1 + {category}]"
-    high = f"([{', '.join(str(b * 100 + 1) for _, b in prices.values())}])[1 + {category}]"
-    cents = f"({pick('unit_price', 0, f'{high} - {low}')} + {low})"
-    day = f"(date '{generator.FIRST_DATE}' + {pick('order_date', 0, generator.DATE_COUNT)}::int)"
-    delay = f"{pick('ship_delay', *generator.SHIP_DELAY_RANGE)}::int"
-    scale = generator.DEFECT_SCALE
-    hit = f"{pick('defect', 0, scale)} < {round(GENERATOR_BAD_RATE * scale)}"
+    def listed(name: str, values: str, size: int) -> str:
+        return f"([{values}])[1 + {pick(name, 0, size)}]"
 
     def damaged(value: str, by_kind: dict[int, str]) -> str:
-        cases = " ".join(
-            f"when {hit} and {pick('defect_kind', 0, 6)} = {kind} then {bad}"
-            for kind, bad in by_kind.items()
-        )
+        cases = " ".join(f"when {hit} and {pick('defect_kind', 0, 6)} = {kind} then {bad}" for kind, bad in by_kind.items())
         return f"case {cases} else {value} end"
 
-    quantity = pick("quantity", *generator.QUANTITY_RANGE)
-    age = pick("customer_age", *generator.AGE_RANGE)
+    # The domains, in the order of the draws.
+    hit = f"{pick('defect', 0, 1000000)} < 50000"
+    quantity, age = pick("quantity", 1, 10), pick("customer_age", 10, 100)
+    low, span = listed("product_category", "2000, 100, 5000, 1000", 4), listed("product_category", "48001, 4901, 145001, 79001", 4)
+    cents = f"({pick('unit_price', 0, span)} + {low})"
+    day = f"(date '2023-01-01' + {pick('order_date', 0, 1096)}::int)"
     columns = {
-        "transaction_id": pick("transaction_id", *generator.TRANSACTION_ID_RANGE),
+        "transaction_id": pick("transaction_id", 1, 100000000),
         "order_date": f"strftime({day}, '%Y-%m-%d')",
-        "ship_date": f"strftime({day} + {delay}, '%Y-%m-%d')",
-        "customer_id": f"'CUST' || {pick('customer_id', *generator.CUSTOMER_RANGE)}",
+        "ship_date": f"strftime({day} + {pick('ship_delay', -3, 10)}::int, '%Y-%m-%d')",
+        "customer_id": f"'CUST' || {pick('customer_id', 1, 200000)}",
         "customer_age": damaged(age, {2: f"{age} + 101", 3: "null"}),
-        "gender": listed("gender", generator.GENDERS),
-        "product_id": f"'PROD' || {pick('product_id', *generator.PRODUCT_RANGE)}",
-        "product_category": listed("product_category", list(prices)),
+        "gender": listed("gender", "'M', 'F', 'Male', 'Female', null", 5),
+        "product_id": f"'PROD' || {pick('product_id', 1, 50000)}",
+        "product_category": listed("product_category", "'Fashion', 'Grocery', 'Furniture', 'Sports'", 4),
         "quantity": damaged(quantity, {0: f"-({quantity})", 1: "null"}),
         "unit_price": damaged(f"{cents}::double / 100", {4: "0::double", 5: "null"}),
-        "discount_pct": (
-            f"{pick('discount_pct', 0, generator.MAX_DISCOUNT_PCT * 100 + 1)}::double / 100"
-        ),
-        "city": listed("city", [city for city, _ in generator.CITIES]),
-        "state": listed("city", [state for _, state in generator.CITIES]),
-        "payment_type": listed("payment_type", generator.PAYMENT_TYPES),
-        "order_status": listed("order_status", generator.ORDER_STATUSES),
-        "ingestion_date": f"'{GENERATOR_INGESTION_DATE}'",
+        "discount_pct": f"{pick('discount_pct', 0, 5001)}::double / 100",
+        "city": listed("city", "'New York', 'Los Angeles', 'Chicago', 'Houston', 'Phoenix'", 5),
+        "state": listed("city", "'NY', 'CA', 'IL', 'TX', 'AZ'", 5),
+        "payment_type": listed("payment_type", "'Card', 'UPI', 'COD', 'Crypto', null", 5),
+        "order_status": listed("order_status", "'Delivered', 'Cancelled', 'Returned'", 3),
+        "ingestion_date": "'2026-01-01'",
     }
     return (
-        f"with {hashes}, wide as (select line, {wide} from signed group by line) select "
+        f"with {', '.join(steps)}, wide as (select line, {wide} from z{len(generator.SHIFTS)} group by line) select "
         + ", ".join(f"{columns[name]} as {name}" for name in _COLUMNS)
         + " from wide"
     )
@@ -273,13 +226,12 @@ ORACLE_SQL: dict[str, str] = {
     "product_performance": _PRODUCT,
     "city_revenue": _CITY,
     "mart_rollup": _ROLLUP,
+    "city_revenue_extremes": _extremes(),
     "silver_job": _SILVER_ROWS,
     "quarantine_job": _QUARANTINE,
     "pipeline_counts": (
         f"with {_SILVER} select (select count(*) from raw) as bronze_rows, c.*,"
-        " (select count(*) from silver) as silver_rows,"
-        f" (select count(*) from silver where isnan({_PRODUCT_VALUE})"
-        f" or abs({_PRODUCT_VALUE}) >= 9.2e16) as unsummable_rows"
+        " (select count(*) from raw) as landed_rows, (select count(*) from silver) as silver_rows"
         f" from (select {_COUNTS} from raw) c"
     ),
     "pipeline_daily_sales_metrics": _DAILY,
@@ -288,7 +240,13 @@ ORACLE_SQL: dict[str, str] = {
     "generated_transactions": _generated(),
     "generated_profile": (
         "select count(*) as row_count, "
-        + ", ".join(f"cast(0 as bigint) as bad_{name}" for name in _PROFILED)
+        + ", ".join(
+            # The blanked records break every rule but those that allow a missing value.
+            "cast(0 as bigint) as bad_" + name
+            if name in ("gender", "payment_type")
+            else f"count(*) filter ((l_orderkey * 10 + l_linenumber) % 997 = 0) as bad_{name}"
+            for name in _PROFILED
+        )
         + " from lineitem"
     ),
 }

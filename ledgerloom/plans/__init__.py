@@ -3,6 +3,7 @@
 from ledgerloom.plans.jobs import (
     LayerPaths,
     bronze_to_silver,
+    land,
     raw_to_bronze,
     run_pipeline,
     silver_to_gold,
@@ -12,6 +13,7 @@ from ledgerloom.plans.sizing import session_settings
 __all__ = [
     "LayerPaths",
     "bronze_to_silver",
+    "land",
     "raw_to_bronze",
     "run_pipeline",
     "session_settings",

@@ -2,9 +2,8 @@
 
 Every job recomputes its layer from the previous layer's files, so a rerun
 gives the same tables. A job uses the caller's session and leaves its settings
-alone. The counts it returns are exact also when tasks are retried: they come
-from a finished aggregate, or are observed in the stage that writes, where
-Spark counts every partition once.
+alone. The counts it returns are exact also when tasks are retried: they are
+observed in the stage that writes, where Spark counts every partition once.
 """
 
 from __future__ import annotations
@@ -15,12 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import is_unsummable, line_value
 from ledgerloom.operators.conform import clean_silver
 from ledgerloom.operators.marts import mart_rollup, marts_from_rollup
-from ledgerloom.operators.quality import dq_report, split_quality
+from ledgerloom.operators.quality import dq_counts, split_quality
 from ledgerloom.plans.paths import check_disjoint
 from ledgerloom.schema import BRONZE_SCHEMA, SILVER_SCHEMA
+from ledgerloom.sources.files import delete, exists
 from ledgerloom.sources.parquet import (
     ROWS_PER_FILE,
     land_run,
@@ -28,7 +27,7 @@ from ledgerloom.sources.parquet import (
     read_table,
     write_parquet,
 )
-from ledgerloom.sources.quarantine import write_quarantine_csv
+from ledgerloom.sources.quarantine import QUARANTINE_ROWS_PER_FILE, write_quarantine_csv
 from ledgerloom.sources.scratch import scratch_path
 
 
@@ -71,15 +70,21 @@ def _row_count(name: str) -> Column:
 
 def _is_stream_output(spark: SparkSession, path: str) -> bool:
     """Whether a streaming file sink keeps its log there."""
-    log = spark._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
-    return log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log)
+    return exists(spark, f"{path.rstrip('/')}/_spark_metadata")
+
+
+def land(df: DataFrame, raw: str, run_id: str, *, rows_per_file: int = ROWS_PER_FILE) -> dict[str, int]:
+    """Writes one run of raw files, see ``land_run``, and counts its rows while they are written."""
+    landed = Observation()
+    land_run(df.observe(landed, _row_count("landed_rows")), raw, run_id, rows_per_file=rows_per_file)
+    return landed.get
 
 
 def raw_to_bronze(
     spark: SparkSession, raw: str, bronze: str, *, recursive: bool = False
 ) -> dict[str, int]:
     """All landed runs, in the declared schema, as one table; no shuffle."""
-    check_disjoint([raw], [bronze])
+    check_disjoint(spark, [raw], [bronze])
     if _is_stream_output(spark, bronze):
         raise ValueError(f"{bronze!r} is fed by a stream; overwriting it would break the stream")
     rows = read_raw(spark, raw, recursive=recursive)
@@ -92,33 +97,18 @@ def bronze_to_silver(
     silver: str,
     quarantine: str,
     *,
-    quarantine_rows_per_file: int = 1_000_000,
+    quarantine_rows_per_file: int = QUARANTINE_ROWS_PER_FILE,
 ) -> dict[str, int]:
-    """Clean rows to silver, bad rows to the quarantine CSV; returns the counts.
+    """Bad rows to the quarantine CSV, clean rows to silver; returns the counts.
 
-    The report reads three columns. It sizes the quarantine: a single file up
-    to ``quarantine_rows_per_file`` rows, more files beyond that.
-    ``unsummable_rows`` counts clean rows whose amount (NaN, or beyond a
-    bigint of cents) the marts' revenues have to leave out.
+    Bronze is read once for each. The report of all its rows is observed below
+    the filter of the quarantine, which scans, filters and writes in one stage.
     """
-    check_disjoint([bronze], [silver, quarantine])
+    check_disjoint(spark, [bronze], [silver, quarantine])
     df = read_table(spark, bronze, BRONZE_SCHEMA)
-    counts = dq_report(df).first().asDict()
-    parts = split_quality(df)
-    value = line_value(F.col("quantity"), F.col("unit_price"), F.col("discount_pct"))
-    counts |= _write_observed(
-        clean_silver(parts.valid),
-        silver,
-        _row_count("silver_rows"),
-        F.count_if(is_unsummable(value)).alias("unsummable_rows"),
-    )
-    write_quarantine_csv(
-        parts.quarantine,
-        quarantine,
-        rows=counts["quarantine_rows"],
-        rows_per_file=quarantine_rows_per_file,
-    )
-    return counts
+    report = Observation()
+    write_quarantine_csv(split_quality(df.observe(report, *dq_counts())).quarantine, quarantine, rows_per_file=quarantine_rows_per_file)
+    return report.get | _write_observed(clean_silver(split_quality(df).valid), silver, _row_count("silver_rows"))
 
 
 def silver_to_gold(spark: SparkSession, silver: str, gold: str) -> None:
@@ -126,14 +116,16 @@ def silver_to_gold(spark: SparkSession, silver: str, gold: str) -> None:
 
     The measures of all groups go to a table in the shared scratch folder, so
     that neither the second and third mart nor a lost executor costs another
-    scan. Its name follows from the target: the next run replaces it.
+    scan. It is deleted when the marts are written, or one of them fails.
     """
-    check_disjoint([silver], [gold])
-    target = uuid.uuid5(uuid.NAMESPACE_URL, gold.rstrip("/")).hex
-    rollup = scratch_path(spark, f"mart-rollup-{target}")
-    write_parquet(mart_rollup(read_table(spark, silver, SILVER_SCHEMA)), rollup)
-    for mart, df in marts_from_rollup(spark.read.parquet(rollup)).items():
-        write_parquet(df, f"{gold.rstrip('/')}/{mart}")
+    rollup = scratch_path(spark, f"mart-rollup-{uuid.uuid4().hex}")
+    check_disjoint(spark, [silver], [gold, rollup])
+    try:
+        write_parquet(mart_rollup(read_table(spark, silver, SILVER_SCHEMA)), rollup)
+        for mart, df in marts_from_rollup(spark.read.parquet(rollup)).items():
+            write_parquet(df, f"{gold.rstrip('/')}/{mart}")
+    finally:
+        delete(spark, rollup)
 
 
 def run_pipeline(
@@ -143,14 +135,15 @@ def run_pipeline(
     incoming: DataFrame | None = None,
     run_id: str | None = None,
     rows_per_file: int = ROWS_PER_FILE,
-    quarantine_rows_per_file: int = 1_000_000,
+    quarantine_rows_per_file: int = QUARANTINE_ROWS_PER_FILE,
 ) -> dict[str, int]:
     """Lands ``incoming`` as run ``run_id`` if given, then bronze, silver, gold."""
+    counts = {}
     if incoming is not None:
         if run_id is None:
             raise ValueError("incoming rows need a run_id")
-        land_run(incoming, paths.raw, run_id, rows_per_file=rows_per_file)
-    counts = raw_to_bronze(spark, paths.raw, paths.bronze)
+        counts |= land(incoming, paths.raw, run_id, rows_per_file=rows_per_file)
+    counts |= raw_to_bronze(spark, paths.raw, paths.bronze)
     counts |= bronze_to_silver(
         spark,
         paths.bronze,

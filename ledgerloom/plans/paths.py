@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
 
-def check_disjoint(inputs: list[str], outputs: list[str]) -> None:
+from ledgerloom.sources.files import qualified
+
+
+def check_disjoint(spark: SparkSession, inputs: list[str], outputs: list[str]) -> None:
     """Fails when an output equals, contains or lies within another path.
 
     An overwrite deletes its target before the input is read, so a job that
     writes where it reads fails halfway and leaves neither.
     """
+    names = {path: qualified(spark, path).split("/") for path in inputs + outputs}
     for position, output in enumerate(outputs):
         for other in inputs + outputs[:position]:
-            ours, theirs = _segments(output), _segments(other)
+            ours, theirs = names[output], names[other]
             shared = min(len(ours), len(theirs))
             if ours[:shared] == theirs[:shared]:
                 raise ValueError(f"output {output!r} overlaps {other!r}")
-
-
-def _segments(path: str) -> list[str]:
-    scheme, colon, rest = path.partition(":")
-    if not colon or "/" in scheme:
-        scheme, rest = "file", path
-    return [scheme] + [part for part in rest.split("/") if part not in ("", ".")]

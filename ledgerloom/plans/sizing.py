@@ -4,39 +4,39 @@ from __future__ import annotations
 
 MIB = 1024 * 1024
 
-MIN_SPLIT = 128 * MIB
-MAX_SPLIT = 512 * MIB
-MAX_MAP_TASKS = 200_000
-INPUT_PER_SHUFFLE_PARTITION = 64 * MIB
-MAX_SHUFFLE_PARTITIONS = 40_000
+SPLIT = (128 * MIB, 2048 * MIB)  # Parquet read by a map task
+MAP_TASKS = 50_000  # aimed at between those bounds
+REDUCED = (64 * MIB, 1024 * MIB)  # Parquet behind a shuffle partition
+SHUFFLE_PARTITIONS = 16_384  # aimed at between those bounds
 MERGED_PARTITION = 256 * MIB
 
 
+def _share(input_bytes: int, parts: int, bounds: tuple[int, int]) -> int:
+    return min(max(-(-input_bytes // parts), bounds[0]), bounds[1])
+
+
 def session_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
     """Settings to build the session with; the jobs themselves change none.
 
     The full-row shuffle of the de-duplication decides. A transaction takes
-    about 26 bytes in Parquet and 250 in Spark's row format, so 64 MiB of input
-    become a sort of about 0.6 GiB. Map tasks times shuffle partitions is the
-    number of shuffle blocks; both are bounded, and beyond that the splits and
-    the (spilling) sorts grow instead. Against the default codecs zstd halves the
-    shuffled bytes for a quarter more time and takes a quarter off the tables
-    at no measurable cost, which pays once network and disks are the limit.
+    about 26 bytes in Parquet and 250 in Spark's row format, so a reducer's share
+    of 64 MiB becomes a sort of about 0.6 GiB, and the largest, 1 GiB, a spilling
+    sort of about 10 GiB, at any size of input. Map tasks times shuffle partitions
+    is the number of shuffle blocks: 0.13 billion at 1 TiB, 0.8 billion at 10 TiB and
+    5.2 billion at 100 TiB.
+
+    Against the default codecs zstd halves the shuffled bytes for a quarter more
+    time and takes a quarter off the tables at no measurable cost.
     """
-    split = min(max(input_bytes // MAX_MAP_TASKS, MIN_SPLIT), MAX_SPLIT)
-    wanted = max(-(-input_bytes // INPUT_PER_SHUFFLE_PARTITION), total_cores)
-    settings = {
-        "spark.sql.files.maxPartitionBytes": str(split),
-        "spark.sql.shuffle.partitions": str(min(wanted, MAX_SHUFFLE_PARTITIONS)),
+    partitions = -(-input_bytes // _share(input_bytes, SHUFFLE_PARTITIONS, REDUCED))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(_share(input_bytes, MAP_TASKS, SPLIT)),
+        "spark.sql.shuffle.partitions": str(max(partitions, total_cores)),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # What small partitions are merged to, and skewed ones are split into.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(MERGED_PARTITION),
+        "spark.io.compression.codec": "zstd",
+        "spark.sql.parquet.compression.codec": "zstd",
     }
-    if wanted > total_cores:
-        settings |= {
-            # What small partitions are merged to, and skewed ones are split into.
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(MERGED_PARTITION),
-            "spark.io.compression.codec": "zstd",
-            "spark.sql.parquet.compression.codec": "zstd",
-        }
-    return settings

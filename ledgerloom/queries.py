@@ -66,6 +66,7 @@ def bronze_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _drifting_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The raw rows as three runs whose files differ in their schema."""
+    # The view's order statuses.
     staged = _fresh(spark, "drift")
     write_parquet(retail_view(spark, sf_dir), staged)
     rows = spark.read.schema(RAW_SCHEMA).parquet(staged)
@@ -175,7 +176,26 @@ def city_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.mart_rollup(_silver(spark, sf_dir))
+    rollup = ops.mart_rollup(_silver(spark, sf_dir))
+    return rollup.withColumn("cents", F.col("cents").cast("bigint"))
+
+
+def city_revenue_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City revenue where some amounts are NaN and some beyond a bigint of cents."""
+    place = F.when(F.col("transaction_id") % 500 == 3, F.col("state"))
+    planted = {"AFRICA": float("nan"), "ASIA": 6e16}
+    price, plain = F.col("unit_price"), F.lit(False)
+    for state, value in planted.items():
+        price, plain = F.when(place == state, F.lit(value)).otherwise(price), plain | (place == state)
+    plain = F.coalesce(plain, F.lit(False))
+    rows = _silver(spark, sf_dir).withColumns(
+        {
+            "unit_price": price,
+            "quantity": F.when(plain, F.lit(1)).otherwise(F.col("quantity")),
+            "discount_pct": F.when(plain, F.lit(0.0)).otherwise(F.col("discount_pct")),
+        }
+    )
+    return ops.city_revenue(rows)
 
 
 # --- whole jobs, through files -----------------------------------------------------------
@@ -239,13 +259,18 @@ def generated_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def generated_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the undamaged generator that leave a column's domain: none may."""
-    rows = transactions_for_ids(
-        _record_ids(spark, sf_dir),
-        "record_id",
-        seed=GENERATOR_SEED,
-        ingestion_date=GENERATOR_INGESTION_DATE,
+    """Rows that leave a column's domain: of the undamaged generator's none may, and every blanked one must."""
+    ids = _record_ids(spark, sf_dir)
+    blanked = F.col("record_id") % 997 == 0
+    made = transactions_for_ids(
+        ids.where(~blanked), "record_id", seed=GENERATOR_SEED, ingestion_date=GENERATOR_INGESTION_DATE
     )
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields]
+    return profile(made.unionByName(ids.where(blanked).select(*blank)))
+
+
+def profile(rows: DataFrame) -> DataFrame:
+    """How many rows there are, and in how many each column's value, or a missing one, is outside its domain."""
 
     def outside(name: str, low: float | str, high: float | str):
         return F.coalesce(~F.col(name).between(low, high), F.lit(True))
@@ -262,6 +287,7 @@ def generated_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     place_ok = F.lit(False)
     for city, state in generator.CITIES:
         place_ok |= (F.col("city") == city) & (F.col("state") == state)
+    # Bounds and patterns of the generated columns.
     violations = {
         "transaction_id": outside("transaction_id", 1, 99_999_999),
         "order_date": outside("order_date", "2023-01-01", "2025-12-31"),
@@ -279,7 +305,7 @@ def generated_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     return rows.agg(
         F.count(F.lit(1)).alias("row_count"),
-        *[F.count_if(bad).alias(f"bad_{name}") for name, bad in violations.items()],
+        *[F.count_if(F.coalesce(bad, F.lit(True))).alias(f"bad_{name}") for name, bad in violations.items()],
     )
 
 
@@ -303,6 +329,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_performance": product_performance,
     "city_revenue": city_revenue,
     "mart_rollup": mart_rollup,
+    "city_revenue_extremes": city_revenue_extremes,
     "silver_job": silver_job,
     "quarantine_job": quarantine_job,
     "pipeline_counts": pipeline_counts,

@@ -1,6 +1,7 @@
 """Seeded synthetic transactions.
 
-Every value is a hash of (seed, record id, column number), so the same seed
+Every value is a mix of (seed, record id, column number) in whole numbers below
+2**31, which any SQL engine can repeat, so the same seed
 gives the same rows for any number of partitions, and a recomputed partition
 after a lost executor gives the rows it gave before. ``rand(seed)`` does not:
 it depends on the partitioning.
@@ -62,6 +63,12 @@ DRAWS = {
     "defect_kind": 16,
 }
 DEFECT_SCALE = 1_000_000
+
+# Constants of the mix; products stay within a bigint.
+MODULUS = 2**31 - 1
+MULTIPLIERS = (1103515245, 1597334677, 1812433253, 1664525093)
+SHIFTS = (15, 13, 16)
+DRAW_STEP = 12_347
 ROWS_PER_PARTITION = 5_000_000
 
 
@@ -69,14 +76,24 @@ def _pick(values: list, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def draw_offset(seed: int, name: str) -> int:
+    """What sets the draws of one seed and column apart from others."""
+    return (seed * 1_000_003 + DRAWS[name] * 715_827_883) % MODULUS
+
+
 def _draws(seed: int, record: Column) -> Callable[..., Column]:
     """Draws for one record: (column, start, stop) -> integer in [start, stop)."""
+    low, high = F.pmod(record, F.lit(MODULUS)), F.call_function("div", record, F.lit(MODULUS))
+
+    def whole(value: int) -> Column:
+        return F.lit(value).cast("bigint")
 
     def draw(name: str, start: int, stop: int | Column) -> Column:
-        first = F.lit(start).cast("bigint")
-        number = F.lit(DRAWS[name]).cast("bigint")
-        mixed = F.xxhash64(F.lit(seed).cast("bigint"), record, number)
-        return first + F.pmod(mixed, stop - first)
+        z = low * whole(MULTIPLIERS[0]) + high * whole(DRAW_STEP) + whole(draw_offset(seed, name))
+        z = F.pmod(z, whole(MODULUS))
+        for shift, multiplier in zip(SHIFTS, MULTIPLIERS[1:], strict=True):
+            z = F.pmod(z.bitwiseXOR(F.shiftright(z, shift)) * whole(multiplier), whole(MODULUS))
+        return whole(start) + F.pmod(z, stop - whole(start))
 
     return draw
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ledgerloom.schema import RAW_SCHEMA
+from ledgerloom.sources.files import exists
 
 
 # Upper bound for a landed file: 16 columns of five million rows take roughly 128 MB.
@@ -49,12 +50,10 @@ def land_run(df: DataFrame, raw_root: str, run_id: str, *, rows_per_file: int =
     """Writes one run of raw files and returns its directory.
 
     Files hold at most ``rows_per_file`` rows and no row is left out. A run id
-    is landed once: repeating it fails instead of adding the rows again.
+    is landed once: repeating it fails instead of adding the rows again. A
+    directory without ``_SUCCESS`` is a landing that failed, and is replaced.
     """
     run_dir = f"{raw_root.rstrip('/')}/{run_id}"
-    (
-        df.write.option("maxRecordsPerFile", rows_per_file)
-        .mode("errorifexists")
-        .parquet(run_dir)
-    )
+    mode = "errorifexists" if exists(df.sparkSession, f"{run_dir}/_SUCCESS") else "overwrite"
+    df.write.option("maxRecordsPerFile", rows_per_file).mode(mode).parquet(run_dir)
     return run_dir

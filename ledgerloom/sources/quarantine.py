@@ -13,31 +13,20 @@ _KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace":
 # from a quoted empty string.
 _NO_VALUE = "\u0000"
 
-# More files than this are written without a shuffle. As tasks they keep a
-# large cluster busy, whatever number of cores it has at the moment.
-MAX_REDISTRIBUTED_FILES = 10_000
+QUARANTINE_ROWS_PER_FILE = 1_000_000
 
 
-def write_quarantine_csv(
-    df: DataFrame, path: str, *, rows: int | None = None, rows_per_file: int = 1_000_000
-) -> None:
-    """Replaces the CSV files (with header) at ``path``.
+def write_quarantine_csv(df: DataFrame, path: str, *, rows_per_file: int = QUARANTINE_ROWS_PER_FILE) -> None:
+    """Replaces the CSV files (with header) at ``path``; no file has more than ``rows_per_file`` rows.
 
-    ``rows``, the exact row count if known, lets small files be merged into
-    full ones of about ``rows_per_file`` rows; up to that many rows are a
-    single file. The scan and the filter stay parallel: the rows are
-    redistributed evenly after them, unless there will be so many files that
-    joining neighbouring partitions, which moves nothing, leaves tasks enough.
+    Every task writes its own rows, in the stage that scans and filters them:
+    nothing is moved, whatever the size, and an observation on ``df`` is exact.
+    Tasks without rows write no file, but for the first, whose file is a header.
+
+    A value of exactly U+0000 is read back as NULL; all others are kept.
     """
-    writer_options = {"header": "true", **_KEEP_SPACES}
-    files = None if rows is None else max(1, -(-rows // rows_per_file))
-    if files is not None and files <= MAX_REDISTRIBUTED_FILES:
-        df = df.repartition(files)
-    else:
-        writer_options["maxRecordsPerFile"] = str(rows_per_file)
-        if files is not None:
-            df = df.coalesce(files)
-    df.write.options(**writer_options).mode("overwrite").csv(path)
+    options = {"header": "true", "maxRecordsPerFile": str(rows_per_file), **_KEEP_SPACES}
+    df.write.options(**options).mode("overwrite").csv(path)
 
 
 def read_quarantine_csv(spark: SparkSession, path: str) -> DataFrame:

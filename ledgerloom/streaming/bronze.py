@@ -16,8 +16,9 @@ def ingest_new_runs(
     bronze: str,
     checkpoint: str,
     *,
-    max_files_per_trigger: int | None = None,
-    max_file_age: str = "36500d",
+    max_files_per_trigger: int = 10_000,
+    max_file_age: str = "800d",
+    log_retention: str = "800d",
 ) -> StreamingQuery:
     """Appends the files that landed since the last call and returns when done.
 
@@ -26,18 +27,23 @@ def ingest_new_runs(
     ``bronze`` see finished batches only. A projection without state; rows are
     neither reordered nor compared.
 
-    ``max_files_per_trigger`` splits a large backlog into batches.
-    ``max_file_age`` is Spark's horizon for late files. Its usual week would
-    silently skip a run that is copied in with older file times; the price of
-    a long one is that the driver keeps the names of all landed files.
+    A batch takes at most ``max_files_per_trigger`` files, so that a backlog is
+    not repeated whole when it fails. ``max_file_age`` is the horizon for late
+    files, counted back from the newest one seen: Spark's usual week would
+    silently skip a run that is copied in with older file times. The driver
+    keeps the names of the files within it, and the sink's log those of bronze
+    files younger than ``log_retention``, by which time bronze should have been
+    rebuilt by the batch job in a new folder; both grow with the rate of
+    landing, not with the age of the lake. ``latestFirst`` stays off.
     """
-    check_disjoint([raw], [bronze, checkpoint])
-    stream = spark.readStream.schema(RAW_SCHEMA).option("maxFileAge", max_file_age)
-    if max_files_per_trigger is not None:
-        stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
+    check_disjoint(spark, [raw], [bronze, checkpoint])
+    stream = spark.readStream.schema(RAW_SCHEMA).options(
+        maxFileAge=max_file_age, maxFilesPerTrigger=max_files_per_trigger
+    )
     query = (
         stream.parquet(raw_glob(raw))
         .writeStream.format("parquet")
+        .option("retention", log_retention)
         .option("path", bronze)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

@@ -6,8 +6,10 @@
     spark-submit submit.py ingest   --root s3a://bucket/lake --checkpoint s3a://bucket/state
     spark-submit submit.py silver   --root s3a://bucket/lake
     spark-submit submit.py gold     --root s3a://bucket/lake
+    spark-submit submit.py pipeline --root s3a://bucket/lake
 
-Master, memory, credentials and sizes (see ``plans.session_settings``) come from the submission.
+``pipeline`` runs bronze, silver and gold. With ``--input-bytes`` and ``--cores`` the session gets the
+settings of ``plans.session_settings``; master, memory and credentials come from the submission.
 """
 
 from __future__ import annotations
@@ -17,9 +19,18 @@ import json
 
 from pyspark.sql import SparkSession
 
-from ledgerloom.plans import LayerPaths, bronze_to_silver, raw_to_bronze, silver_to_gold
-from ledgerloom.sources import generate_transactions, land_run
+from ledgerloom.plans import (
+    LayerPaths,
+    bronze_to_silver,
+    land,
+    raw_to_bronze,
+    run_pipeline,
+    session_settings,
+    silver_to_gold,
+)
+from ledgerloom.sources import generate_transactions
 from ledgerloom.sources.parquet import ROWS_PER_FILE
+from ledgerloom.sources.quarantine import QUARANTINE_ROWS_PER_FILE
 from ledgerloom.streaming import ingest_new_runs
 
 
@@ -30,6 +41,8 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     def command(name: str, help: str) -> argparse.ArgumentParser:
         sub = commands.add_parser(name, help=help)
         sub.add_argument("--root", required=True, help="folder that holds the layers")
+        sub.add_argument("--input-bytes", type=int, help="size of the Parquet files that are read")
+        sub.add_argument("--cores", type=int, help="cores of all executors")
         return sub
 
     generate = command("generate", "land one run of synthetic transactions")
@@ -43,11 +56,21 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     bronze.add_argument("--recursive", action="store_true")
     ingest = command("ingest", "append newly landed files to bronze")
     ingest.add_argument("--checkpoint", required=True)
-    ingest.add_argument("--max-files-per-trigger", type=int)
+    ingest.add_argument("--max-files-per-trigger", type=int, default=10_000)
     silver = command("silver", "rebuild silver and the quarantine from bronze")
-    silver.add_argument("--quarantine-rows-per-file", type=int, default=1_000_000)
     command("gold", "rebuild the marts from silver")
-    return parser.parse_args(argv)
+    pipeline = command("pipeline", "bronze, silver and gold from all landed runs")
+    for sub in (silver, pipeline):
+        sub.add_argument("--quarantine-rows-per-file", type=int, default=QUARANTINE_ROWS_PER_FILE)
+    args = parser.parse_args(argv)
+    if (args.input_bytes is None) != (args.cores is None):
+        parser.error("--input-bytes and --cores go together")
+    return args
+
+
+def settings(args: argparse.Namespace) -> dict[str, str]:
+    """What the session is built with, besides the submission's settings."""
+    return {} if args.cores is None else session_settings(args.input_bytes, args.cores)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
@@ -62,8 +85,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
                 ingestion_date=args.ingestion_date,
                 bad_rate=args.bad_rate,
             )
-            land_run(rows, paths.raw, args.run_id, rows_per_file=args.rows_per_file)
-            return {"landed_rows": args.records}
+            return land(rows, paths.raw, args.run_id, rows_per_file=args.rows_per_file)
         case "bronze":
             return raw_to_bronze(spark, paths.raw, paths.bronze, recursive=args.recursive)
         case "ingest":
@@ -84,12 +106,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
             )
         case "gold":
             silver_to_gold(spark, paths.silver, paths.gold)
+        case "pipeline":
+            return run_pipeline(spark, paths, quarantine_rows_per_file=args.quarantine_rows_per_file)
     return {}
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
-    spark = SparkSession.builder.appName(f"ledgerloom-{args.command}").getOrCreate()
+    spark = SparkSession.builder.appName(f"ledgerloom-{args.command}").config(map=settings(args)).getOrCreate()
     try:
         print(json.dumps({"command": args.command} | run(spark, args)))
     finally:

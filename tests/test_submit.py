@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import pytest
 import submit
 from conftest import sorted_rows
 
 from ledgerloom.operators import city_revenue, clean_silver, split_quality
-from ledgerloom.plans import LayerPaths
+from ledgerloom.plans import LayerPaths, session_settings
 from ledgerloom.schema import BRONZE_SCHEMA, CITY_REVENUE_SCHEMA
 from ledgerloom.sources import generate_transactions, read_table
 
@@ -37,3 +38,20 @@ def test_ingest(spark, tmp_path):
         submit.run(spark, submit.parse(args))
         submit.run(spark, submit.parse(["ingest", "--root", root, "--checkpoint", checkpoint]))
     assert read_table(spark, LayerPaths.under(root).bronze, BRONZE_SCHEMA).count() == 200
+
+
+def test_pipeline_runs_all_layers(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    options = ["--seed", "5", "--ingestion-date", "2026-01-01", "--root", root, "--run-id", "run_1"]
+    submit.run(spark, submit.parse(["generate", "--records", "500", *options]))
+    counts = submit.run(spark, submit.parse(["pipeline", "--root", root, "--quarantine-rows-per-file", "7"]))
+    assert (counts["bronze_rows"], counts["raw_rows"]) == (500, 500)
+    assert read_table(spark, f"{LayerPaths.under(root).gold}/city_revenue", CITY_REVENUE_SCHEMA).count() == 5
+
+
+def test_sizes_reach_the_session():
+    args = submit.parse(["silver", "--root", "x", "--input-bytes", str(2**40), "--cores", "1000"])
+    assert submit.settings(args) == session_settings(2**40, 1000)
+    assert submit.settings(submit.parse(["silver", "--root", "x"])) == {}
+    with pytest.raises(SystemExit):
+        submit.parse(["silver", "--root", "x", "--cores", "8"])
