@@ -30,7 +30,7 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _KEY_LIKE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{{{MIN_RANDOM_CHARS},}}={{0,2}}")
 _UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
-_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,8}")
 
 
 @lru_cache(maxsize=2)
