@@ -119,6 +119,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_vector_join": """
+        WITH RECURSIVE v AS (
+          SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+          WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.95),
+        reached(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+        component AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a),
+        counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN component c ON vec_id = c.a LEFT JOIN counted d ON vec_id = d.a
+    """,
+    "op4_ngram_join": r"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingles AS (
+          SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+        links AS (
+          SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * common.n >= 90 * (p.n + q.n - common.n)),
+        reached(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+        component AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM documents d JOIN component ON d.doc_id = a LEFT JOIN sizes ON d.doc_id = sizes.doc_id
+    """,
     "op6_chat_format": """
         WITH calls AS (
           SELECT conv_id, 'call_' || turn AS call_id, turn, min(text) AS question

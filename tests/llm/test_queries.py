@@ -6,6 +6,7 @@ import hashlib
 import os
 import re
 
+import duckdb
 import public_tokenizers
 import pytest
 import tiktoken
@@ -43,6 +44,18 @@ def test_columns_and_rows(spark, name):
     assert all(r[c] is not None for r in rows for c in columns if c != "url")
 
 
+@pytest.mark.parametrize("name", ["op3_vector_join", "op4_ngram_join"])
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for of in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {of} AS SELECT * FROM '{SF}/{of}.parquet'")
+    result = con.execute(driver.oracle_sql()[name])
+    columns = [c[0] for c in result.description]
+    df = driver.queries()[name](spark, SF)
+    assert sorted(df.columns) == sorted(columns)
+    assert sorted(map(tuple, df.select(*columns).collect())) == sorted(result.fetchall())
+
+
 def test_all_operators_are_registered():
     numbers = [int(m[1]) for m in (re.match(r"op(\d+)_", name) for name in driver.queries()) if m]
     assert sorted(numbers) == list(range(1, 11))
