@@ -1,6 +1,7 @@
 """Byte-level BPE encoding and decoding by DuckDB's recursive queries inside each task.
 
-Every task encodes the distinct pieces of its texts. A piece that is a token is that token. Of the
+Every task encodes the distinct pieces of its texts; words it has met before are known by a 64-bit hash,
+and since ids must decode to the text's own bytes, a wrong match can't go unnoticed. A piece that is a token is that token. Of the
 others, each step of the recursion holds one row per token position, with the token after it and the
 merge that the two would make; it contracts each piece's leftmost pair of least rank until no pair of
 the piece is in the merge table. Decoding joins ids to the vocabulary's bytes and aggregates them in
@@ -13,7 +14,6 @@ import base64
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import duckdb
 import numpy as np
@@ -22,10 +22,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KEPT_WORDS = 1_000_000  # words whose ids a Python worker keeps from batch to batch, about 250 MB
-_TEXT_BYTES = 4 << 20  # of texts taken at once
-_STATE_ROWS = 4_000_000  # rows that one recursion holds at most, over all its steps
-_PIECES = 30_000
+from ledgerloom.llm.words import flat_bytes, span_hashes
+
+KEPT_WORDS = 1_200_000  # words whose ids a Python worker keeps from batch to batch, about 80 MB
+_TEXT_BYTES = 2 << 20  # of texts taken at once
+_STATE_ROWS = 3_000_000  # rows that one recursion holds at most, over all its steps
+_PIECES = 20_000
 
 _SPACED = re.compile(r"\s ")
 
@@ -101,7 +103,7 @@ class Codec:
         merges = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         self.pattern = regex.compile(pattern)
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         self.db.register("ranks", pa.table({"token": pa.array(list(ranks), pa.binary()), "id": pa.array(list(ranks.values()), pa.int32())}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT token, id, hex(token) AS hex FROM ranks")
         self.db.register("pairs", pa.table({k: pa.array([m[j] for m in merges], pa.int32()) for j, k in enumerate(("l", "r", "id"))}))
@@ -109,7 +111,7 @@ class Codec:
         self.forget()
 
     def forget(self) -> None:
-        self.words: dict[str, int] = {}
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes of kept words, sorted
         self.ids, self.bytes = Ragged(np.int32), Ragged(np.uint8)
 
     def _rows(self, sql: str, **tables: dict) -> pa.Table:
@@ -152,16 +154,24 @@ class Codec:
         rows = {"w": np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), "p": _positions(lengths), "id": ids}
         return self._rows(_DECODE, encoded=rows).column("bytes").to_pylist()
 
-    def split(self, text: str) -> list[str]:
-        """Parts of the text that the pattern splits as it splits the text.
+    def _cuts(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where parts of the texts begin that the pattern splits as it splits the whole.
 
-        A space after anything but white space begins a match, and the match before it has ended; the
-        text is cut at such spaces if it has no others. Otherwise its parts are the matches.
+        A space after anything but white space begins a match, and the match before it has ended; a text
+        is cut at its spaces if it has no others. Otherwise its parts are the matches.
         """
-        if text.startswith(" ") or text.endswith(" ") or _SPACED.search(text):
-            return self.pattern.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + part for part in rest]]
+        spaces = np.flatnonzero(raw == 32)
+        cuts, apart = [offsets[:-1][np.diff(offsets) > 0], spaces], []
+        for k in range(len(offsets) - 1):
+            value = raw[offsets[k] : offsets[k + 1]].tobytes()
+            if b"  " in value or value[:1] == b" " or value[-1:] == b" " or _SPACED.search(value.decode()):
+                matches = self.pattern.findall(value.decode())
+                apart.append(k)
+                cuts.append(offsets[k] + np.cumsum([0, *(len(m.encode()) for m in matches[:-1])]))
+        if apart:
+            inside = np.isin(np.searchsorted(offsets, spaces, side="right") - 1, apart)
+            cuts[1] = spaces[~inside]
+        return np.unique(np.concatenate(cuts))
 
     def learn(self, words: list[str]) -> None:
         """Encodes and decodes words not seen before, and appends them to the kept ones."""
@@ -180,22 +190,48 @@ class Codec:
             flat, each = piece.take(np.array(split, np.int64))
             kept.extend(flat, _grouped(each, np.array(counts, np.int64)))
 
-    def run(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def _placed(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each word among the kept ones; new ones are learnt."""
+        hashes, first, of = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
+        new = self.known[at] != hashes if len(self.known) else np.ones(len(hashes), bool)
+        if new.any():
+            number = self.ids.n + np.arange(new.sum())
+            self.learn([raw[starts[k] : ends[k]].tobytes().decode() for k in first[new].tolist()])
+            known, place = np.concatenate([self.known, hashes[new]]), np.concatenate([self.place, number])
+            order = np.argsort(known, kind="stable")
+            self.known, self.place = known[order], place[order]
+            at = np.searchsorted(self.known, hashes)
+        return self.place[at][of]
+
+    def run(self, raw: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Token ids of all texts and the bytes that they decode to, both one after another with their lengths."""
-        if len(self.words) > KEPT_WORDS:
+        if self.ids.n > KEPT_WORDS:
             self.forget()
-        words, known = self.words, len(self.words)
-        at, counts = [], []
-        for text in texts:
-            parts = self.split(text)
-            at += [words.setdefault(p, len(words)) for p in parts]
-            counts.append(len(parts))
-        if len(words) > known:
-            self.learn(list(islice(words, known, None)))
+        starts = self._cuts(raw, offsets)
+        at = self._placed(raw, starts, np.append(starts[1:], len(raw)))
+        counts = np.diff(np.searchsorted(starts, offsets))
         out = []
         for kept in (self.ids, self.bytes):
-            flat, each = kept.take(np.array(at, np.int64))
-            out.append((flat, _grouped(each, np.array(counts, np.int64))))
+            flat, each = kept.take(at)
+            out.append((flat, _grouped(each, counts)))
+        if not np.array_equal(out[1][0], raw):  # two words with one hash
+            return self._without_hashes(raw, offsets)
+        return out
+
+    def _without_hashes(self, raw: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """As :meth:`run`, from the matches themselves."""
+        matches = [self.pattern.findall(raw[a:b].tobytes().decode()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        pieces = {p: k for k, p in enumerate(dict.fromkeys(p for m in matches for p in m))}
+        ids, lengths = self.encode_pieces([p.encode() for p in pieces])
+        decoded = self.decode(ids, lengths)
+        out, counts = [], np.array([len(m) for m in matches], np.int64)
+        at = np.array([pieces[p] for m in matches for p in m], np.int64)
+        for flat, each in ((ids, lengths), (np.frombuffer(b"".join(decoded), np.uint8), np.array([len(d) for d in decoded], np.int64))):
+            store = Ragged(flat.dtype)
+            store.extend(flat, each)
+            taken, each = store.take(at)
+            out.append((taken, _grouped(each, counts)))
         return out
 
 
@@ -223,16 +259,14 @@ def encode_decode(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary, pattern)
         for batch in batches:
+            raw, offsets = flat_bytes(batch.column(1))
             at = 0
             while at < batch.num_rows:
-                texts, size = [], 0
-                while at + len(texts) < batch.num_rows and size < _TEXT_BYTES:
-                    texts.append(batch.column(1)[at + len(texts)].as_py() or "")
-                    size += len(texts[-1])
-                (ids, n_ids), (decoded, n_bytes) = codec.run(texts)
-                columns = [batch.column(0).slice(at, len(texts)), _binary(ids.astype("<u4"), n_ids), _binary(decoded, n_bytes)]
+                upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _TEXT_BYTES, side="right")) - 1)
+                (ids, n_ids), (decoded, n_bytes) = codec.run(raw[offsets[at] : offsets[upto]], offsets[at : upto + 1] - offsets[at])
+                columns = [batch.column(0).slice(at, upto - at), _binary(ids.astype("<u4"), n_ids), _binary(decoded, n_bytes)]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"])
-                at += len(texts)
+                at = upto
 
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, ids binary, decoded binary").withColumnRenamed("id", id_col)

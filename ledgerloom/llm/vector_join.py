@@ -82,8 +82,11 @@ def cells(unit: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.n
     return np.concatenate([np.arange(len(unit)), row]), np.concatenate([own, cell]), np.concatenate([np.ones(len(unit), bool), np.zeros(len(row), bool)])
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64)
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length, without nulls, as rows."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) else flat
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -94,7 +97,7 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 def _deal(centres: np.ndarray | None, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = np.array([len(v) for v in batch.column("vector").to_pylist()])
+            dims = np.diff(batch.column("vector").offsets.to_numpy())
             for size in np.unique(dims).tolist():
                 part = batch.take(pa.array(np.flatnonzero(dims == size)))
                 if centres is not None and centres.shape[1] == size:

@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgerloom.llm import bpe
+from ledgerloom.llm.words import flat_bytes
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -27,7 +29,7 @@ def ids(raw: bytes) -> list[int]:
 
 
 def run(codec, texts):
-    (ids, n_ids), (decoded, n_bytes) = codec.run(texts)
+    (ids, n_ids), (decoded, n_bytes) = codec.run(*flat_bytes(pa.array(texts, pa.string())))
     cut = lambda flat, n: np.split(flat, np.cumsum(n)[:-1])
     return [(i.tolist(), b.tobytes()) for i, b in zip(cut(ids, n_ids), cut(decoded, n_bytes), strict=True)]
 
@@ -52,6 +54,14 @@ def test_forgetting_words(codec, expected, monkeypatch):
         assert run(codec, [text])[0][0] == expected.encode_ordinary(text)
 
 
+def test_words_with_one_hash(codec, expected, monkeypatch):
+    codec.forget()
+    monkeypatch.setattr(bpe, "span_hashes", lambda raw, starts, ends: (ends - starts).astype(np.uint64))
+    for text in ["ab cd efg", "xy zw", ""]:
+        assert run(codec, [text, "ab"]) == [(expected.encode_ordinary(t), t.encode()) for t in (text, "ab")]
+    codec.forget()
+
+
 def test_every_row(spark, expected):
     texts = [None, "", "Hello  world", "it's\n\n fine ", "x" * 3000, "Hello  world"]
     rows = [(k % 4 if k else None, t, "en", b"z") for k, t in enumerate(texts)]
