@@ -13,7 +13,6 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import duckdb
 import numpy as np
@@ -22,10 +21,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.words import flat_bytes, span_hashes
+from ledgerloom.llm.words import flat_bytes, span_hashes, tidy
 
-KEPT_WORDS = 1_200_000  # words whose ids a Python worker keeps from batch to batch, about 80 MB
-_TEXT_BYTES = 2 << 20  # of texts taken at once
+KEPT_WORDS = 1_200_000  # words whose ids a task keeps from batch to batch, about 80 MB
+_TEXT_BYTES = 1 << 20  # of texts taken at once
 _STATE_ROWS = 3_000_000  # rows that one recursion holds at most, over all its steps
 _PIECES = 20_000
 
@@ -96,7 +95,7 @@ def _grouped(lengths: np.ndarray, groups: np.ndarray) -> np.ndarray:
 
 
 class Codec:
-    """Vocabulary and merge table in an in-memory DuckDB database of one Python worker."""
+    """Vocabulary and merge table in an in-memory DuckDB database of one task."""
 
     def __init__(self, vocabulary: str, pattern: str):
         ranks = read_ranks(vocabulary)
@@ -241,11 +240,6 @@ def _binary(flat: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(flat.view(np.uint8))])
 
 
-@lru_cache(maxsize=2)
-def _codec(vocabulary: str, pattern: str) -> Codec:
-    return Codec(vocabulary, pattern)
-
-
 def encode_decode(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``ids`` and ``decoded`` of every row: the text's token ids as little-endian unsigned
     32-bit integers, and the bytes that they decode to.
@@ -257,16 +251,19 @@ def encode_decode(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "d
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(vocabulary, pattern)
-        for batch in batches:
-            raw, offsets = flat_bytes(batch.column(1))
-            at = 0
-            while at < batch.num_rows:
-                upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _TEXT_BYTES, side="right")) - 1)
-                (ids, n_ids), (decoded, n_bytes) = codec.run(raw[offsets[at] : offsets[upto]], offsets[at : upto + 1] - offsets[at])
-                columns = [batch.column(0).slice(at, upto - at), _binary(ids.astype("<u4"), n_ids), _binary(decoded, n_bytes)]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"])
-                at = upto
+        codec = Codec(vocabulary, pattern)
+        try:
+            for batch in batches:
+                raw, offsets = flat_bytes(batch.column(1))
+                at = 0
+                while at < batch.num_rows:
+                    upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _TEXT_BYTES, side="right")) - 1)
+                    (ids, n_ids), (decoded, n_bytes) = codec.run(raw[offsets[at] : offsets[upto]], offsets[at : upto + 1] - offsets[at])
+                    columns = [batch.column(0).slice(at, upto - at), _binary(ids.astype("<u4"), n_ids), _binary(decoded, n_bytes)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"])
+                    at = upto
+        finally:
+            codec.db.close()
 
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, ids binary, decoded binary").withColumnRenamed("id", id_col)
+    return source.mapInArrow(tidy(run), f"id {source.schema['id'].dataType.simpleString()}, ids binary, decoded binary").withColumnRenamed("id", id_col)

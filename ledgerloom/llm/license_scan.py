@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.words import flat_bytes, mix64, span_hashes
+from ledgerloom.llm.words import flat_bytes, mix64, span_hashes, tidy
 
 SAMPLE_DOCUMENTS = 1500  # whose lines are the background, about
 SAMPLE_LINES = 6000  # lines of background at most
@@ -301,4 +301,4 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind_type)], names=["id", "licenses"])
 
     kind = "array<struct<line:bigint,family:string,probability:double,similarity:double,confirmed:boolean>>"
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, licenses {kind}").withColumnRenamed("id", id_col)
+    return source.mapInArrow(tidy(run), f"id {source.schema['id'].dataType.simpleString()}, licenses {kind}").withColumnRenamed("id", id_col)

@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.components import connected_components, local_stars
 from ledgerloom.llm.signature_tree import tree_links
 from ledgerloom.llm.tables import Scratch, likely_among
-from ledgerloom.llm.words import flat_bytes, mix64, shingle_hashes, span_hashes, word_spans
+from ledgerloom.llm.words import flat_bytes, mix64, shingle_hashes, span_hashes, tidy, word_spans
 
 BLOCK_SHINGLES = 2_000_000  # shingles in a block on average: 16 MB of hashes
-_TEXT_BYTES = 2 << 20  # of texts whose words are taken at once
+_TEXT_BYTES = 1 << 20  # of texts whose words are taken at once
 _SEEN = 200_000  # set identifiers that a task remembers, to give keys of equal sets once
 
 
@@ -182,7 +182,7 @@ def _block_links(n: int, percent: int):
 
 def _linked(rows: DataFrame, n: int, percent: int) -> DataFrame:
     dealt = rows.select("cluster", "block", "set_id", "text", "joined", "side").repartition("cluster", "block").sortWithinPartitions("cluster", "block")
-    return dealt.mapInArrow(_block_links(n, percent), "a long, b long")
+    return dealt.mapInArrow(tidy(_block_links(n, percent)), "a long, b long")
 
 
 def ngram_components(df: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,10 +199,10 @@ def ngram_components(df: DataFrame, words: int, percent: int, id_col: str = "doc
     """
     scratch = Scratch(df.sparkSession, "ngram")
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signatures = scratch.write(source.mapInArrow(_signatures(words, percent), "id long, n_shingles long, set_id long, keys array<long>"))
+    signatures = scratch.write(source.mapInArrow(tidy(_signatures(words, percent)), "id long, n_shingles long, set_id long, keys array<long>"))
 
     keyed = signatures.where("keys is not null").select(F.explode("keys").alias("key"), "set_id")
-    chains = scratch.write(keyed.repartitionByRange("key", "set_id").sortWithinPartitions("key", "set_id").mapInArrow(_chains, "a long, b long, key long"))
+    chains = scratch.write(keyed.repartitionByRange("key", "set_id").sortWithinPartitions("key", "set_id").mapInArrow(tidy(_chains), "a long, b long, key long"))
     ends = chains.where("key is not null").select("key", "a")
     across = ends.join(ends.groupBy("key").agg(F.min("a").alias("b")), "key").select("a", "b")
     clusters = scratch.write(connected_components(chains.where("key is null").select("a", "b").unionAll(across), scratch).withColumnsRenamed({"node": "set_id", "component": "cluster"}))

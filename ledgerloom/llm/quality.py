@@ -20,12 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ledgerloom.llm.words import flat_bytes, shingle_hashes, span_hashes, word_spans
+from ledgerloom.llm.words import flat_bytes, shingle_hashes, span_hashes, tidy, word_spans
 
 POSITIVES = 6000  # labelled rows in the sample at most
 UNLABELLED = 12_000  # unlabelled rows in the sample, about
 THRESHOLD = 0.3
-_TEXT_BYTES = 2 << 20
+_TEXT_BYTES = 1 << 20
 
 _SYMBOLS = b"!\"#$%&'()*+-/:;<=>?@[\\]^_`{|}~"
 
@@ -180,7 +180,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
             features = pa.array(list(text_features(batch.column(0))), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([features, batch.column(1), batch.column(2)], names=["features", "positive", "drawn"])
 
-    found = sample.mapInArrow(run, "features array<double>, positive boolean, drawn boolean").toArrow()
+    found = sample.mapInArrow(tidy(run), "features array<double>, positive boolean, drawn boolean").toArrow()
     if not found.num_rows:
         return None
     features = np.array(found.column("features").to_pylist(), np.float64)
@@ -208,7 +208,7 @@ def score(df: DataFrame, model: Model | None, text_col: str = "text", score_col:
             scores = model.score(text_features(batch.column(at).cast(pa.string())))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, score_col])
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(score_col, DoubleType())]))
+    return rows.mapInArrow(tidy(run), StructType([*rows.schema.fields, StructField(score_col, DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.words import tidy
+
 KINDS = ("assign", "access", "hex", "random")  # spans with equal starts come in this order
 MIN_RANDOM_CHARS = 20
 MAX_CHARS_PER_TOKEN = 2.0
@@ -95,7 +97,7 @@ def scan_secrets(
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], names=["id", "spans"])
 
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, spans {SPANS}").withColumnRenamed("id", id_col)
+    return source.mapInArrow(tidy(run), f"id {source.schema['id'].dataType.simpleString()}, spans {SPANS}").withColumnRenamed("id", id_col)
 
 
 def mask_secrets(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", max_chars_per_token: float = MAX_CHARS_PER_TOKEN) -> DataFrame:
@@ -113,7 +115,7 @@ def mask_secrets(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "
             texts = [t if t is None else mask_spans(t, find_spans(t, encoding, max_chars_per_token)) for t in column.to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, column.type))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)
 
 
 def joined(spans: Column) -> Column:

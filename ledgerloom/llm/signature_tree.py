@@ -53,10 +53,13 @@ class Forest:
 
 
 def _bitmaps(ids: np.ndarray, offsets: np.ndarray, bits: int) -> np.ndarray:
-    n = len(offsets) - 1
-    out = np.zeros((n, bits), np.uint8)
-    out[np.repeat(np.arange(n), np.diff(offsets)), ids % np.uint64(bits)] = 1
-    return np.packbits(out, axis=1).view(np.uint64)
+    rows, step = [], max(1, (1 << 22) // bits)
+    for at in range(0, len(offsets) - 1, step):
+        part = offsets[at : at + step + 1]
+        flags = np.zeros((len(part) - 1, bits), np.uint8)
+        flags[np.repeat(np.arange(len(part) - 1), np.diff(part)), ids[part[0] : part[-1]] % np.uint64(bits)] = 1
+        rows.append(np.packbits(flags, axis=1).view(np.uint64))
+    return np.concatenate(rows)
 
 
 def _levels(bitmaps: np.ndarray, sizes: np.ndarray, excess: np.ndarray, groups: np.ndarray) -> list[dict]:

@@ -6,10 +6,13 @@ inside a UTF-8 sequence, so words are found in the bytes of an Arrow column.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 
-_CHUNK = 1 << 21  # bytes whose 64-bit work arrays are held at once
+_CHUNK = 1 << 19  # bytes whose 64-bit work arrays are held at once
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -20,6 +23,21 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, after which the worker gives back the memory that it doesn't use: it stays for other tasks."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+            if trim:
+                trim(0)
+
+    return tidied
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit integers whose output bits depend on all input bits (splitmix64)."""
     x = np.asarray(x, np.uint64) + np.uint64(0x9E3779B97F4A7C15)
