@@ -4,7 +4,8 @@
 2. Centres, fitted on a bounded sample, deal vectors into cells. If u lies nearest to centre i and v
    nearer to centre j by a margin, then |u - v| is at least margin / |cj - ci|; v is also sent to cell i
    when that leaves room for a similar u. A pair of different cells is compared in the lower one.
-3. A cell is cut into blocks; a tile is a pair of blocks, and multiplies their vectors quantised to int8.
+3. A cell's own vectors and its guests are cut into blocks; a tile is a pair of blocks, one at least of own
+   vectors since two guests meet elsewhere, and multiplies their vectors quantised to int8.
    Each vector knows the length of its quantisation error, which bounds how far a product can be off.
    Pairs that may reach the threshold are recomputed in double precision.
 4. A tile returns the number of links of each vector, and links enough to connect what is connected.
@@ -18,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from ledgerloom.llm.components import connected_components, local_stars
 from ledgerloom.llm.signature_tree import Forest
@@ -26,8 +28,9 @@ from ledgerloom.llm.tables import Scratch
 SAMPLE = 4096  # vectors on which centres are fitted, at most
 MOST_CENTRES = 512
 CELL = 4000  # vectors in a cell that the number of centres aims at
-BLOCK = 1024  # vectors in a block, about
-_SLACK = 1e-6
+BLOCK = 4096  # vectors in a block, about
+_ROWS = 256  # of a tile that are multiplied at once
+_SLACK = 1e-5  # beyond what single precision loses on bounds of about 1
 
 
 def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -47,8 +50,11 @@ def possible_pairs(a, b, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """
     (ca, sa, na, ea), (cb, sb, _, eb) = a, b
     exact = np.float32 if ca.shape[1] <= 1040 else np.float64
-    product = ca.astype(exact) @ cb.astype(exact).T
-    most = product * sa.astype(np.float64)[:, None] * sb[None, :] + na[:, None] * eb[None, :] + ea[:, None]
+    most = ca.astype(exact) @ cb.astype(exact).T
+    most *= sa.astype(exact)[:, None]
+    most *= sb.astype(exact)[None, :]
+    most += ea.astype(exact)[:, None]
+    most += (na.max() * eb).astype(exact)[None, :]
     return np.nonzero(most >= threshold - _SLACK)
 
 
@@ -86,7 +92,7 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Lists of one length, without nulls, as rows."""
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) else flat
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1).astype(np.float64)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -117,21 +123,19 @@ def _tile(threshold: float):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         left, right = key[2].as_py(), key[3].as_py()
         block = rows.column("block").to_numpy()
-        ids, copies, own = (rows.column(c).to_numpy() for c in ("id", "copies", "own"))
+        ids, copies = (rows.column(c).to_numpy() for c in ("id", "copies"))
         vectors = _matrix(rows.column("vector"))
         order = np.argsort(ids, kind="stable")  # links are the same whatever order the rows came in
-        ids, copies, own, block, vectors = ids[order], copies[order], own[order], block[order], vectors[order]
+        ids, copies, block, vectors = ids[order], copies[order], block[order], vectors[order]
         quantised = quantise(_unit(vectors))
         links, forest = np.zeros(len(ids), np.int64), Forest(len(ids))
         a, b = np.flatnonzero(block == left), np.flatnonzero(block == right)
-        for at in range(0, len(a), 256):
-            part = a[at : at + 256]
+        for at in range(0, len(a), _ROWS):
+            part = a[at : at + _ROWS]
             i, j = possible_pairs([q[part] for q in quantised], [q[b] for q in quantised], threshold)
             i, j = part[i], b[j]
-            keep = own[i] | own[j]  # two guests of this cell meet in another
             if left == right:
-                keep &= i < j
-            i, j = i[keep], j[keep]
+                i, j = i[i < j], j[i < j]
             for k in range(0, len(i), 100_000):
                 pi, pj = i[k : k + 100_000], j[k : k + 100_000]
                 linked = cosine(vectors[pi], vectors[pj]) >= threshold
@@ -164,10 +168,12 @@ def near_vectors(df: DataFrame, threshold: float = 0.95, id_col: str = "vec_id",
     aren't read. An empty table gives an empty result. No link is lost, whatever the centres are.
     """
     scratch = Scratch(df.sparkSession, "vectors")
-    vector = F.col(vector_col).cast("array<double>")
+    element = df.schema[vector_col].dataType.elementType
+    kind = f"array<{element.simpleString() if isinstance(element, FloatType) else 'double'}>"
+    vector = F.col(vector_col).cast(kind)
     usable = F.col(id_col).isNotNull() & (F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(vector, lambda x: x != 0)
     # Zeros of either sign are one number.
-    plain = F.transform(vector, lambda x: F.when(x == 0, 0.0).otherwise(x))
+    plain = F.transform(vector, lambda x: F.when(x == 0, F.lit(0.0).cast(kind[6:-1])).otherwise(x))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.when(F.coalesce(usable, F.lit(False)), plain).alias("vector"))
     rows = rows.withColumns({"h1": F.xxhash64("vector"), "h2": F.xxhash64(F.lit(1), "vector")})
     classes = scratch.write(rows.where("vector is not null").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("vector").alias("vector")))
@@ -180,13 +186,19 @@ def near_vectors(df: DataFrame, threshold: float = 0.95, id_col: str = "vec_id",
     centres = fit_centres(_unit(matrix), min(MOST_CENTRES, len(matrix), total // CELL + 1)) if len(matrix) else None
 
     dealt = classes.select(F.col("rep").alias("id"), "copies", "vector")
-    dealt = scratch.write(dealt.mapInArrow(_deal(centres, threshold), "id long, copies long, vector array<double>, size int, cell int, own boolean"))
-    counts = dealt.groupBy("size", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
-    blocked = dealt.join(counts, ["size", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), "n_blocks").cast("int"))
-    tiles = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    tiles = tiles.withColumns({"left": F.least("block", "other"), "right": F.greatest("block", "other")})
+    dealt = scratch.write(dealt.mapInArrow(_deal(centres, threshold), f"id long, copies long, vector {kind}, size int, cell int, own boolean"))
+    blocks = F.ceil(F.count_if("own") / BLOCK).cast("int").alias("n_own"), F.ceil(F.count_if(~F.col("own")) / BLOCK).cast("int").alias("n_guests")
+    counts = dealt.groupBy("size", "cell").agg(*blocks)
+    # Blocks of own vectors are numbered from 0, those of guests from -1 down.
+    hashed = F.xxhash64("id")
+    block = F.when(F.col("own"), F.pmod(hashed, F.greatest("n_own", F.lit(1)))).otherwise(-1 - F.pmod(hashed, F.greatest("n_guests", F.lit(1)))).cast("int")
+    with_own = F.sequence(F.lit(0), F.col("n_own") - 1)
+    with_guests = F.when(F.col("own") & (F.col("n_guests") > 0), F.sequence(-F.col("n_guests"), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    # Without own vectors no pair of the cell is looked at here.
+    tiles = dealt.join(counts, ["size", "cell"]).where("n_own > 0").withColumn("block", block).withColumn("other", F.explode(F.concat(with_own, with_guests)))
+    tiles = tiles.withColumns({"left": F.greatest("block", "other"), "right": F.least("block", "other")})
     found = scratch.write(
-        tiles.select("size", "cell", "left", "right", "id", "copies", "vector", "own", "block").groupBy("size", "cell", "left", "right").applyInArrow(_tile(threshold), "id long, links long, other long")
+        tiles.select("size", "cell", "left", "right", "id", "copies", "vector", "block").groupBy("size", "cell", "left", "right").applyInArrow(_tile(threshold), "id long, links long, other long")
     )
 
     links = found.groupBy("id").agg(F.sum("links").alias("links")).withColumnRenamed("id", "of")
