@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, mixing, ngram_join, quality, secret_scan
-from ledgerloom.llm.tables import Scratch, table
+from ledgerloom.llm.tables import Scratch, table, with_likely
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -31,11 +31,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     An id is one document: of several rows with one, that of the least text stays. Documents without words
     and those without an id have no group and stay.
     """
-    groups = ngram_join.ngram_components(docs, words=5, percent=80)
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    groups = Scratch(spark, "duplicates").write(ngram_join.ngram_components(docs, words=5, percent=80).where("doc_id is not null"))
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    repeated = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    # Only rows that may go are dealt by id; the others stay where they are.
+    to_check = groups.where("doc_id <> component_id").select("doc_id").unionAll(repeated)
+    flagged = with_likely(docs, to_check, "doc_id", "_check").withColumn("_check", F.col("_check") & F.col("doc_id").isNotNull())
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.asc_nulls_first("text")))
-    unique = docs.where("doc_id is not null").withColumn("_place", place).where("_place = 1").drop("_place")
-    return unique.join(first, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    checked = flagged.where("_check").withColumn("_place", place).where("_place = 1").join(first, "doc_id", "left_semi")
+    return flagged.where("not _check").select(*docs.columns).unionByName(checked.select(*docs.columns))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,9 +6,9 @@
    or line that many documents have in common makes no key.
 2. Equal keys, sorted, chain the sets into candidate groups. Keys are dealt by range of (key, set),
    so that a key which a third of all documents share is spread over many tasks.
-3. A candidate group is cut into blocks of bounded size. Signature trees find the links of a block,
-   with one set of the group in all of its blocks.
-4. What that has left unconnected is compared across blocks, again by trees.
+3. A candidate group is cut, in order of size, into blocks of bounded size. Signature trees find the
+   links of a block, with one set of the group in all blocks of like sizes.
+4. What that has left unconnected is compared across blocks of compatible sizes, again by trees.
 
 Documents with equal sets count as one set throughout.
 """
@@ -20,7 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import connected_components, local_stars
@@ -199,28 +199,24 @@ def ngram_components(df: DataFrame, words: int, percent: int, id_col: str = "doc
     """
     scratch = Scratch(df.sparkSession, "ngram")
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signatures = scratch.write(source.mapInArrow(tidy(_signatures(words, percent)), "id long, n_shingles long, set_id long, keys array<long>"))
+    with_keys = scratch.write(source.mapInArrow(tidy(_signatures(words, percent)), "id long, n_shingles long, set_id long, keys array<long>"))
+    signatures = scratch.write(with_keys.drop("keys"))
 
-    keyed = signatures.where("keys is not null").select(F.explode("keys").alias("key"), "set_id")
+    keyed = with_keys.where("keys is not null").select(F.explode("keys").alias("key"), "set_id")
     chains = scratch.write(keyed.repartitionByRange("key", "set_id").sortWithinPartitions("key", "set_id").mapInArrow(tidy(_chains), "a long, b long, key long"))
+    scratch.drop(with_keys)
     ends = chains.where("key is not null").select("key", "a")
     across = ends.join(ends.groupBy("key").agg(F.min("a").alias("b")), "key").select("a", "b")
     clusters = scratch.write(connected_components(chains.where("key is null").select("a", "b").unionAll(across), scratch).withColumnsRenamed({"node": "set_id", "component": "cluster"}))
 
     sets = scratch.write(signatures.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles")))
-    blocks = clusters.join(sets, "set_id").groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("n_blocks"))
-    candidates = scratch.write(clusters.join(sets, "set_id").join(blocks, "cluster"))
-    own = F.pmod(F.xxhash64("set_id"), F.col("n_blocks")).cast("int")
-    placed = (
-        candidates.join(likely_among(source, candidates), "id")
-        .select("cluster", "n_blocks", "set_id", "text", own.alias("own"))
-        .withColumns({"joined": F.lit(None).cast("long"), "side": F.lit(None).cast("long")})
-    )
-    everywhere = F.when(F.col("set_id") == F.col("cluster"), F.sequence(F.lit(0), F.col("n_blocks") - 1)).otherwise(F.array("own"))
-    links = scratch.write(_linked(placed.withColumn("block", F.explode(everywhere)), words, percent))
+    candidates = scratch.write(_in_blocks(clusters.join(sets, "set_id")))
+    texts = likely_among(source, candidates)
+    alone = {"joined": F.lit(None).cast("long"), "side": F.lit(None).cast("long")}
+    links = scratch.write(_linked(_with_hubs(candidates, percent).join(texts, "id").withColumns(alone), words, percent))
 
     final = scratch.write(connected_components(links, scratch))
-    rest = scratch.write(_across_blocks(candidates, final, own))
+    rest = scratch.write(_across_blocks(candidates, final, percent))
     if not rest.isEmpty():
         more = _linked(rest.join(likely_among(source, rest), "id"), words, percent)
         final = connected_components(final.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more), scratch)
@@ -234,18 +230,51 @@ def ngram_components(df: DataFrame, words: int, percent: int, id_col: str = "doc
     )
 
 
-def _across_blocks(candidates: DataFrame, joined: DataFrame, own) -> DataFrame:
-    """Sets of groups with several blocks, once for each pair of blocks in which a pair of sets may be left to look at.
+def _in_blocks(sized: DataFrame) -> DataFrame:
+    """``cluster, block, set_id, id, n_shingles``: a group's sets in order of size, cut into blocks of about
+    ``BLOCK_SHINGLES``; of a size that fills several, by hash."""
+    by_size = sized.groupBy("cluster", "n_shingles").agg(F.sum("n_shingles").alias("held"))
+    before = Window.partitionBy("cluster").orderBy("n_shingles").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.floor(F.coalesce(F.sum("held").over(before), F.lit(0)) / BLOCK_SHINGLES).cast("int")
+    layout = by_size.select("cluster", "n_shingles", first.alias("first"), F.ceil(F.col("held") / BLOCK_SHINGLES).cast("int").alias("n"))
+    block = F.col("first") + F.pmod(F.xxhash64("set_id"), F.col("n")).cast("int")
+    return sized.join(layout, ["cluster", "n_shingles"]).select("cluster", block.alias("block"), "set_id", "id", "n_shingles")
+
+
+def _compatible(lo, hi, other_lo, other_hi, percent: int):
+    """Whether sets of two ranges of sizes may be similar."""
+    return (100 * F.col(hi) >= percent * F.col(other_lo)) & (100 * F.col(other_hi) >= percent * F.col(lo))
+
+
+def _ranges(sets: DataFrame, *more) -> DataFrame:
+    return sets.groupBy("cluster", "block").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"), *more)
+
+
+def _with_hubs(candidates: DataFrame, percent: int) -> DataFrame:
+    """``cluster, block, set_id, id``: every set in its block, and one set of each group in all blocks of like sizes."""
+    hubs = candidates.where("set_id = cluster").select("cluster", "set_id", "id", F.col("n_shingles").alias("n"), F.col("block").alias("own"))
+    copies = hubs.join(_ranges(candidates), "cluster").where((F.col("block") != F.col("own")) & _compatible("lo", "hi", "n", "n", percent))
+    names = ["cluster", "block", "set_id", "id"]
+    return candidates.select(*names).unionByName(copies.select(*names))
+
+
+def _across_blocks(candidates: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+    """Sets once for each pair of blocks in which a pair of sets may be left to look at.
 
-    Sets already connected to the group's common set need to meet only sets that aren't.
+    Blocks are paired if their sizes are compatible; a set doesn't go to a block that is wholly of its component.
     """
-    several = candidates.where("n_blocks > 1").withColumn("own", own)
-    known = several.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("joined", F.coalesce("component", "set_id"))
-    centre = known.where("set_id = cluster").select("cluster", F.col("joined").alias("centre"))
-    known = known.join(centre, "cluster").withColumn("apart", F.col("joined") != F.col("centre"))
-    open_blocks = known.where("apart").select("cluster", F.col("own").alias("other")).distinct()
-    apart = known.where("apart").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    connected = known.where("not apart").join(open_blocks, "cluster")
-    both = apart.unionByName(connected).where("other <> own")
-    pair = F.least("own", "other") * F.col("n_blocks").cast("long") + F.greatest("own", "other")
-    return both.select("cluster", pair.alias("block"), "set_id", "id", "joined", F.col("own").cast("long").alias("side"))
+    known = candidates.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("joined", F.coalesce("component", "set_id"))
+    whole = F.when(F.min("joined") == F.max("joined"), F.min("joined")).alias("whole")
+    blocks = _ranges(known, whole)
+
+    def level(size: str, more: int):
+        return F.floor(F.log(F.col(size)) / F.log(F.lit(100 / percent))).cast("int") + more
+
+    # Similar sizes are at most one level apart; a second makes up for rounding.
+    left = blocks.select("cluster", "block", "lo", "hi", F.explode(F.sequence(level("lo", 0), level("hi", 0))).alias("level"))
+    right = blocks.select("cluster", F.col("block").alias("other"), F.col("lo").alias("other_lo"), F.col("hi").alias("other_hi"), "whole", F.explode(F.sequence(level("lo", -2), level("hi", 2))).alias("level"))
+    pairs = left.join(right, ["cluster", "level"]).where((F.col("block") != F.col("other")) & _compatible("lo", "hi", "other_lo", "other_hi", percent))
+    pairs = pairs.select("cluster", "block", "other", "whole").distinct()
+    open_rows = known.join(pairs, ["cluster", "block"]).where(F.col("whole").isNull() | (F.col("whole") != F.col("joined")))
+    pair = F.least("block", "other").cast("long") * 2**31 + F.greatest("block", "other")
+    return open_rows.select("cluster", pair.alias("block"), "set_id", "id", "joined", F.col("block").cast("long").alias("side"))

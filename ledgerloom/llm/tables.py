@@ -58,11 +58,11 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def likely_among(rows: DataFrame, ids: DataFrame, column: str = "id") -> DataFrame:
-    """The rows of ``rows`` whose ``column`` may be one of ``ids``; those that are stay, most others go.
+def with_likely(rows: DataFrame, ids: DataFrame, column: str, flag: str) -> DataFrame:
+    """``rows`` with a column ``flag``: false only where ``column`` is none of ``ids``, and mostly so there.
 
-    Ids set bits by hash in 8 MB of bitmaps, whatever their number, which are broadcast; an exact join may
-    follow, and then deals little but what it keeps. With very many ids all bits are set and all rows stay.
+    Ids set bits by hash in 8 MB of bitmaps, whatever their number, which are broadcast. With very many ids
+    all bits are set and every row may be one of them; what follows on the likely rows has to be exact.
     """
     slot = F.pmod(F.xxhash64(column), F.lit(_BITMAP * _BITMAPS))
     bucket, position = F.call_function("div", slot, F.lit(_BITMAP)), slot % _BITMAP
@@ -70,5 +70,13 @@ def likely_among(rows: DataFrame, ids: DataFrame, column: str = "id") -> DataFra
     byte = F.conv(F.hex(F.substring("_bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     mask = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (position % 8).cast("int") + 1)
     # At most _BITMAPS rows of 4 KB.
-    near = rows.join(F.broadcast(bitmaps), bucket == F.col("_bucket"))
-    return near.where(byte.bitwiseAND(mask) != 0).select(*rows.columns)
+    near = rows.join(F.broadcast(bitmaps), bucket == F.col("_bucket"), "left")
+    return near.select(*rows.columns, F.coalesce(byte.bitwiseAND(mask) != 0, F.lit(False)).alias(flag))
+
+
+def likely_among(rows: DataFrame, ids: DataFrame, column: str = "id") -> DataFrame:
+    """The rows of ``rows`` whose ``column`` may be one of ``ids``; those that are stay, most others go.
+
+    An exact join may follow, and then deals little but what it keeps.
+    """
+    return with_likely(rows, ids, column, "_likely").where("_likely").drop("_likely")

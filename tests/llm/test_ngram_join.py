@@ -75,6 +75,20 @@ def test_edge_cases(spark):
     assert run(spark, [], 3, 90) == []
 
 
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (2, 60)])
+def test_groups_of_many_blocks_and_sizes(spark, monkeypatch, n, percent):
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 150)
+    rnd = random.Random(percent)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(90):
+        words = base[: rnd.choice([40, 44, 50, 60, 75, 90])]
+        for at in rnd.sample(range(len(words)), rnd.choice([0, 1, 4])):
+            words[at] = f"n{k}"
+        rows.append((k, " ".join(words)))
+    assert run(spark, rows, n, percent) == brute(rows, n, percent)
+
+
 def test_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 300)
     rnd = random.Random(3)
