@@ -1,10 +1,11 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-A paragraph is a line. Its features are the word uni- and bigrams that templates have; a multinomial
-logistic regression over the licence families and an unknown class is trained on varied templates against
-a bounded sample of the corpus's own lines, and its probabilities are calibrated by temperature on
-lines held out from training. A prediction counts as confirmed if the line has enough of one of the
-family's templates.
+A paragraph is a line, or in a longer line each of the overlapping windows of ``WINDOW`` words that cover it,
+so that what stands around a notice doesn't outweigh it. Its features are the word uni- and bigrams that
+templates have; a multinomial logistic regression over the licence families and an unknown class is trained
+on varied templates, alone and inside windows of text, against windows of a bounded sample of the corpus's
+own lines, and its probabilities are calibrated by temperature on examples held out from training. A
+prediction counts as confirmed if the words in and beside the window have enough of one of the family's templates.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,8 @@ from ledgerloom.llm.words import flat_bytes, mix64, span_hashes, tidy
 
 SAMPLE_DOCUMENTS = 1500  # whose lines are the background, about
 SAMPLE_LINES = 6000  # lines of background at most
+WINDOW = 24  # words that are scored together
+STRIDE = 8  # words from one window to the next
 LEAST_PROBABILITY = 0.5
 LEAST_CONTAINMENT = 0.5  # of a template's bigrams, for a prediction to be confirmed
 _TEXT_BYTES = 1 << 20
@@ -130,6 +134,11 @@ def _ngrams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate([words, both]), np.concatenate([line, line[:-1][pairs]])
 
 
+def _covers(n: np.ndarray) -> np.ndarray:
+    """How many windows cover lines of so many words; the last may be shorter."""
+    return 1 + np.maximum(0, -(-(n - WINDOW) // STRIDE))
+
+
 @dataclass
 class Model:
     families: list[str]
@@ -165,8 +174,33 @@ class Model:
         return z / z.sum(axis=1, keepdims=True)
 
     def score(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Class and probability of every line; lines without a template's n-gram are unknown."""
-        line, at, total = self.counts(raw, offsets)
+        """Class and probability of every line as a whole; lines without a template's n-gram are unknown."""
+        return self.classify(*self.counts(raw, offsets))
+
+    def score_windows(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Line, first word in it, class and probability of every window, from the hashes of all words and where lines begin."""
+        n = np.diff(first)
+        many = _covers(n)
+        base = np.concatenate(([0], np.cumsum(many)))
+        line = np.repeat(np.arange(len(n)), many)
+        begin = (np.arange(base[-1]) - base[line]) * STRIDE
+        of_word = np.repeat(np.arange(len(n)), n)
+        both = mix64(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])
+        rows, ats = [], []
+        for size, grams in ((1, words), (2, both)):
+            at = self.lookup(grams)
+            hit = np.flatnonzero(at >= 0)
+            hit = hit[of_word[hit] == of_word[hit + size - 1]]
+            offset = hit - first[of_word[hit]]
+            low = np.maximum(0, -((WINDOW - size - offset) // STRIDE))
+            times = np.minimum(many[of_word[hit]] - 1, offset // STRIDE) - low + 1
+            within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            rows.append(np.repeat(base[of_word[hit]] + low, times) + within)
+            ats.append(np.repeat(at[hit], times))
+        total = np.maximum(0, 2 * np.minimum(WINDOW, n[line] - begin) - 1)
+        return line, begin, *self.classify(np.concatenate(rows), np.concatenate(ats), total)
+
+    def classify(self, line: np.ndarray, at: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         kind, probability = np.full(len(total), len(self.families)), np.ones(len(total))
         lines, where = np.unique(line, return_inverse=True)
         if len(lines):
@@ -188,6 +222,18 @@ def _lines(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return flat_bytes(pa.array(texts, pa.string()))
 
 
+def _pieces(texts: list[str]) -> list[str]:
+    """Texts cut into windows that don't overlap."""
+    return [" ".join(words[at : at + WINDOW]) for words in map(_words, texts) for at in range(0, len(words), WINDOW)]
+
+
+def _within(text: str, around: str, rnd: np.random.Generator) -> str:
+    """A text somewhere in others' words, a window together."""
+    words = around.split()[: max(0, WINDOW - len(_words(text)))]
+    cut = rnd.integers(0, len(words) + 1)
+    return " ".join([*words[:cut], text, *words[cut:]])
+
+
 def _varied(text: str, rnd: np.random.Generator) -> str:
     """A template with other numbers, words left out, and others around it."""
     words = [w if not w.isdigit() or rnd.random() < 0.5 else str(rnd.integers(1, 5)) for w in re.findall(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]+", text)]
@@ -207,7 +253,12 @@ def train(background: list[str], seed: int = 7, variants: int = 40, steps: int =
         for template in TEMPLATES[family]:
             lines += [template, *(_varied(template, rnd) for _ in range(variants))]
             labels += [number] * (variants + 1)
-    others = [t for t in NOT_TEMPLATES for _ in range(8)] + [t for t in sorted(set(background)) if best_template(t, None)[1] < 0.3]
+    plain = [t for t in sorted(set(_pieces(background))) if best_template(t, None)[1] < 0.3]
+    plain = [plain[k] for k in np.sort(rnd.permutation(len(plain))[:SAMPLE_LINES])]
+    if plain:
+        labels += labels
+        lines += [_within(line, plain[rnd.integers(0, len(plain))], rnd) for line in lines]
+    others = [t for t in NOT_TEMPLATES for _ in range(8)] + plain
     lines, labels = lines + others, np.array(labels + [len(families)] * len(others))
     model = Model(families, grams, np.zeros((len(grams), len(families) + 1)), np.zeros(len(families) + 1), 1.0)
     line, at, total = model.counts(*_lines(lines))
@@ -237,8 +288,12 @@ def train(background: list[str], seed: int = 7, variants: int = 40, steps: int =
     return model
 
 
+def _words(text: str) -> list[str]:
+    return _TOKEN.findall(text.lower())
+
+
 def _bigrams(text: str) -> set[tuple[str, ...]]:
-    words = _TOKEN.findall(text.lower())
+    words = _words(text)
     return set(zip(words[:-1], words[1:], strict=True)) or {tuple(words)}
 
 
@@ -251,6 +306,68 @@ def best_template(line: str, family: str | None) -> tuple[str, float]:
     return max(((f, len(t & has) / len(t)) for f, t in _TEMPLATE_BIGRAMS if family in (None, f)), key=lambda x: x[1])
 
 
+_LONGEST = max(len(pairs) for _, pairs in _TEMPLATE_BIGRAMS) + 1
+
+
+@dataclass
+class Notice:
+    family: str
+    probability: float
+    similarity: float
+    first: int  # word of the line, and the one after the last
+    end: int
+
+
+def _closest(words: list[str], free: list[bool], family: str, begin: int, end: int, probability: float) -> Notice:
+    """The notice of a family in and beside words from ``begin`` to ``end``: those close to one another that have most of a template."""
+    low, high = max(0, begin - _LONGEST), min(len(words), end + _LONGEST)
+    best = (0.0, 0), Notice(family, probability, 0.0, begin, end)
+    for pairs in (t for f, t in _TEMPLATE_BIGRAMS if f == family):
+        at = [k for k in range(low, high - 1) if free[k] and free[k + 1] and (words[k], words[k + 1]) in pairs]
+        reach = max(2 * len(pairs), WINDOW)
+        for i, start in enumerate(at):
+            has = set()
+            for k in at[i:]:
+                if k - start >= reach:
+                    break
+                has.add((words[k], words[k + 1]))
+                if (rank := (len(has) / len(pairs), start - k)) > best[0]:
+                    best = rank, Notice(family, probability, rank[0], start, k + 2)
+    return best[1]
+
+
+def line_notices(model: Model, words: list[str], windows: list[tuple[int, int, str, float]]) -> list[Notice]:
+    """The notices in a line's words, one of each family at most, from the windows (first word, end, family, probability) given to a family.
+
+    The most similar counts first, and its words for no other, so that windows with a part of a notice don't add
+    families. What is left beside a confirmed notice is scored again by itself.
+    """
+    free, found, weak = [True] * len(words), {}, []
+    todo = [(w, False) for w in windows]
+    while todo:
+        near = [(_closest(words, free, family, begin, end, p), begin, end, again) for (begin, end, family, p), again in todo]
+        near = sorted(near, key=lambda x: (-x[0].similarity, -x[0].probability, x[1]))
+        best = near[0][0]
+        if best.similarity < LEAST_CONTAINMENT:
+            weak = [(x, begin, end) for x, begin, end, again in near if not again]
+            break
+        found.setdefault(best.family, best)
+        free[best.first : best.end] = [False] * (best.end - best.first)
+        todo = [((begin, end, x.family, x.probability), again) for x, begin, end, again in near[1:] if all(free[begin:end]) or x.similarity >= LEAST_CONTAINMENT]
+        for begin, end in ((max(0, best.first - WINDOW), best.first), (best.end, min(len(words), best.end + WINDOW))):
+            while begin < end and not free[begin]:
+                begin += 1
+            while begin < end and not free[end - 1]:
+                end -= 1
+            kind, probability = model.score(*_lines([" ".join(words[begin:end])]))
+            if kind[0] < len(model.families) and probability[0] >= LEAST_PROBABILITY:
+                todo.append(((begin, end, model.families[kind[0]], float(probability[0])), True))
+    for x, begin, end in weak:
+        if all(free[begin:end]):
+            found.setdefault(x.family, x)
+    return sorted(found.values(), key=lambda x: (x.first, x.family))
+
+
 def background_lines(df: DataFrame, id_col: str, text_col: str) -> list[str]:
     """Lines of about ``SAMPLE_DOCUMENTS`` documents, those with the least hashes of their ids; ``SAMPLE_LINES`` at most."""
     total = df.count()
@@ -264,7 +381,7 @@ def background_lines(df: DataFrame, id_col: str, text_col: str) -> list[str]:
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and ``licenses`` of every row: line (from 0), family, probability, similarity and whether confirmed,
-    for all lines of the whole text that the classifier gives to a family.
+    for all lines of the whole text in which the classifier gives a window to a family, once for each family.
 
     Lines end at line feeds. Null and empty texts have none. Rows are independent but for the training sample,
     so repeated rows and null ids give a row each; other columns aren't read. An empty table gives an empty result.
@@ -279,15 +396,18 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         cuts = np.concatenate([offsets[:-1], ends])
         cuts.sort(kind="stable")
         bounds = np.append(cuts, len(raw))
-        kind, probability = model.score(raw, bounds)
+        starts, ends, first = _spans(raw, bounds)
+        line, begin, kind, probability = model.score_windows(span_hashes(raw, starts, ends, lower=True), first)
+        hits = np.flatnonzero((kind != unknown) & (probability >= LEAST_PROBABILITY))
         out: list[list[dict]] = [[] for _ in range(len(offsets) - 1)]
-        for k in np.flatnonzero((kind != unknown) & (probability >= LEAST_PROBABILITY)).tolist():
+        for k, windows in groupby(hits.tolist(), key=lambda h: int(line[h])):
             # Of texts that begin where this line does, all but the last are empty.
             text = int(np.searchsorted(offsets, bounds[k], side="right")) - 1
-            family = model.families[kind[k]]
-            similarity = best_template(raw[bounds[k] : bounds[k + 1]].tobytes().decode(), family)[1]
             number = k - int(np.searchsorted(cuts, offsets[text], side="right")) + 1
-            out[text].append({"line": number, "family": family, "probability": float(probability[k]), "similarity": similarity, "confirmed": similarity >= LEAST_CONTAINMENT})
+            words = [raw[a:b].tobytes().decode().lower() for a, b in zip(starts[first[k] : first[k + 1]].tolist(), ends[first[k] : first[k + 1]].tolist(), strict=True)]
+            given = [(int(begin[h]), min(int(begin[h]) + WINDOW, len(words)), model.families[kind[h]], float(probability[h])) for h in windows]
+            for x in line_notices(model, words, given):
+                out[text].append({"line": number, "family": x.family, "probability": x.probability, "similarity": x.similarity, "confirmed": x.similarity >= LEAST_CONTAINMENT})
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

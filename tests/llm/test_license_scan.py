@@ -68,3 +68,29 @@ def test_unknown_lines(model):
     texts = [prose(rnd, 30) for _ in range(500)] + ["The license plate of the car was blue.", "Version 4 of the story is the last", "He works for the public."]
     kind, probability = model.score(*ls._lines(texts))
     assert not [t for t, k, p in zip(texts, kind, probability, strict=True) if k < len(model.families) and p >= ls.LEAST_PROBABILITY]
+
+
+@pytest.mark.parametrize("around", [20, 50, 100, 400, 5000])
+def test_notices_inside_long_lines(spark, around):
+    rnd = random.Random(around)
+    rows, expected = [], {}
+    for k in range(60):
+        words = prose(rnd, around).split(" ")
+        expected[k] = []
+        if k % 2:
+            notice = rnd.choice(list(NOTICES))
+            words.insert(rnd.randrange(len(words) + 1), notice)
+            expected[k] = [(0, NOTICES[notice])]
+        rows.append((k, " ".join(words), "x", "y"))
+    found = ls.scan_licenses(spark.createDataFrame(rows, SCHEMA).repartition(2)).collect()
+    assert {r["doc_id"]: [(x["line"], x["family"]) for x in r["licenses"] if x["confirmed"]] for r in found} == expected
+
+
+def test_several_notices_in_one_line(spark):
+    rnd = random.Random(5)
+    both = "Licensed under the Mozilla Public License, Version 2.0. Licensed under the Apache License, Version 2.0."
+    far = " ".join([prose(rnd, 150), "Released under the MIT License.", prose(rnd, 150), "Licensed under CC BY-NC 4.0.", prose(rnd, 150), "Released under the MIT License."])
+    rows = [(1, both), (2, f"{prose(rnd, 100)} {both} {prose(rnd, 100)}"), (3, far), *((10 + k, prose(rnd, 100)) for k in range(100))]
+    found = ls.scan_licenses(spark.createDataFrame([(d, t, "x", "y") for d, t in rows], SCHEMA).coalesce(1)).collect()
+    got = {r["doc_id"]: sorted(x["family"] for x in r["licenses"] if x["confirmed"]) for r in found if r["licenses"]}
+    assert got == {1: ["apache", "mozilla"], 2: ["apache", "mozilla"], 3: ["creative-commons", "mit"]}
