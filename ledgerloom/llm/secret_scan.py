@@ -29,7 +29,8 @@ _ASSIGN_MIN = 6
 # A run that is too short holds no longer run, so the least length can stand in the pattern here.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_KEY_LIKE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{{{MIN_RANDOM_CHARS},}}={{0,2}}")
+# What follows "=" is a value; "=" itself belongs to a run as its padding only.
+_KEY_LIKE = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{MIN_RANDOM_CHARS},}}(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?")
 _UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,8}")

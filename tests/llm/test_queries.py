@@ -108,3 +108,16 @@ def test_scan_of_made_up_secrets():
     for known in ("d41d8cd98f00b204e9800998ecf8427E".upper(), "123e4567-E89B-12d3-a456-426614174000", "internationalization_of_identifiers", "20240101-20240102-20240103", "docs/getting-started/installation"):
         assert not [k for k, _ in kinds(f"see {known} there") if k == "random"], known
     assert ss.mask_spans("a token=abcdef0123456789abcdef012345 b", ss.find_spans("a token=abcdef0123456789abcdef012345 b", encoding, 2.0)) == "a [assign] b"
+
+
+def test_scan_of_random_values_after_an_equals_sign():
+    from ledgerloom.llm import secret_scan as ss
+
+    encoding = ss._encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    value = "Zx81kQpLm39fTTuv82AbXcQ9"
+    for before, after in [("client_key=", ""), ("https://a.example/x?sig=", "&n=1"), ("AWS_SECRET_ACCESS_KEY=", " end"), ("name = ", "=="), ("a=b=", "")]:
+        text = before + value + after
+        assert [(k, text[a:b].rstrip("=")) for k, a, b in ss.find_spans(text, encoding, ss.MAX_CHARS_PER_TOKEN)] == [("random", value)], text
+        assert value not in ss.mask_spans(text, ss.find_spans(text, encoding, ss.MAX_CHARS_PER_TOKEN))
+    for plain in ("name=internationalization_of_identifiers", "a_long_name_of_a_setting=some_long_value_of_a_setting"):
+        assert ss.find_spans(plain, encoding, ss.MAX_CHARS_PER_TOKEN) == []
