@@ -2,7 +2,8 @@
 
 A tokenizer's vocabulary holds what is frequent in real text, so words cost few tokens and
 random strings many. A run of key-like characters whose characters per token fall below a
-threshold is reported, unless it is a digest of a known length, a UUID or a plain identifier.
+threshold is reported, unless by its form it is a digest of a known length, a UUID, a number or dates, or
+it is an identifier: words that by themselves are above the threshold, and fewer digits than letters.
 """
 
 from __future__ import annotations
@@ -34,6 +35,12 @@ _KEY_LIKE = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{MIN_RANDOM_CHARS
 _UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,8}")
+_MONTH, _DAY = "(?:0[1-9]|1[0-2])", "(?:0[1-9]|[12][0-9]|3[01])"
+_TIME = "(?:[01][0-9]|2[0-3])[-_]?[0-5][0-9](?:[-_]?[0-5][0-9](?:[-_]?[0-9]{1,9})?)?Z?"
+# Years, months, days in either order, and times behind days.
+_DATE = re.compile(
+    rf"(?<![A-Za-z0-9])(?:(?:19|20)[0-9]{{2}}(?:[-_/]?{_MONTH}[-_/]?{_DAY}(?:[-_T]?{_TIME})?|[-_/]{_MONTH})?|[0-3]?[0-9][-_/][0-3]?[0-9][-_/](?:19|20)[0-9]{{2}})(?![A-Za-z0-9])"
+)
 
 
 @lru_cache(maxsize=2)
@@ -48,12 +55,42 @@ def _encoding(vocabulary: str, pattern: str):
 
 
 def is_known(run: str) -> bool:
-    """Digests, UUIDs, numbers and identifiers made of words and short numbers."""
+    """Digests, UUIDs, numbers and dates by their form."""
     body = run.rstrip("=")
     if body.isdigit() or _UUID.fullmatch(body) or (len(body) in DIGEST_LENGTHS and _HEX_ONLY.fullmatch(body)):
         return True
-    parts = [p for p in re.split(r"[-_/+]+", body) if p]
-    return all(_PART.fullmatch(p) for p in parts)
+    return not _DATE.sub("", body).strip("-_/+")
+
+
+def is_identifier(run: str, encoding, max_chars_per_token: float) -> bool:
+    """Words of real text, dates and short numbers, with more letters than digits outside dates."""
+    parts = [p for p in re.split(r"[-_/+]+", _DATE.sub("", run.rstrip("="))) if p]
+    words = [p for p in parts if not p.isdigit()]
+    letters = sum(map(len, words))
+    if not all(_PART.fullmatch(p) for p in parts) or sum(map(len, parts)) >= 2 * max(1, letters):
+        return False
+    return letters >= max_chars_per_token * sum(len(encoding.encode_ordinary(w)) for w in words)
+
+
+def _is_random(pieces: list[str], encoding, max_chars_per_token: float) -> bool:
+    """Whether a run's pieces together have few characters a token; known forms and identifiers don't count."""
+    tokens = [len(encoding.encode_ordinary(p)) for p in pieces]
+    if sum(map(len, pieces)) >= max_chars_per_token * sum(tokens):
+        return False
+    return any(not is_known(p) and not is_identifier(p, encoding, max_chars_per_token) for p in pieces)
+
+
+def _outside(text: str, start: int, end: int, base: list[tuple[int, int]]) -> list[str]:
+    """The pieces of a run that no base finding covers; all of it if there is none."""
+    pieces, at = [], start
+    for low, high in base:
+        if low < end and at < high:
+            pieces.append(text[at : max(at, low)])
+            at = high
+    if at == start:
+        return [text[start:end]]
+    pieces.append(text[at:end])
+    return [p for p in pieces if p.strip("-_/+=")]
 
 
 def find_spans(text: str, encoding, max_chars_per_token: float) -> list[tuple[str, int, int]]:
@@ -63,9 +100,8 @@ def find_spans(text: str, encoding, max_chars_per_token: float) -> list[tuple[st
     found += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
     base = sorted((start, end) for _, start, end in found)
     for m in _KEY_LIKE.finditer(text):
-        if any(start < m.end() and m.start() < end for start, end in base) or is_known(m[0]):
-            continue
-        if len(m[0]) < max_chars_per_token * len(encoding.encode_ordinary(m[0])):
+        # Base findings inside a run don't hide the rest of it: that decides, and the run is reported whole.
+        if _is_random(_outside(text, m.start(), m.end(), base), encoding, max_chars_per_token):
             found.append(("random", m.start(), m.end()))
     return sorted(found, key=lambda span: (span[1], KINDS.index(span[0])))
 

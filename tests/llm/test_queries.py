@@ -121,3 +121,26 @@ def test_scan_of_random_values_after_an_equals_sign():
         assert value not in ss.mask_spans(text, ss.find_spans(text, encoding, ss.MAX_CHARS_PER_TOKEN))
     for plain in ("name=internationalization_of_identifiers", "a_long_name_of_a_setting=some_long_value_of_a_setting"):
         assert ss.find_spans(plain, encoding, ss.MAX_CHARS_PER_TOKEN) == []
+
+
+def test_scan_of_random_strings_without_mixed_parts():
+    from ledgerloom.llm import secret_scan as ss
+
+    encoding = ss._encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+    def kinds(text):
+        return [(k, text[a:b]) for k, a, b in ss.find_spans(text, encoding, ss.MAX_CHARS_PER_TOKEN)]
+
+    for secret in ("qzxkvjwpfmtbhgdrnlsyqkjx", "QZXKVJWPFMTBHGDRNLSYQKJX", "XKCD-QWZP-JVBN-RTGF-PLMN", "QZKV-48213975-XJWP-75391846", "4821-9375-1028-5566-7391"):
+        assert kinds(f"key {secret} end") == [("random", secret)]
+    for plain in (
+        "MAX_CHARS_PER_TOKEN_LIMIT", "version-1-2-3-20240101", "2024-01-01_12-30-45-123456", "31-12-2024/01-01-2025/15-02-2025", "20240101T123045-20240102T093000Z", "12345678901234567890123",
+        "AWS_SECRET_ACCESS_KEY", "--------------------------", "________________________==", "Donaudampfschifffahrtsgesellschaft",
+    ):
+        assert kinds(f"see {plain} there") == [], plain
+    digits = "0123456789abcdef01234567"
+    run = f"Zx81kQpLm39f-{digits}Q-TTuv82AbXcQ9"
+    assert kinds(f"key {run} end") == [("random", run), ("hex", digits)]
+    assert ss.mask_spans(f"key {run} end", ss.find_spans(f"key {run} end", encoding, 2.0)) == "key [random] end"
+    assert kinds(f"at https://a.example/docs/getting-started/{digits} there") == [("hex", digits)]
+    assert kinds(f"name my_secret_token={digits}") == [("assign", f"secret_token={digits}"[7:]), ("hex", digits)]
