@@ -17,8 +17,7 @@ def ingest_new_runs(
     checkpoint: str,
     *,
     max_files_per_trigger: int = 10_000,
-    max_file_age: str = "800d",
-    log_retention: str = "800d",
+    max_file_age: str = "36500d",
 ) -> StreamingQuery:
     """Appends the files that landed since the last call and returns when done.
 
@@ -30,11 +29,10 @@ def ingest_new_runs(
     A batch takes at most ``max_files_per_trigger`` files, so that a backlog is
     not repeated whole when it fails. ``max_file_age`` is the horizon for late
     files, counted back from the newest one seen: Spark's usual week would
-    silently skip a run that is copied in with older file times. The driver
-    keeps the names of the files within it, and the sink's log those of bronze
-    files younger than ``log_retention``, by which time bronze should have been
-    rebuilt by the batch job in a new folder; both grow with the rate of
-    landing, not with the age of the lake. ``latestFirst`` stays off.
+    silently skip a run that is copied in with older file times. The price of a
+    long one is that the driver keeps the names of all landed files. The sink's
+    log has no retention, since readers of ``bronze`` no longer see files that
+    it drops; it grows with the bronze files. ``latestFirst`` stays off.
     """
     check_disjoint(spark, [raw], [bronze, checkpoint])
     stream = spark.readStream.schema(RAW_SCHEMA).options(
@@ -43,7 +41,6 @@ def ingest_new_runs(
     query = (
         stream.parquet(raw_glob(raw))
         .writeStream.format("parquet")
-        .option("retention", log_retention)
         .option("path", bronze)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

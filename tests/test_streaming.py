@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import json
 import os
 import time
 
@@ -44,6 +45,34 @@ def test_files_with_an_old_time_are_not_skipped(spark, transactions, tmp_path):
     assert bronze_ids(spark, bronze) == [1, 2]
 
 
+def test_nothing_is_lost_after_years(spark, transactions, tmp_path):
+    raw, bronze, checkpoint = (str(tmp_path / name) for name in ("raw", "bronze", "checkpoint"))
+    years = 2000 * 24 * 3600
+    interval = "spark.sql.streaming.fileSink.log.compactInterval"
+    spark.conf.set(interval, "2")
+    try:
+        land_run(transactions({"transaction_id": 1}), raw, "run_1")
+        ingest_new_runs(spark, raw, bronze, checkpoint)
+        # As if the first batch had been written years ago.
+        log = f"{bronze}/_spark_metadata/0"
+        version, *entries = open(log).read().splitlines()
+        entries = [json.loads(entry) for entry in entries]
+        with open(log, "w") as file:
+            file.write("\n".join([version, *(json.dumps(e | {"modificationTime": e["modificationTime"] - years * 1000}) for e in entries)]))
+        for crc in glob.glob(f"{bronze}/_spark_metadata/.0.crc"):
+            os.remove(crc)
+        for n in (2, 3, 4):
+            run = land_run(transactions({"transaction_id": n}), raw, f"run_{n}")
+            if n == 3:
+                for file in glob.glob(f"{run}/*"):
+                    os.utime(file, (time.time() - years,) * 2)
+            ingest_new_runs(spark, raw, bronze, checkpoint)
+    finally:
+        spark.conf.unset(interval)
+    assert glob.glob(f"{bronze}/_spark_metadata/*.compact")
+    assert bronze_ids(spark, bronze) == [1, 2, 3, 4]
+
+
 def test_a_backlog_is_split_into_batches(spark, transactions, tmp_path):
     raw, bronze, checkpoint = (str(tmp_path / name) for name in ("raw", "bronze", "checkpoint"))
     for n in range(5):
