@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 # What tags and words in class, id and role mean.
 _UNREAD = "script|style|noscript|template|svg|math|iframe|object|select|textarea|button|datalist|canvas|audio|video|map|title"
+_TO_THE_END = frozenset("script style title textarea".split())  # without an end tag, these take the rest of the page
 _APART = frozenset("nav footer aside form dialog menu".split())
 _ARTICLE = frozenset("article main".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -43,11 +44,15 @@ _HEADER_WORDS = frozenset("header".split())
 _ARTICLE_WORDS = frozenset("articlebody".split())
 
 _MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<unread>{_UNREAD})\b[^>]*(?<!/)>.*?(?:</(?P=unread)\s*>|\Z)|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<(?P<unread>{_UNREAD})(?=[\s/>])[^>]*(?<!/)>|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.IGNORECASE | re.DOTALL,
 )
-_NAMED = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""\shidden(?=[\s=/]|\Z)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
+_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in _UNREAD.split("|")}
+_ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+_NAMING = frozenset("class id role itemprop".split())
+_HIDING = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+# A class that begins so says what the element has or lacks, not what it is.
+_MENTIONS = frozenset("has have with without no not hide hides show shows".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "apart", "article", "heading")
@@ -186,14 +191,28 @@ class Block:
     heading: bool
 
 
-@lru_cache(maxsize=4096)
-def _meaning(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+def _read_meaning(tag: str, attributes: str) -> tuple[bool, bool, bool]:
     """Whether an element is something other than text, an article, or a header."""
-    words = {w.lower() for m in _NAMED.finditer(attributes) for w in _WORD.findall(m[1] or m[2] or m[3] or "")}
-    apart = tag in _APART or not words.isdisjoint(_APART_WORDS) or _HIDDEN.search(attributes) is not None
+    words, hidden = set(), False
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name.rsplit("-", 1)[-1] in _NAMING:
+            for token in value.split():
+                found = [w.lower() for w in _WORD.findall(token)]
+                words.update(found if found and found[0] not in _MENTIONS else ())
+        hidden = hidden or name == "hidden" or (name == "aria-hidden" and value.lower().startswith("true")) or (name == "style" and _HIDING.search(value) is not None)
+    apart = tag in _APART or not words.isdisjoint(_APART_WORDS) or hidden
     return apart, tag in _ARTICLE or not words.isdisjoint(_ARTICLE_WORDS), tag == "header" or not words.isdisjoint(_HEADER_WORDS)
 
 
+_kept_meaning = lru_cache(maxsize=4096)(_read_meaning)
+
+
+def _meaning(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+    """What :func:`_read_meaning` says; that of long attributes isn't kept."""
+    return _kept_meaning(tag, attributes) if len(attributes) < 2000 else _read_meaning(tag, attributes)
+
+
 class _Reader:
     def __init__(self):
         self.blocks: list[Block] = []
@@ -225,7 +244,7 @@ class _Reader:
         if tag == "br" or tag in ("td", "th"):
             self.parts.append(" ")
         named = attributes and not attributes.isspace()
-        apart, article, header = _meaning(tag, attributes if named and len(attributes) < 2000 else "")
+        apart, article, header = _meaning(tag, attributes if named else "")
         if tag in _VOID or attributes.endswith("/"):
             if tag in _BLOCK:
                 self.end_block()
@@ -256,16 +275,24 @@ class _Reader:
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order; scripts, styles, controls, markup and markup's comments are in none."""
-    reader, at = _Reader(), 0
-    for m in _MARKUP.finditer(page):
+    reader, at, endless = _Reader(), 0, set()
+    while m := _MARKUP.search(page, at):
         reader.text(page[at : m.start()])
         at = m.end()
-        tag = m["tag"]
-        if tag:
+        if m["unread"]:
+            name = m["unread"].lower()
+            end = None if name in endless else _END[name].search(page, at)
+            if end:
+                at = end.end()
+            elif name in _TO_THE_END:
+                at = len(page)
+            else:
+                endless.add(name)
+        elif m["tag"]:
             if m["close"]:
-                reader.end(tag.lower())
+                reader.end(m["tag"].lower())
             else:
-                reader.start(tag.lower(), m["attributes"])
+                reader.start(m["tag"].lower(), m["attributes"])
     reader.text(page[at:])
     reader.end_block()
     return reader.blocks

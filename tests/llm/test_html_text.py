@@ -67,3 +67,35 @@ def test_edge_cases(spark):
     assert found.columns == ["page_id", "url", "words", "text"]
     assert sorted((r["page_id"] or 0, len(r["text"])) for r in found.collect()) == [(0, 1), (1, 0), (2, 0), (3, 799_999), (3, 799_999)]
     assert html_text.extract_text(df.limit(0)).collect() == []
+
+
+TEXT = " ".join(["word"] * 40)
+
+
+@pytest.mark.parametrize("long", ["style='" + "color: red; " * 300 + "'", 'data-x="' + "<p class=ad> " * 300 + '"'])
+def test_long_attributes(long):
+    assert main(f"<p>{TEXT}</p><div {long} class=sidebar>{TEXT} aside</div><p>{TEXT} end</p>") == f"{TEXT}\n{TEXT} end"
+    assert main(f"<p>{TEXT}</p><div {long} hidden>{TEXT} aside</div><p>{TEXT} end</p>") == f"{TEXT}\n{TEXT} end"
+    assert main(f"<div {long} itemprop=articlebody><p>one</p><p>two</p></div>") == "one\ntwo"
+    assert main(f"<div {long}>{TEXT}</div>") == TEXT
+
+
+@pytest.mark.parametrize("tag", ["video-player", "map-view", "button-group", "object:x"])
+def test_custom_elements_are_read(tag):
+    assert main(f"<article><{tag} src=x></{tag}><p>body one two</p><{tag}>inside</{tag}></article>") == "body one two\ninside"
+
+
+@pytest.mark.parametrize("tag", ["button", "object", "map", "video", "svg"])
+def test_unread_elements_without_an_end(tag):
+    assert main(f"<article><p>one two</p><{tag} a=b><p>three</p><{tag}><p>four</p></article>") == "one two\nthree\nfour"
+    assert main(f"<article><{tag}>not read</{tag.upper()} ><p>three</p></article>") == "three"
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "title", "textarea"])
+def test_elements_that_take_the_rest_of_the_page(tag):
+    assert main(f"<article><p>one two</p><{tag}><p>three</p></article>") == "one two"
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "with-nav page", "layout no-comments", "hasSidebar"])
+def test_wrappers_that_only_mention_a_word(name):
+    assert main(f"<div class='{name}'><p>{TEXT}</p><div class='sidebar'>{TEXT} aside</div><p>{TEXT} end</p></div>") == f"{TEXT}\n{TEXT} end"
