@@ -26,8 +26,9 @@ from ledgerloom.llm.tables import Scratch
 WEIGHTS = (5, 2, 1)  # of the sources in order, repeating
 BLOCK_WORDS = 50_000
 MAX_BLOCKS = 4096  # of one source; beyond it blocks hold more words
-_FILLERS = 32  # documents that fill up the block taken in part
+_FILLERS = 32  # documents chosen by size for the block taken in part
 
+_RUNS = "array<struct<first:long,last:long,least:long,most:long>>"
 _DRAWS = "array<struct<epoch:int,shard:int,place:bigint>>"
 
 
@@ -79,32 +80,69 @@ def _split_level(seed: int):
     return split
 
 
-def _fill(part: pd.DataFrame) -> pd.DataFrame:
-    """Which documents of one source's last block make up the words left: those before a hash, and a few more."""
-    part = part.groupby("h2", as_index=False).agg({"size": "sum", "number": "first", "words_left": "first"}).sort_values("h2")
-    left = float(part["words_left"].iloc[0])
+def _walk(hashes: np.ndarray, sizes: np.ndarray, picked: np.ndarray, left: float) -> tuple[list[tuple[int, int, int]], float]:
+    """Picks, in order of hash, each document with words that still fits. Returns runs of them and the words left.
+
+    A run is its first and last hash and the largest size that it takes. One ends at a document of at most that size that
+    no longer fits; there are fewer of those than the root of twice the block's words.
+    """
+    runs, at = [], 0
+    while at < len(sizes):
+        fit = at + np.flatnonzero(~picked[at:] & (sizes[at:] > 0) & (sizes[at:] <= left))
+        if not len(fit):
+            break
+        sums = sizes[fit].cumsum()
+        n = int(np.searchsorted(sums, left, side="right"))
+        picked[fit[:n]] = True
+        runs.append((int(hashes[fit[0]]), int(hashes[fit[n - 1]]), int(left)))
+        left -= float(sums[n - 1])
+        at = int(fit[n]) + 1 if n < len(fit) else len(sizes)
+    return runs, left
+
+
+def _choose(hashes: np.ndarray, sizes: np.ndarray, wanted: float) -> tuple[np.ndarray, list[tuple[int, int, int, int]], list[int]]:
+    """Which documents, by rising hash, make up the words wanted, also as runs (first and last hash, least and largest size) and single hashes.
+
+    What is still missing then is less than the least document left out, or that one is nearer and taken as well.
+    """
+    picked = np.zeros(len(sizes), bool)
+    # Documents without words are drawn like others, by their part of the block.
+    part = int(len(sizes) * min(1.0, wanted / max(1.0, float(sizes.sum()))))
+    picked[:part] = sizes[:part] == 0
+    runs = [(int(hashes[0]), int(hashes[part - 1]), 0, 0)] if part else []
     # Room for some documents is left to those that fit best, else only what no one else took remains to choose from.
-    room = min(0.3 * left, 0.5 * _FILLERS * float(part["size"].mean()))
-    taken = int(np.searchsorted(part["size"].cumsum().to_numpy(), left - room, side="right"))
-    left -= float(part["size"].iloc[:taken].sum())
-    rest = part.iloc[taken:].sort_values(["size", "h2"])
-    sizes, hashes = rest["size"].to_numpy().copy(), rest["h2"].to_numpy()
-    fillers: list[int] = []
-    used = np.zeros(len(rest), bool)
-    while left > 0 and not used.all() and len(fillers) < _FILLERS:
-        free = np.flatnonzero(~used)
-        fits = int(np.searchsorted(sizes[free], left, side="right"))
-        nearest = [free[k] for k in (fits - 1, fits) if 0 <= k < len(free) and abs(sizes[free[k]] - left) < left]
-        if not nearest:
+    room = min(0.3 * wanted, 0.5 * _FILLERS * float(sizes.mean()))
+    found, left = _walk(hashes, sizes, picked, wanted - room)
+    runs, left, fillers = runs + [(a, b, 1, c) for a, b, c in found], left + room, []
+    while left > 0 and len(fillers) < _FILLERS:
+        fit = np.flatnonzero(~picked & (sizes > 0) & (sizes <= left))
+        if not len(fit):
             break
-        # The largest that fits leaves room for others; one that is too large ends the search.
-        last = len(fillers) == _FILLERS - 1 or sizes[nearest[0]] * 50 < left or sizes[nearest[0]] > left
-        pick = min(nearest, key=lambda k: abs(sizes[k] - left)) if last else nearest[0]
+        pick = int(fit[sizes[fit].argmax()])
+        picked[pick] = True
         fillers.append(int(hashes[pick]))
-        used[pick] = True
         left -= float(sizes[pick])
-    before = int(part["h2"].iloc[taken]) if taken < len(part) else np.iinfo(np.int64).max
-    return pd.DataFrame({"number": [int(part["number"].iloc[0])], "before": [before], "fillers": [fillers]})
+    found, left = _walk(hashes, sizes, picked, left)
+    runs += [(a, b, 1, c) for a, b, c in found]
+    rest = np.flatnonzero(~picked & (sizes > 0))
+    if left > 0 and len(rest):
+        pick = int(rest[sizes[rest].argmin()])
+        if sizes[pick] - left < left:
+            picked[pick] = True
+            fillers.append(int(hashes[pick]))
+    return picked, runs, fillers
+
+
+def _fill(part: pd.DataFrame) -> pd.DataFrame:
+    """Which documents of one source's last block make up the words left: runs of hashes and sizes, and single hashes."""
+    number, block, wanted = int(part["number"].iloc[0]), int(part["block"].iloc[0]), float(part["words_left"].iloc[0])
+    part = part.groupby("h2").agg(size=("size", "sum"), rows=("size", "size")).reset_index().sort_values("h2")
+    hashes, several = part["h2"].to_numpy(), part["rows"].to_numpy() > 1
+    picked, runs, fillers = _choose(hashes, part["size"].to_numpy(), wanted)
+    # Runs go by the size of a row; rows with one id go together.
+    taken, left_out = hashes[picked & several].tolist(), hashes[~picked & several].tolist()
+    named = [dict(zip(("first", "last", "least", "most"), run, strict=True)) for run in runs]
+    return pd.DataFrame({"number": [number], "block": [block], "runs": [named], "fillers": [fillers + taken], "left_out": [left_out]})
 
 
 def mix_sources(
@@ -122,7 +160,8 @@ def mix_sources(
     and ``draws``: epoch, shard and place in the shard of each time the mix takes the document.
 
     A document is taken whole, at most once in a pass and ``most`` times in all; each source's taken words
-    come within about one short document of its target. The same rows give the same mix, in any order and
+    miss its target by less than the least document left out of the block taken in part, or pass it by less than half
+    of the last one taken. The same rows give the same mix, in any order and
     partitioning. A null source is a source of its own, after the others. Null and empty texts have size 0,
     and are drawn like others. Rows with one id are drawn together. An empty table gives an empty result.
     Columns of any name are kept inside ``row``.
@@ -172,11 +211,12 @@ def mix_sources(
     dealt = draws.join(ranges, "number").where((F.col("draw") < F.col("end")) & (F.col("draw") >= F.col("end") - F.col("quota")))
 
     last = dealt.where("words_left is not null").select("number", "block", "words_left")
-    fill = blocked.join(last, ["number", "block"]).groupBy("number").applyInPandas(_fill, "number int, before long, fillers array<long>")
+    fill = blocked.join(last, ["number", "block"]).groupBy("number").applyInPandas(_fill, f"number int, block int, runs {_RUNS}, fillers array<long>, left_out array<long>")
     of_block = dealt.groupBy("number", "block").agg(F.collect_list(F.struct("epoch", "shard", F.col("words_left").isNotNull().alias("in_part"))).alias("taken"))
-    of_block = scratch.write(of_block.join(fill, "number", "left"))
+    of_block = scratch.write(of_block.join(fill, ["number", "block"], "left"))
 
-    picked = (F.col("h2") < F.col("before")) | F.array_contains("fillers", F.col("h2"))
+    in_run = F.exists("runs", lambda r: F.col("h2").between(r["first"], r["last"]) & F.col("size").between(r["least"], r["most"]))
+    picked = (in_run & ~F.array_contains("left_out", F.col("h2"))) | F.array_contains("fillers", F.col("h2"))
     place = F.transform(
         F.filter("taken", lambda t: ~t["in_part"] | picked),
         lambda t: F.struct(t["epoch"].alias("epoch"), t["shard"].alias("shard"), F.xxhash64(F.lit(seed), t["shard"], t["epoch"], "h2").alias("place")),

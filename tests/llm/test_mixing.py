@@ -85,3 +85,42 @@ def test_splits_keep_quotas_and_follow_the_distribution():
     assert (shares.sum(axis=1) == 25).all() and (shares <= quotas).all() and (shares >= 0).all()
     assert np.allclose(shares.mean(axis=0), quotas / 4, atol=0.15)
     assert shares[:, 0].var() == pytest.approx(25 * 0.5 * 0.5 * 75 / 99, rel=0.1)
+
+
+def test_a_block_taken_in_part_is_filled_past_long_documents(spark):
+    """190 documents of 100 words and one of 30,000 that no share has room for, wherever it comes."""
+    for seed in range(3):
+        texts = {k: 100 for k in range(190)} | {190: 30_000}
+        rows = [(k, " ".join(["w"] * n), "a", "x", 1) for k, n in texts.items()]
+        found = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA), seed=seed, percent=24, most=1).select("size", "target", F.size("draws").alias("n")).collect()
+        assert found[0]["target"] == pytest.approx(0.24 * 49_000)
+        assert abs(sum(r["size"] * r["n"] for r in found) - found[0]["target"]) <= 100
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_runs_name_what_is_chosen(seed):
+    rnd = np.random.default_rng(seed)
+    for _ in range(200):
+        n = int(rnd.integers(1, 300))
+        hashes, sizes = np.sort(rnd.choice(10**6, n, replace=False)), rnd.choice([0, 1, 7, 100, 101, 3000], n)
+        if not sizes.sum():
+            continue
+        wanted = float(rnd.random() * sizes.sum())
+        picked, runs, fillers = mixing._choose(hashes, sizes, wanted)
+        named = [any(a <= h <= b and least <= s <= most for a, b, least, most in runs) or h in fillers for h, s in zip(hashes.tolist(), sizes.tolist(), strict=True)]
+        assert named == picked.tolist() and len(fillers) <= mixing._FILLERS + 1
+        missing, rest = wanted - sizes[picked].sum(), sizes[~picked & (sizes > 0)]
+        if missing >= 0:
+            assert missing < (rest.min() if len(rest) else 1)
+        else:  # the last one taken was nearer than none
+            assert -missing <= sizes[hashes == fillers[-1]][0] / 2
+
+
+def test_rows_of_one_id_in_the_block_taken_in_part(spark):
+    rows = [(k // 3, " ".join(["w"] * (0, 5, 400)[k % 3]), "a", "x", 1) for k in range(90)]
+    found = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA), percent=37, most=1).select("row.doc_id", "size", "target", F.size("draws").alias("n")).collect()
+    times = {}
+    for r in found:
+        times.setdefault(r["doc_id"], set()).add(r["n"])
+    assert all(len(n) == 1 for n in times.values())
+    assert abs(sum(r["size"] * r["n"] for r in found) - found[0]["target"]) <= 405
