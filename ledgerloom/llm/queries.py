@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat_format, fingerprint, html_text, license_scan, mixing, ngram_join, quality, secret_scan, vector_join
+from ledgerloom.llm import bpe, chat_format, fingerprint, html_text, license_scan, mixing, ngram_join, periodic_runs, quality, secret_scan, suffix_dedup, vector_join, whitening
 from ledgerloom.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -105,6 +105,68 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_run(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in about every tenth document, picked by a hash of its id, words repeat with some period from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    split = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+
+    def div(a: Column, b: Column) -> Column:
+        return F.call_function("div", a, b)
+
+    n, g = F.size("words"), div(F.col("h"), F.lit(10))
+    a = g % n
+    placed = split.where("size(words) > 0").select("doc_id", "words", n.alias("n"), a.alias("a"), (1 + div(n - a, 3 + g % 8)).alias("p"))
+
+    def source(i: Column) -> Column:
+        return F.get("words", F.when(i >= F.col("a"), F.col("a") + (i - F.col("a")) % F.col("p")).otherwise(i).cast("int"))
+
+    planted = placed.select("doc_id", F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1), source), " ").alias("text"))
+    return split.where("coalesce(size(words) <= 0, true)").select("doc_id", "text").unionByName(planted)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, after some were planted, and digests of what is left without their repetitions."""
+    found = periodic_runs.collapse_runs(with_planted_run(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+    def better(best: Column, r: Column) -> Column:
+        return F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+
+    nothing = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # Runs are in order of start and period, and only a greater exponent replaces an earlier one.
+    return found.withColumn("best", F.aggregate("runs", nothing, better)).select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.call_function("div", F.col("best.length") * 1000, F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the strings of 400 bytes that occur elsewhere too."""
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), suffix_dedup.MIN_BYTES)
+    return left.select(
+        "row.doc_id",
+        "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["stop"] - s["start"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight whitened components of greatest variance.
+
+    A deviation beyond the range of a long, which takes millions of vectors, is null; the operator has it as a decimal.
+    """
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_mixing": op2_mixing,
@@ -116,6 +178,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_quality": op9_quality,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -166,4 +231,56 @@ ORACLE_SQL: dict[str, str] = {
             || CASE WHEN content IS NOT NULL THEN ',"result":' || CAST(to_json(content) AS VARCHAR) ELSE '' END || ',"status":"' || status || '"}') AS json_sha256
         FROM linked
     """,
+    "op11_periodic_runs": r"""
+        WITH split AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, CAST(doc_id AS VARCHAR) AS id FROM documents),
+        sums AS (
+          SELECT doc_id, w, len(w) AS n, xor(4294967295, list_reduce([4294967295] || range(8 * len(id)), lambda c, i:
+            xor(xor(c, CASE WHEN i % 8 = 0 THEN ord(id[i // 8 + 1]) ELSE 0 END) >> 1,
+              CASE WHEN xor(c, CASE WHEN i % 8 = 0 THEN ord(id[i // 8 + 1]) ELSE 0 END) % 2 = 1 THEN 3988292384 ELSE 0 END))) AS h FROM split),
+        marks AS (SELECT doc_id, w, n, h, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM sums),
+        words AS (
+          SELECT doc_id, n, i, w[CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS word
+          FROM (SELECT *, unnest(range(n)) AS i FROM marks)),
+        grams AS (
+          SELECT doc_id, n, i, hash(word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o) AS g, lead(word, 3) OVER o IS NOT NULL AS whole
+          FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+        pairs AS (
+          SELECT x.doc_id, x.i, y.i - x.i AS period FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.g = y.g AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+          WHERE x.whole AND y.whole),
+        stretches AS (
+          SELECT doc_id, period, min(i) AS start, max(i) - min(i) + 4 + period AS length
+          FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, period ORDER BY i) AS island FROM pairs) GROUP BY doc_id, period, island),
+        candidates AS (SELECT * FROM stretches WHERE length >= greatest(6, 4 * period)),
+        runs AS (
+          SELECT * FROM candidates r WHERE NOT EXISTS (
+            SELECT 1 FROM candidates s WHERE s.doc_id = r.doc_id AND s.period < r.period AND r.period % s.period = 0 AND s.start <= r.start AND s.start + s.length >= r.start + r.length)),
+        totals AS (
+          SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+            min_by({start: start, length: length, period: period}, (-CAST(length AS DOUBLE) / period, start, period)) AS best
+          FROM runs GROUP BY doc_id),
+        kept AS (
+          SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words w
+          WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = w.doc_id AND w.i >= r.start + r.period AND w.i < r.start + r.length) GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+          1000 * best.length // best.period AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+        FROM documents d LEFT JOIN totals t ON d.doc_id = t.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+    """,
+    "op12_suffix_dedup": """
+        WITH texts AS (SELECT doc_id, encode(coalesce(text, '')) AS raw, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+        strings AS (SELECT doc_id, i, md5(raw[i + 1:i + 400]) AS h FROM (SELECT *, unnest(range(n - 399)) AS i FROM texts)),
+        repeated AS (SELECT doc_id, i FROM strings WHERE h IN (SELECT h FROM strings GROUP BY h HAVING count(*) > 1)),
+        marked AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 1 ELSE 0 END AS new FROM repeated),
+        spans AS (
+          SELECT doc_id, min(i) AS start, max(i) + 400 AS stop
+          FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked) GROUP BY doc_id, span),
+        edges AS (
+          SELECT doc_id, stop AS from_byte, lead(start) OVER (PARTITION BY doc_id ORDER BY start) AS to_byte FROM spans
+          UNION ALL SELECT doc_id, 0, min(start) FROM spans GROUP BY doc_id),
+        parts AS (
+          SELECT t.doc_id, string_agg(hex(raw[from_byte + 1:coalesce(to_byte, n)]), '' ORDER BY from_byte) AS kept FROM texts t JOIN edges e ON t.doc_id = e.doc_id GROUP BY t.doc_id),
+        totals AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(stop - start) AS BIGINT) AS n_removed FROM spans GROUP BY doc_id)
+        SELECT t.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(CASE WHEN n_spans IS NULL THEN raw ELSE unhex(kept) END) AS kept_sha256
+        FROM texts t LEFT JOIN totals s ON t.doc_id = s.doc_id LEFT JOIN parts p ON t.doc_id = p.doc_id
+    """,
 }

@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import periodic_runs
+
+
+def brute(words: list[str]) -> list[tuple[int, int, int]]:
+    """Runs by comparing all words at every lag."""
+    out = []
+    for q in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            unit = words[i : i + q]
+            primitive = not any(q % d == 0 and unit[d:] == unit[:-d] for d in range(1, q))
+            if j - i + q >= max(6, 4 * q) and primitive:
+                out.append((i, j - i + q, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words: list[str]) -> str:
+    dropped = {k for start, length, q in brute(words) for k in range(start + q, start + length)}
+    return " ".join(w for k, w in enumerate(words) if k not in dropped)
+
+
+def made_up(rng: np.random.Generator) -> list[str]:
+    out: list = []
+    for _ in range(rng.integers(1, 6)):
+        kind = rng.integers(3)
+        if kind == 0:
+            out += rng.integers(0, rng.integers(2, 5), rng.integers(0, 40)).tolist()
+        elif kind == 1:
+            unit = rng.integers(0, rng.integers(2, 31), rng.integers(1, 40)).tolist()
+            out += (unit * int(rng.integers(2, 9)))[: rng.integers(0, 400)]
+        else:
+            out += rng.integers(100, 9999, rng.integers(0, 30)).tolist()
+    return [f"é{w}" for w in out]
+
+
+def found(spark, texts, partitions=3):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(partitions)
+    return {r["row"]["doc_id"]: r for r in periodic_runs.collapse_runs(df).collect()}
+
+
+def test_against_all_lags(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    made = [made_up(rng) for _ in range(150)]
+    got = found(spark, [rng.choice([" ", "\n", " \t"]).join(w) + rng.choice(["", " "]) for w in made])
+    for k, words in enumerate(made):
+        assert [tuple(r) for r in got[k]["runs"]] == brute(words)
+        assert (got[k]["n_words"], got[k]["collapsed"]) == (len(words), collapsed(words))
+    assert sum(len(r["runs"]) for r in got.values()) > 100
+
+
+@pytest.mark.parametrize("period", [4, 5, 8, 9, 16, 17, 33, 64, 129, 1000])
+@pytest.mark.parametrize("extra", [0, 1, 2])
+def test_shortest_and_longest_runs_of_a_scale(period, extra):
+    """Exactly four periods, and one word fewer, between other words."""
+    rng = np.random.default_rng(period)
+    unit = rng.permutation(period).astype(np.uint64)
+    for length, expected in [(4 * period + extra, True), (4 * period - 1, False)]:
+        inside = np.resize(unit, length)
+        words = np.concatenate((np.arange(1, 8, dtype=np.uint64) << np.uint64(40), inside, np.arange(11, 16, dtype=np.uint64) << np.uint64(40)))
+        assert periodic_runs.find_runs(words).tolist() == ([[7, length, period]] if expected else [])
+
+
+def test_nulls_and_small_texts(spark):
+    texts = [None, "", " \n", "a", "a a a a a", "a a a a a a", "a a a a a a a a"]
+    got = found(spark, texts)
+    assert [got[k]["n_words"] for k in range(7)] == [0, 0, 0, 1, 5, 6, 7]
+    assert [got[k]["collapsed"] for k in range(7)] == ["", "", "", "a", "a a a a a", "a", "a a a"]
+    assert found(spark, []) == {}
+
+
+def test_runs_stay_within_their_text(spark):
+    got = found(spark, ["a b", "a b", "a b", "a b", "a b"] * 4, partitions=1)
+    assert not any(r["runs"] for r in got.values())
+
+
+def test_clashing_columns_ties_and_repeated_rows(spark):
+    df = spark.sql("select 1L as doc_id, 'x x x x x x' as text, 'r' as row, array(1) as runs, null as n_words").unionAll(
+        spark.sql("select 1L, 'x x x x x x', 'r', array(1), null")
+    )
+    rows = periodic_runs.collapse_runs(df).collect()
+    assert [(r["row"]["row"], r["row"]["runs"], r["row"]["n_words"], r["collapsed"]) for r in rows] == [("r", [1], None, "x")] * 2
+
+
+def test_very_long_texts_of_few_words():
+    ones = np.zeros(300_000, np.uint64)
+    assert periodic_runs.find_runs(ones).tolist() == [[0, 300_000, 1]]
+    lines = np.tile(np.concatenate([np.arange(50), np.arange(20)]).astype(np.uint64), 3000)
+    assert periodic_runs.find_runs(lines).tolist() == [[0, 210_000, 70]]
+
+
+def test_planted_runs_are_found(spark, small_dir):
+    from ledgerloom.llm import queries
+
+    planted = {r["doc_id"]: r["text"] for r in queries.with_planted_run(spark.read.parquet(f"{small_dir}/documents.parquet")).collect()}
+    rows = queries.op11_periodic_runs(spark, small_dir).collect()
+    assert len(rows) == len(planted)
+    for r in rows:
+        runs = brute(re.findall(r"[^\x20\x09-\x0D]+", planted[r["doc_id"]] or ""))
+        assert r["n_runs"] == len(runs)
+        if runs:
+            start, length, q = max(runs, key=lambda x: (x[1] / x[2], -x[0], -x[2]))
+            assert (r["start"], r["length"], r["period"], r["exponent_milli"]) == (start, length, q, 1000 * length // q)
+        else:
+            assert (r["start"], r["length"], r["period"], r["exponent_milli"]) == (None,) * 4
+    assert any(r["n_runs"] for r in rows)
+
+
+def test_planting_leaves_null_texts_and_ids(spark):
+    from ledgerloom.llm import queries
+
+    rows = queries.with_planted_run(spark.createDataFrame([(None, "a b"), (None, None), (3, None), (3, " ")], "doc_id long, text string")).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted([(None, "a b"), (None, None), (3, None), (3, " ")], key=repr)
+    hashed = spark.range(200).select(F.crc32(F.col("id").cast("string").cast("binary")).alias("h"), F.col("id").alias("doc_id"), F.lit("").alias("text"))
+    assert queries.with_planted_run(hashed).count() == 200

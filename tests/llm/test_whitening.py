@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+from ledgerloom.llm import whitening
+
+
+def spectrum(name: str, rng: np.random.Generator) -> np.ndarray:
+    if name == "full":
+        return rng.standard_normal((400, 40)) * np.linspace(1, 5, 40)
+    if name == "multiple":
+        q, r = (np.linalg.qr(rng.standard_normal((300, 20)))[0], np.linalg.qr(rng.standard_normal((20, 20)))[0])
+        return (q * np.array([9, 9, 9, 9, 5, 5, 5, 2, 2] + [1] * 11)) @ r
+    if name == "rank 5":
+        return rng.standard_normal((300, 5)) @ rng.standard_normal((5, 40))
+    if name == "fewer rows than columns":
+        return rng.standard_normal((4, 30))
+    if name == "wide range":
+        return rng.standard_normal((400, 30)) * 10.0 ** -np.arange(30)
+    return rng.standard_normal((50, 1))
+
+
+@pytest.mark.parametrize("name", ["full", "multiple", "rank 5", "fewer rows than columns", "wide range", "one column"])
+def test_bidiagonalisation_against_a_dense_decomposition(name):
+    x = spectrum(name, np.random.default_rng(1))
+    wanted = min(8, x.shape[1])
+    values, right = whitening.bidiagonalise(lambda p: x.T @ (x @ p), x.shape[1], wanted)
+    exact = np.append(np.linalg.svd(x)[1], np.zeros(wanted))[:wanted]
+    assert np.abs(values - exact).max() < 1e-10 * exact[0]
+    assert np.abs(right.T @ right - np.eye(wanted)).max() < 1e-12
+    assert np.abs(x.T @ (x @ right) - right * values**2).max() < 1e-11 * exact[0] ** 2
+
+
+def exact(vectors: list[list[float]]):
+    """n, deviations, and components with eigenvalues by a dense decomposition."""
+    x = np.array([[math.floor(1024 * float(c)) + 100_000 for c in v] for v in vectors], dtype=object)
+    n = len(x)
+    sums = x.sum(axis=0)
+    deviations = [int(d) for d in ((n * x - sums) ** 2).sum(axis=1)]
+    centred = ((n * x - sums) / n).astype(float)
+    values, directions = np.linalg.eigh(centred.T @ centred / n)
+    return n, deviations, centred, values[::-1], directions[:, ::-1]
+
+
+def test_against_a_dense_decomposition(spark):
+    rng = np.random.default_rng(2)
+    vectors = (rng.standard_normal((120, 12)) * np.linspace(3, 0.2, 12)).astype(np.float32).astype(float).tolist()
+    rows = whitening.whiten(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>").repartition(5)).collect()
+    n, deviations, centred, values, directions = exact(vectors)
+    expected = centred @ directions[:, :8] / np.sqrt(values[:8])
+    got = np.zeros((n, 8))
+    for r in rows:
+        got[r["vec_id"], r["component"] - 1] = r["whitened"]
+        assert (r["n"], int(r["deviation"])) == (n, deviations[r["vec_id"]])
+        assert abs(r["explained"] / (values[r["component"] - 1] / values.sum()) - 1) < 1e-12
+        assert r["identity_error"] < 1e-10
+    assert len(rows) == n * 8
+    signs = np.sign((got * expected).sum(axis=0))
+    assert np.abs(got - expected * signs).max() < 1e-9
+
+
+def test_rows_that_go(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [[1.0, 2.0], [2.0, -3.0], [5.5, 0.25], None, [], [1.0, None], [nan, 1.0], [1.0, inf], [-inf, 1.0], [1.0, 2.0, 3.0], [2.0, -3.0], [1e30, 1.0]]
+    df = spark.createDataFrame([(None if k == 2 else k, v, "x") for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, component string")
+    rows = whitening.whiten(df).collect()
+    assert sorted((r["vec_id"] is None, r["vec_id"], r["component"]) for r in rows if r["vec_id"] is not None) == [(False, k, c) for k in (0, 1, 10) for c in (1, 2)]
+    assert len(rows) == 8 and {r["n"] for r in rows} == {4}
+    assert {int(r["deviation"]) for r in rows if r["vec_id"] == 1} == {int(r["deviation"]) for r in rows if r["vec_id"] == 10}
+
+
+@pytest.mark.parametrize("vectors", [[], [[1.0, 2.0]], [[1.0, 2.0]] * 5, [None, []]])
+def test_nothing_without_variance(spark, vectors):
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>")
+    found = whitening.whiten(df)
+    assert found.collect() == [] and found.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+
+
+def test_components_without_variance_are_left_out(spark):
+    vectors = [[float(k), 2.0 * k, 7.0] for k in range(6)]
+    rows = whitening.whiten(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>")).collect()
+    assert {r["component"] for r in rows} == {1} and len(rows) == 6
+    assert all(abs(r["explained"] - 1) < 1e-12 for r in rows)
+
+
+def test_deviations_beyond_a_long_are_exact(spark):
+    vectors = [[float(k) * 2**22, -float(k)] for k in range(3)]
+    rows = whitening.whiten(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")).collect()
+    _, deviations, *_ = exact(vectors)
+    assert {(r["vec_id"], int(r["deviation"])) for r in rows} == set(enumerate(deviations))
+    assert max(deviations) > 1 << 63
