@@ -1,6 +1,7 @@
 """DataFrame -> DataFrame operators; all lazy, none triggers a job."""
 
 from ledgerloom.operators.conform import clean_silver, dedup_transactions, standardize_gender
+from ledgerloom.operators.mart_state import change_partials, mart_partials, merge_partials, rollup_from_state
 from ledgerloom.operators.marts import (
     city_revenue,
     daily_sales_metrics,
@@ -13,15 +14,19 @@ from ledgerloom.operators.quality import QualitySplit, dq_counts, dq_report, spl
 
 __all__ = [
     "QualitySplit",
+    "change_partials",
     "city_revenue",
     "clean_silver",
     "daily_sales_metrics",
     "dedup_transactions",
     "dq_counts",
     "dq_report",
+    "mart_partials",
     "mart_rollup",
     "marts_from_rollup",
+    "merge_partials",
     "product_performance",
+    "rollup_from_state",
     "split_quality",
     "standardize_gender",
     "with_total_amount",

@@ -37,7 +37,8 @@ def with_total_amount(df: DataFrame) -> DataFrame:
     )
 
 
-def _with_cents(silver: DataFrame) -> DataFrame:
+def with_cents(silver: DataFrame) -> DataFrame:
+    """Appends ``total_amount``, its exact cents, and the amount itself where it has none."""
     amounts = with_total_amount(silver).withColumn("_cents", amount_cents(F.col("total_amount")))
     return amounts.withColumn("_inexact", inexact_amount(F.col("total_amount"), F.col("_cents")))
 
@@ -80,7 +81,7 @@ def _mart_columns(mart: str) -> list[Column]:
 
 
 def _mart(silver: DataFrame, mart: str) -> DataFrame:
-    grouped = _with_cents(silver).groupBy(*MART_KEYS[mart]).agg(*_measures())
+    grouped = with_cents(silver).groupBy(*MART_KEYS[mart]).agg(*_measures())
     return grouped.select(*_mart_columns(mart))
 
 
@@ -99,6 +100,11 @@ def city_revenue(silver: DataFrame) -> DataFrame:
     return _mart(silver, "city_revenue")
 
 
+def mart_name() -> Column:
+    """In an aggregation by the grouping sets of the marts, the mart of a group."""
+    return F.coalesce(*[F.when(F.grouping(keys[0]) == 0, F.lit(mart)) for mart, keys in MART_KEYS.items()])
+
+
 def mart_rollup(silver: DataFrame) -> DataFrame:
     """Measures of every mart's groups, from a single scan of silver.
 
@@ -108,18 +114,12 @@ def mart_rollup(silver: DataFrame) -> DataFrame:
     mart, because a key may itself be NULL.
     """
     keys = [key for mart_keys in MART_KEYS.values() for key in mart_keys]
-    which = F.coalesce(
-        *[
-            F.when(F.grouping(mart_keys[0]) == 0, F.lit(mart))
-            for mart, mart_keys in MART_KEYS.items()
-        ]
-    )
     sets = [[F.col(key) for key in mart_keys] for mart_keys in MART_KEYS.values()]
     columns = [F.col(key) for key in keys]
     return (
-        _with_cents(silver)
+        with_cents(silver)
         .groupingSets(sets, *columns)
-        .agg(which.alias("mart"), *_measures())
+        .agg(mart_name().alias("mart"), *_measures())
     )
 
 

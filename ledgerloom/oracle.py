@@ -175,6 +175,33 @@ def _generated() -> str:
     )
 
 
+def _upserts() -> str:
+    """Rows of silver after each batch; 16 buckets, all of which a large batch touches and one id touches one of."""
+    large = "order_status <> 'Returned'"
+    one = "order_status = 'Returned' and transaction_id = (select min(transaction_id) from valid where order_status = 'Returned')"
+    steps = [(0, "large", 16, 0, large), (1, "one id", 1, 15, f"{large} or {one}"), (2, "large", 0, 16, f"{large} or {one}")]
+    return f"with {_SILVER} " + " union all ".join(
+        f"select cast({step} as int) as step, '{batch}' as batch, cast({rewritten} as int) as rewritten, cast({kept} as int) as kept,"
+        f" (select count(distinct transaction_id) from valid where {held}) as silver_rows"
+        for step, batch, rewritten, kept, held in steps
+    )
+
+
+def _versions() -> str:
+    """Rows and ids (of the mart, orders) that each version holds, from the rows that went into it."""
+
+    def version(state: str, held: str) -> list[str]:
+        ids = "count(distinct transaction_id)"
+        return [
+            f"select '{state}' as state, 'silver' as \"table\", {ids} as rows, {ids} as ids from valid where {held}",
+            f"select '{state}', 'quarantine', count(*), {ids} from raw where {_BAD} and {held}",
+            f"select '{state}', 'city_revenue', count(distinct city || state), {ids} from valid where {held}",
+        ]
+
+    first = "order_status = 'Delivered'"
+    return f"with {_SILVER} " + " union all ".join([*version("first", first), *version("broken off", first), *version("second", "true")])
+
+
 _PROFILED = [
     "transaction_id",
     "order_date",
@@ -237,6 +264,11 @@ ORACLE_SQL: dict[str, str] = {
     "pipeline_daily_sales_metrics": _DAILY,
     "pipeline_product_performance": _PRODUCT,
     "pipeline_city_revenue": _CITY,
+    "incremental_silver": _SILVER_ROWS,
+    "incremental_quarantine": _QUARANTINE,
+    "incremental_rollup": _ROLLUP,
+    "upsert_buckets": _upserts(),
+    "versioned_layers": _versions(),
     "generated_transactions": _generated(),
     "generated_profile": (
         "select count(*) as row_count, "

@@ -8,15 +8,30 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import operators as ops
 from ledgerloom.functions import is_bad_record, quality_rules
-from ledgerloom.plans import LayerPaths, bronze_to_silver, raw_to_bronze, run_pipeline
+from ledgerloom.plans import (
+    LayerPaths,
+    apply_batch,
+    bronze_to_silver,
+    current_marts,
+    current_quarantine,
+    current_rollup,
+    current_silver,
+    follow_runs,
+    raw_to_bronze,
+    rebuild,
+    run_pipeline,
+)
 from ledgerloom.schema import BRONZE_SCHEMA, GOLD_SCHEMAS, RAW_SCHEMA, SILVER_SCHEMA
 from ledgerloom.sources import (
+    Commit,
+    Lake,
     generator,
     land_run,
     read_quarantine_csv,
@@ -35,6 +50,7 @@ GENERATOR_SEED = 7
 GENERATOR_BAD_RATE = 0.05
 GENERATOR_INGESTION_DATE = "2026-01-01"
 LANDING_ROWS_PER_FILE = 5_000
+UPSERT_BUCKETS = 16
 
 
 def _fresh(spark: SparkSession, name: str) -> str:
@@ -239,6 +255,86 @@ def _pipeline_mart(mart: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+# --- batch by batch, and several outputs in one commit ------------------------------------
+
+
+def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows as a table, for queries that read them many times."""
+    path = _fresh(spark, "staged")
+    write_parquet(retail_view(spark, sf_dir), path)
+    return spark.read.schema(RAW_SCHEMA).parquet(path)
+
+
+def _followed(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake after two runs that a stream follows, a third that comes on its own and is delivered twice, and an empty one."""
+    root = _fresh(spark, "followed")
+    rows, lake = _staged(spark, sf_dir), Lake(spark, f"{root}/lake")
+    for status in ("Returned", "Delivered"):
+        land_run(rows.filter(F.col("order_status") == status), f"{root}/raw", f"run_{status}")
+        follow_runs(spark, f"{root}/raw", lake, f"{root}/checkpoint", buckets=UPSERT_BUCKETS)
+    late = rows.filter(F.col("order_status") == "Cancelled")
+    for batch, batch_id in ((late, "late"), (late, "late"), (late.limit(0), "empty")):
+        apply_batch(lake, batch, batch_id)
+    return lake
+
+
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return current_silver(_followed(spark, sf_dir))
+
+
+def incremental_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return current_quarantine(_followed(spark, sf_dir))
+
+
+def incremental_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of all marts, merged from what each batch added and took back."""
+    return current_rollup(_followed(spark, sf_dir)).withColumn("cents", F.col("cents").cast("bigint"))
+
+
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets rewritten and left alone by a large batch, by one of a single id, and by the first once more."""
+    rows, lake = _staged(spark, sf_dir), Lake(spark, _fresh(spark, "upsert"))
+    large = rows.filter("order_status <> 'Returned'")
+    rest = ops.split_quality(rows.filter("order_status = 'Returned'")).valid
+    least = rest.agg(F.min("transaction_id").alias("transaction_id"))
+    found = []
+    for name, batch in (("large", large), ("one id", rest.join(F.broadcast(least), "transaction_id", "left_semi")), ("large", large)):
+        before = lake.current().parts.get("silver", {})
+        apply_batch(lake, batch, name, buckets=UPSERT_BUCKETS)
+        after = lake.current().parts["silver"]
+        kept = sum(after.get(part) == directory for part, directory in before.items())
+        found.append((len(found), name, len(after) - kept, kept, current_silver(lake).count()))
+    return spark.createDataFrame(found, "step int, batch string, rewritten int, kept int, silver_rows bigint")
+
+
+def versioned_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see of three tables after a version, after a rebuild that broke off before its commit, and after one that went through."""
+    rows, lake = _staged(spark, sf_dir), Lake(spark, _fresh(spark, "versions"))
+
+    def break_off(commit: Commit) -> None:
+        raise InterruptedError(commit.directory("silver"))
+
+    seen = []
+
+    def look(state: str) -> None:
+        held = lake.current()
+        counts = [F.count(F.lit(1)).alias("rows"), F.count_distinct("transaction_id").alias("ids")]
+        for table, df in (("silver", current_silver(lake, held)), ("quarantine", current_quarantine(lake, held))):
+            seen.append(df.agg(*counts).select(F.lit(state).alias("state"), F.lit(table).alias("table"), "rows", "ids"))
+        city = current_marts(lake, held)["city_revenue"]
+        seen.append(city.agg(F.count(F.lit(1)).alias("rows"), F.sum("order_count").alias("ids")).select(F.lit(state).alias("state"), F.lit("city_revenue").alias("table"), "rows", "ids"))
+
+    rebuild(lake, rows.filter("order_status = 'Delivered'"), buckets=UPSERT_BUCKETS)
+    look("first")
+    try:
+        rebuild(lake, rows, before_publish=break_off)
+    except InterruptedError:
+        look("broken off")
+    rebuild(lake, rows)
+    look("second")
+    return reduce(DataFrame.unionByName, seen)
+
+
 # --- generator ---------------------------------------------------------------------------
 
 
@@ -336,6 +432,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_daily_sales_metrics": _pipeline_mart("daily_sales_metrics"),
     "pipeline_product_performance": _pipeline_mart("product_performance"),
     "pipeline_city_revenue": _pipeline_mart("city_revenue"),
+    "incremental_silver": incremental_silver,
+    "incremental_quarantine": incremental_quarantine,
+    "incremental_rollup": incremental_rollup,
+    "upsert_buckets": upsert_buckets,
+    "versioned_layers": versioned_layers,
     "generated_transactions": generated_transactions,
     "generated_profile": generated_profile,
 }

@@ -5,8 +5,13 @@ from ledgerloom.sources.parquet import land_run, read_raw, read_table, write_par
 from ledgerloom.sources.quarantine import read_quarantine_csv, write_quarantine_csv
 from ledgerloom.sources.retail_view import retail_view
 from ledgerloom.sources.scratch import scratch_path
+from ledgerloom.sources.versions import Commit, CommitConflict, Lake, Manifest
 
 __all__ = [
+    "Commit",
+    "CommitConflict",
+    "Lake",
+    "Manifest",
     "generate_transactions",
     "land_run",
     "read_quarantine_csv",

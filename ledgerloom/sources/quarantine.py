@@ -29,13 +29,13 @@ def write_quarantine_csv(df: DataFrame, path: str, *, rows_per_file: int = QUARA
     df.write.options(**options).mode("overwrite").csv(path)
 
 
-def read_quarantine_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The quarantined rows with their types; line breaks in values are kept.
+def read_quarantine_csv(spark: SparkSession, *paths: str) -> DataFrame:
+    """The quarantined rows of all ``paths`` with their types; line breaks in values are kept.
 
     A file is one task, hence ``write_quarantine_csv`` limits what a file holds.
     """
     return (
         spark.read.schema(QUARANTINE_SCHEMA)
         .options(header="true", multiLine="true", nullValue=_NO_VALUE, **_KEEP_SPACES)
-        .csv(path)
+        .csv(list(paths))
     )

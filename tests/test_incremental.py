@@ -1,0 +1,252 @@
+from __future__ import annotations
+
+import itertools
+import random
+
+import pytest
+from conftest import plan_text, sorted_rows
+from pyspark.sql import functions as F
+
+from ledgerloom import operators as ops
+from ledgerloom.operators.conform import dedup_transactions
+from ledgerloom.plans import apply_batch, current_marts, current_quarantine, current_rollup, current_silver, follow_runs, incremental, rebuild
+from ledgerloom.schema import SILVER_SCHEMA
+from ledgerloom.sources import CommitConflict, Lake, land_run, retail_view
+
+BUCKETS = 4
+
+
+def printed(df):
+    """Rows as text, in which NaN equals NaN."""
+    return sorted(map(repr, (tuple(row) for row in df.collect())))
+
+
+def silver_of(raw):
+    return ops.clean_silver(ops.split_quality(raw).valid)
+
+
+def same_as_rebuilt(lake, raw):
+    """Silver, quarantine and all marts against those of the whole-table operators."""
+    expected = silver_of(raw)
+    assert printed(current_silver(lake)) == printed(expected)
+    assert printed(current_quarantine(lake)) == printed(ops.split_quality(raw).quarantine)
+    marts = ops.marts_from_rollup(ops.mart_rollup(expected))
+    for name, mart in current_marts(lake).items():
+        assert printed(mart) == printed(marts[name]), name
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Lake(spark, str(tmp_path / "lake"))
+
+
+@pytest.fixture(scope="module")
+def batches(transactions):
+    """Rows of which some replace others, break rules, lack an id, or can't be decided."""
+    random.seed(3)
+    rows = []
+    for k in range(60):
+        row = {
+            "transaction_id": random.choice([None, *range(12)]),
+            "order_date": f"2024-01-0{random.randint(1, 3)}",
+            "gender": random.choice(["M", " female ", None]),
+            "quantity": random.choice([1, 2, 3, 0, None]),
+            "unit_price": random.choice([1.25, 10.0, float("nan"), float("inf"), 3e17]),
+            "discount_pct": random.choice([0.0, 10.0, None]),
+            "city": random.choice(["Chicago", "Houston", None]),
+        }
+        rows.append(row)
+    return [transactions(*rows[k : k + 15]) for k in range(0, 60, 15)]
+
+
+def test_batches_in_any_order_give_the_whole_table(spark, tmp_path, batches):
+    raw = batches[0].unionByName(batches[1]).unionByName(batches[2])
+    for order in ((0, 1, 2), (2, 0, 1)):
+        lake = Lake(spark, str(tmp_path / "-".join(map(str, order))))
+        for k in order:
+            assert apply_batch(lake, batches[k], f"batch {k}", buckets=BUCKETS)["raw_rows"] == 15
+            assert apply_batch(lake, batches[k], f"batch {k}") == {}
+        same_as_rebuilt(lake, raw)
+
+
+def test_rows_again_under_another_id_change_no_mart(lake, batches):
+    apply_batch(lake, batches[0], "a", buckets=BUCKETS)
+    before = printed(current_rollup(lake)), printed(current_silver(lake))
+    apply_batch(lake, batches[0], "b")
+    assert (printed(current_rollup(lake)), printed(current_silver(lake))) == before
+
+
+def test_a_replaced_row_is_taken_back(lake, transactions):
+    apply_batch(lake, transactions({"transaction_id": 1, "order_date": "2024-01-02", "unit_price": 5.0, "city": "Houston"}), "a", buckets=BUCKETS)
+    # Smaller in column order, hence the one that stays.
+    apply_batch(lake, transactions({"transaction_id": 1, "order_date": "2024-01-01", "unit_price": 7.5}), "b")
+    marts = current_marts(lake)
+    assert sorted_rows(marts["daily_sales_metrics"]) == [("2024-01-01", 7.5, 1, 7.5)]
+    assert sorted_rows(marts["city_revenue"]) == [("Chicago", "IL", 7.5, 1, 7.5)]
+
+
+def test_amounts_that_no_sum_can_take_back(lake, transactions):
+    later = {"transaction_id": 1, "order_date": "2024-01-02"}
+    batch = [later | {"unit_price": float("nan")}, {"transaction_id": 2, "unit_price": 2.0}, {"transaction_id": 3, "unit_price": float("inf")}]
+    apply_batch(lake, transactions(*batch), "a", buckets=BUCKETS)
+    product = sorted_rows(current_marts(lake)["product_performance"])
+    assert str(product) == "[('Sports', nan, 3, 3)]"
+    apply_batch(lake, transactions({"transaction_id": 1, "unit_price": 1.0}, {"transaction_id": 3, "order_date": "2023-01-01", "unit_price": 4.0}), "b")
+    assert sorted_rows(current_marts(lake)["product_performance"]) == [("Sports", 7.0, 3, 3)]
+
+
+def test_untouched_buckets_keep_their_files(lake, transactions):
+    apply_batch(lake, transactions(*[{"transaction_id": k} for k in range(100)]), "a", buckets=16)
+    before = lake.current().parts["silver"]
+    counts = apply_batch(lake, transactions({"transaction_id": 7}, {"transaction_id": 1000}), "b", buckets=99)
+    after = lake.current().parts["silver"]
+    assert len(before) == 16 and set(after) == set(before)
+    assert sum(before[p] != after[p] for p in before) == counts["rewritten_buckets"] <= 2
+    assert current_silver(lake).count() == 101
+
+
+def test_only_touched_buckets_are_read(spark, lake, transactions, monkeypatch):
+    apply_batch(lake, transactions(*[{"transaction_id": k} for k in range(100)]), "a", buckets=16)
+    seen = []
+    read = Lake.read
+    monkeypatch.setattr(Lake, "read", lambda self, table, *a, **k: seen.append((table, k.get("parts"))) or read(self, table, *a, **k))
+    apply_batch(lake, transactions({"transaction_id": 7}), "b")
+    assert seen and all(len(parts) == 1 for table, parts in seen if table == "silver")
+
+
+def test_a_bucket_is_one_file_where_partitions_match(spark, lake, batches):
+    from ledgerloom.sources.files import children
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        apply_batch(lake, batches[0], "a", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for directory in lake.directories("silver"):
+        assert len([f for f in children(spark, directory) if f.endswith(".parquet")]) == 1
+
+
+def test_merging_reads_stored_rows_with_one_exchange(spark, lake, batches):
+    apply_batch(lake, batches[0], "a", buckets=BUCKETS)
+    old = current_silver(lake)
+    plan = plan_text(dedup_transactions(old.unionByName(silver_of(batches[1]).select(*SILVER_SCHEMA.fieldNames()))))
+    physical = plan[plan.index("== Physical Plan ==") :]
+    assert "WindowGroupLimit" in physical and "Partial" in physical
+
+
+@pytest.mark.parametrize("step", ["write_quarantine_csv", "_write_buckets", "dedup_transactions", "change_partials", "write_parquet", "publish"])
+def test_a_failure_at_any_step_changes_nothing(lake, batches, monkeypatch, step):
+    apply_batch(lake, batches[0], "a", buckets=BUCKETS)
+    before = lake.current()
+    raw = batches[0].unionByName(batches[1])
+
+    def fails(*_args, **_kwargs):
+        raise OSError(step)
+
+    with monkeypatch.context() as patch:
+        if step == "publish":
+            patch.setattr("ledgerloom.sources.versions.rename_new", fails)
+        else:
+            patch.setattr(incremental, step, fails)
+        with pytest.raises(OSError, match=step):
+            apply_batch(lake, batches[1], "b")
+    assert lake.current() == before
+    same_as_rebuilt(lake, batches[0])
+    apply_batch(lake, batches[1], "b")
+    same_as_rebuilt(lake, raw)
+    lake.vacuum()
+    same_as_rebuilt(lake, raw)
+
+
+def test_many_partials_become_one(lake, transactions, monkeypatch):
+    monkeypatch.setattr(incremental, "_MERGE_AFTER", 3)
+    for k in range(6):
+        apply_batch(lake, transactions({"transaction_id": k, "unit_price": 1.0 + k}), f"b{k}", buckets=BUCKETS)
+    assert len(lake.current().parts["gold_state"]) == 3
+    assert sorted_rows(current_marts(lake)["product_performance"]) == [("Sports", 21.0, 6, 6)]
+
+
+def test_empty_batches_and_batches_of_bad_rows(lake, transactions):
+    apply_batch(lake, transactions({}).limit(0), "none", buckets=BUCKETS)
+    assert current_silver(lake).count() == current_quarantine(lake).count() == current_rollup(lake).count() == 0
+    apply_batch(lake, transactions({"quantity": 0}, {"quantity": None}), "bad")
+    assert (current_silver(lake).count(), current_quarantine(lake).count()) == (0, 1)
+    assert lake.current().applied == {"none", "bad"}
+
+
+def test_a_conflicting_batch_can_be_repeated(lake, batches):
+    apply_batch(lake, batches[0], "a", buckets=BUCKETS)
+    with pytest.raises(CommitConflict):
+        apply_batch(lake, batches[1], "b", before_publish=lambda _: apply_batch(lake, batches[2], "c"))
+    apply_batch(lake, batches[1], "b")
+    same_as_rebuilt(lake, batches[0].unionByName(batches[1]).unionByName(batches[2]))
+
+
+def test_a_hot_id_reaches_its_bucket_once_a_task(spark, lake, transactions):
+    one = transactions({"transaction_id": 5}).drop("order_date")
+    hot = one.crossJoin(spark.range(0, 3000, 1, 6).select(F.format_string("2024-%04d", "id").alias("order_date"))).select(*SILVER_SCHEMA.fieldNames())
+    apply_batch(lake, hot, "a", buckets=BUCKETS)
+    assert [r["order_date"] for r in current_silver(lake).collect()] == ["2024-0000"]
+
+
+def test_streamed_runs(spark, tmp_path, small_dir):
+    rows = retail_view(spark, small_dir)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    raw, checkpoint = str(tmp_path / "raw"), str(tmp_path / "checkpoint")
+    for status in ("Delivered", "Cancelled"):
+        land_run(rows.filter(F.col("order_status") == status).coalesce(1), raw, status)
+    follow_runs(spark, raw, lake, checkpoint, buckets=BUCKETS, max_files_per_trigger=1)
+    assert len(lake.current().applied) == 2
+    land_run(rows.filter(F.col("order_status") == "Returned"), raw, "Returned")
+    for _ in range(2):
+        follow_runs(spark, raw, lake, checkpoint)
+    assert len(lake.current().applied) == 3
+    same_as_rebuilt(lake, rows)
+
+
+def test_a_streamed_batch_that_was_published_but_not_checkpointed(spark, tmp_path, transactions, monkeypatch):
+    """A crash between the commit of the lake and that of the stream: the batch comes again."""
+    lake = Lake(spark, str(tmp_path / "lake"))
+    raw, checkpoint = str(tmp_path / "raw"), str(tmp_path / "checkpoint")
+    land_run(transactions({"transaction_id": 1}, {"transaction_id": 2, "quantity": 0}), raw, "run")
+    applied = incremental.apply_batch
+
+    def crashes(*args, **kwargs):
+        applied(*args, **kwargs)
+        raise OSError("after the commit")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "apply_batch", crashes)
+        with pytest.raises(Exception, match="after the commit"):
+            follow_runs(spark, raw, lake, checkpoint, buckets=BUCKETS)
+    version = lake.current().version
+    follow_runs(spark, raw, lake, checkpoint)
+    assert lake.current().version == version == 1
+    assert (current_silver(lake).count(), current_quarantine(lake).count()) == (1, 1)
+
+
+def test_rebuilding_replaces_all_tables_at_once(lake, batches):
+    apply_batch(lake, batches[0], "a", buckets=BUCKETS)
+
+    def fails(_commit):
+        raise OSError("before publishing")
+
+    with pytest.raises(OSError, match="before publishing"):
+        rebuild(lake, batches[1], before_publish=fails)
+    same_as_rebuilt(lake, batches[0])
+    rebuild(lake, batches[1])
+    same_as_rebuilt(lake, batches[1])
+    apply_batch(lake, batches[2], "c")
+    same_as_rebuilt(lake, batches[1].unionByName(batches[2]))
+
+
+def test_partials_of_any_split_merge_to_the_rollup(spark, small_dir):
+    silver = silver_of(retail_view(spark, small_dir))
+    parts = [ops.mart_partials(silver.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(5)) == k)) for k in range(5)]
+    expected = ops.mart_rollup(silver)
+    for order in itertools.islice(itertools.permutations(range(5)), 0, 120, 60):
+        merged = parts[order[0]]
+        for k in order[1:]:
+            merged = merged.unionByName(parts[k])
+        assert sorted_rows(ops.rollup_from_state(merged).select(*expected.columns)) == sorted_rows(expected)
+    assert sorted_rows(ops.change_partials(silver, silver)) == []

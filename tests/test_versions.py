@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+from conftest import sorted_rows
+
+from ledgerloom.sources import CommitConflict, Lake, write_parquet
+from ledgerloom.sources.files import children, rename_new, write_text
+
+SCHEMA = "k bigint, v string"
+
+
+def rows(spark, *values):
+    return spark.createDataFrame(list(values), SCHEMA)
+
+
+def put(lake, spark, table, part, *values, publish=True):
+    commit = lake.commit()
+    directory = commit.directory(table)
+    write_parquet(rows(spark, *values), directory)
+    commit.put(table, part, directory)
+    return commit.publish() if publish else commit
+
+
+def read(lake, table, **options):
+    return sorted_rows(lake.read(table, rows(lake.spark).schema, **options))
+
+
+def test_nothing_before_the_first_commit(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    assert lake.current().version == 0 and read(lake, "a") == []
+
+
+def test_outputs_of_a_commit_appear_together(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    put(lake, spark, "a", "p", (1, "old"))
+    commit = lake.commit()
+    for table in ("a", "b"):
+        directory = commit.directory(table)
+        write_parquet(rows(spark, (2, "new")), directory)
+        commit.put(table, "p", directory)
+        assert read(lake, "a") == [(1, "old")] and read(lake, "b") == []
+    commit.publish()
+    assert read(lake, "a") == read(lake, "b") == [(2, "new")]
+
+
+def test_parts_that_a_commit_leaves_out_stay(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    first = put(lake, spark, "a", "p", (1, "x"))
+    second = put(lake, spark, "a", "q", (2, "y"))
+    assert second.parts["a"]["p"] == first.parts["a"]["p"]
+    assert read(lake, "a") == [(1, "x"), (2, "y")]
+    assert read(lake, "a", parts=["q", "none"]) == [(2, "y")]
+    commit = lake.commit()
+    commit.remove("a", ["p"])
+    commit.publish()
+    assert read(lake, "a") == [(2, "y")]
+    commit = lake.commit()
+    directory = commit.directory("a")
+    write_parquet(rows(spark, (3, "z")), directory)
+    commit.replace("a", directory)
+    commit.publish()
+    assert read(lake, "a") == [(3, "z")]
+
+
+def test_a_reader_keeps_its_version(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    held = put(lake, spark, "a", "p", (1, "x"))
+    put(lake, spark, "a", "p", (2, "y"))
+    assert read(lake, "a", manifest=held) == [(1, "x")] and read(lake, "a") == [(2, "y")]
+
+
+def test_of_two_commits_on_one_version_the_later_fails(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    put(lake, spark, "a", "p", (0, "base"))
+    one, two = (put(lake, spark, "a", name, (k, name), publish=False) for k, name in enumerate("xy"))
+    one.publish()
+    with pytest.raises(CommitConflict):
+        two.publish()
+    assert read(lake, "a") == [(0, "base"), (0, "x")]
+    assert not [name for name in os.listdir(tmp_path / "_manifests") if name.endswith(".tmp")]
+
+
+def test_a_broken_publication_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    from ledgerloom.sources import versions
+
+    lake = Lake(spark, str(tmp_path))
+    put(lake, spark, "a", "p", (1, "x"))
+    for step in ("write_text", "rename_new"):
+        with monkeypatch.context() as patch:
+            patch.setattr(versions, step, lambda *_: (_ for _ in ()).throw(OSError(step)))
+            with pytest.raises(OSError, match=step):
+                put(lake, spark, "a", "p", (2, "y"))
+        assert read(lake, "a") == [(1, "x")]
+    put(lake, spark, "a", "p", (2, "y"))
+    assert read(lake, "a") == [(2, "y")]
+
+
+def test_vacuum_deletes_what_no_kept_version_names(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    put(lake, spark, "a", "p", (1, "x"))
+    put(lake, spark, "a", "q", (2, "y"))
+    kept = put(lake, spark, "a", "p", (3, "z"))
+    abandoned = put(lake, spark, "a", "p", (4, "never"), publish=False)
+    assert len(lake.vacuum(keep=2)) == 1
+    assert len(lake.vacuum()) == 1
+    assert lake.current() == kept and read(lake, "a") == [(2, "y"), (3, "z")]
+    assert abandoned.base == kept and len(children(spark, f"{tmp_path}/a")) == 2
+    assert children(spark, f"{tmp_path}/_manifests") == ["000000000003.json"]
+
+
+def test_only_directories_of_the_commit_can_be_named(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="directory of this commit"):
+        lake.commit().put("a", "p", f"{tmp_path}/a/elsewhere")
+
+
+def test_rename_does_not_replace(spark, tmp_path):
+    write_text(spark, f"{tmp_path}/one", "1")
+    write_text(spark, f"{tmp_path}/two", "2")
+    with pytest.raises(Exception, match="FileAlreadyExists|already exists"):
+        rename_new(spark, f"{tmp_path}/one", f"{tmp_path}/two")
+    assert (tmp_path / "one").read_text() == "1" and (tmp_path / "two").read_text() == "2"
