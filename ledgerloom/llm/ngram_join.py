@@ -4,11 +4,15 @@
    the set: hashed partitions of the set, one more (and some) than two similar sets can differ in.
    Two similar sets hence agree in a whole non-empty partition, whatever else they share; a passage
    or line that many documents have in common makes no key.
-2. Equal keys, sorted, chain the sets into candidate groups. Keys are dealt by range of (key, set),
-   so that a key which a third of all documents share is spread over many tasks.
-3. A candidate group is cut, in order of size, into blocks of bounded size. Signature trees find the
+2. Equal keys, sorted, give runs of sets. Keys are dealt by range of (key, set), so that a key which a third
+   of all documents share is spread over many tasks. Runs of the same sets count once.
+3. Within a run, a pair stays a candidate if its sketches allow for it: a sketch holds the parity of the
+   tokens of each slot, so that two sets differ in at least as many tokens as their sketches in bits. What is left
+   connects the sets into candidate groups; only of their members are texts looked at again. A run that is cut
+   by the range of a task, or very long, is a candidate as a whole.
+4. A candidate group is cut, in order of size, into blocks of bounded size. Signature trees find the
    links of a block, with one set of the group in all blocks of like sizes.
-4. What that has left unconnected is compared across blocks of compatible sizes, again by trees.
+5. What that has left unconnected is compared across blocks of compatible sizes, again by trees.
 
 Documents with equal sets count as one set throughout.
 """
@@ -31,6 +35,8 @@ from ledgerloom.llm.words import flat_bytes, mix64, shingle_hashes, span_hashes,
 BLOCK_SHINGLES = 2_000_000  # shingles in a block on average: 16 MB of hashes
 _TEXT_BYTES = 1 << 20  # of texts whose words are taken at once
 _SEEN = 200_000  # set identifiers that a task remembers, to give keys of equal sets once
+_LONG = 4096  # sets in a run from which on its pairs aren't looked at one by one
+_RUN_ROWS = 20_000  # of runs that are looked at together
 
 
 def token_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -98,54 +104,156 @@ def set_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def set_sketch(tokens: np.ndarray) -> bytes:
+    """The parity of the tokens in each slot; slots are a power of two, about half as many as tokens, 64 to 8,192."""
+    slots = min(8192, max(64, 1 << (max(1, len(tokens) // 2) - 1).bit_length()))
+    counts = np.bincount(((tokens >> np.uint64(40)) % np.uint64(slots)).astype(np.int64), minlength=slots)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
 def _signatures(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            sizes, identifiers, keys = [], [], []
+            sizes, identifiers, keys, sketches = [], [], [], []
             for doc, tokens in zip(batch.column(0).to_pylist(), token_sets(batch.column(1), n), strict=True):
                 sizes.append(len(tokens))
                 identifiers.append(set_identifier(tokens) if len(tokens) and doc is not None else None)
                 if identifiers[-1] is None or identifiers[-1] in seen:
                     keys.append(None)
+                    sketches.append(None)
                     continue
                 if len(seen) >= _SEEN:
                     seen.clear()
                 seen.add(identifiers[-1])
                 keys.append(set_keys(tokens, percent).view(np.int64))
+                sketches.append(set_sketch(tokens))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(identifiers, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "n_shingles", "set_id", "keys"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(identifiers, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                names=["id", "n_shingles", "set_id", "keys", "sketch"],
             )
 
     return run
 
 
-def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What neighbours with equal keys among sorted (key, set) connect, each set with the smallest that it
-    reaches within the partition; the partition's first and last rows keep their keys."""
-
-    def out(a, b, key):
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(key, pa.int64())], names=["a", "b", "key"])
-
-    last, held = None, [np.zeros((0, 2), np.int64)]
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted (key, set): ``run, a`` for the members of each run of equal keys, runs of the same sets once a batch;
+    and, of runs that are long or at an end of the partition, ``a, b``, each set with the run's first. The partition's first and
+    last rows come again with their ``key``."""
+
+    def out(run, a, b, key) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (run, a, b, key)], names=["run", "a", "b", "key"])
+
+    def whole(node: np.ndarray) -> pa.RecordBatch:
+        rest = np.unique(node)[1:]
+        return out(pa.nulls(len(rest)), rest, np.full(len(rest), node.min()), pa.nulls(len(rest)))
+
+    def members(key: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+        new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
+        key, node = key[new], node[new]
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        length = np.diff(np.append(begin, len(key)))
+        run = mix64(np.add.reduceat(mix64(node.view(np.uint64)), begin) + length.astype(np.uint64))
+        once = np.zeros(len(begin), bool)
+        once[np.unique(run, return_index=True)[1]] = True
+        for k in np.flatnonzero(once & (length > _LONG)).tolist():
+            yield whole(node[begin[k] : begin[k] + length[k]])
+        once &= (length > 1) & (length <= _LONG)
+        row = np.repeat(once, length)
+        n = int(np.count_nonzero(row))
+        yield out(np.repeat(run, length)[row].view(np.int64), node[row], pa.nulls(n), pa.nulls(n))
+
+    held = None  # rows of the run that may go on
+    uncut = False  # whether those are all its rows
     for batch in batches:
         if not batch.num_rows:
             continue
         key, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if last is None:
-            yield out(node[:1], [None], key[:1])
+        if held is None:
+            yield out([None], node[:1], [None], key[:1])
         else:
-            key, node = np.concatenate(([last[0]], key)), np.concatenate(([last[1]], node))
-        same = (key[1:] == key[:-1]) & (node[1:] != node[:-1])
-        if same.any():
-            held.append(np.unique(np.stack([node[:-1][same], node[1:][same]], axis=1), axis=0))
-        last = key[-1], node[-1]
-    if last is not None:
-        yield out([last[1]], [None], [last[0]])
-        pairs = np.concatenate(held)
-        nodes, smallest = local_stars(pairs[:, 0], pairs[:, 1])
-        yield out(nodes, smallest, pa.nulls(len(nodes), pa.int64()))
+            key, node = np.concatenate((held[0], key)), np.concatenate((held[1], node))
+        if not uncut:
+            end = int(np.searchsorted(key, key[0], side="right"))
+            if end < len(key):
+                yield whole(node[:end])
+                key, node, uncut = key[end:], node[end:], True
+        last = int(np.searchsorted(key, key[-1], side="left"))
+        if last:
+            yield from members(key[:last], node[:last])
+        held = key[last:], node[last:]
+        if len(held[0]) > 4 * _LONG:
+            # Long anyway: connect what there is, and go on from its first set and its last.
+            yield whole(held[1])
+            keep = [int(held[1].argmin()), len(held[1]) - 1]
+            held, uncut = (held[0][keep], held[1][keep]), False
+    if held is not None:
+        yield whole(held[1])
+        yield out([None], held[1][-1:], [None], held[0][-1:])
+
+
+def sketch_pairs(run: np.ndarray, sizes: np.ndarray, sketches: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs of rows of one run (sorted by it) that sizes and sketches allow to be similar."""
+    width = np.array([8 * len(x) for x in sketches], np.int64)
+    rows_of, place = {}, {}
+    for w in np.unique(width).tolist():
+        # Sketches of this width, and of the next one folded to it.
+        at = np.flatnonzero((width == w) | (width == 2 * w))
+        bits = np.zeros((len(at), w // 64), np.uint64)
+        for k, i in enumerate(at.tolist()):
+            own = np.frombuffer(sketches[i], np.uint64)
+            bits[k] = own if len(own) == w // 64 else own[: w // 64] ^ own[w // 64 :]
+        rows_of[w], place[w] = bits, np.full(len(run), -1)
+        place[w][at] = np.arange(len(at))
+    left, right = [], []
+    begin = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    longest = int(np.diff(np.append(begin, len(run))).max(initial=0))
+    for step in range(1, longest):
+        i = np.flatnonzero(run[step:] == run[:-step])
+        j = i + step
+        fits = (100 * sizes[i] >= percent * sizes[j]) & (100 * sizes[j] >= percent * sizes[i])
+        i, j = i[fits], j[fits]
+        common = np.minimum(width[i], width[j])
+        far = np.maximum(width[i], width[j]) > 2 * common  # can't be, with similar sizes, but for rounding
+        left.append(i[far])
+        right.append(j[far])
+        for w in np.unique(common[~far]).tolist():
+            at = np.flatnonzero((common == w) & ~far)
+            for cut in range(0, len(at), max(1, (1 << 22) // w)):
+                x, y = i[at[cut : cut + max(1, (1 << 22) // w)]], j[at[cut : cut + max(1, (1 << 22) // w)]]
+                differ = np.bitwise_count(rows_of[w][place[w][x]] ^ rows_of[w][place[w][y]]).sum(axis=1, dtype=np.int64)
+                # At least percent % of the union in common leaves at most this many tokens that only one has.
+                keep = differ * (100 + percent) <= (sizes[x] + sizes[y]) * (100 - percent)
+                left.append(x[keep])
+                right.append(y[keep])
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(left or none), np.concatenate(right or none)
+
+
+def _candidates(percent: int):
+    """What candidate pairs connect among rows (run, set_id, n_shingles, sketch) sorted by run: each set with the smallest it reaches."""
+
+    def stars(rows: pa.Table) -> pa.RecordBatch:
+        run, node, size = (rows.column(k).to_numpy() for k in range(3))
+        i, j = sketch_pairs(run, size, rows.column(3).to_pylist(), percent)
+        return pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()) for ends in local_stars(node[i], node[j])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= _RUN_ROWS:
+                rows = pa.Table.from_batches(held)
+                key = rows.column(0).to_numpy()
+                last = int(np.searchsorted(key, key[-1], side="left"))
+                if last:
+                    yield stars(rows.slice(0, last))
+                held = rows.slice(last).combine_chunks().to_batches()
+        if held:
+            yield stars(pa.Table.from_batches(held))
+
+    return run
 
 
 def _block_links(n: int, percent: int):
@@ -199,15 +307,21 @@ def ngram_components(df: DataFrame, words: int, percent: int, id_col: str = "doc
     """
     scratch = Scratch(df.sparkSession, "ngram")
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    with_keys = scratch.write(source.mapInArrow(tidy(_signatures(words, percent)), "id long, n_shingles long, set_id long, keys array<long>"))
-    signatures = scratch.write(with_keys.drop("keys"))
+    with_keys = scratch.write(source.mapInArrow(tidy(_signatures(words, percent)), "id long, n_shingles long, set_id long, keys array<long>, sketch binary"))
+    signatures = scratch.write(with_keys.select("id", "n_shingles", "set_id"))
 
     keyed = with_keys.where("keys is not null").select(F.explode("keys").alias("key"), "set_id")
-    chains = scratch.write(keyed.repartitionByRange("key", "set_id").sortWithinPartitions("key", "set_id").mapInArrow(tidy(_chains), "a long, b long, key long"))
-    scratch.drop(with_keys)
-    ends = chains.where("key is not null").select("key", "a")
+    runs = scratch.write(keyed.repartitionByRange("key", "set_id").sortWithinPartitions("key", "set_id").mapInArrow(tidy(_runs), "run long, a long, b long, key long"))
+    sketches = with_keys.where("sketch is not null").groupBy("set_id").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    members = runs.where("run is not null").select("run", F.col("a").alias("set_id")).repartition("set_id").distinct().join(sketches, "set_id")
+    dealt = members.select("run", "set_id", "n_shingles", "sketch").repartition("run").sortWithinPartitions("run", "set_id")
+    pairs = scratch.write(dealt.mapInArrow(tidy(_candidates(percent)), "a long, b long"))
+    ends = runs.where("key is not null").select("key", "a")
     across = ends.join(ends.groupBy("key").agg(F.min("a").alias("b")), "key").select("a", "b")
-    clusters = scratch.write(connected_components(chains.where("key is null").select("a", "b").unionAll(across), scratch).withColumnsRenamed({"node": "set_id", "component": "cluster"}))
+    whole = runs.where("b is not null").select("a", "b")
+    clusters = scratch.write(connected_components(pairs.unionAll(whole).unionAll(across), scratch).withColumnsRenamed({"node": "set_id", "component": "cluster"}))
+    for done in (with_keys, runs, pairs):
+        scratch.drop(done)
 
     sets = scratch.write(signatures.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles")))
     candidates = scratch.write(_in_blocks(clusters.join(sets, "set_id")))

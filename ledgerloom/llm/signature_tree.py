@@ -4,7 +4,8 @@ A node holds the bitwise OR of its sets' token bitmaps, the range of their sizes
 excess (tokens beyond the bits they set). No two sets below two nodes share more tokens than the
 bits that both nodes have set plus the lesser excess, so a pair of nodes whose bound is under the
 overlap that the similarity needs is pruned with everything below it. Pairs that are already in one
-component are pruned as well: the join reports components, not pairs.
+component are pruned as well: the join reports components, not pairs. The pairs of a small subtree come before those
+of larger ones, so that what a subtree has connected is known when it meets others.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from __future__ import annotations
 import numpy as np
 
 FAN_OUT = 8
-_PAIRS_AT_ONCE = 1 << 15
+_PAIRS_AT_ONCE = 1 << 15  # of sets
+_NODES_AT_ONCE = 1 << 9
 
 
 def overlap_suffices(overlap, a, b, percent: int):
@@ -81,10 +83,20 @@ def _levels(bitmaps: np.ndarray, sizes: np.ndarray, excess: np.ndarray, groups:
     return levels
 
 
-def _surviving(level: dict, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+def _regroup(levels: list[dict], groups: np.ndarray) -> None:
+    """Takes over what has been connected since the levels were made."""
+    levels[0]["group"] = groups
+    for below, level in zip(levels[:-1], levels[1:], strict=True):
+        at = np.arange(0, len(below["lo"]), FAN_OUT)
+        low, high = np.minimum.reduceat(below["group"], at), np.maximum.reduceat(below["group"], at)
+        level["group"] = np.where(low == high, low, -1)
+
+
+def _surviving(level: dict, i: np.ndarray, j: np.ndarray, percent: int, root: np.ndarray) -> np.ndarray:
     lo_i, lo_j, hi_i, hi_j = level["lo"][i], level["lo"][j], level["hi"][i], level["hi"][j]
     alive = (100 * hi_i >= percent * lo_j) & (100 * hi_j >= percent * lo_i)
-    alive &= (level["group"][i] != level["group"][j]) | (level["group"][i] < 0)
+    group_i, group_j = level["group"][i], level["group"][j]
+    alive &= (group_i < 0) | (group_j < 0) | (root[group_i] != root[group_j])
     at = np.flatnonzero(alive)
     i, j = i[at], j[at]
     common = np.bitwise_count(level["bits"][i] & level["bits"][j]).sum(axis=1, dtype=np.int64)
@@ -133,39 +145,34 @@ def tree_links(sets: list[np.ndarray], percent: int, joined: np.ndarray | None =
         if found:
             mark[tokens[k]] = False
 
-    # Neighbours in the order and a few sets against all join most of what belongs together.
-    for k in range(n - 1):
-        verify(k, (k + 1,))
-    if n > 64:
-        for k in sorted({int(x) for x in np.linspace(0, n - 1, 6)}):
-            near = np.flatnonzero((100 * sizes >= percent * sizes[k]) & (100 * sizes[k] >= percent * sizes))
-            verify(k, near.tolist())
-
     bits = int(min(16384, max(512, 1 << int(4 * np.median(sizes)).bit_length())))
     bitmaps = _bitmaps(flat, offsets, bits)
     excess = sizes - np.bitwise_count(bitmaps).sum(axis=1, dtype=np.int64)
-    groups = np.array([forest.find(k) for k in range(n)], np.int64)
-    levels = _levels(bitmaps, sizes, excess, groups)
-    zero = np.zeros(1, np.int64)
-    stack = [(len(levels) - 1, zero, zero)]
-    while stack:
-        height, i, j = stack.pop()
-        if len(i) > _PAIRS_AT_ONCE:
-            stack += [(height, i[k : k + _PAIRS_AT_ONCE], j[k : k + _PAIRS_AT_ONCE]) for k in range(0, len(i), _PAIRS_AT_ONCE)]
-            continue
-        alive = _surviving(levels[height], i, j, percent)
-        i, j = i[alive], j[alive]
-        if not height:
+    levels = _levels(bitmaps, sizes, excess, forest.roots())
+    children = np.arange(FAN_OUT)
+    for top in range(1, len(levels)):
+        # Pairs below one node of this level that no lower node has both of.
+        _regroup(levels, forest.roots())
+        nodes = np.arange(len(levels[top]["lo"]))
+        left, right = (nodes[:, None, None] * FAN_OUT + np.broadcast_to(c, (FAN_OUT, FAN_OUT)) for c in (children[:, None], children))
+        keep = (left < right) & (right < len(levels[top - 1]["lo"]))
+        stack = [(top - 1, left[keep], right[keep])]
+        while stack:
+            height, i, j = stack.pop()
+            most = _NODES_AT_ONCE if height else _PAIRS_AT_ONCE
+            if len(i) > most:
+                stack += [(height, i[k : k + most], j[k : k + most]) for k in range(0, len(i), most)]
+                continue
+            alive = _surviving(levels[height], i, j, percent, forest.roots())
+            i, j = i[alive], j[alive]
+            if height:
+                left, right = (x[:, None, None] * FAN_OUT + np.broadcast_to(c, (FAN_OUT, FAN_OUT)) for x, c in ((i, children[:, None]), (j, children)))
+                keep = (left < len(levels[height - 1]["lo"])) & (right < len(levels[height - 1]["lo"]))
+                if keep.any():
+                    stack.append((height - 1, left[keep], right[keep]))
+                continue
             cut = np.flatnonzero(np.diff(i)) + 1
             for part_i, part_j in zip(np.split(i, cut), np.split(j, cut), strict=True):
                 if len(part_i):
                     verify(int(part_i[0]), part_j.tolist())
-            continue
-        below = len(levels[height - 1]["lo"])
-        step = np.arange(FAN_OUT)
-        left = (i[:, None, None] * FAN_OUT + step[:, None]) + 0 * step
-        right = (j[:, None, None] * FAN_OUT + step) + 0 * step[:, None]
-        keep = (left < below) & (right < below) & ((left < right) if height == 1 else (left <= right))
-        if keep.any():
-            stack.append((height - 1, left[keep], right[keep]))
     return [(int(order[a]), int(order[b])) for a, b in forest.links]

@@ -115,6 +115,84 @@ def test_similar_sets_share_a_key(percent):
                 assert np.intersect1d(ngram_join.set_keys(a, percent), ngram_join.set_keys(b, percent)).size
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_sketches_keep_similar_pairs(percent):
+    rnd = np.random.default_rng(percent)
+    sets, run = [], []
+    for number in range(60):
+        base = np.unique(rnd.integers(0, 2**64, int(rnd.integers(1, 900)), np.uint64, endpoint=False))
+        for _ in range(int(rnd.integers(2, 6))):
+            kept = base[rnd.random(len(base)) > rnd.choice([0.02, 0.15])]
+            if len(kept):
+                sets.append(np.unique(np.concatenate([kept, rnd.integers(0, 2**64, int(rnd.integers(0, 1 + len(kept) // 8)), np.uint64, endpoint=False)])))
+                run.append(number // 2)
+    sizes = np.array([len(s) for s in sets])
+    found = set(zip(*(x.tolist() for x in ngram_join.sketch_pairs(np.array(run), sizes, [ngram_join.set_sketch(s) for s in sets], percent)), strict=True))
+    every = {(i, j) for j in range(len(sets)) for i in range(j) if run[i] == run[j]}
+    similar = {(i, j) for i, j in every if signature_tree.overlap_suffices(len(np.intersect1d(sets[i], sets[j])), sizes[i], sizes[j], percent)}
+    assert similar <= found <= every and similar and len(found - similar) < len(every - similar) / 2
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 1000])
+@pytest.mark.parametrize("long", [2, 4096])
+def test_runs_over_batches_and_partitions(monkeypatch, size, long):
+    """Every two sets with a key in common are in one run or connected outright, however rows are cut."""
+    monkeypatch.setattr(ngram_join, "_LONG", long)
+    rnd = random.Random(size + long)
+    rows = sorted({(rnd.randrange(40), rnd.randrange(60)) for _ in range(150)} | {(17, k) for k in range(60)})
+    for cuts in ([0, len(rows)], [0, 50, 51, 90, len(rows)]):
+        edges, ends = [], []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            part = rows[a:b]
+            batches = [pa.RecordBatch.from_pylist([{"key": k, "set_id": s} for k, s in part[c : c + size]], pa.schema([("key", pa.int64()), ("set_id", pa.int64())])) for c in range(0, len(part), size)]
+            found = [r for batch in ngram_join._runs(iter(batches)) for r in batch.to_pylist()]
+            members: dict = {}
+            for r in found:
+                if r["run"] is not None:
+                    members.setdefault(r["run"], set()).add(r["a"])
+                elif r["key"] is not None:
+                    ends.append((r["key"], r["a"]))
+                else:
+                    edges.append((r["a"], r["b"]))
+            edges += [(min(m), x) for m in members.values() for x in m]
+        edges += [(x, min(y for k, y in ends if k == key)) for key, x in ends]
+        label = list(range(60))
+        for _ in label:
+            for a, b in edges:
+                label[a] = label[b] = min(label[a], label[b])
+        for i, (key, a) in enumerate(rows):
+            for other, b in rows[:i]:
+                assert key != other or label[a] == label[b]
+
+
+def test_large_trees_find_the_links_and_prune(monkeypatch):
+    """Two thousand sets of a common vocabulary, a hundred similar pairs among them and one group of 300."""
+    rnd = np.random.default_rng(11)
+    sets = [np.unique(rnd.integers(0, 20_000, 150).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(1500)]
+    for k in range(100):
+        sets.append(np.unique(np.concatenate([sets[k][8:], rnd.integers(0, 2**63, 5).astype(np.uint64)])))
+    sets += [np.unique(np.concatenate([sets[1000][4:], rnd.integers(0, 2**63, 3).astype(np.uint64)])) for _ in range(300)]
+    looked_at = []
+    surviving = signature_tree._surviving
+
+    def counted(level, i, j, percent, root):
+        alive = surviving(level, i, j, percent, root)
+        looked_at.append((len(level["lo"]) == len(sets), len(i), int(alive.sum())))
+        return alive
+
+    monkeypatch.setattr(signature_tree, "_surviving", counted)
+    links = signature_tree.tree_links(sets, 80)
+    label = list(range(len(sets)))
+    for _ in range(20):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    assert all(label[k] == label[1500 + k] for k in range(100)) and len({label[k] for k in [1000, *range(1600, 1900)]}) == 1
+    assert len(set(label)) == 1500 and len(links) == len(sets) - 1500
+    pairs = len(sets) * (len(sets) - 1) // 2
+    at_leaves = sum(n for leaf, n, _ in looked_at if leaf)
+    assert at_leaves < 0.9 * pairs and sum(alive for leaf, _, alive in looked_at if leaf) < pairs / 40
+
+
 def test_tree_equals_all_pairs():
     rnd = np.random.default_rng(5)
     sets = []
