@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators; all lazy, none triggers a job."""
 
+from ledgerloom.operators.asof import asof_join
 from ledgerloom.operators.conform import clean_silver, dedup_transactions, standardize_gender
 from ledgerloom.operators.mart_state import change_partials, mart_partials, merge_partials, rollup_from_state
 from ledgerloom.operators.marts import (
@@ -14,6 +15,7 @@ from ledgerloom.operators.quality import QualitySplit, dq_counts, dq_report, spl
 
 __all__ = [
     "QualitySplit",
+    "asof_join",
     "change_partials",
     "city_revenue",
     "clean_silver",

@@ -202,6 +202,17 @@ def _versions() -> str:
     return f"with {_SILVER} " + " union all ".join([*version("first", first), *version("broken off", first), *version("second", "true")])
 
 
+def _asof(key: str) -> str:
+    """The greatest (price, discount) of the last day; NULL is the least."""
+    return (
+        f"with {_VIEW}, days as (select {key} as k, cast(ship_date as date) as day,"
+        " row_number() over (partition by product_key, ship_date order by unit_price desc nulls last, discount_pct desc nulls last) as place,"
+        f" unit_price as valid_price, discount_pct as valid_discount from (select *, {key} as product_key from raw)),"
+        f" asked as (select transaction_id, customer_id, {key}, cast(order_date as date) as order_day from raw)"
+        f" select a.*, valid_price, valid_discount from asked a asof left join (select * from days where place = 1) d on a.{key} = d.k and a.order_day >= d.day"
+    )
+
+
 _PROFILED = [
     "transaction_id",
     "order_date",
@@ -234,6 +245,15 @@ ORACLE_SQL: dict[str, str] = {
     "landing_chunks": (
         f"with {_VIEW} select count(*) as row_count, cast(0 as bigint) as oversized_files from raw"
     ),
+    "triaged_bronze": _MULTI_RUN,
+    "triage_report": (
+        f"with {_VIEW}, counted as (select 'run_' || lower(order_status) as run, count(*) as rows from raw group by all)"
+        " select run, case run when 'run_cancelled' then 'widening' else 'compatible' end as kind, cast(null as varchar) as reason, rows from counted"
+        " union all select 'run_prices', 'rejected', 'unit_price is string, not double', 0"
+        " union all select 'run_notes', 'rejected', 'not a Parquet file', 0"
+    ),
+    "asof_product": _asof("product_id"),
+    "asof_category": _asof("product_category"),
     "quality_predicate": (
         f"with {_VIEW} select transaction_id, quantity <= 0 as quantity_not_positive,"
         " customer_age < 15 as age_below_min, customer_age > 100 as age_above_max,"

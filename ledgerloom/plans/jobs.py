@@ -29,6 +29,7 @@ from ledgerloom.sources.parquet import (
 )
 from ledgerloom.sources.quarantine import QUARANTINE_ROWS_PER_FILE, write_quarantine_csv
 from ledgerloom.sources.scratch import scratch_path
+from ledgerloom.sources.triage import read_accepted, rejected_files, triage_files
 
 
 @dataclass(frozen=True)
@@ -81,14 +82,25 @@ def land(df: DataFrame, raw: str, run_id: str, *, rows_per_file: int = ROWS_PER_
 
 
 def raw_to_bronze(
-    spark: SparkSession, raw: str, bronze: str, *, recursive: bool = False
+    spark: SparkSession, raw: str, bronze: str, *, recursive: bool = False, rejected: str | None = None
 ) -> dict[str, int]:
-    """All landed runs, in the declared schema, as one table; no shuffle."""
-    check_disjoint(spark, [raw], [bronze])
+    """All landed runs, in the declared schema, as one table; no shuffle.
+
+    A file that can't be read in it fails the job. With ``rejected``, a directory, such files are left out instead, and a
+    table of them with the reasons is written there; see ``sources.triage``.
+    """
+    check_disjoint(spark, [raw], [bronze] if rejected is None else [bronze, rejected])
     if _is_stream_output(spark, bronze):
         raise ValueError(f"{bronze!r} is fed by a stream; overwriting it would break the stream")
-    rows = read_raw(spark, raw, recursive=recursive)
-    return _write_observed(rows, bronze, _row_count("bronze_rows"))
+    if rejected is None:
+        return _write_observed(read_raw(spark, raw, recursive=recursive), bronze, _row_count("bronze_rows"))
+    if recursive:
+        raise ValueError("files are triaged by run, one directory below the landing zone")
+    verdicts = triage_files(spark, raw)
+    bad = rejected_files(spark, verdicts)
+    write_parquet(bad, rejected)
+    counts = _write_observed(read_accepted(spark, verdicts), bronze, _row_count("bronze_rows"))
+    return counts | {"rejected_files": sum(v.kind == "rejected" for v in verdicts)}
 
 
 def bronze_to_silver(

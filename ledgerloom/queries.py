@@ -35,11 +35,13 @@ from ledgerloom.sources import (
     generator,
     land_run,
     read_quarantine_csv,
+    read_accepted,
     read_raw,
     read_table,
     retail_view,
     scratch_path,
     transactions_for_ids,
+    triage_files,
     write_parquet,
     write_quarantine_csv,
 )
@@ -129,6 +131,33 @@ def landing_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def triaged_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of a landing zone that also holds prices as strings and files that aren't Parquet."""
+    paths = LayerPaths.under(_fresh(spark, "triage"))
+    for run_id, rows in _drifting_runs(spark, sf_dir).items():
+        land_run(rows, paths.raw, run_id)
+    spoilt = _drifting_runs(spark, sf_dir)["run_delivered"]
+    land_run(spoilt.withColumn("unit_price", F.col("unit_price").cast("string")), paths.raw, "run_prices")
+    spoilt.select("city").write.text(f"{paths.raw}/run_notes")
+    raw_to_bronze(spark, paths.raw, paths.bronze, rejected=f"{paths.quarantine}/files")
+    return read_table(spark, paths.bronze, BRONZE_SCHEMA)
+
+
+def triage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each landed run that can be read, by kind, and why others can't."""
+    raw = _fresh(spark, "triage-report")
+    runs = _drifting_runs(spark, sf_dir)
+    for run_id, rows in runs.items():
+        land_run(rows, raw, run_id)
+    land_run(runs["run_delivered"].withColumn("unit_price", F.col("unit_price").cast("string")), raw, "run_prices")
+    runs["run_delivered"].select("city").write.text(f"{raw}/run_notes")
+    verdicts = triage_files(spark, raw)
+    kinds = spark.createDataFrame(sorted({(v.run, v.kind, v.reason and v.reason.split("/")[-1].partition(".txt is ")[2].partition(".")[0] or v.reason) for v in verdicts}), "run string, kind string, reason string")
+    run = F.element_at(F.split("_metadata.file_path", "/"), -2).alias("run")
+    counted = read_accepted(spark, verdicts).select(run).groupBy("run").agg(F.count(F.lit(1)).alias("rows"))
+    return kinds.join(counted, "run", "left").select("run", "kind", "reason", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
 # --- quality -----------------------------------------------------------------------------
 
 
@@ -172,6 +201,26 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir)
 
 
+# --- what was valid at a time ------------------------------------------------------------
+
+
+def _asof(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """To every transaction the price and discount that shipments of the same ``key`` had last, on or before its order date."""
+    rows = retail_view(spark, sf_dir).withColumns({"order_day": F.col("order_date").cast("date"), "ship_day": F.col("ship_date").cast("date")})
+    shipped = rows.select(key, "ship_day", F.col("unit_price").alias("valid_price"), F.col("discount_pct").alias("valid_discount"))
+    asked = rows.select("transaction_id", "customer_id", key, "order_day")
+    return ops.asof_join(asked, shipped, keys=[key], left_time="order_day", right_time="ship_day", values=["valid_price", "valid_discount"])
+
+
+def asof_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asof(spark, sf_dir, "product_id")
+
+
+def asof_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few keys, each with a large share of all rows."""
+    return _asof(spark, sf_dir, "product_category")
+
+
 # --- gold --------------------------------------------------------------------------------
 
 
@@ -412,6 +461,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_multi_run": bronze_multi_run,
     "bronze_incremental": bronze_incremental,
     "landing_chunks": landing_chunks,
+    "triaged_bronze": triaged_bronze,
+    "triage_report": triage_report,
+    "asof_product": asof_product,
+    "asof_category": asof_category,
     "quality_predicate": quality_predicate,
     "quality_valid": quality_valid,
     "quality_quarantine": quality_quarantine,

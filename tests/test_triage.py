@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import pytest
+from conftest import sorted_rows
+from pyspark.sql import functions as F
+
+from ledgerloom.plans import LayerPaths, raw_to_bronze
+from ledgerloom.schema import BRONZE_SCHEMA, RAW_SCHEMA
+from ledgerloom.sources import land_run, read_accepted, read_table, rejected_files, triage_files
+from ledgerloom.sources.triage import schema_kind
+
+
+@pytest.fixture
+def landed(spark, transactions, tmp_path):
+    raw = str(tmp_path / "raw")
+    rows = transactions(*[{"transaction_id": k, "quantity": k + 1} for k in range(8)])
+    land_run(rows.repartition(4), raw, "plain")
+    land_run(rows.withColumn("quantity", F.col("quantity").cast("int")), raw, "narrow")
+    land_run(rows.drop("city").withColumn("extra", F.lit(1)), raw, "other_columns")
+    land_run(rows.withColumn("quantity", F.col("quantity").cast("double")), raw, "doubles")
+    rows.select("city").coalesce(1).write.text(f"{raw}/text")
+    # One run with files of all kinds.
+    for name, df in {"x": rows, "y": rows.withColumn("unit_price", F.lit("1.0")), "z": rows.withColumn("customer_age", F.lit(3).cast("short"))}.items():
+        df.coalesce(1).write.mode("append").parquet(f"{raw}/mixed")
+    return raw, rows
+
+
+def test_every_kind_of_file(spark, landed):
+    raw, rows = landed
+    kinds: dict = {}
+    for v in triage_files(spark, raw):
+        kinds.setdefault(v.run, []).append((v.kind, v.reason))
+    assert {k for k, _ in kinds["plain"]} == {"compatible"} and len(kinds["plain"]) > 1
+    assert {k for k, _ in kinds["narrow"]} == {"widening"}
+    assert {k for k, _ in kinds["other_columns"]} == {"compatible"}
+    assert set(kinds["doubles"]) == {("rejected", "quantity is double, not bigint")}
+    assert [k for k, _ in kinds["text"]] == ["rejected"] and "not a Parquet file" in kinds["text"][0][1]
+    assert sorted(kinds["mixed"], key=repr) == [("compatible", None), ("rejected", "unit_price is string, not double"), ("widening", None)]
+
+
+def test_readable_rows_are_read_and_the_others_listed(spark, landed, tmp_path):
+    raw, rows = landed
+    paths = LayerPaths.under(str(tmp_path))
+    counts = raw_to_bronze(spark, raw, paths.bronze, rejected=str(tmp_path / "rejected"))
+    bronze = read_table(spark, paths.bronze, BRONZE_SCHEMA)
+    assert counts["bronze_rows"] == bronze.count() == 5 * 8
+    listed = spark.read.parquet(str(tmp_path / "rejected"))
+    assert listed.count() == counts["rejected_files"] and {r["run"] for r in listed.collect()} == {"doubles", "text", "mixed"}
+    with pytest.raises(Exception, match="(?i)parquet"):
+        raw_to_bronze(spark, raw, str(tmp_path / "fails"))
+
+
+def test_a_run_that_has_not_ended_is_left_out(spark, landed, tmp_path):
+    raw, rows = landed
+    (tmp_path / "raw" / "plain" / "_SUCCESS").unlink()
+    assert "plain" not in {v.run for v in triage_files(spark, raw)}
+    assert {v.run for v in triage_files(spark, raw, runs=["narrow", "missing"])} == {"narrow"}
+
+
+def test_nothing_landed(spark, tmp_path):
+    found = triage_files(spark, str(tmp_path / "none"))
+    assert found == [] and read_accepted(spark, found).schema == RAW_SCHEMA
+    assert rejected_files(spark, found).collect() == []
+
+
+def test_accepted_values(spark, landed):
+    raw, rows = landed
+    narrow = [v for v in triage_files(spark, raw) if v.run in ("narrow", "plain")]
+    assert sorted_rows(read_accepted(spark, narrow)) == sorted(sorted_rows(rows) * 2, key=repr)
+
+
+def test_schemas():
+    import pyspark.sql.types as t
+
+    declared = t.StructType([t.StructField("a", t.LongType()), t.StructField("b", t.DoubleType())])
+
+    def kind(ddl):
+        return schema_kind(t.StructType.fromDDL(ddl), declared)
+
+    assert kind("A bigint, c int") == ("compatible", None)
+    assert kind("a smallint, b double") == ("widening", None)
+    assert kind("a bigint, b float")[0] == kind("c int")[0] == kind("a bigint, A bigint")[0] == "rejected"
