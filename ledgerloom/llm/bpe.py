@@ -21,11 +21,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.words import flat_bytes, span_hashes, tidy
+from ledgerloom.llm.words import flat_bytes, give_back, span_hashes, tidy
 
-KEPT_WORDS = 1_200_000  # words whose ids a task keeps from batch to batch, about 80 MB
+KEPT_WORDS = 800_000  # words whose ids a task keeps from batch to batch, about 60 MB
 _TEXT_BYTES = 1 << 20  # of texts taken at once
-_STATE_ROWS = 3_000_000  # rows that one recursion holds at most, over all its steps
+_STATE_ROWS = 1_500_000  # rows that one recursion holds at most, over all its steps
 _PIECES = 20_000
 
 _SPACED = re.compile(r"\s ")
@@ -252,6 +252,7 @@ def encode_decode(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(vocabulary, pattern)
+        give_back()
         try:
             for batch in batches:
                 raw, offsets = flat_bytes(batch.column(1))
@@ -262,6 +263,7 @@ def encode_decode(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "d
                     columns = [batch.column(0).slice(at, upto - at), _binary(ids.astype("<u4"), n_ids), _binary(decoded, n_bytes)]
                     yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"])
                     at = upto
+                    give_back()
         finally:
             codec.db.close()
 

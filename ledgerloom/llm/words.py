@@ -23,17 +23,22 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+def give_back() -> None:
+    """Returns the memory that this worker doesn't use to the system: it stays for other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """``run``, after which the worker gives back the memory that it doesn't use: it stays for other tasks."""
+    """``run``, after which the worker gives back the memory that it doesn't use."""
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
-            if trim:
-                trim(0)
+            give_back()
 
     return tidied
 
