@@ -21,6 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.tables import bound_batches
 from ledgerloom.llm.words import flat_bytes, give_back, span_hashes, tidy
 
 KEPT_WORDS = 800_000  # words whose ids a task keeps from batch to batch, about 60 MB
@@ -267,5 +268,6 @@ def encode_decode(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "d
         finally:
             codec.db.close()
 
+    bound_batches(df.sparkSession)
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(tidy(run), f"id {source.schema['id'].dataType.simpleString()}, ids binary, decoded binary").withColumnRenamed("id", id_col)

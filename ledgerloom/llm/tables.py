@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 _BITMAP = 32_768  # bits of one bitmap of bitmap_construct_agg, 4 KB
 _BITMAPS = 2_048
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds what goes to a Python worker at once by bytes, not only by rows, unless the session has a bound already.
+
+    10,000 whole texts, Spark's bound, may be gigabytes.
+    """
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, "4m")
+
+
 class Scratch:
     """Names new tables below one folder of the shared directory and deletes superseded ones."""
 
