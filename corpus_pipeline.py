@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, mixing, ngram_join, quality, secret_scan
-from ledgerloom.llm.tables import Scratch, table, with_likely
+from ledgerloom.llm.tables import Scratch, bound_batches, table, with_likely
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -21,6 +21,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Without a document that is labelled as good it rejects nothing. Null texts are empty ones.
     """
+    bound_batches(spark)
     scored = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")), score_col="_score")
     return scored.where(F.col("_score") >= quality.THRESHOLD).drop("_score")
 
@@ -31,6 +32,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     An id is one document: of several rows with one, that of the least text stays. Documents without words
     and those without an id have no group and stay.
     """
+    bound_batches(spark)
     groups = Scratch(spark, "duplicates").write(ngram_join.ngram_components(docs, words=5, percent=80).where("doc_id is not null"))
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
     repeated = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
@@ -44,6 +46,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with what the scan finds replaced by its kind in brackets."""
+    bound_batches(spark)
     masked = secret_scan.mask_secrets(docs, VOCABULARY, public_tokenizers.PATTERN)
     return masked.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
 
