@@ -12,6 +12,7 @@ from ledgerloom.operators.marts import (
     with_total_amount,
 )
 from ledgerloom.operators.quality import QualitySplit, dq_counts, dq_report, split_quality
+from ledgerloom.operators.sketches import column_profiles, describe_profiles, merge_profiles, profile_drift
 
 __all__ = [
     "QualitySplit",
@@ -19,15 +20,19 @@ __all__ = [
     "change_partials",
     "city_revenue",
     "clean_silver",
+    "column_profiles",
     "daily_sales_metrics",
     "dedup_transactions",
+    "describe_profiles",
     "dq_counts",
     "dq_report",
     "mart_partials",
     "mart_rollup",
     "marts_from_rollup",
     "merge_partials",
+    "merge_profiles",
     "product_performance",
+    "profile_drift",
     "rollup_from_state",
     "split_quality",
     "standardize_gender",

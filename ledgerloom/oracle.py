@@ -213,6 +213,33 @@ def _asof(key: str) -> str:
     )
 
 
+def _profiles() -> str:
+    """Counts of every run and column; the sketches' values must be within their bounds."""
+    columns = {"transaction_id": True, "quantity": True, "unit_price": True, "customer_id": False, "payment_type": False}
+    return f"with {_VIEW}, runs as (select order_status as run, * from raw union all select 'all', * from raw) " + " union all ".join(
+        f"select run, '{name}' as \"column\", count(*) as rows, count({name}) as known, true as distinct_fits, true as quantiles_fit, {str(number).lower()} as has_quantiles from runs group by run"
+        for name, number in columns.items()
+    )
+
+
+def _drift() -> str:
+    def change(name: str, fits: str) -> str:
+        share = f"1 - count({name})::double / count(*)"
+        return f"select order_status as run, '{name}' as \"column\", round({share} - (select {share} from raw), 9) as null_share_change, {fits} as distance_fits from raw group by order_status"
+
+    return f"with {_VIEW} {change('quantity', 'true')} union all {change('payment_type', 'null::boolean')}"
+
+
+# Runs of ten days, then events of all days. A run drops what lies in windows that ended two days before the latest time of the
+# runs before it.
+_EVENTS = (
+    "with events_in as (select event_id, event_type, value, case when event_id % 500 <> 57 then ts end as moment,"
+    " case when event_id % 50 = 7 then 3 else least(2, (day(ts) - 1) // 10) end as run from events),"
+    " seen as (select b.run, (select max(moment) - interval 2 day from events_in e where e.run < b.run) as closed from (select distinct run from events_in) b),"
+    " judged as (select e.*, moment is null as untimed, coalesce(date_trunc('day', moment) + interval 1 day <= closed, false) as late from events_in e join seen using (run))"
+)
+
+
 _PROFILED = [
     "transaction_id",
     "order_date",
@@ -289,6 +316,16 @@ ORACLE_SQL: dict[str, str] = {
     "incremental_rollup": _ROLLUP,
     "upsert_buckets": _upserts(),
     "versioned_layers": _versions(),
+    "profile_report": _profiles(),
+    "profile_drift": _drift(),
+    "event_windows": (
+        f"{_EVENTS} select strftime(moment, '%Y-%m-%d') as day, event_type, count(*) as rows, cast(sum(cast(round(value * 100) as bigint)) as bigint) as cents"
+        " from judged where not untimed and not late group by all"
+    ),
+    "event_report": (
+        f"{_EVENTS} select count(*) as input_rows, count(*) filter (not untimed and not late) as window_rows,"
+        " count(*) filter (late) as late_rows, count(*) filter (untimed) as untimed_rows from judged"
+    ),
     "generated_transactions": _generated(),
     "generated_profile": (
         "select count(*) as row_count, "

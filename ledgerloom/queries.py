@@ -10,11 +10,12 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import operators as ops
 from ledgerloom.functions import is_bad_record, quality_rules
+from ledgerloom.operators.sketches import DISTINCT_ERROR, RANK_ERROR
 from ledgerloom.plans import (
     LayerPaths,
     apply_batch,
@@ -46,13 +47,17 @@ from ledgerloom.sources import (
     write_quarantine_csv,
 )
 from ledgerloom.sources.retail_view import TABLES
-from ledgerloom.streaming import ingest_new_runs
+from ledgerloom.streaming import EventWindows, ingest_new_runs
 
 GENERATOR_SEED = 7
 GENERATOR_BAD_RATE = 0.05
 GENERATOR_INGESTION_DATE = "2026-01-01"
 LANDING_ROWS_PER_FILE = 5_000
 UPSERT_BUCKETS = 16
+PROFILED_NUMBERS = ["transaction_id", "quantity", "unit_price"]
+PROFILED = [*PROFILED_NUMBERS, "customer_id", "payment_type"]
+PROFILE_RANKS = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
+STATUSES = ["Delivered", "Cancelled", "Returned"]  # Fixed values: the view's order statuses.
 
 
 def _fresh(spark: SparkSession, name: str) -> str:
@@ -384,6 +389,86 @@ def versioned_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, seen)
 
 
+# --- profiles ----------------------------------------------------------------------------
+
+
+def _profiled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The raw rows, and the profiles of their runs (here, order statuses) and of all rows, merged from those."""
+    rows = _staged(spark, sf_dir)
+    path = _fresh(spark, "profiles")
+    write_parquet(ops.column_profiles(rows, PROFILED, by="order_status"), path)
+    runs = spark.read.parquet(path)
+    return rows, runs.unionByName(ops.merge_profiles(runs).withColumn("run", F.lit("all")))
+
+
+def profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each run and column, and whether distinct counts and quantiles are within the sketches' bounds of the exact ones."""
+    rows, profiles = _profiled(spark, sf_dir)
+    described = ops.describe_profiles(profiles, PROFILE_RANKS)
+    values = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"), F.when(F.lit(c).isin(*PROFILED_NUMBERS), F.col(c).cast("double") if c in PROFILED_NUMBERS else F.lit(None).cast("double")).alias("number")) for c in PROFILED]
+    runs = F.explode(F.array(F.col("order_status"), F.lit("all"))).alias("run")
+    long = rows.select(runs, F.array(*values).alias("values")).select("run", F.explode("values").alias("v")).select("run", "v.*")
+    # A row for each run and column: a few dozen.
+    marked = long.join(F.broadcast(described.select("run", "column", "quantiles")), ["run", "column"])
+    n = F.nullif(F.count("number"), F.lit(0))
+    fits = F.lit(True)
+    for k, rank in enumerate(PROFILE_RANKS):
+        mark = F.get("quantiles", F.lit(k))
+        below, upto = F.count_if(F.col("number") < mark) / n, F.count_if(F.col("number") <= mark) / n
+        fits &= F.coalesce((below <= rank + RANK_ERROR) & (upto >= rank - RANK_ERROR), n.isNull())
+    exact = marked.groupBy("run", "column").agg(F.count_distinct("text").alias("exact"), fits.alias("quantiles_fit"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.ceil(F.col("exact") * DISTINCT_ERROR)
+    return described.join(exact, ["run", "column"]).select("run", "column", "rows", "known", near.alias("distinct_fits"), "quantiles_fit", F.col("quantiles").isNotNull().alias("has_quantiles"))
+
+
+def profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each run's columns differ from all rows; the distance is compared with the exact one."""
+    rows, profiles = _profiled(spark, sf_dir)
+    base = profiles.where("run = 'all'")
+    drift = ops.profile_drift(profiles.where("run <> 'all'"), base).where("column = 'quantity' or column = 'payment_type'")
+    # Exact distance for the column of few distinct values: cumulative shares at each of them.
+    counts = rows.where("quantity is not null").groupBy("quantity").agg(*[F.count_if(F.col("order_status") == s).alias(s) for s in STATUSES])
+    order = Window.orderBy("quantity")
+    shares = {s: F.sum(s).over(order) / F.sum(s).over(Window.partitionBy()) for s in STATUSES}
+    total = sum((F.col(s) for s in STATUSES[1:]), F.col(STATUSES[0]))
+    every = counts.withColumn("_all", total).select(*[v.alias(s) for s, v in shares.items()], (F.sum("_all").over(order) / F.sum("_all").over(Window.partitionBy())).alias("_all"))
+    exact = every.agg(*[F.max(F.abs(F.col(s) - F.col("_all"))).alias(s) for s in STATUSES])
+    exact = exact.select(F.explode(F.create_map(*[x for s in STATUSES for x in (F.lit(s), F.col(s))])).alias("run", "exact"))
+    near = F.abs(F.col("distance") - F.col("exact")) <= 2 / 100 + 2 * RANK_ERROR
+    return drift.join(exact, "run").select("run", "column", F.round("null_share_change", 9).alias("null_share_change"), near.alias("distance_fits"))
+
+
+# --- events ------------------------------------------------------------------------------
+
+
+def _event_windows(spark: SparkSession, sf_dir: str) -> EventWindows:
+    """Daily windows after three runs of ten days each, and a fourth with events of all days, some without a time."""
+    root = _fresh(spark, "events")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    late = F.col("event_id") % 50 == 7
+    events = events.withColumn("run", F.when(late, 3).otherwise(F.least(F.lit(2), F.floor((F.dayofmonth("ts") - 1) / 10))))
+    events = events.withColumn("ts", F.when(F.col("event_id") % 500 != 57, F.col("ts")))
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    windows = EventWindows(
+        Lake(spark, f"{root}/lake"), f"{root}/raw", f"{root}/checkpoint",
+        schema=events.drop("run").schema, time="ts", keys=["event_type"], sums={"cents": cents}, width="1 day", delay="2 days",
+    )
+    for run in range(4):
+        land_run(events.where(F.col("run") == run).drop("run"), f"{root}/raw", f"run_{run}")
+        windows.follow(spark)
+    return windows
+
+
+def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.date_format("window_start", "yyyy-MM-dd").alias("day")
+    return _event_windows(spark, sf_dir).current().select(day, "event_type", "rows", "cents")
+
+
+def event_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that landed, are in a window, came too late, or have no time."""
+    return _event_windows(spark, sf_dir).report()
+
+
 # --- generator ---------------------------------------------------------------------------
 
 
@@ -490,6 +575,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_rollup": incremental_rollup,
     "upsert_buckets": upsert_buckets,
     "versioned_layers": versioned_layers,
+    "profile_report": profile_report,
+    "profile_drift": profile_drift,
+    "event_windows": event_windows,
+    "event_report": event_report,
     "generated_transactions": generated_transactions,
     "generated_profile": generated_profile,
 }

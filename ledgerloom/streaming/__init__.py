@@ -1,5 +1,6 @@
 """Incremental ingestion with Structured Streaming."""
 
 from ledgerloom.streaming.bronze import ingest_new_runs
+from ledgerloom.streaming.windows import EventWindows
 
-__all__ = ["ingest_new_runs"]
+__all__ = ["EventWindows", "ingest_new_runs"]
