@@ -62,6 +62,8 @@ class EventWindows:
             lake = Lake(batch.sparkSession, self.lake.root)
             if f"{table}-{number:09d}" not in lake.current().applied:
                 apply(lake, batch, number)
+            else:  # the state store still needs the batch computed
+                batch.write.format("noop").mode("append").save()
 
         writer = stream.writeStream.outputMode(mode).foreachBatch(once).option("checkpointLocation", f"{self.checkpoint}/{table}")
         writer.trigger(availableNow=True).start().awaitTermination()
