@@ -3,16 +3,20 @@
 from ledgerloom.functions.conform import gender_code
 from ledgerloom.functions.money import (
     amount_cents,
+    cent_parts,
     cents_to_amount,
     inexact_amount,
     mean_amount,
     order_amount,
+    round_cents,
+    sum_cents,
     total_amount,
 )
 from ledgerloom.functions.rules import is_bad_record, quality_rules
 
 __all__ = [
     "amount_cents",
+    "cent_parts",
     "cents_to_amount",
     "gender_code",
     "inexact_amount",
@@ -20,5 +24,7 @@ __all__ = [
     "mean_amount",
     "order_amount",
     "quality_rules",
+    "round_cents",
+    "sum_cents",
     "total_amount",
 ]

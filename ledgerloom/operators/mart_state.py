@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, LongType, StringType, StructField, StructType
 
+from ledgerloom.functions.money import sum_cents
 from ledgerloom.operators.marts import MART_KEYS, mart_name, with_cents
 
 _KEYS = [key for keys in MART_KEYS.values() for key in keys]
@@ -34,7 +35,7 @@ def mart_partials(silver: DataFrame) -> DataFrame:
     grouped = with_cents(silver).groupingSets(sets, *[F.col(key) for key in _KEYS], F.col("_inexact"))
     return grouped.agg(
         mart_name().alias("mart"),
-        F.coalesce(F.sum("_cents"), F.lit(0)).cast("decimal(38,0)").alias("cents"),
+        F.coalesce(sum_cents(F.col("_high"), F.col("_low")), F.lit(0)).cast("decimal(38,0)").alias("cents"),
         F.count("total_amount").alias("amounts"),
         F.coalesce(F.sum("quantity"), F.lit(0).cast("bigint")).alias("units"),
         F.count("quantity").alias("known_units"),

@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import (
-    amount_cents,
+    cent_parts,
     inexact_amount,
     mean_amount,
     order_amount,
+    sum_cents,
     total_amount,
 )
 
@@ -38,16 +39,17 @@ def with_total_amount(df: DataFrame) -> DataFrame:
 
 
 def with_cents(silver: DataFrame) -> DataFrame:
-    """Appends ``total_amount``, its exact cents, and the amount itself where it has none."""
-    amounts = with_total_amount(silver).withColumn("_cents", amount_cents(F.col("total_amount")))
-    return amounts.withColumn("_inexact", inexact_amount(F.col("total_amount"), F.col("_cents")))
+    """Appends ``total_amount``, its exact cents in two parts, and the amount itself where it has none."""
+    high, low = cent_parts(F.col("total_amount"))
+    amounts = with_total_amount(silver).withColumns({"_high": high, "_low": low})
+    return amounts.withColumn("_inexact", inexact_amount(F.col("total_amount"), F.col("_low")))
 
 
 def _measures() -> list[Column]:
     """Additive measures. Orders with a NULL id count as revenue, not as orders;
     the mean is taken over the amounts that are known, not over the orders."""
     return [
-        F.sum("_cents").alias("cents"),
+        sum_cents(F.col("_high"), F.col("_low")).alias("cents"),
         F.sum("_inexact").alias("inexact"),
         F.count("total_amount").alias("amounts"),
         F.sum("quantity").alias("units"),

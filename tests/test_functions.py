@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from decimal import ROUND_HALF_UP, Decimal
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -9,10 +10,13 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import (
     amount_cents,
+    cent_parts,
     cents_to_amount,
     gender_code,
     mean_amount,
     order_amount,
+    round_cents,
+    sum_cents,
 )
 
 
@@ -60,6 +64,31 @@ def test_cents_of_what_is_no_amount_are_null(spark):
     assert evaluated(df, amount_cents(F.col("v"))) == cents
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.floats(), st.floats(-1e4, 1e4), st.integers(-(10**9), 10**9).map(lambda k: k / 1000), st.integers(-(10**12), 10**12).map(lambda k: float(np.nextafter(k / 1000 + 0.005, 0)))), min_size=300, max_size=300))
+def test_cents_are_rounded_as_spark_rounds(spark, values):
+    ties = [2.675, 1.005, 0.125, 0.135, -1.005, 8.345, 10.075, -0.001, -0.0, 0.005, -0.005, 1e9 + 0.005, 999999999.995, 1e11, None]
+    df = one_column(spark, values + ties, "double")
+    for ours, spark_s in zip(evaluated(df, round_cents(F.col("v"))), evaluated(df, F.round("v", 2)), strict=True):
+        assert repr(ours) == repr(spark_s)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.floats(-1e19, 1e19), st.integers(-(10**12), 10**12).map(lambda c: c / 100)), min_size=50, max_size=50))
+def test_parts_of_cents_add_up(spark, amounts):
+    values = [*amounts, None, float("nan"), float("inf"), 1e18, -9.99e17, 42949672.95, -42949672.96]
+    df = one_column(spark, values, "double")
+    high, low = cent_parts(F.col("v"))
+    expected = [int(np.rint(v * 100)) if v is not None and abs(v * 100) < 1e20 else None for v in values]
+    assert [c is None for c in expected] == [c is None for c in evaluated(df, amount_cents(F.col("v")))]
+    rows = df.select(high.alias("h"), low.alias("l")).collect()
+    assert [None if r["l"] is None else r["h"] * 2**32 + r["l"] for r in rows] == expected
+    assert all(abs(r["l"]) < 2**32 and r["h"] * r["l"] >= 0 for r in rows if r["l"] is not None)
+    total = df.agg(sum_cents(high, low)).first()[0]
+    assert int(total) == sum(c for c in expected if c is not None)
+    assert df.limit(0).agg(sum_cents(high, low)).first()[0] is None
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.integers(-(10**13), 10**13), min_size=50, max_size=50))
 def test_cents_survive_the_way_through_doubles(spark, cents):
