@@ -81,21 +81,31 @@ def draw_offset(seed: int, name: str) -> int:
     return (seed * 1_000_003 + DRAWS[name] * 715_827_883) % MODULUS
 
 
-def _draws(seed: int, record: Column) -> Callable[..., Column]:
-    """Draws for one record: (column, start, stop) -> integer in [start, stop)."""
-    low, high = F.pmod(record, F.lit(MODULUS)), F.call_function("div", record, F.lit(MODULUS))
+def _mixed(ids: DataFrame, id_column: str, seed: int) -> DataFrame:
+    """A column of mixed bits for each draw of a record.
+
+    Each step of the mix is a projection of its own: it uses what the one before gives twice, and
+    Spark keeps such projections apart instead of writing the steps into one another.
+    """
 
     def whole(value: int) -> Column:
         return F.lit(value).cast("bigint")
 
-    def draw(name: str, start: int, stop: int | Column) -> Column:
-        z = low * whole(MULTIPLIERS[0]) + high * whole(DRAW_STEP) + whole(draw_offset(seed, name))
-        z = F.pmod(z, whole(MODULUS))
-        for shift, multiplier in zip(SHIFTS, MULTIPLIERS[1:], strict=True):
-            z = F.pmod(z.bitwiseXOR(F.shiftright(z, shift)) * whole(multiplier), whole(MODULUS))
-        return whole(start) + F.pmod(z, stop - whole(start))
+    record = F.col(id_column).cast("bigint")
+    low, high = F.pmod(record, whole(MODULUS)), F.call_function("div", record, whole(MODULUS))
+    rows = ids.select(low.alias("_low"), high.alias("_high"))
+    first = F.col("_low") * whole(MULTIPLIERS[0]) + F.col("_high") * whole(DRAW_STEP)
+    rows = rows.select(*[F.pmod(first + whole(draw_offset(seed, name)), whole(MODULUS)).alias(name) for name in DRAWS])
+    for shift, multiplier in zip(SHIFTS, MULTIPLIERS[1:], strict=True):
+        mixed = [F.pmod(F.col(name).bitwiseXOR(F.shiftright(name, shift)) * whole(multiplier), whole(MODULUS)) for name in DRAWS]
+        rows = rows.select(*[m.alias(name) for m, name in zip(mixed, DRAWS, strict=True)])
+    return rows
 
-    return draw
+
+def _draw(name: str, start: int, stop: int | Column) -> Column:
+    """An integer in [start, stop) from a draw's mixed bits."""
+    low = F.lit(start).cast("bigint")
+    return low + F.pmod(F.col(name), stop - low)
 
 
 def transactions_for_ids(
@@ -113,15 +123,13 @@ def transactions_for_ids(
     rules. With 0 only ages below the minimum occur.
     """
     # First the indexes that several columns share, then the columns.
-    record = F.col(id_column).cast("bigint")
-    draw = _draws(seed, record)
-    base = ids.select(
-        record.alias("_record"),
+    draw = _draw
+    base = _mixed(ids, id_column, seed).select(
+        "*",
         draw("order_date", 0, DATE_COUNT).cast("int").alias("_day"),
         draw("product_category", 0, len(CATEGORY_PRICES)).alias("_category"),
         draw("city", 0, len(CITIES)).alias("_city"),
     )
-    draw = _draws(seed, F.col("_record"))
 
     def choice(name: str, values: list) -> Column:
         return _pick(values, draw(name, 0, len(values)))
