@@ -26,7 +26,7 @@ from ledgerloom.llm.words import flat_bytes, give_back, span_hashes, tidy
 
 KEPT_WORDS = 800_000  # words whose ids a task keeps from batch to batch, about 60 MB
 _TEXT_BYTES = 1 << 20  # of texts taken at once
-_STATE_ROWS = 1_500_000  # rows that one recursion holds at most, over all its steps
+_STATE_ROWS = 3_000_000  # rows that one recursion holds at most, over all its steps
 _PIECES = 20_000
 
 _SPACED = re.compile(r"\s ")
@@ -264,7 +264,7 @@ def encode_decode(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "d
                     columns = [batch.column(0).slice(at, upto - at), _binary(ids.astype("<u4"), n_ids), _binary(decoded, n_bytes)]
                     yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"])
                     at = upto
-                    give_back()
+                give_back()
         finally:
             codec.db.close()
 

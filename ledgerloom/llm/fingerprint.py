@@ -90,15 +90,16 @@ def next_ids(ids: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def with_edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, text, edited, sketch, edited_sketch, next_sketch`` of every row with an id.
+    """``id, text, edited, sketch, edited_sketch, next_sketch`` of every row.
 
     ``edited`` is the text with its last floor(n / 4) code points replaced by the first as many, or all, of
     the document with the next greater id, after the last the first. A null text is empty. Of several rows
     with one id each keeps its own text, and as a next document the least text counts. Rows with a null id
-    have no place in the order and are left out. An empty table gives an empty result.
+    have no place in the order: their own sketch is all they have, the rest is null. An empty table gives an empty result.
     """
     scratch = Scratch(df.sparkSession, "fingerprint")
-    docs = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    docs = rows.where("id is not null")
     quarter = F.floor(F.char_length("text") / 4).cast("int")
     order = next_ids(docs.select("id"), scratch)
     needs = docs.select("id", quarter.alias("need")).groupBy("id").agg(F.max("need").alias("need")).join(order, "id")
@@ -109,4 +110,6 @@ def with_edited(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     heads = heads.groupBy("of").agg(F.min("next").alias("next"))
     edited = F.concat(F.substring("text", F.lit(1), F.char_length("text") - quarter), F.substring("next.head", F.lit(1), quarter))
     joined = docs.join(heads, F.col("id") == F.col("of")).select("id", "text", edited.alias("edited"), F.col("next.next_sketch").alias("next_sketch"))
-    return with_sketch(with_sketch(joined, "text", "sketch"), "edited", "edited_sketch").withColumnRenamed("id", id_col)
+    placed = with_sketch(with_sketch(joined, "text", "sketch"), "edited", "edited_sketch")
+    alone = with_sketch(rows.where("id is null"), "text", "sketch").select("id", "text", F.lit(None).cast("string").alias("edited"), "sketch")
+    return placed.unionByName(alone, allowMissingColumns=True).withColumnRenamed("id", id_col)

@@ -28,6 +28,7 @@ WINDOW = 24  # words that are scored together
 STRIDE = 8  # words from one window to the next
 LEAST_PROBABILITY = 0.5
 LEAST_CONTAINMENT = 0.5  # of a template's bigrams, for a prediction to be confirmed
+_PART = 1_000  # characters of a line of background
 _TEXT_BYTES = 1 << 20
 _HITS = 1 << 16  # n-grams of lines that are scored at once, about
 
@@ -337,12 +338,13 @@ def _closest(words: list[str], free: list[bool], family: str, begin: int, end: i
 
 
 def line_notices(model: Model, words: list[str], windows: list[tuple[int, int, str, float]]) -> list[Notice]:
-    """The notices in a line's words, one of each family at most, from the windows (first word, end, family, probability) given to a family.
+    """The notices in a line's words, from the windows (first word, end, family, probability) given to a family.
 
     The most similar counts first, and its words for no other, so that windows with a part of a notice don't add
-    families. What is left beside a confirmed notice is scored again by itself.
+    families, and a family is found as often as it has notices. What is left beside a confirmed notice is scored again by itself.
+    Windows of a family that confirm none count as one where they overlap.
     """
-    free, found, weak = [True] * len(words), {}, []
+    free, found, weak = [True] * len(words), [], []
     todo = [(w, False) for w in windows]
     while todo:
         near = [(_closest(words, free, family, begin, end, p), begin, end, again) for (begin, end, family, p), again in todo]
@@ -351,7 +353,7 @@ def line_notices(model: Model, words: list[str], windows: list[tuple[int, int, s
         if best.similarity < LEAST_CONTAINMENT:
             weak = [(x, begin, end) for x, begin, end, again in near if not again]
             break
-        found.setdefault(best.family, best)
+        found.append(best)
         free[best.first : best.end] = [False] * (best.end - best.first)
         todo = [((begin, end, x.family, x.probability), again) for x, begin, end, again in near[1:] if all(free[begin:end]) or x.similarity >= LEAST_CONTAINMENT]
         for begin, end in ((max(0, best.first - WINDOW), best.first), (best.end, min(len(words), best.end + WINDOW))):
@@ -363,25 +365,30 @@ def line_notices(model: Model, words: list[str], windows: list[tuple[int, int, s
             if kind[0] < len(model.families) and probability[0] >= LEAST_PROBABILITY:
                 todo.append(((begin, end, model.families[kind[0]], float(probability[0])), True))
     for x, begin, end in weak:
-        if all(free[begin:end]):
-            found.setdefault(x.family, x)
-    return sorted(found.values(), key=lambda x: (x.first, x.family))
+        if all(free[begin:end]) and not any(y.family == x.family and y.first < x.end and x.first < y.end for y in found):
+            found.append(x)
+    return sorted(found, key=lambda x: (x.first, x.family))
 
 
 def background_lines(df: DataFrame, id_col: str, text_col: str) -> list[str]:
-    """Lines of about ``SAMPLE_DOCUMENTS`` documents, those with the least hashes of their ids; ``SAMPLE_LINES`` at most."""
+    """Lines of about ``SAMPLE_DOCUMENTS`` documents, those with the least hashes of their ids; ``SAMPLE_LINES`` at most.
+
+    A line of more than 1,000 characters counts as that many lines of 1,000 and a rest.
+    """
     total = df.count()
     order = F.xxhash64(F.lit("licence"), F.col(id_col).cast("string"))
     drawn = df if total <= SAMPLE_DOCUMENTS else df.where(order < F.lit(int(-(2**63) + SAMPLE_DOCUMENTS / total * 2**64)))
     line = drawn.select(F.explode(F.split(F.col(text_col).cast("string"), "\n")).alias("line"))
-    # A line's first thousand characters tell the classifier enough about what isn't a licence.
-    short = line.select(F.substring("line", 1, 1000).alias("line")).where("line <> ''").distinct()
+    # Long lines are several: every part may be drawn.
+    begin = F.sequence(F.lit(0), F.call_function("div", F.char_length("line"), F.lit(_PART)).cast("int"))
+    part = F.transform(begin, lambda k: F.substring("line", k * _PART + 1, F.lit(_PART)))
+    short = line.select(F.explode(part).alias("line")).where("line <> ''").distinct()
     return [r["line"] for r in short.orderBy(F.xxhash64("line"), "line").limit(SAMPLE_LINES).collect()]
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and ``licenses`` of every row: line (from 0), family, probability, similarity and whether confirmed,
-    for all lines of the whole text in which the classifier gives a window to a family, once for each family.
+    for all notices in the lines of the whole text, from the windows that the classifier gives to a family.
 
     Lines end at line feeds. Null and empty texts have none. Rows are independent but for the training sample,
     so repeated rows and null ids give a row each; other columns aren't read. An empty table gives an empty result.

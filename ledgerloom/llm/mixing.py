@@ -14,6 +14,7 @@ tables don't grow with the documents.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,6 +27,8 @@ from ledgerloom.llm.tables import Scratch
 WEIGHTS = (5, 2, 1)  # of the sources in order, repeating
 BLOCK_WORDS = 50_000
 MAX_BLOCKS = 4096  # of one source; beyond it blocks hold more words
+SHARDS = 32  # at least
+SHARD_WORDS = 4_000_000  # of a shard on average, once there are more shards
 _FILLERS = 32  # documents chosen by size for the block taken in part
 
 _RUNS = "array<struct<first:long,last:long,least:long,most:long>>"
@@ -148,7 +151,7 @@ def _fill(part: pd.DataFrame) -> pd.DataFrame:
 def mix_sources(
     df: DataFrame,
     seed: int = 1,
-    shards: int = 32,
+    shards: int | None = None,
     weights: Sequence[int] = WEIGHTS,
     percent: int = 150,
     most: int = 2,
@@ -157,7 +160,8 @@ def mix_sources(
     source_col: str = "source",
 ) -> DataFrame:
     """Every row of ``df`` as struct ``row``, with ``size`` (words of the text), ``source_size``, ``target``
-    and ``draws``: epoch, shard and place in the shard of each time the mix takes the document.
+    and ``draws``: epoch, shard and place in the shard of each time the mix takes the document. Without ``shards``, their
+    number follows from the words of the mix.
 
     A document is taken whole, at most once in a pass and ``most`` times in all; each source's taken words
     miss its target by less than the least document left out of the block taken in part, or pass it by less than half
@@ -185,6 +189,9 @@ def mix_sources(
         .withColumn("passes", passes)
         .withColumn("words_over", F.col("target") - F.col("passes") * F.col("source_size"))
     )
+    if shards is None:
+        words = sources.agg(F.sum("target")).first()[0] or 0
+        shards = max(SHARDS, math.ceil(words / SHARD_WORDS))
     block = F.pmod("h1", "n_blocks").cast("int")
     of_source = sources.select(F.col("source").alias("_source"), "number", "n_blocks")
     blocked = light.join(of_source, F.col("source").eqNullSafe(F.col("_source"))).select("number", block.alias("block"), "size", "h2")

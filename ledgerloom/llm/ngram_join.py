@@ -129,8 +129,8 @@ def _signatures(n: int, percent: int):
                 keys.append(set_keys(tokens, percent).view(np.int64))
                 sketches.append(set_sketch(tokens))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(identifiers, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                names=["id", "n_shingles", "set_id", "keys", "sketch"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(identifiers, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                names=["id", "text_key", "n_shingles", "set_id", "keys", "sketch"],
             )
 
     return run
@@ -297,6 +297,15 @@ def ngram_components(df: DataFrame, words: int, percent: int, id_col: str = "doc
     """``id_col, n_shingles, component_id`` of every row: the size of the text's set of distinct
     ``words``-word shingles, and the smallest id reachable by links, the row's own included.
 
+    See :func:`ngram_groups`.
+    """
+    return ngram_groups(df, words, percent, id_col, text_col).select(id_col, "n_shingles", "component_id")
+
+
+def ngram_groups(df: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col, text_key, n_shingles, group, component_id`` of every row: xxHash64 of the text, and the linked texts' common
+    ``group``, null for a text without shingles or a row without an id.
+
     Words are runs of characters other than space and U+0009 to U+000D, with A-Z in lower case. A text
     with fewer words has its whole sequence as its one shingle. Two rows are linked when 100 * common
     shingles >= ``percent`` * shingles of either; no link is lost. Null texts and texts without words
@@ -307,8 +316,9 @@ def ngram_components(df: DataFrame, words: int, percent: int, id_col: str = "doc
     """
     scratch = Scratch(df.sparkSession, "ngram")
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    with_keys = scratch.write(source.mapInArrow(tidy(_signatures(words, percent)), "id long, n_shingles long, set_id long, keys array<long>, sketch binary"))
-    signatures = scratch.write(with_keys.select("id", "n_shingles", "set_id"))
+    keyed_rows = source.select("id", "text", F.xxhash64("text").alias("text_key"))
+    with_keys = scratch.write(keyed_rows.mapInArrow(tidy(_signatures(words, percent)), "id long, text_key long, n_shingles long, set_id long, keys array<long>, sketch binary"))
+    signatures = scratch.write(with_keys.select("id", "text_key", "n_shingles", "set_id"))
 
     keyed = with_keys.where("keys is not null").select(F.explode("keys").alias("key"), "set_id")
     runs = scratch.write(keyed.repartitionByRange("key", "set_id").sortWithinPartitions("key", "set_id").mapInArrow(tidy(_runs), "run long, a long, b long, key long"))
@@ -336,10 +346,11 @@ def ngram_components(df: DataFrame, words: int, percent: int, id_col: str = "doc
         final = connected_components(final.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more), scratch)
     named = final.join(sets, final["node"] == sets["set_id"]).select("set_id", "component", "id")
     smallest = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    of_set = sets.join(named.join(smallest, "component").select("set_id", "component_id"), "set_id", "left").select("set_id", F.coalesce("component_id", "id").alias("component_id"))
+    of_set = sets.join(named.join(smallest, "component").select("set_id", "component", "component_id"), "set_id", "left")
+    of_set = of_set.select("set_id", F.coalesce("component", "set_id").alias("group"), F.coalesce("component_id", "id").alias("component_id"))
     return (
         signatures.join(of_set, "set_id", "left")
-        .select(F.col("id"), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+        .select("id", "text_key", "n_shingles", "group", F.coalesce("component_id", "id").alias("component_id"))
         .withColumnRenamed("id", id_col)
     )
 

@@ -49,6 +49,14 @@ def test_sketches_and_edits_equal_brute_force(spark):
             assert got[column] == sorted(all_hashes(of))[: fp.K]
 
 
+def test_rows_without_an_id_have_their_own_sketch(spark):
+    rows = [(None, "a b c d e f", "x", 1, "y"), (None, None, "x", 1, "y"), (1, "a b c", "x", 1, "y")]
+    found = fp.with_edited(spark.createDataFrame(rows, SCHEMA)).collect()
+    alone = sorted((r["text"], r["sketch"], r["edited"], r["edited_sketch"], r["next_sketch"]) for r in found if r["doc_id"] is None)
+    assert alone == [("", [], None, None, None), ("a b c d e f", sorted(all_hashes("a b c d e f")), None, None, None)]
+    assert len(found) == 3
+
+
 def test_likeness(spark):
     rnd = random.Random(3)
     base = [f"w{k}" for k in range(3000)]
@@ -79,5 +87,5 @@ def test_edge_cases(spark):
     alone = fp.with_edited(spark.createDataFrame([(5, "abcdefgh", "x", 1, "y")], SCHEMA)).collect()
     assert [r["edited"] for r in alone] == ["abcdefab"]
     rows = [(1, "same text", "", 1, ""), (1, "same text", "", 1, ""), (2, "é" * 200_000, "", 1, ""), (2, "zz", "", 1, ""), (None, "lost", "", 1, "")]
-    got = sorted((r["doc_id"], len(r["text"]), r["edited"][-2:]) for r in fp.with_edited(spark.createDataFrame(rows, SCHEMA)).collect())
+    got = sorted((r["doc_id"], len(r["text"]), r["edited"][-2:]) for r in fp.with_edited(spark.createDataFrame(rows, SCHEMA)).collect() if r["doc_id"])
     assert got == [(1, 9, "zz"), (1, 9, "zz"), (2, 2, "zz"), (2, 200_000, "xt")]

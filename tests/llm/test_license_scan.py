@@ -93,4 +93,13 @@ def test_several_notices_in_one_line(spark):
     rows = [(1, both), (2, f"{prose(rnd, 100)} {both} {prose(rnd, 100)}"), (3, far), *((10 + k, prose(rnd, 100)) for k in range(100))]
     found = ls.scan_licenses(spark.createDataFrame([(d, t, "x", "y") for d, t in rows], SCHEMA).coalesce(1)).collect()
     got = {r["doc_id"]: sorted(x["family"] for x in r["licenses"] if x["confirmed"]) for r in found if r["licenses"]}
-    assert got == {1: ["apache", "mozilla"], 2: ["apache", "mozilla"], 3: ["creative-commons", "mit"]}
+    assert got == {1: ["apache", "mozilla"], 2: ["apache", "mozilla"], 3: ["creative-commons", "mit", "mit"]}
+
+
+def test_every_notice_of_a_family_in_one_line(spark):
+    rnd = random.Random(6)
+    notice = "Released under the MIT License."
+    rows = [(n, " ".join(x for _ in range(n) for x in (prose(rnd, 120), notice))) for n in range(1, 6)] + [(9, f"{notice} {notice} {notice}")]
+    rows += [(10 + k, prose(rnd, 100)) for k in range(100)]
+    found = ls.scan_licenses(spark.createDataFrame([(d, t, "x", "y") for d, t in rows], SCHEMA).coalesce(1)).collect()
+    assert {r["doc_id"]: [x["family"] for x in r["licenses"] if x["confirmed"]] for r in found if r["licenses"]} == {n: ["mit"] * n for n in range(1, 6)} | {9: ["mit"] * 3}

@@ -124,3 +124,24 @@ def test_rows_of_one_id_in_the_block_taken_in_part(spark):
         times.setdefault(r["doc_id"], set()).add(r["n"])
     assert all(len(n) == 1 for n in times.values())
     assert abs(sum(r["size"] * r["n"] for r in found) - found[0]["target"]) <= 405
+
+
+def test_shards_follow_the_words_and_hold_what_the_tree_gave_them(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARDS", 2)
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 3_000)
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 200)
+    rows = [(k, "w " * (1 + k % 40), "abc"[k % 3]) for k in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(df).collect()
+    words: dict = {}
+    for r in mixed:
+        for d in r["draws"]:
+            words[d["shard"]] = words.get(d["shard"], 0) + r["size"]
+    total = sum(words.values())
+    assert set(words) == set(range(-(-int(1.5 * sum(1 + k % 40 for k in range(1500))) // 3_000)))
+    # Equal shares up to blocks: a leaf holds one number of blocks or one more.
+    assert max(words.values()) < 2 * total / len(words) and min(words.values()) > total / len(words) / 2
+    # What a document's draws add up to doesn't depend on how the blocks are split.
+    few = mixing.mix_sources(df, shards=3).collect()
+    assert {r["row"]["doc_id"]: len(r["draws"]) for r in few} == {r["row"]["doc_id"]: len(r["draws"]) for r in mixed}
+    assert {d["shard"] for r in few for d in r["draws"]} == {0, 1, 2}

@@ -101,6 +101,18 @@ def test_edge_cases(spark, tmp_path):
         assert all(r["round_trip"] for r in cp.encode(spark, docs, str(tmp_path)).collect())
 
 
+def test_texts_under_one_id(spark, tmp_path):
+    """Alike or equal ones are one document; others, and what has no words, stay."""
+    words = [f"w{k}" for k in range(40)]
+    alike, other, third = " ".join(words), " ".join(words[:-1] + ["x"]), " ".join(reversed(words))
+    rows = [(5, alike), (5, other), (5, third), (5, third), (5, " "), (5, " "), (5, None), (7, alike), (8, "one two three four five six"), (9, third), (3, "a b"), (3, "c d"), (3, "c d")]
+    docs = spark.createDataFrame([(d, t, "en", "a", None) for d, t in rows], SCHEMA).repartition(3)
+    kept = [(r["doc_id"], r["text"]) for r in cp.drop_near_duplicates(spark, docs, str(tmp_path)).collect()]
+    first = [(5, alike), (5, other)]
+    assert sum(x in first for x in kept) == 1
+    assert sorted((x for x in kept if x not in first), key=repr) == sorted([(5, third), (5, " "), (5, " "), (5, None), (8, "one two three four five six"), (3, "a b"), (3, "c d")], key=repr)
+
+
 def test_the_stages_are_those_dealt():
     assert [name for name, _ in cp.STAGES] == ["quality classifier", "n-gram Jaccard join", "secret scans", "mixing sources to target weights", "byte-level BPE encoding and decoding"]
     assert quality.THRESHOLD == 0.3 and mixing.WEIGHTS == (5, 2, 1)
