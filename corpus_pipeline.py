@@ -27,21 +27,27 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group linked by 80 % of five-word shingles.
+    """One document of each group linked by 80 % of five-word shingles: that of least id, then of least text hash.
 
-    An id is one document: of several rows with one, that of the least text stays. Documents without words
-    and those without an id have no group and stay.
+    Texts under one id are documents of their own where they aren't alike. Documents without words and those
+    without an id have no group and stay.
     """
     bound_batches(spark)
-    groups = Scratch(spark, "duplicates").write(ngram_join.ngram_components(docs, words=5, percent=80).where("doc_id is not null"))
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    repeated = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    # Only rows that may go are dealt by id; the others stay where they are.
-    to_check = groups.where("doc_id <> component_id").select("doc_id").unionAll(repeated)
-    flagged = with_likely(docs, to_check, "doc_id", "_check").withColumn("_check", F.col("_check") & F.col("doc_id").isNotNull())
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.asc_nulls_first("text")))
-    checked = flagged.where("_check").withColumn("_place", place).where("_place = 1").join(first, "doc_id", "left_semi")
-    return flagged.where("not _check").select(*docs.columns).unionByName(checked.select(*docs.columns))
+    groups = Scratch(spark, "duplicates").write(ngram_join.ngram_groups(docs, words=5, percent=80).where("`group` is not null").select("doc_id", "text_key", "group"))
+    named = F.struct("doc_id", "text_key").alias("document")
+    first = groups.groupBy("group").agg(F.min(named).alias("first"), F.count("*").alias("n")).where("n > 1")
+    firsts = first.select("first.*").withColumn("_first", F.lit(True))
+    # Only rows that may go are dealt by document; the others stay where they are.
+    several = groups.join(first.select("group"), "group", "left_semi").select("text_key").distinct()
+    flagged = with_likely(docs.withColumn("text_key", F.xxhash64("text")), several, "text_key", "_check")
+    flagged = flagged.withColumn("_check", F.col("_check") & F.col("doc_id").isNotNull())
+    alone = groups.join(first.select("group"), "group", "left_anti").select("doc_id", "text_key", F.lit(True).alias("_alone"))
+    key = ["doc_id", "text_key"]
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
+    checked = flagged.where("_check").join(firsts, key, "left").join(alone, key, "left").withColumn("_place", place)
+    wordless = ~F.coalesce(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    stays = checked.where((F.col("_first") & (F.col("_place") == 1)) | F.col("_alone") | wordless)
+    return flagged.where("not _check").select(*docs.columns).unionByName(stays.select(*docs.columns))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
