@@ -60,21 +60,16 @@ def _named(kind: str, names: Column) -> Column:
 
 
 def _levels(calls: DataFrame, scratch: Scratch) -> DataFrame:
-    """``conv_id, call_id, level`` of the calls in conversations where a call comes before one that it uses.
+    """``conv_id, call_id, level`` of the calls that use others, or are used.
 
-    Level 0 uses nothing, and every other call is one above the highest that it uses; -1 are calls in a
-    circle, and those that use them. All other conversations are in order as they are; a call without a turn is in
-    no order with others. Each round follows every use through calls with one use only, which doubles its reach,
+    Level 0 uses nothing that is a call, and every other call is one above the highest that it uses; -1 are calls in a
+    circle, and those that use them. Each round follows every use through calls with one use only, which doubles its reach,
     so that rounds grow with the logarithm of a chain, and beyond that with the calls along it that use several
     which don't lead to one.
     """
-    uses = calls.select("conv_id", "call_id", "turn", F.explode(F.array_distinct("uses")).alias("used"))
-    known = calls.select("conv_id", F.col("call_id").alias("used"), F.col("turn").alias("used_turn"))
-    edges = uses.join(known, ["conv_id", "used"])
-    ordered = (F.col("used_turn") < F.col("turn")) | ((F.col("used_turn") == F.col("turn")) & (F.col("used") < F.col("call_id")))
-    disordered = edges.where(~F.coalesce(ordered, F.lit(False))).select("conv_id").distinct()
-    edges = scratch.write(edges.join(disordered, "conv_id", "left_semi").select("conv_id", "call_id", "used", F.lit(1).cast("long").alias("steps")))
-    nodes = scratch.write(calls.join(disordered, "conv_id", "left_semi").select(*_KEY))
+    uses = calls.select(*_KEY, F.explode(F.array_distinct("uses")).alias("used"))
+    edges = scratch.write(uses.join(calls.select("conv_id", F.col("call_id").alias("used")), ["conv_id", "used"]).select(*_KEY, "used", F.lit(1).cast("long").alias("steps")))
+    nodes = scratch.write(edges.select(*_KEY).unionAll(edges.select("conv_id", "used")).distinct())
     done = scratch.write(nodes.join(edges.select(*_KEY).distinct(), _KEY, "left_anti").select(*_KEY, F.lit(0).alias("level")))
     left = scratch.write(nodes.join(done, _KEY, "left_anti"))
     while not left.isEmpty():
@@ -99,9 +94,9 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, parameters: DataFrame)
     """``conv_id, call_id, level, turn, status, errors, json``: one row for each call and each result without one.
 
     ``calls`` has conv_id, call_id, turn, name, arguments (JSON), uses (call ids); ``results`` conv_id, call_id,
-    turn, content; ``parameters`` one row for each tool's parameter: name, parameter, type, required. In
-    each conversation, rows sorted by (level, turn, call_id) have every call behind those that it uses; -1 is
-    in a circle. Status is ``linked``, ``no_result``, ``no_call``, ``result_too_early`` (its turn isn't after the
+    turn, content; ``parameters`` one row for each tool's parameter: name, parameter, type, required. ``level`` orders
+    the calls of a conversation topologically: 0 for one that uses no other call, else one above the highest that it uses; -1 is
+    in a circle. Results without a call have level 0. Status is ``linked``, ``no_result``, ``no_call``, ``result_too_early`` (its turn isn't after the
     call's) or ``no_identifier``; errors are those of :func:`argument_errors`. ``json`` holds the call's
     name, canonical arguments (a string if they aren't JSON), identifier and the result's content.
 
@@ -144,17 +139,40 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, parameters: DataFrame)
 
 
 def conversation_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Calls and results in plain conversations: a user's turn asks the tool ``answer``, and the turn after it,
-    if it is the assistant's, is the result. A call uses the call two turns before."""
+    """Calls and results in plain conversations: a user's turn calls a tool, and the turn after it, if it is the
+    assistant's, is the result. A call uses the call two turns before.
+
+    Texts of up to 60 characters go to ``answer``, longer ones to ``search`` with a limit, which is written as a string where the text
+    has an odd number of characters, and left out where that number can be divided by 10.
+    """
     said = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
     identifier = lambda back: F.concat(F.lit("call_"), (F.col("turn") - back).cast("string"))
-    asked = said.where("role = 'user'")
-    calls = asked.select(
+    n = F.char_length("text")
+    long = n > 60
+    number, text = F.when(long & (n % 2 == 0) & (n % 10 != 0), n), F.when(long & (n % 2 == 1), n.cast("string"))
+    plain = F.to_json(F.struct(F.col("turn").alias("turn"), F.col("text").alias("question"), number.alias("limit")))
+    spelt = F.to_json(F.struct(F.col("turn").alias("turn"), F.col("text").alias("question"), text.alias("limit")))
+    calls = said.where("role = 'user'").select(
         "conv_id",
         identifier(0).alias("call_id"),
         "turn",
-        F.lit("answer").alias("name"),
-        F.to_json(F.struct(F.col("turn").alias("turn"), F.col("text").alias("question"))).alias("arguments"),
+        F.when(long, "search").otherwise("answer").alias("name"),
+        F.when(text.isNotNull(), spelt).otherwise(plain).alias("arguments"),
         F.when(F.col("turn") >= 2, F.array(identifier(2))).otherwise(F.array().cast("array<string>")).alias("uses"),
     )
     return calls, said.where("role = 'assistant'").select("conv_id", identifier(1).alias("call_id"), "turn", F.col("text").alias("content"))
+
+
+def other_turns(conversations: DataFrame) -> DataFrame:
+    """``conv_id, call_id, level, turn, status, errors, json`` of the turns that are neither call nor result, such as the system's:
+    status ``message``, and their role and content as JSON."""
+    rest = conversations.where("role is null or role not in ('user', 'assistant')")
+    return rest.select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.lit(None).cast("string").alias("call_id"),
+        F.lit(0).alias("level"),
+        F.col("turn").cast("long").alias("turn"),
+        F.lit("message").alias("status"),
+        F.lit(None).cast("array<string>").alias("errors"),
+        F.to_json(F.struct(F.col("text").cast("string").alias("content"), F.col("role").cast("string").alias("role"))).alias("json"),
+    )

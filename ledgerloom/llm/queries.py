@@ -51,12 +51,16 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every question of every conversation as a tool call, with the answer as its result."""
-    calls, results = chat_format.conversation_calls(table(spark, sf_dir, "conversations"))
-    # A fixed schema of the one tool that these calls name.
-    parameters = spark.createDataFrame([("answer", "question", "string", True), ("answer", "turn", "integer", True)], "name string, parameter string, type string, required boolean")
-    linked = chat_format.link_tool_calls(calls, results, parameters)
-    return linked.select("conv_id", "call_id", F.col("level").cast("long").alias("level"), "turn", "status", F.size("errors").cast("long").alias("n_errors"), F.sha2("json", 256).alias("json_sha256"))
+    """Every question of every conversation as a tool call, with the answer as its result, and the turns that are neither."""
+    conversations = table(spark, sf_dir, "conversations")
+    calls, results = chat_format.conversation_calls(conversations)
+    # Fixed schemas of the tools that these calls name.
+    tools = [("answer", "question", "string", True), ("answer", "turn", "integer", True)]
+    tools += [("search", "question", "string", True), ("search", "turn", "integer", True), ("search", "limit", "integer", True)]
+    parameters = spark.createDataFrame(tools, "name string, parameter string, type string, required boolean")
+    linked = chat_format.link_tool_calls(calls, results, parameters).unionByName(chat_format.other_turns(conversations))
+    n_errors = F.size("errors").cast("long")
+    return linked.select("conv_id", "call_id", F.col("level").cast("long").alias("level"), "turn", "status", F.when(F.col("errors").isNotNull(), n_errors).alias("n_errors"), F.array_join("errors", ",").alias("errors"), F.sha2("json", 256).alias("json_sha256"))
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,17 +223,28 @@ ORACLE_SQL: dict[str, str] = {
         results AS (
           SELECT conv_id, 'call_' || (turn - 1) AS call_id, turn AS result_turn, min(text) AS content
           FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn),
+        -- A call uses that of two turns before: levels count along unbroken rows of every second turn.
+        islands AS (SELECT conv_id, turn, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island FROM calls),
+        levels AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) - 1 AS level FROM islands),
         linked AS (
           SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, coalesce(c.turn, r.result_turn) AS turn,
             CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
-            c.turn AS asked, c.question, r.content
-          FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id)
-        SELECT conv_id, call_id, CAST(0 AS BIGINT) AS level, turn, status,
-          CASE WHEN asked IS NOT NULL THEN CAST(0 AS BIGINT) END AS n_errors,
-          sha256('{' || CASE WHEN asked IS NOT NULL THEN '"arguments":{"question":' || CAST(to_json(question) AS VARCHAR) || ',"turn":' || asked || '},' ELSE '' END
-            || '"id":"' || call_id || '"' || CASE WHEN asked IS NOT NULL THEN ',"name":"answer"' ELSE '' END
+            c.turn AS asked, c.question, r.content, length(c.question) AS n
+          FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id),
+        judged AS (
+          SELECT *, CASE WHEN asked IS NULL THEN NULL WHEN n <= 60 THEN '' WHEN n % 2 = 1 THEN 'type:limit' WHEN n % 10 = 0 THEN 'missing:limit' ELSE '' END AS errors,
+            CASE WHEN n <= 60 OR n % 10 = 0 THEN '' WHEN n % 2 = 1 THEN '"limit":"' || n || '",' ELSE '"limit":' || n || ',' END AS given
+          FROM linked)
+        SELECT j.conv_id, call_id, coalesce(level, 0) AS level, j.turn, status,
+          CAST(CASE WHEN errors = '' THEN 0 WHEN errors IS NOT NULL THEN 1 END AS BIGINT) AS n_errors, errors,
+          sha256('{' || CASE WHEN asked IS NOT NULL THEN '"arguments":{' || given || '"question":' || CAST(to_json(question) AS VARCHAR) || ',"turn":' || asked || '},' ELSE '' END
+            || '"id":"' || call_id || '"' || CASE WHEN asked IS NOT NULL THEN ',"name":"' || CASE WHEN n > 60 THEN 'search' ELSE 'answer' END || '"' ELSE '' END
             || CASE WHEN content IS NOT NULL THEN ',"result":' || CAST(to_json(content) AS VARCHAR) ELSE '' END || ',"status":"' || status || '"}') AS json_sha256
-        FROM linked
+        FROM judged j LEFT JOIN levels v ON j.conv_id = v.conv_id AND j.asked = v.turn
+        UNION ALL
+        SELECT conv_id, NULL, 0, turn, 'message', NULL, NULL,
+          sha256('{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || '}')
+        FROM conversations WHERE role NOT IN ('user', 'assistant')
     """,
     "op11_periodic_runs": r"""
         WITH split AS (

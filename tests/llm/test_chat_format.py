@@ -63,7 +63,7 @@ def test_topological_order(spark):
     calls += [(3, "p", 0, "add", "{}", ["q"]), (3, "q", 1, "add", "{}", ["p"]), (3, "r", 2, "add", "{}", ["q"]), (3, "s", 3, "add", "{}", ["s"]), (3, "t", 4, "add", "{}", [])]
     found = link(spark, calls, [])
     assert [r["call_id"] for r in found if r["conv_id"] == 1] == ["c", "d", "b", "a"]
-    assert [(r["call_id"], r["level"]) for r in found if r["conv_id"] == 2] == [("x", 0), ("y", 0)]
+    assert [(r["call_id"], r["level"]) for r in found if r["conv_id"] == 2] == [("x", 0), ("y", 1)]
     assert {r["call_id"]: r["level"] for r in found if r["conv_id"] == 3} == {"p": -1, "q": -1, "r": -1, "s": -1, "t": 0}
 
 
@@ -100,4 +100,6 @@ def test_query_equals_its_sql(spark):
     expected = con.execute(queries.ORACLE_SQL["op6_chat_format"]).fetchall()
     names = [c[0] for c in con.execute(queries.ORACLE_SQL["op6_chat_format"]).description]
     assert sorted(map(tuple, df.select(*names).collect()), key=repr) == sorted(expected, key=repr)
-    assert df.where(F.col("status") == "linked").count() > 0
+    rows = df.collect()
+    assert {r["level"] for r in rows} > {0, 1} and {r["n_errors"] for r in rows} == {0, 1, None}
+    assert {r["errors"] for r in rows} == {"", "type:limit", "missing:limit", None} and {"linked", "message"} <= {r["status"] for r in rows}
