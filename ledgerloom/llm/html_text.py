@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
 # What tags and words in class, id and role mean.
-_UNREAD = "script|style|noscript|template|svg|math|iframe|object|select|textarea|button|datalist|canvas|audio|video|map|title"
+_UNREAD = frozenset("script style noscript template svg annotation iframe object select textarea button datalist canvas audio video map title".split())
 _TO_THE_END = frozenset("script style title textarea".split())  # without an end tag, these take the rest of the page
 _APART = frozenset("nav footer aside form dialog menu".split())
 _ARTICLE = frozenset("article main".split())
@@ -42,12 +43,13 @@ _APART_WORDS = frozenset(
 )
 _HEADER_WORDS = frozenset("header".split())
 _ARTICLE_WORDS = frozenset("articlebody".split())
+# In a name of several words, such a word says that the element is the text, or holds it, unless the last word says otherwise.
+_CONTENT_WORDS = frozenset("article body content entry layout main page post story text".split())
+_FORM = 0.5  # how far apart a form is that may be wrapped around a whole page
 
-_MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<unread>{_UNREAD})(?=[\s/>])[^>]*(?<!/)>|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
-    re.IGNORECASE | re.DOTALL,
-)
-_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in _UNREAD.split("|")}
+_OPENING = re.compile(r"<(?:(!--)|([!?])|(/?)([a-z][a-z0-9:-]*)|/)", re.IGNORECASE)
+_STEP = re.compile(r"""=\s*(["'])|>""")
+_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in _UNREAD}
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 _NAMING = frozenset("class id role itemprop".split())
 _HIDING = re.compile(r"display\s*:\s*none", re.IGNORECASE)
@@ -85,8 +87,8 @@ LABELLED = (
     (4, 1.0, 6, 0.0, 5, 0.0, 0, 1, 0, 1),
     (5, 1.0, 30, 0.0, 3, 1.0, 0, 1, 0, 1),
     (1, 1.0, 0, 0.0, 9, 0.0, 0, 1, 0, 1),
-    (2, 1.0, 2, 1.0, 2, 1.0, 0, 1, 0, 0),
-    (4, 1.0, 3, 1.0, 5, 1.0, 0, 1, 0, 0),
+    (2, 1.0, 2, 1.0, 2, 1.0, 0, 1, 0, 1),
+    (4, 1.0, 3, 1.0, 5, 1.0, 0, 1, 0, 1),
     # named as something else, wherever it stands
     (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0, 0),
     (2, 1.0, 3, 1.0, 9, 0.0, 1, 0, 0, 0),
@@ -106,7 +108,44 @@ LABELLED = (
     (30, 0.0, 90, 0.0, 20, 0.0, 1, 1, 0, 0),
     (5, 0.0, 40, 0.0, 30, 0.0, 1, 0, 1, 0),
     (3, 0.0, 60, 0.0, 12, 0.2, 1, 1, 1, 0),
+    # in a form that may be the whole page's
+    (40, 0.0, 35, 0.0, 50, 0.0, 0.5, 0, 0, 1),
+    (25, 0.05, 30, 0.0, 25, 0.0, 0.5, 0, 0, 1),
+    (60, 0.0, 2, 1.0, 45, 0.0, 0.5, 0, 0, 1),
+    (45, 0.0, 60, 0.0, 1, 0.0, 0.5, 0, 0, 1),
+    (12, 0.0, 2, 0.0, 1, 0.0, 0.5, 0, 0, 0),
+    (1, 0.0, 1, 0.0, 1, 0.0, 0.5, 0, 0, 0),
+    (3, 0.0, 9, 0.0, 2, 0.0, 0.5, 0, 0, 0),
+    (15, 0.0, 1, 0.0, 2, 0.0, 0.5, 0, 0, 0),
+    (2, 1.0, 2, 1.0, 40, 0.0, 0.5, 0, 0, 0),
+    (4, 0.0, 30, 0.0, 3, 0.0, 0.5, 1, 0, 0),
+    (2, 0.0, 0, 0.0, 8, 0.0, 0.5, 1, 0, 0),
     # nothing says what it is: length, links and neighbours decide
+    (10, 0.0, 11, 0.0, 9, 0.0, 0, 0, 0, 1),
+    (8, 0.0, 9, 0.0, 12, 0.0, 0, 0, 0, 1),
+    (14, 0.0, 10, 0.0, 12, 0.0, 0, 0, 0, 1),
+    (7, 0.0, 8, 0.0, 7, 0.0, 0, 0, 0, 1),
+    (12, 0.0, 11, 0.0, 4, 1.0, 0, 0, 0, 1),
+    (9, 0.0, 2, 1.0, 11, 0.0, 0, 0, 0, 1),
+    (12, 0.0, 2, 1.0, 14, 0.0, 0, 0, 0, 1),
+    (12, 0.0, 14, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (9, 0.0, 9, 0.0, 5, 0.0, 0, 0, 0, 1),
+    (9, 0.0, 9, 0.0, 1, 1.0, 0, 0, 0, 1),
+    (9, 0.0, 10, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (10, 0.0, 8, 0.0, 1, 1.0, 0, 0, 0, 1),
+    (10, 0.0, 8, 0.0, 5, 0.0, 0, 0, 0, 1),
+    (20, 0.0, 20, 0.0, 20, 0.0, 0, 0, 0, 1),
+    (20, 0.0, 20, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (20, 0.0, 0, 0.0, 20, 0.0, 0, 0, 0, 1),
+    (20, 0.0, 20, 0.0, 2, 1.0, 0, 0, 0, 1),
+    (20, 0.0, 3, 1.0, 20, 0.0, 0, 0, 0, 1),
+    (18, 0.1, 6, 0.0, 5, 0.0, 0, 0, 0, 1),
+    (5, 0.0, 35, 0.0, 12, 0.0, 0, 0, 0, 1),
+    (6, 0.0, 12, 0.0, 30, 0.0, 0, 0, 0, 1),
+    (4, 0.0, 3, 1.0, 12, 0.0, 0, 0, 1, 1),
+    (10, 0.0, 3, 1.0, 2, 1.0, 0, 0, 0, 0),
+    (9, 0.0, 6, 1.0, 0, 0.0, 0, 0, 0, 0),
+    (6, 0.0, 3, 1.0, 4, 1.0, 0, 0, 0, 0),
     (70, 0.0, 50, 0.0, 80, 0.0, 0, 0, 0, 1),
     (35, 0.05, 60, 0.0, 20, 0.0, 0, 0, 0, 1),
     (25, 0.0, 8, 0.0, 60, 0.0, 0, 0, 0, 1),
@@ -123,7 +162,7 @@ LABELLED = (
     (1, 0.0, 1, 0.0, 1, 0.0, 0, 0, 0, 0),
     (3, 0.0, 1, 1.0, 8, 0.3, 0, 0, 1, 0),
     (11, 0.0, 4, 1.0, 0, 0.0, 0, 0, 0, 0),
-    (4, 0.0, 12, 0.0, 11, 0.0, 0, 0, 0, 0),
+    (4, 0.0, 12, 0.0, 11, 0.0, 0, 0, 0, 1),
     (7, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0),
     (4, 1.0, 6, 0.0, 5, 0.0, 0, 0, 0, 0),
     (5, 1.0, 30, 0.0, 3, 1.0, 0, 0, 0, 0),
@@ -186,29 +225,42 @@ class Block:
     text: str
     words: int
     density: float
-    apart: bool
+    apart: float
     article: bool
     heading: bool
 
 
-def _read_meaning(tag: str, attributes: str) -> tuple[bool, bool, bool]:
-    """Whether an element is something other than text, an article, or a header."""
+def _read_meaning(tag: str, attributes: str) -> tuple[float, bool, bool]:
+    """How far an element is something other than text (1, of a form ``_FORM``), whether it is an article, or a header.
+
+    A name of one word, as ``sidebar``, says what the element is. One of several does so by its last word (``main-nav``), or by
+    any (``sidebar-left``) if none of them names text (``layout-sidebar-right``) or a lack or possession (``content-with-sidebar``);
+    of an article it says nothing.
+    """
     words, hidden = set(), False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name.rsplit("-", 1)[-1] in _NAMING:
             for token in value.split():
                 found = [w.lower() for w in _WORD.findall(token)]
-                words.update(found if found and found[0] not in _MENTIONS else ())
+                if len(found) > 1:
+                    joined = "".join(found)
+                    if tag in _ARTICLE or not _MENTIONS.isdisjoint(found):
+                        found = []
+                    elif not _CONTENT_WORDS.isdisjoint(found):
+                        found = found[-1:]
+                    found.append(joined)
+                words.update(found)
         hidden = hidden or name == "hidden" or (name == "aria-hidden" and value.lower().startswith("true")) or (name == "style" and _HIDING.search(value) is not None)
-    apart = tag in _APART or not words.isdisjoint(_APART_WORDS) or hidden
+    named = not words.isdisjoint(_APART_WORDS - {"form"}) or hidden
+    apart = 1.0 if named or (tag in _APART and tag != "form") else _FORM if tag == "form" or "form" in words else 0.0
     return apart, tag in _ARTICLE or not words.isdisjoint(_ARTICLE_WORDS), tag == "header" or not words.isdisjoint(_HEADER_WORDS)
 
 
 _kept_meaning = lru_cache(maxsize=4096)(_read_meaning)
 
 
-def _meaning(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+def _meaning(tag: str, attributes: str) -> tuple[float, bool, bool]:
     """What :func:`_read_meaning` says; that of long attributes isn't kept."""
     return _kept_meaning(tag, attributes) if len(attributes) < 2000 else _read_meaning(tag, attributes)
 
@@ -219,14 +271,15 @@ class _Reader:
         self.parts: list[str] = []
         self.in_link = False
         self.link_words = 0
-        self.open: list[tuple[str, bool, bool]] = []  # tag, apart, article
+        self.open: list[tuple[str, float, bool]] = []  # tag, apart, article
+        self.opened: Counter[str] = Counter()  # of each tag, how many are open
 
     def end_block(self) -> None:
         if not self.parts:
             return
         words = "".join(self.parts).split()
         if words:
-            tag, apart, article = self.open[-1] if self.open else ("", False, False)
+            _, apart, article = self.open[-1] if self.open else ("", 0.0, False)
             heading = any(t in _HEADING for t, _, _ in self.open[-2:])
             self.blocks.append(Block(" ".join(words), len(words), min(1.0, self.link_words / len(words)), apart, article, heading))
         self.parts, self.link_words = [], 0
@@ -253,46 +306,84 @@ class _Reader:
             return
         self.end_block()
         if tag in _BLOCK and self.open and self.open[-1][0] == "p":
-            self.open.pop()
+            self.close(1)
         if tag in ("li", "dt", "dd", "tr", "option") and self.open and self.open[-1][0] == tag:
-            self.open.pop()
-        _, was_apart, was_article = self.open[-1] if self.open else ("", False, False)
+            self.close(1)
+        _, was_apart, was_article = self.open[-1] if self.open else ("", 0.0, False)
         if tag in ("html", "body"):
-            apart = False
-        self.open.append((tag, was_apart or tag == "head" or apart or (header and not was_article), was_article or article))
+            apart = 0.0
+        if tag in _ARTICLE and was_apart == _FORM:
+            was_apart = 0.0  # the form is the page's
+        if tag == "head" or (header and not was_article):
+            apart = 1.0
+        self.open.append((tag, max(was_apart, apart), was_article or article))
+        self.opened[tag] += 1
+
+    def close(self, elements: int) -> None:
+        for _ in range(elements):
+            self.opened[self.open.pop()[0]] -= 1
 
     def end(self, tag: str) -> None:
         if tag == "a":
             self.in_link = False
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                self.end_block()
-                del self.open[k:]
-                return
-        if tag in _BLOCK:
+        if self.opened[tag]:
+            self.end_block()
+            while self.open[-1][0] != tag:
+                self.close(1)
+            self.close(1)
+        elif tag in _BLOCK:
             self.end_block()
 
 
+def _tag_end(page: str, at: int) -> int:
+    """Where a tag ends whose name ends at ``at``: behind the next > outside quoted values; -1 if nowhere.
+
+    A quote that isn't closed on the page is part of a value.
+    """
+    while step := _STEP.search(page, at):
+        if not step[1]:
+            return step.end()
+        at = page.find(step[1], step.end()) + 1 or step.end()
+    return -1
+
+
 def blocks(page: str) -> list[Block]:
-    """The page's text blocks in order; scripts, styles, controls, markup and markup's comments are in none."""
-    reader, at, endless = _Reader(), 0, set()
-    while m := _MARKUP.search(page, at):
+    """The page's text blocks in order; scripts, styles, controls, markup and markup's comments are in none.
+
+    Every character is looked at a fixed number of times: what a search that finds no end has shown, that
+    the page has none from there on, is kept. A tag without an end is text.
+    """
+    reader, at, endless, last = _Reader(), 0, set(), page.rfind(">")
+    no_tags = False  # a tag has no end, nor have those behind it
+    search = 0
+    while (m := _OPENING.search(page, search)) and m.start() < last and not no_tags:
+        name = (m[4] or "").lower()
+        if m[1]:
+            end = page.find("-->", m.end())
+            end = len(page) if end < 0 else end + 3
+        elif name and not m[3]:
+            end = _tag_end(page, m.end())
+        else:
+            end = page.find(">", m.end()) + 1
+        if end < 0:
+            no_tags = True
+            continue
         reader.text(page[at : m.start()])
-        at = m.end()
-        if m["unread"]:
-            name = m["unread"].lower()
-            end = None if name in endless else _END[name].search(page, at)
-            if end:
-                at = end.end()
+        at = search = end
+        if not name:
+            continue
+        if m[3]:
+            reader.end(name)
+        elif name not in _UNREAD:
+            reader.start(name, page[m.end() : end - 1])
+        elif page[end - 2] != "/":
+            close = None if name in endless else _END[name].search(page, at)
+            if close:
+                at = search = close.end()
             elif name in _TO_THE_END:
-                at = len(page)
+                at = search = len(page)
             else:
                 endless.add(name)
-        elif m["tag"]:
-            if m["close"]:
-                reader.end(m["tag"].lower())
-            else:
-                reader.start(m["tag"].lower(), m["attributes"])
     reader.text(page[at:])
     reader.end_block()
     return reader.blocks

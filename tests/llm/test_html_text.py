@@ -3,6 +3,7 @@ from __future__ import annotations
 import html
 import os
 import re
+import time
 
 import pytest
 
@@ -99,3 +100,84 @@ def test_elements_that_take_the_rest_of_the_page(tag):
 @pytest.mark.parametrize("name", ["has-sidebar", "with-nav page", "layout no-comments", "hasSidebar"])
 def test_wrappers_that_only_mention_a_word(name):
     assert main(f"<div class='{name}'><p>{TEXT}</p><div class='sidebar'>{TEXT} aside</div><p>{TEXT} end</p></div>") == f"{TEXT}\n{TEXT} end"
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<svg " * 200_000, '<a b="' * 160_000, '<a b="' * 160_000 + ">", "<div>" * 200_000 + "x" + "</p>" * 200_000, "<b>" * 100_000 + "</i>" * 100_000, "<!-- " * 200_000, "<script>" * 100_000,
+     '<a x=">"' * 100_000 + "='", "<" * 1_000_000, "<p>" * 300_000, "<svg>" * 200_000, "&amp" * 250_000, "</" * 500_000],
+)
+def test_a_megabyte_of_broken_markup_takes_seconds(page):
+    begin = time.perf_counter()
+    main(page)
+    assert time.perf_counter() - begin < 8  # about one second; the time of a quadratic reader is hours
+
+
+def words(n, k=0):
+    return " ".join(f"w{k}x{i}" for i in range(n))
+
+
+ARTICLES = [
+    '<article class="post comments-open">{}</article>',
+    '<article id="notice-of-race">{}</article>',
+    '<article class="type-post category-notices tag-social-media">{}</article>',
+    '<main class="layout-sidebar-right">{}</main>',
+    '<main id="main" class="site-main with-banner">{}</main>',
+    '<form id="aspnetForm" action="x"><article>{}</article></form>',
+    '<form><div class="page"><main>{}</main></div></form>',
+    '<div class="content-with-sidebar"><article>{}</article></div>',
+    '<body class="has-sidebar comments-open"><article>{}</article></body>',
+    '<div class="page-header-layout"><article>{}</article></div>',
+]
+
+
+@pytest.mark.parametrize("layout", ARTICLES)
+def test_articles_whose_names_mention_other_things(layout):
+    inner = f"<h1>{words(5)}</h1><p>{words(30, 1)}</p><p>{words(3, 2)}</p><ul><li>{words(2, 3)}</li></ul>"
+    expected = "\n".join([words(5), words(30, 1), words(3, 2), words(2, 3)])
+    menu = '<nav><a href="/">Home</a></nav>'
+    assert main(f"{menu}{layout.format(inner)}<footer>{words(20, 4)}</footer>") == expected
+
+
+NAMED_APART = ["sidebar", "sidebar-left", "site-footer", "main-nav", "cookie-notice", "ad-slot", "comment-list", "related-posts-widget", "social-share", "newsletterSignup", "nav_bar login", "promo-box"]
+
+
+@pytest.mark.parametrize("name", NAMED_APART)
+def test_what_names_itself_something_else(name):
+    page = f"<article><p>{words(30)}</p></article><div class='{name}'><p>{words(40, 1)}</p></div>"
+    assert main(page) == words(30)
+    assert main(f"<div><p>{words(30)}</p><p>{words(35, 2)}</p><div class='{name}'><p>{words(40, 1)}</p></div></div>") == f"{words(30)}\n{words(35, 2)}"
+
+
+LENGTHS = [[12] * 12, [9] * 12, [20] * 6, [30, 5, 12, 40, 8, 25, 6, 33, 15], [60], [25, 25], [14, 9, 11, 16, 8, 10], [45, 3, 50], [80, 1, 70, 2, 90], [18, 22, 19]]
+FRAMES = [
+    "<div class='menu'><a href='/a'>One</a></div>{}<div class='footer'>some rights reserved by somebody</div>",
+    "<ul><li><a href='/a'>One</a></li><li><a href='/b'>Two things</a></li></ul>{}<p><a href='/c'>More</a></p><p><a href='/d'>Still more</a></p>",
+    "<table><tr><td><a href='/'>Home</a></td><td><a href='/n'>News</a></td></tr></table>{}<hr><a href='/up'>Up</a>",
+]
+
+
+@pytest.mark.parametrize("frame", FRAMES)
+@pytest.mark.parametrize("lengths", LENGTHS)
+@pytest.mark.parametrize("tag", ["p", "div"])
+def test_pages_without_markers_are_decided_by_neighbours(tag, lengths, frame):
+    texts = [words(n, k) for k, n in enumerate(lengths)]
+    page = f"<html><body>{frame.format(''.join(f'<{tag}>{t}</{tag}>' for t in texts))}</body></html>"
+    assert main(page) == "\n".join(texts)
+
+
+def test_a_page_wide_form_without_an_article():
+    texts = [words(40), words(28, 1), words(55, 2)]
+    page = f"<form id='aspnetForm'><a href='/'>Home</a><div>{''.join(f'<p>{t}</p>' for t in texts)}</div></form>"
+    assert main(page) == "\n".join(texts)
+    assert main(f"<article><p>{words(30)}</p></article><form><label>Your name</label><p>Send us a message</p></form>") == words(30)
+
+
+def test_links_and_formulas_in_an_article():
+    links = "".join(f"<li><a href='{k}'>{words(2, k)}</a></li>" for k in range(6))
+    assert main(f"<article><p>{words(20)}</p><ul>{links}</ul></article>") == "\n".join([words(20), *(words(2, k) for k in range(6))])
+    assert main("<article><p>where <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>a=2</annotation></math> holds</p></article>") == "where a=2 holds"
+
+
+def test_quotes_in_odd_places():
+    assert main("<article><p don't>it's <b title='x>y'>bold</b></p><a href=\"open>link</a><p>two</p></article>").startswith("it's bold")
