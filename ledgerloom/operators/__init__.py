@@ -2,6 +2,7 @@
 
 from ledgerloom.operators.asof import asof_join
 from ledgerloom.operators.conform import clean_silver, dedup_transactions, standardize_gender
+from ledgerloom.operators.layout import clustered, files_by_extent
 from ledgerloom.operators.mart_state import change_partials, mart_partials, merge_partials, rollup_from_state
 from ledgerloom.operators.marts import (
     city_revenue,
@@ -20,12 +21,14 @@ __all__ = [
     "change_partials",
     "city_revenue",
     "clean_silver",
+    "clustered",
     "column_profiles",
     "daily_sales_metrics",
     "dedup_transactions",
     "describe_profiles",
     "dq_counts",
     "dq_report",
+    "files_by_extent",
     "mart_partials",
     "mart_rollup",
     "marts_from_rollup",

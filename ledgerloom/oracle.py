@@ -316,6 +316,15 @@ ORACLE_SQL: dict[str, str] = {
     "incremental_rollup": _ROLLUP,
     "upsert_buckets": _upserts(),
     "versioned_layers": _versions(),
+    "bucketed_silver": (
+        f"with {_SILVER}, counts as (select transaction_id as id, count(*) as raw_rows from raw group by transaction_id)"
+        " select transaction_id, order_date, city, raw_rows, cast(0 as int) as exchanges from silver join counts on transaction_id = id"
+    ),
+    "clustered_files": (
+        f"with {_VIEW} select layout, (select count(*) from raw) as rows,"
+        " (select count(*) from raw where order_date >= '1996-01-01' and order_date < '1996-07-01' and city = 'NATION_7') as matching_rows,"
+        " layout = 'clustered' as third_of_files_at_most from (values ('clustered'), ('as it comes')) l(layout)"
+    ),
     "profile_report": _profiles(),
     "profile_drift": _drift(),
     "event_windows": (

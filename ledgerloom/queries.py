@@ -33,6 +33,7 @@ from ledgerloom.schema import BRONZE_SCHEMA, GOLD_SCHEMAS, RAW_SCHEMA, SILVER_SC
 from ledgerloom.sources import (
     Commit,
     Lake,
+    exchanges,
     generator,
     land_run,
     read_quarantine_csv,
@@ -43,6 +44,7 @@ from ledgerloom.sources import (
     scratch_path,
     transactions_for_ids,
     triage_files,
+    write_bucketed,
     write_parquet,
     write_quarantine_csv,
 )
@@ -54,6 +56,7 @@ GENERATOR_BAD_RATE = 0.05
 GENERATOR_INGESTION_DATE = "2026-01-01"
 LANDING_ROWS_PER_FILE = 5_000
 UPSERT_BUCKETS = 16
+CLUSTERED_FILES = 48
 PROFILED_NUMBERS = ["transaction_id", "quantity", "unit_price"]
 PROFILED = [*PROFILED_NUMBERS, "customer_id", "payment_type"]
 PROFILE_RANKS = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
@@ -389,6 +392,37 @@ def versioned_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, seen)
 
 
+# --- layouts -----------------------------------------------------------------------------
+
+
+def bucketed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with the number of raw rows of its id: both tables in buckets, de-duplicated, counted and joined in place."""
+    name = f"ledgerloom_{uuid.uuid4().hex}"
+    rows = _staged(spark, sf_dir)
+    silver = write_bucketed(ops.clean_silver(ops.split_quality(rows).valid), f"{name}_silver", _fresh(spark, "bucketed"), buckets=UPSERT_BUCKETS)
+    raw = write_bucketed(rows.select("transaction_id", "order_status"), f"{name}_raw", _fresh(spark, "bucketed"), buckets=UPSERT_BUCKETS)
+    counts = raw.groupBy(F.col("transaction_id").alias("id")).agg(F.count(F.lit(1)).alias("raw_rows"))
+    joined = ops.dedup_transactions(silver).hint("merge").join(counts.hint("merge"), F.col("transaction_id") == F.col("id"))
+    return joined.select("transaction_id", "order_date", "city", "raw_rows").withColumn("exchanges", F.lit(exchanges(joined)))
+
+
+def clustered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that a filter on two columns concerns, of a table clustered by three columns and of one that isn't."""
+    rows = _staged(spark, sf_dir)
+    columns = ["order_date", "city", "product_category"]
+    found = []
+    for layout, df in (("clustered", ops.clustered(rows, columns, CLUSTERED_FILES)), ("as it comes", rows.repartition(CLUSTERED_FILES))):
+        path = _fresh(spark, "layout")
+        write_parquet(df, path)
+        files = ops.files_by_extent(read_table(spark, path, RAW_SCHEMA), ["order_date", "city"])
+        wanted = (F.col("high_order_date") >= "1996-01-01") & (F.col("low_order_date") < "1996-07-01") & (F.col("low_city") <= "NATION_7") & (F.col("high_city") >= "NATION_7")
+        table = read_table(spark, path, RAW_SCHEMA)
+        matching = table.where("order_date >= '1996-01-01' and order_date < '1996-07-01' and city = 'NATION_7'").agg(F.count(F.lit(1)).alias("matching_rows"))
+        needed = files.agg(F.sum("rows").alias("rows"), (F.count_if(wanted) * 3 <= F.count(F.lit(1))).alias("third_of_files_at_most"))
+        found.append(needed.join(F.broadcast(matching)).select(F.lit(layout).alias("layout"), "rows", "matching_rows", "third_of_files_at_most"))
+    return reduce(DataFrame.unionByName, found)
+
+
 # --- profiles ----------------------------------------------------------------------------
 
 
@@ -575,6 +609,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_rollup": incremental_rollup,
     "upsert_buckets": upsert_buckets,
     "versioned_layers": versioned_layers,
+    "bucketed_silver": bucketed_silver,
+    "clustered_files": clustered_files,
     "profile_report": profile_report,
     "profile_drift": profile_drift,
     "event_windows": event_windows,

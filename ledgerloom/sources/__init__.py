@@ -1,5 +1,6 @@
 """Readers, writers and the seeded transaction generator."""
 
+from ledgerloom.sources.bucketed import drop_bucketed, exchanges, write_bucketed
 from ledgerloom.sources.generator import generate_transactions, transactions_for_ids
 from ledgerloom.sources.parquet import land_run, read_raw, read_table, write_parquet
 from ledgerloom.sources.quarantine import read_quarantine_csv, write_quarantine_csv
@@ -14,6 +15,8 @@ __all__ = [
     "FileVerdict",
     "Lake",
     "Manifest",
+    "drop_bucketed",
+    "exchanges",
     "generate_transactions",
     "land_run",
     "read_accepted",
@@ -25,6 +28,7 @@ __all__ = [
     "scratch_path",
     "transactions_for_ids",
     "triage_files",
+    "write_bucketed",
     "write_parquet",
     "write_quarantine_csv",
 ]
