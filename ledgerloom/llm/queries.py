@@ -21,9 +21,10 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix of all sources takes from each document."""
+    """Words that the mix of all sources takes from each document, and the pass and output shard of each time."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
-    return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
+    draws = F.array_join(F.transform("draws", lambda d: F.concat_ws(":", d["epoch"], d["shard"])), ",")
+    return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"), draws.alias("draws"))
 
 
 def op3_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
