@@ -121,7 +121,8 @@ def scan_secrets(
 ) -> DataFrame:
     """``id_col`` and ``spans`` of every row: kind, start and end (code points, end exclusive).
 
-    ``vocabulary`` is a tiktoken rank file that every executor can read, ``pattern`` its split pattern.
+    ``vocabulary`` is a tiktoken rank file that every executor can read, ``pattern`` its split pattern. The token test looks at
+    runs of ``MIN_RANDOM_CHARS`` characters and more: the fewer characters, the more words and names have as few for each token.
     Null and empty texts have no spans; rows are independent, so repeated rows and null ids give a row
     each. Other columns of any name are not read.
     """

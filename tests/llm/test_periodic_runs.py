@@ -12,17 +12,13 @@ from ledgerloom.llm import periodic_runs
 def brute(words: list[str]) -> list[tuple[int, int, int]]:
     """Runs by comparing all words at every lag."""
     out = []
-    for q in range(1, len(words) // 4 + 1):
-        i = 0
-        while i + q < len(words):
-            j = i
-            while j + q < len(words) and words[j] == words[j + q]:
-                j += 1
-            unit = words[i : i + q]
-            primitive = not any(q % d == 0 and unit[d:] == unit[:-d] for d in range(1, q))
-            if j - i + q >= max(6, 4 * q) and primitive:
+    w = np.unique(np.array(words, object).astype(str), return_inverse=True)[1] if words else np.zeros(0, int)
+    for q in range(1, len(w) // 4 + 1):
+        turns = np.flatnonzero(np.diff(np.concatenate(([0], w[:-q] == w[q:], [0])).astype(int)))
+        for i, j in zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True):
+            unit = w[i : i + q]
+            if j - i + q >= max(6, 4 * q) and not any(q % d == 0 and (unit[d:] == unit[:-d]).all() for d in range(1, q)):
                 out.append((i, j - i + q, q))
-            i = max(j, i + 1)
     return sorted(out, key=lambda r: (r[0], r[2]))
 
 
