@@ -435,22 +435,38 @@ def _profiled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return rows, runs.unionByName(ops.merge_profiles(runs).withColumn("run", F.lit("all")))
 
 
+def _value_counts(rows: DataFrame, profiles: DataFrame) -> DataFrame:
+    """``run, column, text, number, times``: how often each value of a column occurs in each run, and in all rows.
+
+    A column is grouped by its values alone, with a count for each of the few runs beside each value: no task holds a value once for each
+    column and run.
+    """
+    runs = sorted(r["run"] for r in profiles.where("run is not null and run <> 'all'").select("run").distinct().collect())
+
+    def counted(name: str) -> DataFrame:
+        times = [F.count_if(F.col("order_status") == run).alias(f"_n{k}") for k, run in enumerate(runs)]
+        found = rows.groupBy(F.col(name).cast("string").alias("text")).agg(F.count(F.lit(1)).alias("_all"), *times)
+        each = [F.struct(F.lit(run).alias("run"), F.col(n).alias("times")) for run, n in [("all", "_all"), *((run, f"_n{k}") for k, run in enumerate(runs))]]
+        number = F.col("text").cast("double") if name in PROFILED_NUMBERS else F.lit(None).cast("double")
+        return found.select(F.lit(name).alias("column"), "text", number.alias("number"), F.explode(F.array(*each)).alias("r")).select("r.run", "column", "text", "number", "r.times")
+
+    return reduce(DataFrame.unionAll, [counted(name) for name in PROFILED]).where("times > 0")
+
+
 def profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of each run and column, and whether distinct counts and quantiles are within the sketches' bounds of the exact ones."""
     rows, profiles = _profiled(spark, sf_dir)
     described = ops.describe_profiles(profiles, PROFILE_RANKS)
-    values = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"), F.when(F.lit(c).isin(*PROFILED_NUMBERS), F.col(c).cast("double") if c in PROFILED_NUMBERS else F.lit(None).cast("double")).alias("number")) for c in PROFILED]
-    runs = F.explode(F.array(F.col("order_status"), F.lit("all"))).alias("run")
-    long = rows.select(runs, F.array(*values).alias("values")).select("run", F.explode("values").alias("v")).select("run", "v.*")
     # A row for each run and column: a few dozen.
-    marked = long.join(F.broadcast(described.select("run", "column", "quantiles")), ["run", "column"])
-    n = F.nullif(F.count("number"), F.lit(0))
+    marked = _value_counts(rows, profiles).join(F.broadcast(described.select("run", "column", "quantiles")), ["run", "column"])
+    known = F.when(F.col("number").isNotNull(), F.col("times"))
+    n = F.nullif(F.sum(known), F.lit(0))
     fits = F.lit(True)
     for k, rank in enumerate(PROFILE_RANKS):
         mark = F.get("quantiles", F.lit(k))
-        below, upto = F.count_if(F.col("number") < mark) / n, F.count_if(F.col("number") <= mark) / n
+        below, upto = (F.coalesce(F.sum(F.when(inside, known)), F.lit(0)) / n for inside in (F.col("number") < mark, F.col("number") <= mark))
         fits &= F.coalesce((below <= rank + RANK_ERROR) & (upto >= rank - RANK_ERROR), n.isNull())
-    exact = marked.groupBy("run", "column").agg(F.count_distinct("text").alias("exact"), fits.alias("quantiles_fit"))
+    exact = marked.groupBy("run", "column").agg(F.count("text").alias("exact"), fits.alias("quantiles_fit"))
     near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.ceil(F.col("exact") * DISTINCT_ERROR)
     return described.join(exact, ["run", "column"]).select("run", "column", "rows", "known", near.alias("distinct_fits"), "quantiles_fit", F.col("quantiles").isNotNull().alias("has_quantiles"))
 

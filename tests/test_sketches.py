@@ -4,6 +4,7 @@ import pytest
 from conftest import plan_text
 from pyspark.sql import functions as F
 
+from ledgerloom import queries
 from ledgerloom.operators import column_profiles, describe_profiles, merge_profiles, profile_drift
 from ledgerloom.operators.sketches import DISTINCT_ERROR, RANK_ERROR
 
@@ -81,3 +82,17 @@ def test_nulls_nan_and_empty_tables(spark):
 def test_rows_are_aggregated_before_the_shuffle(runs):
     plan = plan_text(column_profiles(runs, ["n"], by="run"))
     assert plan.count("partial_hll_sketch_agg") and plan.count("partial_kll_sketch_agg_double")
+
+
+def test_values_are_counted_once_for_all_runs(spark, transactions):
+    rows = transactions(
+        {"order_status": "a", "quantity": 3, "unit_price": float("nan")}, {"order_status": "a", "quantity": 3, "payment_type": None},
+        {"order_status": "b", "quantity": 3, "transaction_id": None}, {"order_status": None, "quantity": None},
+    )
+    counts = queries._value_counts(rows, column_profiles(rows, queries.PROFILED, by="order_status"))
+    found = {(r["run"], r["text"]): (r["number"], r["times"]) for r in counts.where("column = 'quantity'").collect()}
+    assert found == {("all", "3"): (3.0, 3), ("all", None): (None, 1), ("a", "3"): (3.0, 2), ("b", "3"): (3.0, 1)}
+    assert counts.where("column = 'payment_type' and number is not null").count() == 0
+    assert counts.groupBy("run", "column", "text").count().where("count > 1").count() == 0
+    prices = {r["text"]: r["times"] for r in counts.where("column = 'unit_price' and run = 'a'").collect()}
+    assert prices == {"NaN": 1, "1.0": 1}
