@@ -2,7 +2,7 @@
 
 from ledgerloom.operators.asof import asof_join
 from ledgerloom.operators.conform import clean_silver, dedup_transactions, standardize_gender
-from ledgerloom.operators.layout import clustered, files_by_extent
+from ledgerloom.operators.layout import clustered, dealt_evenly, files_by_extent
 from ledgerloom.operators.mart_state import change_partials, mart_partials, merge_partials, rollup_from_state
 from ledgerloom.operators.marts import (
     city_revenue,
@@ -24,6 +24,7 @@ __all__ = [
     "clustered",
     "column_profiles",
     "daily_sales_metrics",
+    "dealt_evenly",
     "dedup_transactions",
     "describe_profiles",
     "dq_counts",

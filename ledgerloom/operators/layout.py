@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
 SAMPLE = 20_000  # rows that the ranges are fitted on; every row is placed
 _BITS = 6  # of a range's number
@@ -67,8 +68,23 @@ def clustered(df: DataFrame, columns: list[str], files: int, bits: int = _BITS)
     return df.withColumns({"_key": key, "_spread": spread}).repartitionByRange(files, "_key", "_spread").sortWithinPartitions("_key").drop("_key", "_spread")
 
 
+def dealt_evenly(df: DataFrame, files: int) -> DataFrame:
+    """``df`` dealt to ``files`` partitions in no order, as many rows to each; by row numbers, for which no task sorts its rows."""
+    return df.withColumn("_at", F.monotonically_increasing_id()).repartition(files, "_at").drop("_at")
+
+
 def files_by_extent(table: DataFrame, columns: list[str]) -> DataFrame:
     """``file, rows`` of each file of a table that was just read, with each column's ``low_`` and ``high_``: what its footer says."""
     file = F.col("_metadata.file_path").alias("file")
-    extents = [f(F.col(f"`{c}`")).alias(f"{p}_{c}") for c in columns for p, f in (("low", F.min), ("high", F.max))]
-    return table.groupBy(file).agg(F.count(F.lit(1)).alias("rows"), *extents)
+    # Spark sorts all rows for extents of texts; of those, a file's distinct values are taken first.
+    plain = [c for c in columns if isinstance(table.schema[c].dataType, (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType))]
+
+    def extents(names: list[str]) -> list[Column]:
+        return [f(F.col(f"`{c}`")).alias(f"{p}_{c}") for c in names for p, f in (("low", F.min), ("high", F.max))]
+
+    out = table.groupBy(file).agg(F.count(F.lit(1)).alias("rows"), *extents(plain))
+    for name in columns:
+        if name not in plain:
+            values = table.groupBy(file, F.col(f"`{name}`")).agg(F.count(F.lit(1)).alias("_times")).where("_times > 0")
+            out = out.join(values.groupBy("file").agg(*extents([name])), "file")
+    return out.select("file", "rows", *[f"`{p}_{c}`" for c in columns for p in ("low", "high")])

@@ -411,7 +411,7 @@ def clustered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _staged(spark, sf_dir)
     columns = ["order_date", "city", "product_category"]
     found = []
-    for layout, df in (("clustered", ops.clustered(rows, columns, CLUSTERED_FILES)), ("as it comes", rows.repartition(CLUSTERED_FILES))):
+    for layout, df in (("clustered", ops.clustered(rows, columns, CLUSTERED_FILES)), ("as it comes", ops.dealt_evenly(rows, CLUSTERED_FILES))):
         path = _fresh(spark, "layout")
         write_parquet(df, path)
         files = ops.files_by_extent(read_table(spark, path, RAW_SCHEMA), ["order_date", "city"])

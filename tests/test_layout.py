@@ -6,7 +6,7 @@ import pytest
 from conftest import sorted_rows
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import clustered, dedup_transactions, files_by_extent
+from ledgerloom.operators import clustered, dealt_evenly, dedup_transactions, files_by_extent
 from ledgerloom.operators.layout import cluster_key, range_bounds
 from ledgerloom.sources import drop_bucketed, exchanges, write_bucketed, write_parquet
 from ledgerloom.sources.files import children
@@ -79,3 +79,30 @@ def test_nulls_nan_and_empty_tables(spark):
     assert range_bounds(df.limit(0), ["x"]) == {"x": []}
     keys = df.select("x", cluster_key({"x": [1, 2]}, 2).alias("k")).collect()
     assert [(r["x"], r["k"]) for r in keys] == [(None, 0), (1, 1), (2, 2), (None, 0)]
+
+
+def test_extents_do_not_sort_all_rows(spark, points, tmp_path):
+    write_parquet(points.repartition(3), str(tmp_path / "p"))
+    found = files_by_extent(spark.read.schema(points.schema).parquet(str(tmp_path / "p")), ["x", "y"])
+    lines = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    scans = [k for k, line in enumerate(lines) if "FileScan" in line]
+    assert scans and all("HashAggregate" in next(line for line in reversed(lines[:k]) if "Aggregate" in line) for k in scans)
+    table = spark.read.parquet(str(tmp_path / "p")).select("*", F.col("_metadata.file_path").alias("file")).toPandas()
+    by = table.groupby("file")
+    expected = [(f, len(t), t.x.min(), t.x.max(), t.y.min(), t.y.max()) for f, t in by]
+    assert sorted_rows(found) == sorted(expected)
+
+
+def test_extents_of_files_without_known_values(spark, tmp_path):
+    write_parquet(spark.range(0, 6, 1, 2).select("id", F.lit(None).cast("string").alias("y")), str(tmp_path / "p"))
+    found = files_by_extent(spark.read.parquet(str(tmp_path / "p")), ["y", "id"])
+    assert found.columns == ["file", "rows", "low_y", "high_y", "low_id", "high_id"]
+    assert sorted(tuple(r)[1:] for r in found.collect()) == [(3, None, None, 0, 2), (3, None, None, 3, 5)]
+
+
+def test_dealt_evenly_keeps_rows_and_sorts_none(spark):
+    df = spark.range(0, 9_000, 1, 4).select(F.lit(1).alias("same"))
+    dealt = dealt_evenly(df, 9)
+    assert dealt.columns == ["same"] and dealt.rdd.getNumPartitions() == 9
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 9_000 and max(sizes) < 1_300
