@@ -214,7 +214,8 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _asof(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """To every transaction the price and discount that shipments of the same ``key`` had last, on or before its order date."""
-    rows = retail_view(spark, sf_dir).withColumns({"order_day": F.col("order_date").cast("date"), "ship_day": F.col("ship_date").cast("date")})
+    rows = _staged(spark, sf_dir, "transaction_id", "customer_id", key, "order_date", "ship_date", "unit_price", "discount_pct")
+    rows = rows.withColumns({"order_day": F.col("order_date").cast("date"), "ship_day": F.col("ship_date").cast("date")})
     shipped = rows.select(key, "ship_day", F.col("unit_price").alias("valid_price"), F.col("discount_pct").alias("valid_discount"))
     asked = rows.select("transaction_id", "customer_id", key, "order_day")
     return ops.asof_join(asked, shipped, keys=[key], left_time="order_day", right_time="ship_day", values=["valid_price", "valid_discount"])
@@ -315,11 +316,12 @@ def _pipeline_mart(mart: str) -> Callable[[SparkSession, str], DataFrame]:
 # --- batch by batch, and several outputs in one commit ------------------------------------
 
 
-def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw rows as a table, for queries that read them many times."""
+def _staged(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The raw rows, or columns of them, as a table, for queries that read them many times."""
     path = _fresh(spark, "staged")
-    write_parquet(retail_view(spark, sf_dir), path)
-    return spark.read.schema(RAW_SCHEMA).parquet(path)
+    rows = retail_view(spark, sf_dir).select(*(columns or RAW_SCHEMA.fieldNames()))
+    write_parquet(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _followed(spark: SparkSession, sf_dir: str) -> Lake:

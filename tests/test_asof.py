@@ -6,7 +6,7 @@ import pytest
 from conftest import plan_text, sorted_rows
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import asof_join
+from ledgerloom.operators import asof, asof_join
 
 LEFT = "row int, k string, g int, at timestamp"
 RIGHT = "k string, g int, since timestamp, price double, note string"
@@ -80,3 +80,13 @@ def test_a_hot_key_is_dealt_by_bin(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert sum(sizes) == 24_000 and max(sizes) < 24_000 / 3
+
+
+def test_only_large_keys_are_binned(spark, monkeypatch):
+    left, right = made_up(5, 200, 2000)
+    unused = {"time_bin": lambda t: F.raise_error(F.lit("binned")).cast("int")}
+    assert sorted_rows(joined(spark, left, right, **unused)) == brute(left, right)
+    # Some keys below, some above.
+    monkeypatch.setattr(asof, "BINNED", 30)
+    hot = [(1000 + i, "a", 1, at) for i, (_, _, _, at) in enumerate(left)]
+    assert sorted_rows(joined(spark, left + hot, right)) == brute(left + hot, right)
