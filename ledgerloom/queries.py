@@ -92,10 +92,8 @@ def bronze_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _drifting_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The raw rows as three runs whose files differ in their schema."""
-    # The view's order statuses.
-    staged = _fresh(spark, "drift")
-    write_parquet(retail_view(spark, sf_dir), staged)
-    rows = spark.read.schema(RAW_SCHEMA).parquet(staged)
+    # The view's order statuses. The filters reach the order lines, so that each line is joined for one run only.
+    rows = retail_view(spark, sf_dir)
     status = F.col("order_status")
     return {
         "run_delivered": rows.filter(status == "Delivered"),
@@ -144,7 +142,7 @@ def triaged_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = LayerPaths.under(_fresh(spark, "triage"))
     for run_id, rows in _drifting_runs(spark, sf_dir).items():
         land_run(rows, paths.raw, run_id)
-    spoilt = _drifting_runs(spark, sf_dir)["run_delivered"]
+    spoilt = spark.read.schema(RAW_SCHEMA).parquet(f"{paths.raw}/run_delivered")
     land_run(spoilt.withColumn("unit_price", F.col("unit_price").cast("string")), paths.raw, "run_prices")
     spoilt.select("city").write.text(f"{paths.raw}/run_notes")
     raw_to_bronze(spark, paths.raw, paths.bronze, rejected=f"{paths.quarantine}/files")
@@ -157,8 +155,9 @@ def triage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = _drifting_runs(spark, sf_dir)
     for run_id, rows in runs.items():
         land_run(rows, raw, run_id)
-    land_run(runs["run_delivered"].withColumn("unit_price", F.col("unit_price").cast("string")), raw, "run_prices")
-    runs["run_delivered"].select("city").write.text(f"{raw}/run_notes")
+    spoilt = spark.read.schema(RAW_SCHEMA).parquet(f"{raw}/run_delivered")
+    land_run(spoilt.withColumn("unit_price", F.col("unit_price").cast("string")), raw, "run_prices")
+    spoilt.select("city").write.text(f"{raw}/run_notes")
     verdicts = triage_files(spark, raw)
     kinds = spark.createDataFrame(sorted({(v.run, v.kind, v.reason and v.reason.split("/")[-1].partition(".txt is ")[2].partition(".")[0] or v.reason) for v in verdicts}), "run string, kind string, reason string")
     run = F.element_at(F.split("_metadata.file_path", "/"), -2).alias("run")

@@ -4,9 +4,10 @@ import pytest
 from conftest import sorted_rows
 from pyspark.sql import functions as F
 
+from ledgerloom import queries
 from ledgerloom.plans import LayerPaths, raw_to_bronze
 from ledgerloom.schema import BRONZE_SCHEMA, RAW_SCHEMA
-from ledgerloom.sources import land_run, read_accepted, read_table, rejected_files, triage_files
+from ledgerloom.sources import land_run, read_accepted, read_table, rejected_files, retail_view, triage_files
 from ledgerloom.sources.triage import schema_kind
 
 
@@ -80,3 +81,23 @@ def test_schemas():
     assert kind("A bigint, c int") == ("compatible", None)
     assert kind("a smallint, b double") == ("widening", None)
     assert kind("a bigint, b float")[0] == kind("c int")[0] == kind("a bigint, A bigint")[0] == "rejected"
+
+
+def test_the_view_is_built_for_one_set_of_runs(spark, small_dir, monkeypatch):
+    built = []
+    monkeypatch.setattr(queries, "retail_view", lambda *args: built.append(args) or retail_view(*args))
+    for query in (queries.triaged_bronze, queries.triage_report):
+        built.clear()
+        query(spark, small_dir)
+        assert len(built) == 1
+
+
+def test_lists_are_halved_until_the_bad_files_are_alone(spark, transactions, tmp_path):
+    raw = str(tmp_path)
+    for run in ("b", "a"):
+        transactions(*[{"transaction_id": k} for k in range(6)]).repartition(6).write.parquet(f"{raw}/{run}")
+    files = sorted(p.name for p in (tmp_path / "a").glob("part-*"))
+    (tmp_path / "a" / files[2]).write_text("no parquet")
+    verdicts = triage_files(spark, raw)
+    assert [v.run for v in verdicts] == ["a"] * len(files) + ["b"] * (len(verdicts) - len(files))
+    assert [v.file.split("/")[-1] for v in verdicts if v.kind == "rejected"] == [files[2]]
