@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom.operators.conform import KEY, clean_silver, dedup_transactions
+from ledgerloom.operators.conform import KEY, clean_silver, dedup_transactions, standardize_gender
 from ledgerloom.operators.mart_state import MART_STATE_SCHEMA, change_partials, merge_partials, rollup_from_state
 from ledgerloom.operators.marts import marts_from_rollup
 from ledgerloom.operators.quality import dq_counts, split_quality
@@ -48,25 +48,25 @@ def _write_buckets(df: DataFrame, directory: str, buckets: int) -> dict[str, str
     return {f"{int(name.partition('=')[2]):06d}": f"{directory}/{name}" for name in found}
 
 
-def upsert_silver(commit: Commit, clean: DataFrame, buckets: int) -> list[str]:
-    """Adds to ``commit`` the buckets of silver that change with the rows of ``clean`` and returns their names.
+def upsert_silver(commit: Commit, rows: DataFrame, buckets: int) -> list[str]:
+    """Adds to ``commit`` the buckets of silver that change with ``rows``, which are standardised, and returns their names.
 
-    ``clean`` has one row for each id. A bucket that is new consists of the batch's rows as they were written; only those that
-    have stored rows are merged.
+    The ids alone tell which stored buckets the batch falls into. Their rows and the batch's are de-duplicated and written once, together with
+    the buckets that are new.
     """
     stored = commit.base.parts.get(SILVER, {})
-    arrived = _write_buckets(clean, commit.directory(SILVER, "batch"), buckets)
-    for part in arrived.keys() - stored.keys():
-        commit.put(SILVER, part, arrived[part])
-    both = sorted(arrived.keys() & stored.keys())
+    both = []
+    if stored:
+        found = rows.select(key_bucket(buckets).alias(_BUCKET)).distinct().collect()
+        both = sorted({f"{r[_BUCKET]:06d}" for r in found} & stored.keys())
     if both:
-        spark, lake = clean.sparkSession, commit.lake
-        rows = spark.read.schema(SILVER_SCHEMA).parquet(*[arrived[part] for part in both])
-        old = lake.read(SILVER, SILVER_SCHEMA, manifest=commit.base, parts=both)
-        merged = _write_buckets(dedup_transactions(old.unionByName(rows)), commit.directory(SILVER, "merged"), buckets)
-        for part in both:
-            commit.put(SILVER, part, merged[part])
-    return sorted(arrived)
+        rows = commit.lake.read(SILVER, SILVER_SCHEMA, manifest=commit.base, parts=both).unionByName(rows)
+    written = _write_buckets(dedup_transactions(rows), commit.directory(SILVER), buckets)
+    if sorted(written.keys() & stored.keys()) != both:
+        raise RuntimeError("the batch changed while it was read")
+    for part, directory in written.items():
+        commit.put(SILVER, part, directory)
+    return sorted(written)
 
 
 def apply_batch(
@@ -96,7 +96,7 @@ def apply_batch(
     counts = report.get
     if counts["quarantine_rows"]:
         commit.put(QUARANTINE, batch_id, bad)
-    touched = upsert_silver(commit, clean_silver(parts.valid), buckets)
+    touched = upsert_silver(commit, standardize_gender(parts.valid), buckets)
     if touched:
         after = [f"{lake.root}/{commit.parts(SILVER)[part]}" for part in touched]
         change = change_partials(lake.read(SILVER, SILVER_SCHEMA, manifest=commit.base, parts=touched), spark.read.schema(SILVER_SCHEMA).parquet(*after))

@@ -326,11 +326,12 @@ def _staged(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def _followed(spark: SparkSession, sf_dir: str) -> Lake:
     """A lake after two runs that a stream follows, a third that comes on its own and is delivered twice, and an empty one."""
     root = _fresh(spark, "followed")
-    rows, lake = _staged(spark, sf_dir), Lake(spark, f"{root}/lake")
+    rows, lake = retail_view(spark, sf_dir), Lake(spark, f"{root}/lake")
     for status in ("Returned", "Delivered"):
         land_run(rows.filter(F.col("order_status") == status), f"{root}/raw", f"run_{status}")
         follow_runs(spark, f"{root}/raw", lake, f"{root}/checkpoint", buckets=UPSERT_BUCKETS)
-    late = rows.filter(F.col("order_status") == "Cancelled")
+    write_parquet(rows.filter(F.col("order_status") == "Cancelled"), f"{root}/late")
+    late = read_table(spark, f"{root}/late", RAW_SCHEMA)
     for batch, batch_id in ((late, "late"), (late, "late"), (late.limit(0), "empty")):
         apply_batch(lake, batch, batch_id)
     return lake

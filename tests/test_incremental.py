@@ -12,6 +12,7 @@ from ledgerloom.operators.conform import dedup_transactions
 from ledgerloom.plans import apply_batch, current_marts, current_quarantine, current_rollup, current_silver, follow_runs, incremental, rebuild
 from ledgerloom.schema import SILVER_SCHEMA
 from ledgerloom.sources import CommitConflict, Lake, land_run, retail_view
+from ledgerloom.sources.files import children
 
 BUCKETS = 4
 
@@ -250,3 +251,20 @@ def test_partials_of_any_split_merge_to_the_rollup(spark, small_dir):
             merged = merged.unionByName(parts[k])
         assert sorted_rows(ops.rollup_from_state(merged).select(*expected.columns)) == sorted_rows(expected)
     assert sorted_rows(ops.change_partials(silver, silver)) == []
+
+
+def test_a_batch_is_written_once(spark, lake, batches):
+    for k in range(2):
+        apply_batch(lake, batches[k], f"b{k}", buckets=BUCKETS)
+        assert len(children(spark, f"{lake.root}/silver")) == k + 1
+    same_as_rebuilt(lake, batches[0].unionByName(batches[1]))
+
+
+def test_a_batch_that_changes_while_it_is_read_is_not_published(lake, batches, transactions, monkeypatch):
+    apply_batch(lake, batches[0], "a", buckets=BUCKETS)
+    before = lake.current()
+    all_ids = transactions(*[{"transaction_id": k} for k in range(40)])
+    monkeypatch.setattr(incremental, "dedup_transactions", lambda rows: dedup_transactions(all_ids.select(*SILVER_SCHEMA.fieldNames())))
+    with pytest.raises(RuntimeError, match="changed"):
+        apply_batch(lake, transactions({"transaction_id": 3}), "b")
+    assert lake.current() == before
