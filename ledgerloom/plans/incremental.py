@@ -13,7 +13,9 @@ one that is delivered again does nothing.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom.operators.conform import KEY, clean_silver, dedup_transactions, standardize_gender
 from ledgerloom.operators.mart_state import MART_STATE_SCHEMA, change_partials, merge_partials, rollup_from_state
 from ledgerloom.operators.marts import marts_from_rollup
-from ledgerloom.operators.quality import dq_counts, split_quality
+from ledgerloom.operators.quality import dq_counts, dq_report, split_quality
 from ledgerloom.plans.paths import check_disjoint
 from ledgerloom.schema import QUARANTINE_SCHEMA, RAW_SCHEMA, SILVER_SCHEMA
 from ledgerloom.sources.files import children
@@ -166,6 +168,13 @@ def follow_runs(
     return query
 
 
+def _at_once(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """The results of jobs that run side by side. All have ended when this returns, or raises what the first failed one raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [job.result() for job in running]
+
+
 def rebuild(lake: Lake, raw: DataFrame, *, buckets: int = BUCKETS, before_publish: Callable[[Commit], None] | None = None) -> dict[str, int]:
     """Replaces silver, quarantine and gold by what all of ``raw`` gives, in one commit; returns counts.
 
@@ -176,18 +185,25 @@ def rebuild(lake: Lake, raw: DataFrame, *, buckets: int = BUCKETS, before_publis
     for table in (SILVER, QUARANTINE, GOLD):
         commit.remove(table, list(commit.base.parts.get(table, {})))
     buckets = commit.base.settings.get("buckets", buckets)
-    report = Observation()
-    bad = commit.directory(QUARANTINE)
-    write_quarantine_csv(split_quality(raw.observe(report, *dq_counts())).quarantine, bad)
+    parts = split_quality(raw)
+    bad, state = commit.directory(QUARANTINE), commit.directory(GOLD)
+
+    def silver_and_gold() -> dict[str, str]:
+        written = _write_buckets(clean_silver(parts.valid), commit.directory(SILVER), buckets)
+        silver = raw.sparkSession.read.schema(SILVER_SCHEMA).parquet(*written.values()) if written else raw.sparkSession.createDataFrame([], SILVER_SCHEMA)
+        write_parquet(change_partials(silver.limit(0), silver), state)
+        return written
+
+    # Neither output needs the other, so that the tasks of one fill the cores that the last ones of the other leave. The counts read three columns;
+    # observed on the rows of the quarantine's scan they would have all columns of all rows decoded, where it now decodes the bad ones.
+    written, _, counts = _at_once(
+        raw.sparkSession, silver_and_gold, lambda: write_quarantine_csv(parts.quarantine, bad), lambda: dq_report(raw).first().asDict()
+    )
     commit.put(QUARANTINE, "rebuilt", bad)
-    written = _write_buckets(clean_silver(split_quality(raw).valid), commit.directory(SILVER), buckets)
     for part, directory in written.items():
         commit.put(SILVER, part, directory)
-    state = commit.directory(GOLD)
-    silver = raw.sparkSession.read.schema(SILVER_SCHEMA).parquet(*written.values()) if written else raw.sparkSession.createDataFrame([], SILVER_SCHEMA)
-    write_parquet(change_partials(silver.limit(0), silver), state)
     commit.put(GOLD, "rebuilt", state)
     if before_publish:
         before_publish(commit)
     commit.publish(settings={"buckets": buckets})
-    return report.get
+    return counts

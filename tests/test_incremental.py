@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import threading
 
 import pytest
 from conftest import plan_text, sorted_rows
@@ -241,6 +242,45 @@ def test_rebuilding_replaces_all_tables_at_once(lake, batches):
     same_as_rebuilt(lake, batches[1].unionByName(batches[2]))
 
 
+def test_a_rebuild_writes_its_outputs_side_by_side_and_decodes_bad_rows_only(spark, lake, batches, tmp_path, monkeypatch):
+    rows = batches[0].unionByName(batches[1])
+    rows.write.parquet(str(tmp_path / "rows"))
+    raw = spark.read.schema(rows.schema).parquet(str(tmp_path / "rows"))
+    both, plans = threading.Barrier(2, timeout=60), []
+
+    def beside(write):
+        def run(df, *args, **kwargs):
+            plans.append(plan_text(df))
+            both.wait()
+            return write(df, *args, **kwargs)
+
+        return run
+
+    for step in ("write_quarantine_csv", "_write_buckets"):
+        monkeypatch.setattr(incremental, step, beside(getattr(incremental, step)))
+    counts = rebuild(lake, raw, buckets=BUCKETS)
+    assert counts == ops.dq_report(rows).first().asDict()
+    assert counts["raw_rows"] == 30 and counts["quarantine_rows"] and counts["indeterminate_rows"]
+    assert len(plans) == 2 and not any("CollectMetrics" in plan or "PushedFilters: []" in plan for plan in plans)
+    same_as_rebuilt(lake, rows)
+
+
+@pytest.mark.parametrize("step", ["write_quarantine_csv", "clean_silver", "write_parquet", "dq_report"])
+def test_a_rebuild_of_which_one_output_fails_changes_nothing(lake, batches, monkeypatch, step):
+    rebuild(lake, batches[0], buckets=BUCKETS)
+    before = lake.current()
+
+    def fails(*args, **kwargs):
+        raise OSError("while writing")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, step, fails)
+        with pytest.raises(OSError, match="while writing"):
+            rebuild(lake, batches[1])
+    assert lake.current() == before
+    same_as_rebuilt(lake, batches[0])
+
+
 def test_partials_of_any_split_merge_to_the_rollup(spark, small_dir):
     silver = silver_of(retail_view(spark, small_dir))
     parts = [ops.mart_partials(silver.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(5)) == k)) for k in range(5)]
