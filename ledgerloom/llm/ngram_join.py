@@ -5,11 +5,13 @@
    Two similar sets hence agree in a whole non-empty partition, whatever else they share; a passage
    or line that many documents have in common makes no key.
 2. Equal keys, sorted, give runs of sets. Keys are dealt by range of (key, set), so that a key which a third
-   of all documents share is spread over many tasks. Runs of the same sets count once.
+   of all documents share is spread over many tasks. Runs of the same sets count once. Similar sets agree in more
+   partitions than one, so that each set can do without a few of its keys: without those of long runs, most often all
+   of which come from one line or passage. Only what large groups of similar texts share stays in long runs.
 3. Within a run, a pair stays a candidate if its sketches allow for it: a sketch holds the parity of the
    tokens of each slot, so that two sets differ in at least as many tokens as their sketches in bits. What is left
-   connects the sets into candidate groups; only of their members are texts looked at again. A run that is cut
-   by the range of a task, or very long, is a candidate as a whole.
+   connects the sets into candidate groups; only of their members are texts looked at again. A run that is still
+   very long is a candidate as a whole.
 4. A candidate group is cut, in order of size, into blocks of bounded size. Signature trees find the
    links of a block, with one set of the group in all blocks of like sizes.
 5. What that has left unconnected is compared across blocks of compatible sizes, again by trees.
@@ -35,8 +37,10 @@ from ledgerloom.llm.words import flat_bytes, mix64, shingle_hashes, span_hashes,
 BLOCK_SHINGLES = 2_000_000  # shingles in a block on average: 16 MB of hashes
 _TEXT_BYTES = 1 << 20  # of texts whose words are taken at once
 _SEEN = 200_000  # set identifiers that a task remembers, to give keys of equal sets once
-_LONG = 4096  # sets in a run from which on its pairs aren't looked at one by one
-_RUN_ROWS = 20_000  # of runs that are looked at together
+_LONG = 256  # sets in a run from which on its key is one that sets do without if they can
+_WHOLE = 4096  # sets in a run, after that, from which on its pairs aren't looked at one by one
+_RUN_ROWS, _RUN_BYTES = 20_000, 1 << 24  # of runs that are looked at together
+_CLASSES = 64  # of sizes; a key's last bits are its class
 
 
 def token_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -82,14 +86,22 @@ def size_classes(percent: int, upto: int) -> list[tuple[int, int, int, int]]:
 
 
 def set_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of a set; two different sets at least ``percent`` % similar share one.
+    """Keys of a set; two different sets at least ``percent`` % similar share one. See :func:`class_keys`."""
+    return np.concatenate([np.zeros(0, np.uint64), *(keys for keys, _ in class_keys(tokens, percent).values())])
+
+
+def class_keys(tokens: np.ndarray, percent: int) -> dict[int, tuple[np.ndarray, int]]:
+    """For each size class of a set, its keys and how many of them it can do without.
 
     In the size class of the smaller set, k partitions by hash leave at least spare + 1 equal ones. A
     set with no more than spare empty partitions so agrees in one with tokens, and its empty ones need
     no key; a set with more gives keys to the empty ones too.
+
+    With e empty partitions it agrees in spare + 1 - e with tokens. So it can do without its first spare - e keys in
+    any order that is the same for all sets: the last key that two sets share isn't among those of either.
     """
     size = len(tokens)
-    out = []
+    out = {}
     for number, (lo, end, k, spare) in enumerate(size_classes(percent, 1 << max(8, size.bit_length()))):
         if lo > size:
             break
@@ -99,14 +111,19 @@ def set_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
         sums = np.zeros(k, np.uint64)
         np.add.at(sums, part, tokens)
         keys = mix64(sums + mix64((np.arange(k) + (number << 40)).astype(np.uint64)))
+        keys = keys // np.uint64(_CLASSES) * np.uint64(_CLASSES) + np.uint64(number)
         filled = np.bincount(part, minlength=k) > 0
-        out.append(keys[filled] if k - np.count_nonzero(filled) <= spare else keys)
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        empty = k - int(np.count_nonzero(filled))
+        out[number] = keys[filled] if empty <= spare else keys, max(0, spare - empty)
+    return out
 
 
 def set_sketch(tokens: np.ndarray) -> bytes:
-    """The parity of the tokens in each slot; slots are a power of two, about half as many as tokens, 64 to 8,192."""
-    slots = min(8192, max(64, 1 << (max(1, len(tokens) // 2) - 1).bit_length()))
+    """The parity of the tokens in each slot; slots are a power of two, at least as many as tokens, 64 to 16,384.
+
+    With half as many, sets without a token in common differ by little more than similar ones may.
+    """
+    slots = min(16_384, max(64, 1 << (len(tokens) - 1).bit_length()))
     counts = np.bincount(((tokens >> np.uint64(40)) % np.uint64(slots)).astype(np.int64), minlength=slots)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
@@ -115,119 +132,140 @@ def _signatures(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            sizes, identifiers, keys, sketches = [], [], [], []
+            sizes, identifiers, keys, spare, sketches = [], [], [], [], []
             for doc, tokens in zip(batch.column(0).to_pylist(), token_sets(batch.column(1), n), strict=True):
                 sizes.append(len(tokens))
                 identifiers.append(set_identifier(tokens) if len(tokens) and doc is not None else None)
                 if identifiers[-1] is None or identifiers[-1] in seen:
-                    keys.append(None)
-                    sketches.append(None)
+                    for column in (keys, spare, sketches):
+                        column.append(None)
                     continue
                 if len(seen) >= _SEEN:
                     seen.clear()
                 seen.add(identifiers[-1])
-                keys.append(set_keys(tokens, percent).view(np.int64))
+                of_class = class_keys(tokens, percent)
+                keys.append(np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in of_class.values())]).view(np.int64))
+                spare.append([(number, n) for number, (_, n) in of_class.items()])
                 sketches.append(set_sketch(tokens))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(identifiers, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                names=["id", "text_key", "n_shingles", "set_id", "keys", "sketch"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(identifiers, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(spare, pa.map_(pa.int32(), pa.int32())), pa.array(sketches, pa.binary())],
+                names=["id", "text_key", "n_shingles", "set_id", "keys", "spare", "sketch"],
             )
 
     return run
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sorted (key, set): ``run, a`` for the members of each run of equal keys, runs of the same sets once a batch;
-    and, of runs that are long or at an end of the partition, ``a, b``, each set with the run's first. The partition's first and
-    last rows come again with their ``key``."""
+    """Of (key, set) sorted by key: ``run, a`` for the members of each run of equal keys, runs of the same sets once a batch;
+    and ``key, a`` for those of runs that are long or at an end of the partition."""
+
+    def out(run, a, key) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (run, a, key)], names=["run", "a", "key"])
 
-    def out(run, a, b, key) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (run, a, b, key)], names=["run", "a", "b", "key"])
+    def once(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        same = key[1:] == key[:-1]
+        at = np.flatnonzero(np.append(same, False) | np.append(False, same))
+        node = node.copy()
+        node[at] = node[at][np.lexsort((node[at], key[at]))]
+        new = np.append(True, ~same | (node[1:] != node[:-1]))
+        return key[new], node[new]
 
-    def whole(node: np.ndarray) -> pa.RecordBatch:
-        rest = np.unique(node)[1:]
-        return out(pa.nulls(len(rest)), rest, np.full(len(rest), node.min()), pa.nulls(len(rest)))
+    def by_key(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+        return out(pa.nulls(len(key)), node, key)
 
     def members(key: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
-        new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
-        key, node = key[new], node[new]
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         length = np.diff(np.append(begin, len(key)))
+        long = np.repeat(length > _LONG, length)
+        if long.any():
+            yield by_key(key[long], node[long])
         run = mix64(np.add.reduceat(mix64(node.view(np.uint64)), begin) + length.astype(np.uint64))
-        once = np.zeros(len(begin), bool)
-        once[np.unique(run, return_index=True)[1]] = True
-        for k in np.flatnonzero(once & (length > _LONG)).tolist():
-            yield whole(node[begin[k] : begin[k] + length[k]])
-        once &= (length > 1) & (length <= _LONG)
-        row = np.repeat(once, length)
-        n = int(np.count_nonzero(row))
-        yield out(np.repeat(run, length)[row].view(np.int64), node[row], pa.nulls(n), pa.nulls(n))
-
-    held = None  # rows of the run that may go on
-    uncut = False  # whether those are all its rows
+        first = np.zeros(len(begin), bool)
+        first[np.unique(run, return_index=True)[1]] = True
+        first &= (length > 1) & (length <= _LONG)
+        row = np.repeat(first, length)
+        yield out(np.repeat(run, length)[row].view(np.int64), node[row], pa.nulls(int(np.count_nonzero(row))))
+
+    held = np.zeros(0, np.int64), np.zeros(0, np.int64)  # rows of the run that may go on
+    cut = True  # whether that is the partition's first run, or has been given out in part
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if held is None:
-            yield out([None], node[:1], [None], key[:1])
-        else:
-            key, node = np.concatenate((held[0], key)), np.concatenate((held[1], node))
-        if not uncut:
-            end = int(np.searchsorted(key, key[0], side="right"))
-            if end < len(key):
-                yield whole(node[:end])
-                key, node, uncut = key[end:], node[end:], True
+        key, node = once(*(np.concatenate((held[k], batch.column(k).to_numpy())) for k in (0, 1)))
+        end = int(np.searchsorted(key, key[0], side="right"))
+        if cut and end < len(key):
+            yield by_key(key[:end], node[:end])
+            key, node, cut = key[end:], node[end:], False
         last = int(np.searchsorted(key, key[-1], side="left"))
         if last:
             yield from members(key[:last], node[:last])
         held = key[last:], node[last:]
-        if len(held[0]) > 4 * _LONG:
-            # Long anyway: connect what there is, and go on from its first set and its last.
-            yield whole(held[1])
-            keep = [int(held[1].argmin()), len(held[1]) - 1]
-            held, uncut = (held[0][keep], held[1][keep]), False
-    if held is not None:
-        yield whole(held[1])
-        yield out([None], held[1][-1:], [None], held[0][-1:])
-
-
-def sketch_pairs(run: np.ndarray, sizes: np.ndarray, sketches: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the pairs of rows of one run (sorted by it) that sizes and sketches allow to be similar."""
-    width = np.array([8 * len(x) for x in sketches], np.int64)
-    rows_of, place = {}, {}
-    for w in np.unique(width).tolist():
-        # Sketches of this width, and of the next one folded to it.
-        at = np.flatnonzero((width == w) | (width == 2 * w))
-        bits = np.zeros((len(at), w // 64), np.uint64)
-        for k, i in enumerate(at.tolist()):
-            own = np.frombuffer(sketches[i], np.uint64)
-            bits[k] = own if len(own) == w // 64 else own[: w // 64] ^ own[w // 64 :]
-        rows_of[w], place[w] = bits, np.full(len(run), -1)
-        place[w][at] = np.arange(len(at))
-    left, right = [], []
-    begin = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
-    longest = int(np.diff(np.append(begin, len(run))).max(initial=0))
-    for step in range(1, longest):
-        i = np.flatnonzero(run[step:] == run[:-step])
-        j = i + step
-        fits = (100 * sizes[i] >= percent * sizes[j]) & (100 * sizes[j] >= percent * sizes[i])
-        i, j = i[fits], j[fits]
-        common = np.minimum(width[i], width[j])
-        far = np.maximum(width[i], width[j]) > 2 * common  # can't be, with similar sizes, but for rounding
-        left.append(i[far])
-        right.append(j[far])
+        if len(held[0]) > _LONG:
+            yield by_key(*held)
+            held, cut = (held[0][-1:], held[1][-1:]), True
+    yield by_key(*held)
+
+
+class _Sketches:
+    """The sketches of rows, for comparing pairs of rows given by positions."""
+
+    def __init__(self, sizes: np.ndarray, sketches: list[bytes], percent: int):
+        self.sizes, self.percent = sizes, percent
+        self.width = np.array([8 * len(x) for x in sketches], np.int64)
+        self.rows_of, self.place = {}, {}
+        for w in np.unique(self.width).tolist():
+            # Sketches of this width, and of the next one folded to it.
+            own, wider = np.flatnonzero(self.width == w), np.flatnonzero(self.width == 2 * w)
+            bits, twice = (np.frombuffer(b"".join(sketches[k] for k in x.tolist()), np.uint64) if len(x) else np.zeros(0, np.uint64) for x in (own, wider))
+            bits, twice = bits.reshape(-1, w // 64), twice.reshape(-1, 2, w // 64)
+            self.rows_of[w], self.place[w] = np.concatenate((bits, twice[:, 0] ^ twice[:, 1])), np.full(len(sketches), -1)
+            self.place[w][np.concatenate((own, wider))] = np.arange(len(own) + len(wider))
+
+    def fits(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the sizes allow the pairs to be similar."""
+        return (100 * self.sizes[i] >= self.percent * self.sizes[j]) & (100 * self.sizes[j] >= self.percent * self.sizes[i])
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the sketches do."""
+        common = np.minimum(self.width[i], self.width[j])
+        out = np.maximum(self.width[i], self.width[j]) > 2 * common  # can't be, with similar sizes, but for rounding
+        far = out.copy()
         for w in np.unique(common[~far]).tolist():
             at = np.flatnonzero((common == w) & ~far)
             for cut in range(0, len(at), max(1, (1 << 22) // w)):
-                x, y = i[at[cut : cut + max(1, (1 << 22) // w)]], j[at[cut : cut + max(1, (1 << 22) // w)]]
-                differ = np.bitwise_count(rows_of[w][place[w][x]] ^ rows_of[w][place[w][y]]).sum(axis=1, dtype=np.int64)
+                part = at[cut : cut + max(1, (1 << 22) // w)]
+                x, y = i[part], j[part]
+                differ = np.bitwise_count(self.rows_of[w][self.place[w][x]] ^ self.rows_of[w][self.place[w][y]]).sum(axis=1, dtype=np.int64)
                 # At least percent % of the union in common leaves at most this many tokens that only one has.
-                keep = differ * (100 + percent) <= (sizes[x] + sizes[y]) * (100 - percent)
-                left.append(x[keep])
-                right.append(y[keep])
-    none = [np.zeros(0, np.int64)]
-    return np.concatenate(left or none), np.concatenate(right or none)
+                out[part] = differ * (100 + self.percent) <= (self.sizes[x] + self.sizes[y]) * (100 - self.percent)
+        return out
+
+
+def sketch_pairs(run: np.ndarray, sizes: np.ndarray, sketches: list[bytes], percent: int, node: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs of rows of one run (sorted by it) that sizes and sketches allow to be similar.
+
+    With ``node``, the number of each row's set, pairs that connect the same sets as all do: sets that are already
+    connected aren't compared, so that a group of similar sets costs little more than its rows, in all its runs together.
+    """
+    rows = _Sketches(sizes, sketches, percent)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    begin = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    longest = int(np.diff(np.append(begin, len(run))).max(initial=0))
+    label = None if node is None else np.unique(node, return_inverse=True)[1]  # of each row
+    for step in range(1, longest):
+        i = np.flatnonzero(run[step:] == run[:-step])
+        if label is not None:
+            i = i[label[i] != label[i + step]]
+        i = i[rows.fits(i, i + step)]
+        i = i[rows.near(i, i + step)]
+        left.append(i)
+        right.append(i + step)
+        if label is not None and len(i):
+            to = np.arange(len(run))
+            moved, least = local_stars(label[i], label[i + step])
+            to[moved] = least
+            label = to[label]
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _candidates(percent: int):
@@ -235,7 +273,7 @@ def _candidates(percent: int):
 
     def stars(rows: pa.Table) -> pa.RecordBatch:
         run, node, size = (rows.column(k).to_numpy() for k in range(3))
-        i, j = sketch_pairs(run, size, rows.column(3).to_pylist(), percent)
+        i, j = sketch_pairs(run, size, rows.column(3).to_pylist(), percent, node)
         return pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()) for ends in local_stars(node[i], node[j])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +281,7 @@ def _candidates(percent: int):
         for batch in batches:
             if batch.num_rows:
                 held.append(batch)
-            if sum(b.num_rows for b in held) >= _RUN_ROWS:
+            if sum(b.num_rows for b in held) >= _RUN_ROWS or sum(b.nbytes for b in held) >= _RUN_BYTES:
                 rows = pa.Table.from_batches(held)
                 key = rows.column(0).to_numpy()
                 last = int(np.searchsorted(key, key[-1], side="left"))
@@ -317,20 +355,24 @@ def ngram_groups(df: DataFrame, words: int, percent: int, id_col: str = "doc_id"
     scratch = Scratch(df.sparkSession, "ngram")
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     keyed_rows = source.select("id", "text", F.xxhash64("text").alias("text_key"))
-    with_keys = scratch.write(keyed_rows.mapInArrow(tidy(_signatures(words, percent)), "id long, text_key long, n_shingles long, set_id long, keys array<long>, sketch binary"))
+    with_keys = scratch.write(keyed_rows.mapInArrow(tidy(_signatures(words, percent)), "id long, text_key long, n_shingles long, set_id long, keys array<long>, spare map<int,int>, sketch binary"))
     signatures = scratch.write(with_keys.select("id", "text_key", "n_shingles", "set_id"))
 
     keyed = with_keys.where("keys is not null").select(F.explode("keys").alias("key"), "set_id")
-    runs = scratch.write(keyed.repartitionByRange("key", "set_id").sortWithinPartitions("key", "set_id").mapInArrow(tidy(_runs), "run long, a long, b long, key long"))
-    sketches = with_keys.where("sketch is not null").groupBy("set_id").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
-    members = runs.where("run is not null").select("run", F.col("a").alias("set_id")).repartition("set_id").distinct().join(sketches, "set_id")
-    dealt = members.select("run", "set_id", "n_shingles", "sketch").repartition("run").sortWithinPartitions("run", "set_id")
+    # Sorted by one number, which Spark does by radix; sets of equal keys are put in order where they are looked at.
+    runs = scratch.write(keyed.repartitionByRange("key", "set_id").sortWithinPartitions("key").mapInArrow(tidy(_runs), "run long, a long, key long"))
+    of_set = with_keys.where("sketch is not null").groupBy("set_id")
+    keyed = runs.where("key is not null").select("key", F.col("a").alias("set_id")).distinct()
+    needed = scratch.write(_needed(keyed, of_set.agg(F.first("spare").alias("spare"))))
+    long = needed.join(needed.groupBy("key").agg(F.count("*").alias("n"), F.min("set_id").alias("first")).where("n > 1"), "key")
+    whole = long.where(F.col("n") > _WHOLE).select(F.col("set_id").alias("a"), F.col("first").alias("b"))
+    members = runs.where("run is not null").select("run", F.col("a").alias("set_id")).repartition("set_id").distinct()
+    members = members.unionByName(long.where(F.col("n") <= _WHOLE).select(F.col("key").alias("run"), "set_id"))
+    sketches = of_set.agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    dealt = members.join(sketches, "set_id").select("run", "set_id", "n_shingles", "sketch").repartition("run").sortWithinPartitions("run", "set_id")
     pairs = scratch.write(dealt.mapInArrow(tidy(_candidates(percent)), "a long, b long"))
-    ends = runs.where("key is not null").select("key", "a")
-    across = ends.join(ends.groupBy("key").agg(F.min("a").alias("b")), "key").select("a", "b")
-    whole = runs.where("b is not null").select("a", "b")
-    clusters = scratch.write(connected_components(pairs.unionAll(whole).unionAll(across), scratch).withColumnsRenamed({"node": "set_id", "component": "cluster"}))
-    for done in (with_keys, runs, pairs):
+    clusters = scratch.write(connected_components(pairs.unionAll(whole), scratch).withColumnsRenamed({"node": "set_id", "component": "cluster"}))
+    for done in (with_keys, runs, needed, pairs):
         scratch.drop(done)
 
     sets = scratch.write(signatures.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles")))
@@ -355,6 +397,13 @@ def ngram_groups(df: DataFrame, words: int, percent: int, id_col: str = "doc_id"
     )
 
 
+def _needed(keyed: DataFrame, sets: DataFrame) -> DataFrame:
+    """``key, set_id`` without the keys that sets can do without; ``sets`` has how many, by size class."""
+    size_class = F.pmod("key", F.lit(_CLASSES)).cast("int")
+    place = F.row_number().over(Window.partitionBy("set_id", size_class).orderBy("key"))
+    return keyed.join(sets, "set_id").withColumn("place", place).where(F.col("place") > F.col("spare")[size_class]).select("key", "set_id")
+
+
 def _in_blocks(sized: DataFrame) -> DataFrame:
     """``cluster, block, set_id, id, n_shingles``: a group's sets in order of size, cut into blocks of about
     ``BLOCK_SHINGLES``; of a size that fills several, by hash."""
