@@ -156,18 +156,14 @@ def _signatures(n: int, percent: int):
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (key, set) sorted by key: ``run, a`` for the members of each run of equal keys, runs of the same sets once a batch;
+    """Of sorted (key, set): ``run, a`` for the members of each run of equal keys, runs of the same sets once a batch;
     and ``key, a`` for those of runs that are long or at an end of the partition."""
 
     def out(run, a, key) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (run, a, key)], names=["run", "a", "key"])
 
     def once(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        same = key[1:] == key[:-1]
-        at = np.flatnonzero(np.append(same, False) | np.append(False, same))
-        node = node.copy()
-        node[at] = node[at][np.lexsort((node[at], key[at]))]
-        new = np.append(True, ~same | (node[1:] != node[:-1]))
+        new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
         return key[new], node[new]
 
     def by_key(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
@@ -359,8 +355,7 @@ def ngram_groups(df: DataFrame, words: int, percent: int, id_col: str = "doc_id"
     signatures = scratch.write(with_keys.select("id", "text_key", "n_shingles", "set_id"))
 
     keyed = with_keys.where("keys is not null").select(F.explode("keys").alias("key"), "set_id")
-    # Sorted by one number, which Spark does by radix; sets of equal keys are put in order where they are looked at.
-    runs = scratch.write(keyed.repartitionByRange("key", "set_id").sortWithinPartitions("key").mapInArrow(tidy(_runs), "run long, a long, key long"))
+    runs = scratch.write(keyed.repartitionByRange("key", "set_id").sortWithinPartitions("key", "set_id").mapInArrow(tidy(_runs), "run long, a long, key long"))
     of_set = with_keys.where("sketch is not null").groupBy("set_id")
     keyed = runs.where("key is not null").select("key", F.col("a").alias("set_id")).distinct()
     needed = scratch.write(_needed(keyed, of_set.agg(F.first("spare").alias("spare"))))
